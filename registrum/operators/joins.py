@@ -11,6 +11,16 @@ DEFAULT_BROADCAST_BYTES = 64 * 1024 * 1024
 # shuffle without a measuring pass.
 MEASURE_ROW_LIMIT = 2_000_000
 
+# Fixed in-memory widths (bytes) of non-string types.
+_WIDTH = {
+    T.BooleanType: 1, T.ByteType: 1, T.ShortType: 2, T.IntegerType: 4, T.DateType: 4, T.FloatType: 4,
+    T.LongType: 8, T.DoubleType: 8, T.TimestampType: 8, T.TimestampNTZType: 8, T.DecimalType: 16,
+}
+
+
+def _width(dt: T.DataType) -> int:
+    return _WIDTH.get(type(dt), 64)
+
 
 def measured_bytes(df: DataFrame) -> int:
     """Exact in-memory payload of ``df``: string/binary octets plus fixed widths.
@@ -24,7 +34,7 @@ def measured_bytes(df: DataFrame) -> int:
         if isinstance(f.dataType, (T.StringType, T.BinaryType)):
             var.append(F.coalesce(F.octet_length(F.col(f.name)), F.lit(0)))
         else:
-            fixed += f.dataType.defaultSize
+            fixed += _width(f.dataType)
     per_row = fixed + 8 * len(df.schema.fields)  # unsafe-row word per field
     expr = F.count(F.lit(1)) * F.lit(per_row)
     if var:
