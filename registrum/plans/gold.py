@@ -27,11 +27,11 @@ class GoldResult:
     kpis: dict
 
 
-def _silver_path(spark: SparkSession, silver_root: str, name: str) -> str:
-    snap = SnapshotStore(spark, f"{silver_root.rstrip('/')}/{name}").current()
-    if snap is None:
+def _silver(spark: SparkSession, silver_root: str, name: str):
+    df = SnapshotStore(spark, f"{silver_root.rstrip('/')}/{name}").read()
+    if df is None:
         raise pq.MissingInput(f"Silver table {name} missing in {silver_root}. Run the Silver job first.")
-    return snap.path
+    return df
 
 
 def build_gold(
@@ -40,8 +40,8 @@ def build_gold(
     gold_root: str,
     max_broadcast_bytes: int | None = DEFAULT_BROADCAST_BYTES,
 ) -> GoldResult:
-    etab = spark.read.parquet(_silver_path(spark, silver_root, "etablissements"))
-    ul = spark.read.parquet(_silver_path(spark, silver_root, "unites_legales"))
+    etab = _silver(spark, silver_root, "etablissements")
+    ul = _silver(spark, silver_root, "unites_legales")
     gold_root = gold_root.rstrip("/")
 
     master_store = SnapshotStore(spark, f"{gold_root}/{MASTER_TABLE}")
@@ -66,10 +66,10 @@ def build_gold(
 
 
 def read_gold(spark: SparkSession, gold_root: str, name: str):
-    snap = SnapshotStore(spark, f"{gold_root.rstrip('/')}/{name}").current()
-    if snap is None:
+    df = SnapshotStore(spark, f"{gold_root.rstrip('/')}/{name}").read()
+    if df is None:
         raise pq.MissingInput(f"Gold table {name} missing in {gold_root}")
-    return spark.read.parquet(snap.path)
+    return df
 
 
 def dominant_sector_for(spark: SparkSession, gold_root: str, department: str):

@@ -40,7 +40,7 @@ def current_mark(store: SnapshotStore) -> datetime:
         return MARK_FLOOR
     if snap.facts.get("mark"):
         return datetime.fromisoformat(snap.facts["mark"])
-    return high_water_mark(store.spark.read.parquet(snap.path))
+    return high_water_mark(store.read())
 
 
 def build_silver(
@@ -64,19 +64,34 @@ def build_silver(
         total = int(snap.facts.get("rows", 0)) if snap else 0
         return SilverResult(dataset_name, mark, 0, 0, snap.version if snap else None, total)
 
+    existing = store.read()
+    # Bronze is insert-only, so an increment normally brings only unseen keys:
+    # then it is appended as a new segment and nothing older is rewritten.
+    # Only when a key already in Silver comes again is the full last-wins
+    # merge rewritten. The probe joins key columns only.
+    append = existing is None or (
+        silver_increment(bronze, spec, mark, departments, as_of_year)
+        .select(spec.pk)
+        .join(existing.select(spec.pk), spec.pk, "left_semi")
+        .isEmpty()
+    )
+
     obs = Observation(f"silver_{dataset_name}")
     new = silver_increment(bronze, spec, mark, departments, as_of_year, obs)
     added_obs = Observation(f"silver_new_{dataset_name}")
     new = new.observe(added_obs, F.count(F.lit(1)).alias("new_rows"))
-    existing = store.read()
-    merged = coerce(merge_last_wins(existing, new, spec), spec)
+    prev = store.current()
+    base_rows = int(prev.facts.get("rows", 0)) if (prev and append) else 0
+    base_mark = prev.facts.get("mark") if (prev and append) else None
+    merged = coerce(merge_last_wins(None if append else existing, new, spec), spec)
 
     def gate(staged):
         counts = validate(staged, spec)
         facts = staged.agg(F.count(F.lit(1)).alias("rows"), F.max(INGESTED_AT).alias("mark")).first()
-        return {"rows": int(facts["rows"]), "mark": facts["mark"].isoformat() if facts["mark"] else None, "rules": counts}
+        marks = [m for m in (facts["mark"].isoformat() if facts["mark"] else None, base_mark) if m]
+        return {"rows": base_rows + int(facts["rows"]), "mark": max(marks) if marks else None, "rules": counts}
 
-    snap = store.publish(merged, validate=gate, files=files)
+    snap = store.publish(merged, validate=gate, files=files, mode="append" if append else "replace")
     metrics = obs.get if spec.postal_column else {}
     return SilverResult(
         dataset_name,

@@ -13,8 +13,12 @@ from pyspark.sql import SparkSession
 
 # Runtime re-planning: AQE measures real shuffle sizes, coalesces small
 # partitions, splits skewed join partitions and turns a join into a broadcast
-# only when the measured side is below the adaptive threshold.
+# only when the measured side is below the adaptive threshold. The static
+# threshold is off: it trusts compressed file sizes, which are not a bound on
+# the in-memory size of a side; explicit broadcasts go through
+# ``registrum.operators.joins.fits_broadcast``.
 DEFAULTS = {
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
@@ -24,6 +28,7 @@ DEFAULTS = {
     "spark.sql.parquet.compression.codec": "snappy",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.ui.enabled": "false",
+    "spark.ui.showConsoleProgress": "false",
 }
 
 

@@ -2,20 +2,26 @@
 
 Overwriting a Parquet path that the same job reads empties it on failure, and
 plain Parquet has no transaction log. Each publication therefore writes a new
-version directory ``<root>/v=<n>/``, validates the written files, and only
-then creates the commit marker ``<root>/_commits/<n>`` (a create-if-absent of a
-tiny file, atomic on HDFS and object stores with conditional puts). Readers
-resolve the highest committed version; an uncommitted or failed version is
-invisible and is simply rewritten by the next attempt. The marker carries
-small facts (row count, high-water mark) so later jobs read them without a
-scan.
+directory ``<root>/v=<n>/``, validates the written files, and only then
+creates the commit marker ``<root>/_commits/<n>`` (a create-if-absent of a
+tiny file, atomic on HDFS and on object stores with conditional puts). The
+marker lists the directories that make up the table at that version:
+
+* ``replace``: the table is ``[v=n]`` alone (a full rewrite, e.g. a merge);
+* ``append``: the table is the previous list plus ``v=n`` (an increment whose
+  keys are all new, so nothing older has to be rewritten).
+
+Readers resolve the highest committed version and read exactly its listed
+directories; an uncommitted or failed directory is invisible and is simply
+rewritten by the next attempt. The marker also carries small facts (row
+count, high-water mark) so later jobs read them without a scan.
 """
 
 from __future__ import annotations
 
 import json
 from collections.abc import Callable
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -27,8 +33,13 @@ COMMITS = "_commits"
 @dataclass(frozen=True)
 class Snapshot:
     version: int
-    path: str
-    facts: dict
+    paths: tuple[str, ...]
+    facts: dict = field(default_factory=dict)
+
+    @property
+    def path(self) -> str:
+        """The directory written by this version."""
+        return self.paths[-1]
 
 
 class SnapshotStore:
@@ -40,48 +51,63 @@ class SnapshotStore:
     def _version_path(self, n: int) -> str:
         return f"{self.root}/v={n:08d}"
 
+    def _marker(self, n: int) -> str:
+        return f"{self.root}/{COMMITS}/{n:08d}"
+
+    def _load(self, n: int) -> Snapshot:
+        facts = json.loads(pq.read_text(self.spark, self._marker(n)) or "{}")
+        segments = facts.pop("segments", [n])
+        return Snapshot(n, tuple(self._version_path(s) for s in segments), facts)
+
+    def committed(self) -> list[int]:
+        names = pq.list_names(self.spark, f"{self.root}/{COMMITS}")
+        return sorted(int(x) for x in names if x.isdigit())
+
     def current(self) -> Snapshot | None:
-        names = [n for n in pq.list_names(self.spark, f"{self.root}/{COMMITS}") if n.isdigit()]
-        if not names:
-            return None
-        n = max(int(x) for x in names)
-        facts = json.loads(pq.read_text(self.spark, f"{self.root}/{COMMITS}/{n:08d}") or "{}")
-        return Snapshot(n, self._version_path(n), facts)
+        versions = self.committed()
+        return self._load(versions[-1]) if versions else None
 
     def read(self) -> DataFrame | None:
         snap = self.current()
-        return None if snap is None else self.spark.read.parquet(snap.path)
+        return None if snap is None else self.spark.read.parquet(*snap.paths)
 
     def publish(
         self,
         df: DataFrame,
         validate: Callable[[DataFrame], dict] | None = None,
-        partition_by: tuple[str, ...] = (),
         files: int | None = None,
+        mode: str = "replace",
     ) -> Snapshot:
         """Write ``df`` as the next version, validate the written files, commit.
 
-        ``validate`` receives the staged version read back from storage (so the
-        lineage is cut and executors lost later cannot force a recompute); it
-        raises to abort, or returns facts stored in the commit marker. Nothing
-        becomes visible unless it returns.
+        ``validate`` receives the written directory read back from storage (so
+        the lineage is cut and executors lost later cannot force a recompute);
+        it raises to abort, or returns facts stored in the commit marker.
+        Nothing becomes visible unless it returns. ``mode="append"`` keeps the
+        previous directories in the new version.
         """
+        if mode not in ("replace", "append"):
+            raise ValueError(mode)
         cur = self.current()
         n = 1 if cur is None else cur.version + 1
         path = self._version_path(n)
         out = df.coalesce(files) if files else df
-        writer = out.write.mode("overwrite")
-        if partition_by:
-            writer = writer.partitionBy(*partition_by)
-        writer.parquet(path)
+        out.write.mode("overwrite").parquet(path)
         staged = self.spark.read.parquet(path)
-        facts = validate(staged) if validate else {}
-        pq.write_text(self.spark, f"{self.root}/{COMMITS}/{n:08d}", json.dumps(facts, default=str))
+        facts = dict(validate(staged) if validate else {})
+        prev = [] if (cur is None or mode == "replace") else [int(p.rsplit("=", 1)[1]) for p in cur.paths]
+        segments = prev + [n]
+        pq.write_text(self.spark, self._marker(n), json.dumps({**facts, "segments": segments}, default=str))
         self._prune(n)
-        return Snapshot(n, path, facts)
+        return Snapshot(n, tuple(self._version_path(s) for s in segments), facts)
 
     def _prune(self, newest: int) -> None:
+        """Drop directories no longer referenced by the newest ``keep`` versions."""
+        live = set()
+        for v in [x for x in self.committed() if x > newest - self.keep]:
+            live.update(int(p.rsplit("=", 1)[1]) for p in self._load(v).paths)
         for name in pq.list_names(self.spark, self.root):
             if name.startswith("v=") and name[2:].isdigit():
-                if int(name[2:]) <= newest - self.keep:
+                n = int(name[2:])
+                if n < newest and n not in live:
                     pq.delete(self.spark, f"{self.root}/{name}")

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from registrum.functions.columns import exact_digits, prefix_in
-from registrum.operators.clean import clean_increment, select_increment, silver_increment
+from registrum.operators.clean import batch_id_of, clean_increment, select_increment, silver_increment
 from registrum.operators.merge import merge_last_wins
 from registrum.operators.quality import SchemaViolation, check_columns, validate
 from registrum.plans.bronze import ingest_bronze
@@ -191,3 +191,24 @@ def test_legal_units_chain(spark):
     r = out.first()
     assert r.economieSocialeSolidaireUniteLegale == "N" and r.categorieEntreprise == "Indéterminé"
     assert r.secteur_activite == "Indéterminé" and r.age_entreprise == 36.0
+
+
+def test_new_keys_append_a_segment_and_repeated_keys_rewrite(spark, scratch):
+    silver = f"{scratch}/silver"
+    store = SnapshotStore(spark, f"{silver}/etablissements")
+    b = _bronze(spark, scratch, [etab_row("00000000000001", enseigne="a")], datetime(2026, 1, 1))
+    build_silver(spark, "etablissements", b, silver, 2026)
+    _bronze(spark, scratch, [etab_row("00000000000002", enseigne="b")], datetime(2026, 2, 1))
+    build_silver(spark, "etablissements", b, silver, 2026)
+    snap = store.current()
+    assert len(snap.paths) == 2 and snap.facts["rows"] == 2  # appended, nothing rewritten
+    # a Bronze written elsewhere (parity mode, external feed) may repeat a key:
+    # the full last-wins merge runs and replaces the table with one directory
+    again = bronze_df(spark, [etab_row("00000000000001", enseigne="a2")], datetime(2026, 3, 1))
+    again.withColumn("batch_id", F.lit(batch_id_of(datetime(2026, 3, 1)))).write.mode("append").partitionBy("batch_id").parquet(b)
+    r = build_silver(spark, "etablissements", b, silver, 2026)
+    snap = store.current()
+    assert len(snap.paths) == 1 and r.total_rows == 2
+    got = {x.siret: x.enseigne1Etablissement for x in store.read().collect()}
+    assert got == {"00000000000001": "a2", "00000000000002": "b"}
+    assert current_mark(store) == datetime(2026, 3, 1)
