@@ -1,8 +1,8 @@
 """Profiling and data-quality reports over any layer.
 
 Every report is one aggregate (partial on the map side, so hot values cost
-nothing extra) or a grouped count followed by a bounded top-k; the only value
-that travels through the driver is a single row count used as a denominator.
+nothing extra) or a grouped count followed by a bounded top-k; denominators
+are scalar subqueries, so nothing but the small report reaches the driver.
 """
 
 from __future__ import annotations
@@ -31,10 +31,14 @@ def layer_counts(tables: dict[str, DataFrame]) -> DataFrame:
 
 def share(df: DataFrame, key, digits: int, total: int | None = None) -> DataFrame:
     """Count per key and its percentage of all rows, rounded to ``digits``.
-    ``total`` defaults to a row count (metadata-only on a plain Parquet scan)."""
-    total = df.count() if total is None else total
+
+    The denominator is an uncorrelated scalar subquery (``DataFrame.scalar``):
+    Spark runs it as its own small job and inlines the value, so no row
+    travels to the driver. A known ``total`` may be passed instead.
+    """
+    denom = df.select(F.count(F.lit(1))).scalar() if total is None else F.lit(total)
     cnt = F.count(F.lit(1))
-    pct = F.round(cnt * F.lit(100.0) / F.lit(float(max(total, 1))), digits)
+    pct = F.round(cnt * F.lit(100.0) / denom, digits)
     return df.groupBy(key).agg(cnt.alias("count"), pct.alias("percentage" if digits == 2 else "pct"))
 
 

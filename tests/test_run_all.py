@@ -59,3 +59,21 @@ def test_streaming_delivery_is_idempotent(spark, scratch):
     q.awaitTermination(120)
     assert first == stock.limit(100).select("siret").distinct().count()
     assert spark.read.parquet(bronze).count() == stock.select("siret").distinct().count()
+
+
+def test_report_jobs(spark, scratch):
+    from registrum.plans import reports as R
+
+    sources = _sources(spark, scratch)
+    root = f"{scratch}/lake"
+    run_medallion(spark, sources, root, datetime(2026, 1, 1), 2026)
+    prof = R.silver_profile(spark, f"{root}/silver")
+    assert {r.dataset for r in prof.select("dataset").distinct().collect()} == {"etablissements", "unites_legales"}
+    checks = {r.dataset: r for r in R.silver_checks(spark, f"{root}/silver").collect()}
+    assert checks["etablissements"].missing_columns == "" and checks["etablissements"].batches == 1
+    gold = {r.table: r.rows for r in R.gold_checks(spark, f"{root}/gold").collect()}
+    assert gold[MASTER_TABLE] == checks["etablissements"].rows
+    assert "master_without_legal_unit" in gold
+    assert R.silver_region_distribution(spark, f"{root}/silver").count() > 0
+    assert R.gold_preview(spark, f"{root}/gold")[MASTER_TABLE].count() == 3
+    assert R.silver_quality(spark, f"{root}/silver").count() == 2
