@@ -2,12 +2,15 @@
 data through one task.
 
 A plain ``orderBy(h).limit(n)`` makes every task keep its own top n and merges
-them in one task: up to tasks x n rows. Here the hash is uniform, so a
-fraction a little above n / rows is selected by a pushed-down-able range
-predicate on the hash prefix; only those candidates (about 1.2 n keys) are
-ranked to find the exact n-th (hash, key) pair, and the final rows are taken by
-a distributed filter ``(hash, key) <= threshold``. If too few candidates pass,
-the fraction grows until enough do, so the result is always exact.
+them in one task: up to tasks x n rows. Here the hash is uniform, so one
+aggregate pass counts the rows under a ladder of hash-prefix cut-offs
+(fractions of the hash space doubling from about 1.2 n / rows up to all of
+it); the smallest cut-off holding at least n rows selects the candidates.
+Only those candidates (about 1.2 n keys) are ranked to find the exact n-th
+(hash, key) pair, and the rows are then taken by a distributed filter
+``(hash, key) <= threshold``. Three passes in all, the first two over the key
+column only when the input is a Parquet table; the result is always exact.
+Keys are expected to be unique (rows sharing a key tie and are kept together).
 """
 
 from __future__ import annotations
@@ -19,27 +22,41 @@ from registrum.functions.columns import sample_key
 
 _PREFIX = 8  # hex digits of the hash used for the candidate range
 _SPACE = 16**_PREFIX
+_ESTIMATE_ROWS = 1_000_000_000  # only sizes the cut-off ladder, never the result
+
+
+def _ladder(n: int) -> list[str]:
+    """Hex cut-offs from ~1.2 n / 1e9 of the space doubling to the full space."""
+    cuts, frac = [], max(1.2 * n / _ESTIMATE_ROWS, 1.0 / _SPACE)
+    while frac < 1.0:
+        cuts.append(format(int(frac * _SPACE) + 1, f"0{_PREFIX}x"))
+        frac *= 2
+    return cuts
 
 
 def first_n(df: DataFrame, n: int, key: str, seed: int) -> DataFrame:
     """The ``n`` rows with the smallest ``(md5('seed|key'), key)``."""
     if n <= 0:
         return df.limit(0)
-    h = sample_key(seed, F.col(key))
-    total = df.count()
-    if total <= n:
+    hashed = df.withColumn("_h", sample_key(seed, F.col(key)))
+    prefix = F.substring("_h", 1, _PREFIX)
+    cuts = _ladder(n)
+    counts = hashed.agg(
+        F.count(F.lit(1)).alias("total"),
+        *[F.count_if(prefix < F.lit(c)).alias(f"c{i}") for i, c in enumerate(cuts)],
+    ).first()
+    if counts["total"] <= n:
         return df
-    hashed = df.withColumn("_h", h)
-    frac = min(1.0, 1.2 * n / total + 64.0 / total)
-    while True:
-        cut = format(min(_SPACE, int(frac * _SPACE) + 1), f"0{_PREFIX}x") if frac < 1.0 else None
-        cand = hashed if cut is None else hashed.filter(F.substring("_h", 1, _PREFIX) < F.lit(cut))
-        cand = cand.select("_h", F.col(key).alias("_k"))
-        if cut is None or cand.count() >= n:
-            break
-        frac = min(1.0, frac * 2)
-    # n-th smallest (hash, key) among the candidates: bounded by ~1.2 n keys.
-    thr = cand.orderBy("_h", "_k").limit(n).agg(F.max(F.struct("_h", "_k")).alias("t")).first()["t"]
+    cut = next((c for i, c in enumerate(cuts) if counts[f"c{i}"] >= n), None)
+    cand = hashed if cut is None else hashed.filter(prefix < F.lit(cut))
+    # n-th smallest (hash, key) among the candidates: bounded by ~2.4 n keys.
+    thr = (
+        cand.select("_h", F.col(key).alias("_k"))
+        .orderBy("_h", "_k")
+        .limit(n)
+        .agg(F.max(F.struct("_h", "_k")).alias("t"))
+        .first()["t"]
+    )
     th, tk = thr["_h"], thr["_k"]
     keep = (F.col("_h") < F.lit(th)) | ((F.col("_h") == F.lit(th)) & (F.col(key) <= F.lit(tk)))
     return hashed.filter(keep).drop("_h")
