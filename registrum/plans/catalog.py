@@ -252,7 +252,7 @@ def q26_region_share(spark, sf):
     return P.region_share(etab_silver(spark, sf))
 
 
-def q27_top5_distribution(spark, sf):
+def q27_top_five_distribution(spark, sf):
     return P.top_values(etab_silver(spark, sf), "secteur_activite", 5, 1)
 
 
@@ -260,6 +260,10 @@ def q28_age_profile(spark, sf):
     return P.age_profile(etab_silver(spark, sf))
 
 
+def q28b_age_profile_approx(spark, sf):
+    return P.age_profile(etab_silver(spark, sf), exact_median=False)
+
+
 def q29_row_counts(spark, sf):
     m = master(spark, sf)
     return P.layer_counts(
@@ -304,7 +308,7 @@ def q33c_table_profile_approx(spark, sf):
     return P.table_profile(etab_silver(spark, sf), exact=False)
 
 
-def q34_top3_departments(spark, sf):
+def q34_top_three_departments(spark, sf):
     return P.value_counts(etab_silver(spark, sf), "departement", 3)
 
 

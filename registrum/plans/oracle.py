@@ -302,7 +302,7 @@ SQL: dict[str, str] = {
     + """SELECT substring(codePostalEtablissement, 1, 2) AS dept, count(*) AS count,
               round(count(*) * 100.0 / (SELECT count(*) FROM etab_silver), 2) AS percentage
        FROM etab_silver GROUP BY dept ORDER BY dept""",
-    "q27_top5_distribution": ETAB_SILVER
+    "q27_top_five_distribution": ETAB_SILVER
     + """SELECT secteur_activite, count(*) AS count,
               round(count(*) * 100.0 / (SELECT count(*) FROM etab_silver), 1) AS pct
        FROM etab_silver GROUP BY 1 ORDER BY count DESC, secteur_activite LIMIT 5""",
@@ -338,7 +338,7 @@ SQL: dict[str, str] = {
     + "SELECT avg(age_entreprise) AS avg_age FROM etab_silver WHERE age_entreprise > 0",
     "q33_table_profile": ETAB_SILVER + _profile_sql("etab_silver", SILVER_COLS),
     "q33b_table_profile_legal_units": UL_ONLY + _profile_sql("ul_silver", UL_COLS),
-    "q34_top3_departments": ETAB_SILVER
+    "q34_top_three_departments": ETAB_SILVER
     + """SELECT departement, count(*) AS count FROM etab_silver WHERE departement IS NOT NULL
        GROUP BY departement ORDER BY count DESC, departement LIMIT 3""",
     "q36_view_query": BASE

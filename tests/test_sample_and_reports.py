@@ -48,3 +48,29 @@ def test_id_quality_and_duplicates(spark):
     assert (r.total_rows, r.unique_ids, r.missing_ids, r.is_unique) == (3, 1, 1, False)
     assert r.pct_indeterminate_sector == 33.33 and r.pct_in_sector == 33.33
     assert [tuple(x) for x in duplicate_keys(df.filter(F.col("siret").isNotNull()), ["siret"]).collect()] == [("1", 2)]
+
+
+def _plan(df):
+    import contextlib
+    import io
+
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        df.explain()
+    return buf.getvalue()
+
+
+def test_dedups_pre_aggregate_before_the_shuffle(spark):
+    """A key holding a third of all rows collapses map-side, not in one reducer."""
+    from registrum.operators.ingest import dedup_batch
+    from registrum.operators.merge import keep_last
+
+    hot = spark.range(3000).select(
+        F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise(F.col("id").cast("string")).alias("k"),
+        F.col("id").alias("v"),
+    )
+    for df in (dedup_batch(hot, "k"), keep_last(hot, ["k"], ["v"])):
+        plan = _plan(df)
+        assert plan.index("Exchange hashpartitioning(k") < plan.rindex("partial_m")
+        assert df.count() == 2001
+    assert keep_last(hot, ["k"], ["v"]).filter("k = 'hot'").first().v == 2997
