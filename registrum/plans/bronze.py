@@ -33,9 +33,9 @@ class BronzeResult:
 
 
 def known_keys(spark: SparkSession, bronze_path: str, pk: str, exclude_batch: int | None = None) -> DataFrame | None:
-    if not pq.exists(spark, bronze_path):
+    reg = pq.read_if_any(spark, bronze_path)
+    if reg is None:
         return None
-    reg = spark.read.parquet(bronze_path)
     if exclude_batch is not None:
         reg = reg.filter(F.col(BATCH_ID) != F.lit(exclude_batch))
     return reg.select(pk)
@@ -83,5 +83,6 @@ def ingest_bronze(
     )
     added = int(obs.get.get("new_rows", 0))
     nulls = int(null_obs.get.get("null_keys", 0)) if null_obs.get else 0
-    total = spark.read.parquet(bronze_path).count() if pq.exists(spark, bronze_path) else 0
+    written = pq.read_if_any(spark, bronze_path)
+    total = written.count() if written is not None else 0
     return BronzeResult(dataset_name, batch_id_of(run_ts), added, nulls, total)

@@ -56,7 +56,10 @@ def build_silver(
     pq.require(spark, bronze_path)
     store = SnapshotStore(spark, f"{silver_root.rstrip('/')}/{dataset_name}")
     mark = current_mark(store)
-    bronze = spark.read.parquet(bronze_path)
+    bronze = pq.read_if_any(spark, bronze_path)
+    if bronze is None:  # Bronze exists but holds no row yet
+        snap = store.current()
+        return SilverResult(dataset_name, mark, 0, 0, snap.version if snap else None, int(snap.facts.get("rows", 0)) if snap else 0)
     # The emptiness probe runs on an unobserved plan: an observation fires on
     # the first action, and ``isEmpty`` stops after one row.
     if silver_increment(bronze, spec, mark, departments, as_of_year).isEmpty():

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -34,6 +35,19 @@ def read_table(spark: SparkSession, path: str, columns: Sequence[str] | None = N
     return df.select(*columns) if columns else df
 
 
+def read_if_any(spark: SparkSession, path: str) -> DataFrame | None:
+    """The table at ``path``, or None when it is missing or holds no data file
+    yet (an empty first write leaves only the commit marker)."""
+    if not exists(spark, path):
+        return None
+    try:
+        return spark.read.parquet(path)
+    except AnalysisException as e:
+        if "UNABLE_TO_INFER_SCHEMA" in str(e) or "PATH_NOT_FOUND" in str(e):
+            return None
+        raise
+
+
 def list_names(spark: SparkSession, path: str) -> list[str]:
     """Names of the direct children of a directory (empty if it is missing)."""
     fs, p = _fs(spark, path)

@@ -80,3 +80,16 @@ def test_anti_join_plan_reads_only_key_column(spark, scratch):
     plan = new_rows(spark.read.parquet(f"{scratch}/source.parquet"), known, "siret")._jdf.queryExecution().executedPlan().toString()
     assert "ReadSchema: struct<siret:string>" in plan
     assert F is not None
+
+
+def test_empty_first_run_then_rows(spark, scratch):
+    from registrum.plans.silver import build_silver
+
+    empty = _source(spark, scratch, [], "siret string, data string")
+    bronze = f"{scratch}/bronze"
+    r = ingest_bronze(spark, empty, bronze, "etablissements", T1)
+    assert (r.new_rows, r.total_rows) == (0, 0)
+    res = build_silver(spark, "etablissements", bronze, f"{scratch}/silver", 2026)
+    assert res.new_rows == 0 and res.version is None
+    r = ingest_bronze(spark, _source(spark, scratch, [("1", "x")]), bronze, "etablissements", T2)
+    assert (r.new_rows, r.total_rows) == (1, 1)
