@@ -53,10 +53,15 @@ def _rule_checks(df: DataFrame, spec: DatasetSpec) -> list[tuple[str, Column]]:
     return checks
 
 
+def _rule_aggregate(df: DataFrame, spec: DatasetSpec, extra: Sequence[Column] = ()):
+    checks = _rule_checks(df, spec)
+    agg = df.agg(*[F.count_if(cond).alias(f"c{i}") for i, (_, cond) in enumerate(checks)], *extra)
+    return checks, agg
+
+
 def rule_violations(df: DataFrame, spec: DatasetSpec) -> DataFrame:
     """(rule, violations) for every row rule, one pass over the data."""
-    checks = _rule_checks(df, spec)
-    agg = df.agg(*[F.count_if(cond).alias(f"c{i}") for i, (_, cond) in enumerate(checks)])
+    checks, agg = _rule_aggregate(df, spec)
     pairs = ", ".join(f"'{name}', c{i}" for i, (name, _) in enumerate(checks))
     return agg.selectExpr(f"stack({len(checks)}, {pairs}) AS (rule, violations)")
 
@@ -75,16 +80,19 @@ def uniqueness_violations(df: DataFrame, spec: DatasetSpec) -> dict[str, int]:
     return out
 
 
-def validate(df: DataFrame, spec: DatasetSpec) -> dict[str, int]:
-    """Gate: raise ``SchemaViolation`` on the first failing rule, else return
-    the per-rule counts (all zero) plus the row count."""
+def validate(df: DataFrame, spec: DatasetSpec, facts: Sequence[Column] = ()) -> tuple[dict[str, int], dict]:
+    """Gate: raise ``SchemaViolation`` if any rule fails, else return the
+    per-rule counts (all zero) and the values of the ``facts`` aggregates,
+    which ride along in the same pass as the row rules."""
     check_columns(df, spec)
-    counts = {r["rule"]: int(r["violations"]) for r in rule_violations(df, spec).collect()}
+    checks, agg = _rule_aggregate(df, spec, facts)
+    row = agg.first().asDict()
+    counts = {name: int(row.pop(f"c{i}")) for i, (name, _) in enumerate(checks)}
     counts.update(uniqueness_violations(df, spec))
     bad = {k: v for k, v in counts.items() if v}
     if bad:
         raise SchemaViolation(f"{spec.name}: contract violated: {bad}")
-    return counts
+    return counts, row
 
 
 def any_true(conds: Sequence[Column]) -> Column:

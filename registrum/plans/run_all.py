@@ -10,6 +10,7 @@ from dataclasses import dataclass, field
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from registrum.plans.bronze import ingest_bronze
 from registrum.plans.gold import build_gold
@@ -35,6 +36,16 @@ class RunReport:
         schema = "layer string, dataset string, ok boolean, seconds double, detail string"
         return spark.createDataFrame([tuple(s.values()) for s in self.steps], schema)
 
+    def save(self, spark: SparkSession, path: str, run_ts: datetime) -> None:
+        """Append this run's step report to the run-metrics table."""
+        (
+            self.to_df(spark)
+            .withColumn("run_ts", F.lit(run_ts).cast("timestamp_ntz"))
+            .coalesce(1)
+            .write.mode("append")
+            .parquet(path)
+        )
+
 
 def _timed(report: RunReport, layer: str, dataset: str, fn):
     t0 = time.time()
@@ -78,4 +89,5 @@ def run_medallion(
         _timed(report, "gold", "all", lambda: build_gold(spark, f"{root}/silver", f"{root}/gold"))
     else:
         report.add("gold", "all", False, 0.0, f"skipped: silver ok for {report.ok('silver')}")
+    report.save(spark, f"{root}/_runs", run_ts)
     return report

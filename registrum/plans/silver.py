@@ -89,8 +89,9 @@ def build_silver(
     merged = coerce(merge_last_wins(None if append else existing, new, spec), spec)
 
     def gate(staged):
-        counts = validate(staged, spec)
-        facts = staged.agg(F.count(F.lit(1)).alias("rows"), F.max(INGESTED_AT).alias("mark")).first()
+        counts, facts = validate(
+            staged, spec, [F.count(F.lit(1)).alias("rows"), F.max(INGESTED_AT).alias("mark")]
+        )
         marks = [m for m in (facts["mark"].isoformat() if facts["mark"] else None, base_mark) if m]
         return {"rows": base_rows + int(facts["rows"]), "mark": max(marks) if marks else None, "rules": counts}
 

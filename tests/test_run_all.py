@@ -77,3 +77,35 @@ def test_report_jobs(spark, scratch):
     assert R.silver_region_distribution(spark, f"{root}/silver").count() > 0
     assert R.gold_preview(spark, f"{root}/gold")[MASTER_TABLE].count() == 3
     assert R.silver_quality(spark, f"{root}/silver").count() == 2
+
+
+def test_run_reports_are_kept(spark, scratch):
+    sources = _sources(spark, scratch)
+    root = f"{scratch}/lake"
+    run_medallion(spark, sources, root, datetime(2026, 1, 1), 2026)
+    run_medallion(spark, sources, root, datetime(2026, 1, 2), 2026)
+    runs = spark.read.parquet(f"{root}/_runs")
+    assert runs.select("run_ts").distinct().count() == 2
+    assert runs.filter("NOT ok").count() == 0
+
+
+def test_streaming_replay_after_lost_commit_adds_nothing(spark, scratch):
+    import os
+
+    src_dir = f"{scratch}/incoming"
+    stock = td.establishments(spark, SF001).drop("ingested_at")
+    stock.write.mode("append").parquet(src_dir)
+    bronze, ckpt = f"{scratch}/bronze", f"{scratch}/ckpt"
+    q = start_bronze_stream(spark, src_dir, stock.schema, bronze, "etablissements", ckpt)
+    q.awaitTermination(120)
+    n = spark.read.parquet(bronze).count()
+    # simulate a crash after the Bronze write but before the batch commit:
+    # the micro-batch is replayed on restart and must not append twice
+    commits = sorted(os.listdir(f"{ckpt}/commits"), key=lambda x: (len(x), x))
+    last = [c for c in commits if c.isdigit()][-1]
+    os.remove(f"{ckpt}/commits/{last}")
+    if os.path.exists(f"{ckpt}/commits/.{last}.crc"):
+        os.remove(f"{ckpt}/commits/.{last}.crc")
+    q = start_bronze_stream(spark, src_dir, stock.schema, bronze, "etablissements", ckpt)
+    q.awaitTermination(120)
+    assert spark.read.parquet(bronze).count() == n
