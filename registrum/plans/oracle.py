@@ -237,8 +237,8 @@ SQL: dict[str, str] = {
        WHERE siret IS NOT NULL AND siren IS NOT NULL""",
     "q14_postal_clean": RAW
     + """SELECT count(*) AS rows_in,
-              count_if(coalesce(regexp_full_match(regexp_replace(codePostalEtablissement, '^\\s+|\\s+$', '', 'g'), '[0-9]{5}'), false)) AS valid,
-              count_if(NOT coalesce(regexp_full_match(regexp_replace(codePostalEtablissement, '^\\s+|\\s+$', '', 'g'), '[0-9]{5}'), false)) AS rejected
+              CAST(count_if(coalesce(regexp_full_match(regexp_replace(codePostalEtablissement, '^\\s+|\\s+$', '', 'g'), '[0-9]{5}'), false)) AS BIGINT) AS valid,
+              CAST(count_if(NOT coalesce(regexp_full_match(regexp_replace(codePostalEtablissement, '^\\s+|\\s+$', '', 'g'), '[0-9]{5}'), false)) AS BIGINT) AS rejected
        FROM etab_raw WHERE siret IS NOT NULL AND siren IS NOT NULL""",
     "q15_high_water_mark": RAW
     + "SELECT coalesce(max(ingested_at), TIMESTAMP '1900-01-01 00:00:00') AS mark FROM etab_raw",
@@ -272,14 +272,14 @@ SQL: dict[str, str] = {
                 codePostalEtablissement AS cp
          FROM etab_raw)
        SELECT 'dateCreationEtablissement:coerce' AS rule, CAST(0 AS BIGINT) AS violations
-       UNION ALL SELECT 'siret:not_null', count_if(siret IS NULL) FROM bad
-       UNION ALL SELECT 'siret:str_length', count_if(siret IS NOT NULL AND length(siret) <> 14) FROM bad
-       UNION ALL SELECT 'siret:str_matches', count_if(siret IS NOT NULL AND NOT regexp_full_match(siret, '[0-9]{14}')) FROM bad
-       UNION ALL SELECT 'siren:not_null', count_if(siren IS NULL) FROM bad
-       UNION ALL SELECT 'siren:str_length', count_if(siren IS NOT NULL AND length(siren) <> 9) FROM bad
-       UNION ALL SELECT 'siren:str_matches', count_if(siren IS NOT NULL AND NOT regexp_full_match(siren, '[0-9]{9}')) FROM bad
-       UNION ALL SELECT 'codePostalEtablissement:str_length', count_if(cp IS NOT NULL AND length(cp) <> 5) FROM bad
-       UNION ALL SELECT 'codePostalEtablissement:str_matches', count_if(cp IS NOT NULL AND NOT regexp_full_match(cp, '[0-9]{5}')) FROM bad""",
+       UNION ALL SELECT 'siret:not_null', CAST(count_if(siret IS NULL) AS BIGINT) FROM bad
+       UNION ALL SELECT 'siret:str_length', CAST(count_if(siret IS NOT NULL AND length(siret) <> 14) AS BIGINT) FROM bad
+       UNION ALL SELECT 'siret:str_matches', CAST(count_if(siret IS NOT NULL AND NOT regexp_full_match(siret, '[0-9]{14}')) AS BIGINT) FROM bad
+       UNION ALL SELECT 'siren:not_null', CAST(count_if(siren IS NULL) AS BIGINT) FROM bad
+       UNION ALL SELECT 'siren:str_length', CAST(count_if(siren IS NOT NULL AND length(siren) <> 9) AS BIGINT) FROM bad
+       UNION ALL SELECT 'siren:str_matches', CAST(count_if(siren IS NOT NULL AND NOT regexp_full_match(siren, '[0-9]{9}')) AS BIGINT) FROM bad
+       UNION ALL SELECT 'codePostalEtablissement:str_length', CAST(count_if(cp IS NOT NULL AND length(cp) <> 5) AS BIGINT) FROM bad
+       UNION ALL SELECT 'codePostalEtablissement:str_matches', CAST(count_if(cp IS NOT NULL AND NOT regexp_full_match(cp, '[0-9]{5}')) AS BIGINT) FROM bad""",
     "q19_duplicate_keys": """SELECT l_orderkey, l_linenumber, count(*) AS n FROM lineitem
        GROUP BY l_orderkey, l_linenumber HAVING count(*) > 1""",
     "q20_master": BASE + "SELECT * FROM master",
@@ -351,8 +351,8 @@ SQL: dict[str, str] = {
     "q40_ul_engineered": UL_ONLY
     + "SELECT siren, secteur_activite, age_entreprise, economieSocialeSolidaireUniteLegale FROM ul_silver",
     "q41_clean_increment_counts": ETAB_SILVER
-    + f"""SELECT count(*) AS rows, count_if(dateCreationEtablissement IS NULL) AS null_dates,
-              count_if(secteur_activite = {U}) AS undetermined_sectors,
-              count_if(NOT regexp_full_match(codePostalEtablissement, '[0-9]{{5}}')) AS bad_postal
+    + f"""SELECT count(*) AS rows, CAST(count_if(dateCreationEtablissement IS NULL) AS BIGINT) AS null_dates,
+              CAST(count_if(secteur_activite = {U}) AS BIGINT) AS undetermined_sectors,
+              CAST(count_if(NOT regexp_full_match(codePostalEtablissement, '[0-9]{{5}}')) AS BIGINT) AS bad_postal
        FROM etab_silver""",
 }
