@@ -9,16 +9,20 @@ from registrum.operators.joins import left_join_checked
 from registrum.spec import DEPARTMENT, MASTER_LEGAL_UNIT_COLUMNS, SECTOR
 
 
-def master_table(etab: DataFrame, ul: DataFrame, max_broadcast_bytes: int | None = None) -> DataFrame:
+def master_table(
+    etab: DataFrame, ul: DataFrame, max_broadcast_bytes: int | None = None, split_hot_keys: bool = False
+) -> DataFrame:
     """All establishment columns plus six legal-unit columns, left join on siren.
 
     Legal units are unique per siren, so the join never fans out. The legal
     unit side is broadcast only after its measured size is under the bound;
-    otherwise it is a shuffle join and AQE splits a hot siren partition.
+    otherwise it is a shuffle join where hot sirens (one legal unit with a
+    large share of all establishments) are split off to a bounded broadcast
+    join (``split_hot_keys``) or, without it, split by AQE's skew handling.
     """
     right = ul.select("siren", *MASTER_LEGAL_UNIT_COLUMNS)
-    joined = left_join_checked(etab, right, "siren", max_broadcast_bytes)
-    return joined.select(*[etab[c] for c in etab.columns], *[right[c] for c in MASTER_LEGAL_UNIT_COLUMNS])
+    joined = left_join_checked(etab, right, "siren", max_broadcast_bytes, split_hot_keys)
+    return joined.select(*etab.columns, *MASTER_LEGAL_UNIT_COLUMNS)
 
 
 def kpi_by_department(master: DataFrame) -> DataFrame:

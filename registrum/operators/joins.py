@@ -48,13 +48,64 @@ def fits_broadcast(df: DataFrame, max_bytes: int) -> bool:
     return measured_bytes(df) <= max_bytes
 
 
-def left_join_checked(left: DataFrame, right: DataFrame, on: str, max_broadcast_bytes: int | None) -> DataFrame:
+# A key holding at least this share of the left rows is "hot"; there are at
+# most 1 / HOT_SHARE such keys, which bounds everything broadcast below.
+HOT_SHARE = 0.001
+
+
+def hot_keys(df: DataFrame, on: str, share: float = HOT_SHARE) -> DataFrame:
+    """Keys holding at least ``share`` of the rows (never more than 1/share).
+
+    The per-key count is partially aggregated on the map side, so even a key
+    holding a third of the rows costs one row per task in the shuffle; the
+    total is a scalar subquery.
+    """
+    total = df.select(F.count(F.lit(1))).scalar()
+    counts = df.filter(F.col(on).isNotNull()).groupBy(on).agg(F.count(F.lit(1)).alias("_n"))
+    return counts.filter(F.col("_n") >= total * F.lit(share)).select(on)
+
+
+def left_join_skew_split(left: DataFrame, right: DataFrame, on: str, share: float = HOT_SHARE) -> DataFrame:
+    """Left equi-join that sends hot keys through a broadcast join and all
+    other keys through the shuffle join.
+
+    ``right`` must be unique per key (the Silver contract guarantees it for
+    legal units), so its hot part has at most 1/share rows: a proven bound for
+    the broadcast. Hot left rows are never shuffled by key, so a key holding a
+    third of all rows does not land in one task. Output columns: ``left``'s,
+    then ``right``'s without the key.
+    """
+    r = right.withColumnRenamed(on, "_rk")
+    hot = F.broadcast(hot_keys(left, on, share).withColumnRenamed(on, "_hk"))
+    tagged = left.join(hot, left[on] == hot["_hk"], "left")
+    left_hot = tagged.filter(F.col("_hk").isNotNull()).drop("_hk")
+    left_cold = tagged.filter(F.col("_hk").isNull()).drop("_hk")
+    r_hot = F.broadcast(r.join(hot, r["_rk"] == hot["_hk"], "left_semi"))
+    hot_part = left_hot.join(r_hot, left_hot[on] == r_hot["_rk"], "left").drop("_rk")
+    cold_part = left_cold.join(r, left_cold[on] == r["_rk"], "left").drop("_rk")
+    return cold_part.unionByName(hot_part)
+
+
+def left_join_checked(
+    left: DataFrame,
+    right: DataFrame,
+    on: str,
+    max_broadcast_bytes: int | None,
+    split_hot_keys: bool = False,
+) -> DataFrame:
     """Left equi-join; ``right`` is broadcast only if measured under the bound.
 
-    ``max_broadcast_bytes=None`` skips the measuring pass and leaves the choice
-    to AQE, which broadcasts only from measured shuffle sizes and otherwise
-    keeps a sort-merge join with skewed partitions split.
+    Otherwise, with ``split_hot_keys`` the hot keys are split off
+    (``left_join_skew_split``); without it the choice is left to AQE, which
+    broadcasts only from measured shuffle sizes and otherwise keeps a
+    sort-merge join with skewed partitions split. ``max_broadcast_bytes=None``
+    skips the measuring pass. Output columns: ``left``'s, then ``right``'s
+    without the key.
     """
     if max_broadcast_bytes is not None and fits_broadcast(right, max_broadcast_bytes):
-        right = F.broadcast(right)
-    return left.join(right, left[on] == right[on], "left")
+        r = F.broadcast(right.withColumnRenamed(on, "_rk"))
+        return left.join(r, left[on] == r["_rk"], "left").drop("_rk")
+    if split_hot_keys:
+        return left_join_skew_split(left, right, on)
+    r = right.withColumnRenamed(on, "_rk")
+    return left.join(r, left[on] == r["_rk"], "left").drop("_rk")

@@ -228,6 +228,12 @@ def q20_master(spark, sf):
     return master(spark, sf)
 
 
+def q20b_master_hot_key_split(spark, sf):
+    """Master with the legal-unit side never broadcast whole: hot sirens go
+    through a bounded broadcast join, the rest through the shuffle join."""
+    return G.master_table(etab_silver(spark, sf), ul_silver(spark, sf), max_broadcast_bytes=0, split_hot_keys=True)
+
+
 def q21_kpi_by_department(spark, sf):
     return G.kpi_by_department(master(spark, sf))
 

@@ -46,7 +46,7 @@ def build_gold(
 
     master_store = SnapshotStore(spark, f"{gold_root}/{MASTER_TABLE}")
     snap = master_store.publish(
-        master_table(etab, ul, max_broadcast_bytes),
+        master_table(etab, ul, max_broadcast_bytes, split_hot_keys=True),
         validate=lambda staged: {"rows": staged.count()},
     )
     master = spark.read.parquet(snap.path)

@@ -283,6 +283,7 @@ SQL: dict[str, str] = {
     "q19_duplicate_keys": """SELECT l_orderkey, l_linenumber, count(*) AS n FROM lineitem
        GROUP BY l_orderkey, l_linenumber HAVING count(*) > 1""",
     "q20_master": BASE + "SELECT * FROM master",
+    "q20b_master_hot_key_split": BASE + "SELECT * FROM master",
     "q21_kpi_by_department": BASE
     + """SELECT departement, count(*) AS total_establishments FROM master GROUP BY departement
        ORDER BY total_establishments DESC, departement""",

@@ -75,6 +75,7 @@ def build_silver(
     append = existing is None or (
         silver_increment(bronze, spec, mark, departments, as_of_year)
         .select(spec.pk)
+        .distinct()  # partial aggregation first: a repeated key cannot skew the probe
         .join(existing.select(spec.pk), spec.pk, "left_semi")
         .isEmpty()
     )

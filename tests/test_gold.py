@@ -77,3 +77,36 @@ def test_broadcast_only_when_measured_small(spark):
     plan = left_join_checked(etab, ul, "siren", 1 << 20)._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" in plan
     assert datetime is not None
+
+
+def test_hot_siren_split_matches_plain_join(spark):
+    import contextlib
+    import io
+
+    from pyspark.sql import functions as F
+
+    from registrum.operators.joins import hot_keys, left_join_skew_split
+
+    etab = spark.range(3000).select(
+        F.col("id").cast("string").alias("siret"),
+        F.when(F.col("id") % 3 == 0, F.lit("HOT")).otherwise((F.col("id") % 500).cast("string")).alias("siren"),
+    )
+    ul = spark.createDataFrame([("HOT", "BigCorp")] + [(str(i), f"U{i}") for i in range(0, 500, 2)], "siren string, name string")
+    assert [r.siren for r in hot_keys(etab, "siren", 0.01).collect()] == ["HOT"]
+    split = left_join_skew_split(etab, ul, "siren", 0.01)
+    plain = etab.join(ul, "siren", "left").select("siret", "siren", "name")
+    assert sorted(map(tuple, split.select("siret", "siren", "name").collect())) == sorted(map(tuple, plain.collect()))
+    assert split.filter("siren = 'HOT'").filter("name = 'BigCorp'").count() == 1000
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        split.explain()
+    assert "BroadcastHashJoin" in buf.getvalue() and "SortMergeJoin" in buf.getvalue()
+    m = G.master_table(
+        etab.withColumn("departement", F.lit("75")),
+        spark.createDataFrame([("HOT", "X", None, None, "GE", 1.0, "N")],
+            "siren string, denominationUniteLegale string, nomUniteLegale string, prenom1UniteLegale string, "
+            "categorieEntreprise string, categorieJuridiqueUniteLegale double, economieSocialeSolidaireUniteLegale string"),
+        max_broadcast_bytes=10, split_hot_keys=True,
+    )
+    assert m.columns[:3] == ["siret", "siren", "departement"] and m.count() == 3000
+    assert {r.categorieEntreprise: r.total for r in G.kpi_company_size(m).collect()} == {"GE": 1000}
