@@ -25,38 +25,52 @@ def master_table(
     return joined.select(*etab.columns, *MASTER_LEGAL_UNIT_COLUMNS)
 
 
-def kpi_by_department(master: DataFrame) -> DataFrame:
+SIZE = "categorieEntreprise"
+
+
+def _rows(weight: str | None):
+    """Row count, or the sum of a count column of a pre-aggregated input."""
+    return F.count(F.lit(1)) if weight is None else F.sum(weight)
+
+
+def kpi_base(master: DataFrame) -> DataFrame:
+    """Row counts per (department, sector, size): all three KPIs derive from
+    this small table, so the master is scanned once (three columns)."""
+    return master.groupBy(DEPARTMENT, SECTOR, SIZE).agg(F.count(F.lit(1)).alias("n"))
+
+
+def kpi_by_department(master: DataFrame, weight: str | None = None) -> DataFrame:
     """Rows per department, most first (ties by department)."""
     return (
         master.groupBy(DEPARTMENT)
-        .agg(F.count(F.lit(1)).alias("total_establishments"))
+        .agg(_rows(weight).alias("total_establishments"))
         .orderBy(F.desc("total_establishments"), F.asc(DEPARTMENT))
     )
 
 
-def sector_counts(master: DataFrame) -> DataFrame:
-    return master.groupBy(DEPARTMENT, SECTOR).agg(F.count(F.lit(1)).alias("count"))
+def sector_counts(master: DataFrame, weight: str | None = None) -> DataFrame:
+    return master.groupBy(DEPARTMENT, SECTOR).agg(_rows(weight).alias("count"))
 
 
-def kpi_dominant_sector(master: DataFrame) -> DataFrame:
+def kpi_dominant_sector(master: DataFrame, weight: str | None = None) -> DataFrame:
     """Most frequent sector per department, exactly one row each; a tie goes
     to the first sector by name. The window runs on the (department, sector)
     counts, which are tiny after partial aggregation."""
     w = Window.partitionBy(DEPARTMENT).orderBy(F.desc("count"), F.asc(SECTOR))
     return (
-        sector_counts(master)
+        sector_counts(master, weight)
         .withColumn("_rn", F.row_number().over(w))
         .filter(F.col("_rn") == 1)
         .select(DEPARTMENT, SECTOR, "count")
     )
 
 
-def kpi_company_size(master: DataFrame) -> DataFrame:
+def kpi_company_size(master: DataFrame, weight: str | None = None) -> DataFrame:
     """Rows per company size, NULL (unmatched) excluded, most first."""
     return (
-        master.filter(F.col("categorieEntreprise").isNotNull())
-        .groupBy("categorieEntreprise")
-        .agg(F.count(F.lit(1)).alias("total"))
+        master.filter(F.col(SIZE).isNotNull())
+        .groupBy(SIZE)
+        .agg(_rows(weight).alias("total"))
         .orderBy(F.desc("total"), F.asc("categorieEntreprise"))
     )
 

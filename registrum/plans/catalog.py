@@ -246,6 +246,22 @@ def q23_kpi_company_size(spark, sf):
     return G.kpi_company_size(master(spark, sf))
 
 
+def q23b_kpis_from_one_scan(spark, sf):
+    """The three KPIs as the Gold job computes them: from one (department,
+    sector, size) count over the master. Returned as one tagged table."""
+    base = G.kpi_base(master(spark, sf))
+    d = G.kpi_by_department(base, "n").select(
+        F.lit("by_department").alias("kpi"), F.col("departement").alias("k1"), F.lit(None).cast("string").alias("k2"),
+        F.col("total_establishments").alias("value"))
+    s = G.kpi_dominant_sector(base, "n").select(
+        F.lit("dominant_sector").alias("kpi"), F.col("departement").alias("k1"), F.col("secteur_activite").alias("k2"),
+        F.col("count").alias("value"))
+    z = G.kpi_company_size(base, "n").select(
+        F.lit("company_size").alias("kpi"), F.col("categorieEntreprise").alias("k1"), F.lit(None).cast("string").alias("k2"),
+        F.col("total").alias("value"))
+    return d.unionByName(s).unionByName(z)
+
+
 def q24_join_integrity(spark, sf):
     return G.unmatched_count(master(spark, sf))
 

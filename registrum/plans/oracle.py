@@ -294,6 +294,16 @@ SQL: dict[str, str] = {
     "q23_kpi_company_size": BASE
     + """SELECT categorieEntreprise, count(*) AS total FROM master WHERE categorieEntreprise IS NOT NULL
        GROUP BY categorieEntreprise ORDER BY total DESC, categorieEntreprise""",
+    "q23b_kpis_from_one_scan": BASE
+    + """, sector_counts AS (SELECT departement, secteur_activite, count(*) AS count FROM master GROUP BY ALL)
+       SELECT 'by_department' AS kpi, departement AS k1, CAST(NULL AS VARCHAR) AS k2, count(*) AS value
+       FROM master GROUP BY departement
+       UNION ALL
+       SELECT 'dominant_sector', departement, secteur_activite, count FROM sector_counts
+       QUALIFY row_number() OVER (PARTITION BY departement ORDER BY count DESC, secteur_activite) = 1
+       UNION ALL
+       SELECT 'company_size', categorieEntreprise, CAST(NULL AS VARCHAR), count(*) FROM master
+       WHERE categorieEntreprise IS NOT NULL GROUP BY categorieEntreprise""",
     "q24_join_integrity": BASE
     + "SELECT count(*) AS unmatched FROM master WHERE denominationUniteLegale IS NULL AND nomUniteLegale IS NULL",
     "q25_kpi_lookup": BASE

@@ -23,6 +23,9 @@ from registrum.sources.store import SnapshotStore
 from registrum.spec import INGESTED_AT, MARK_FLOOR, REGION_DEPARTMENTS, spec_for
 
 
+MAX_SEGMENTS = 32
+
+
 @dataclass(frozen=True)
 class SilverResult:
     dataset: str
@@ -51,6 +54,7 @@ def build_silver(
     as_of_year: int,
     departments: Sequence[str] = REGION_DEPARTMENTS,
     files: int | None = None,
+    max_segments: int = MAX_SEGMENTS,
 ) -> SilverResult:
     spec = spec_for(dataset_name)  # ValueError for an unknown dataset
     pq.require(spark, bronze_path)
@@ -85,9 +89,16 @@ def build_silver(
     added_obs = Observation(f"silver_new_{dataset_name}")
     new = new.observe(added_obs, F.count(F.lit(1)).alias("new_rows"))
     prev = store.current()
+    # Appending forever would leave one small directory per run: past
+    # ``max_segments`` the segments are rewritten as one directory. Keys do
+    # not collide on this path, so it is a plain rewrite, no shuffle.
+    compact = append and prev is not None and len(prev.paths) >= max_segments
+    merged = coerce(merge_last_wins(None if append else existing, new, spec), spec)
+    if compact:
+        merged = existing.select(*spec.silver_columns).unionByName(merged)
+        append = False
     base_rows = int(prev.facts.get("rows", 0)) if (prev and append) else 0
     base_mark = prev.facts.get("mark") if (prev and append) else None
-    merged = coerce(merge_last_wins(None if append else existing, new, spec), spec)
 
     def gate(staged):
         counts, facts = validate(

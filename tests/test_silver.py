@@ -212,3 +212,18 @@ def test_new_keys_append_a_segment_and_repeated_keys_rewrite(spark, scratch):
     got = {x.siret: x.enseigne1Etablissement for x in store.read().collect()}
     assert got == {"00000000000001": "a2", "00000000000002": "b"}
     assert current_mark(store) == datetime(2026, 3, 1)
+
+
+def test_segments_are_compacted(spark, scratch):
+    silver = f"{scratch}/silver"
+    store = SnapshotStore(spark, f"{silver}/etablissements")
+    b = f"{scratch}/bronze"
+    for i in range(4):
+        ingest_bronze(
+            spark, spark.createDataFrame([etab_row(f"{i:014d}")], ETAB_SCHEMA), b, "etablissements", datetime(2026, 1, 1 + i)
+        )
+        build_silver(spark, "etablissements", b, silver, 2026, max_segments=3)
+    snap = store.current()
+    assert len(snap.paths) == 1 and snap.facts["rows"] == 4
+    assert store.read().count() == 4
+    assert current_mark(store) == datetime(2026, 1, 4)
