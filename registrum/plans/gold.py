@@ -20,6 +20,9 @@ from registrum.sources.store import SnapshotStore
 from registrum.spec import KPI_BUSINESS_SIZE, KPI_BY_DEPARTMENT, KPI_DOMINANT_SECTORS, MASTER_TABLE
 
 
+KPI_NAMES = (KPI_BY_DEPARTMENT, KPI_DOMINANT_SECTORS, KPI_BUSINESS_SIZE)
+
+
 @dataclass(frozen=True)
 class GoldResult:
     master_rows: int
@@ -28,10 +31,11 @@ class GoldResult:
 
 
 def _silver(spark: SparkSession, silver_root: str, name: str):
-    df = SnapshotStore(spark, f"{silver_root.rstrip('/')}/{name}").read()
-    if df is None:
+    store = SnapshotStore(spark, f"{silver_root.rstrip('/')}/{name}")
+    snap = store.current()
+    if snap is None:
         raise pq.MissingInput(f"Silver table {name} missing in {silver_root}. Run the Silver job first.")
-    return df
+    return spark.read.parquet(*snap.paths), snap.version
 
 
 def build_gold(
@@ -39,15 +43,23 @@ def build_gold(
     silver_root: str,
     gold_root: str,
     max_broadcast_bytes: int | None = DEFAULT_BROADCAST_BYTES,
+    force: bool = False,
 ) -> GoldResult:
-    etab = _silver(spark, silver_root, "etablissements")
-    ul = _silver(spark, silver_root, "unites_legales")
+    etab, etab_v = _silver(spark, silver_root, "etablissements")
+    ul, ul_v = _silver(spark, silver_root, "unites_legales")
+    inputs = {"etablissements": etab_v, "unites_legales": ul_v}
     gold_root = gold_root.rstrip("/")
 
     master_store = SnapshotStore(spark, f"{gold_root}/{MASTER_TABLE}")
+    done = master_store.current()
+    if not force and done is not None and done.facts.get("inputs") == inputs:
+        # Same Silver versions as the last build: Gold is already current.
+        kpi_paths = {n: SnapshotStore(spark, f"{gold_root}/{n}").current() for n in KPI_NAMES}
+        if all(kpi_paths.values()):
+            return GoldResult(int(done.facts["rows"]), done.version, {n: k.path for n, k in kpi_paths.items()})
     snap = master_store.publish(
         master_table(etab, ul, max_broadcast_bytes, split_hot_keys=True),
-        validate=lambda staged: {"rows": staged.count()},
+        validate=lambda staged: {"rows": staged.count(), "inputs": inputs},
     )
     master = spark.read.parquet(snap.path)
 

@@ -110,3 +110,12 @@ def test_hot_siren_split_matches_plain_join(spark):
     )
     assert m.columns[:3] == ["siret", "siren", "departement"] and m.count() == 3000
     assert {r.categorieEntreprise: r.total for r in G.kpi_company_size(m).collect()} == {"GE": 1000}
+
+
+def test_gold_skips_rebuild_when_silver_unchanged(spark, scratch):
+    _silver(spark, scratch)
+    first = build_gold(spark, f"{scratch}/silver", f"{scratch}/gold")
+    again = build_gold(spark, f"{scratch}/silver", f"{scratch}/gold")
+    assert again.version == first.version
+    forced = build_gold(spark, f"{scratch}/silver", f"{scratch}/gold", force=True)
+    assert forced.version == first.version + 1 and forced.master_rows == 3
