@@ -65,6 +65,14 @@ def hot_keys(df: DataFrame, on: str, share: float = HOT_SHARE) -> DataFrame:
     return counts.filter(F.col("_n") >= total * F.lit(share)).select(on)
 
 
+def hot_key_values(df: DataFrame, on: str, share: float = HOT_SHARE) -> list:
+    """The hot keys as values. Each holds at least ``share`` of the rows, so
+    there are at most 1/share of them: a bounded list, not data."""
+    values = [r[0] for r in hot_keys(df, on, share).collect()]
+    assert len(values) <= int(1 / share), "more hot keys than rows allow"
+    return values
+
+
 def left_join_skew_split(left: DataFrame, right: DataFrame, on: str, share: float = HOT_SHARE) -> DataFrame:
     """Left equi-join that sends hot keys through a broadcast join and all
     other keys through the shuffle join.
@@ -72,15 +80,18 @@ def left_join_skew_split(left: DataFrame, right: DataFrame, on: str, share: floa
     ``right`` must be unique per key (the Silver contract guarantees it for
     legal units), so its hot part has at most 1/share rows: a proven bound for
     the broadcast. Hot left rows are never shuffled by key, so a key holding a
-    third of all rows does not land in one task. Output columns: ``left``'s,
-    then ``right``'s without the key.
+    third of all rows does not land in one task. The hot/cold split is a
+    pushed ``IN`` filter on each branch. Output columns: ``left``'s, then
+    ``right``'s without the key.
     """
     r = right.withColumnRenamed(on, "_rk")
-    hot = F.broadcast(hot_keys(left, on, share).withColumnRenamed(on, "_hk"))
-    tagged = left.join(hot, left[on] == hot["_hk"], "left")
-    left_hot = tagged.filter(F.col("_hk").isNotNull()).drop("_hk")
-    left_cold = tagged.filter(F.col("_hk").isNull()).drop("_hk")
-    r_hot = F.broadcast(r.join(hot, r["_rk"] == hot["_hk"], "left_semi"))
+    hot = hot_key_values(left, on, share)
+    if not hot:
+        return left.join(r, left[on] == r["_rk"], "left").drop("_rk")
+    is_hot = F.col(on).isin(hot)
+    left_hot = left.filter(is_hot)
+    left_cold = left.filter(~is_hot | F.col(on).isNull())
+    r_hot = F.broadcast(r.filter(F.col("_rk").isin(hot)))
     hot_part = left_hot.join(r_hot, left_hot[on] == r_hot["_rk"], "left").drop("_rk")
     cold_part = left_cold.join(r, left_cold[on] == r["_rk"], "left").drop("_rk")
     return cold_part.unionByName(hot_part)

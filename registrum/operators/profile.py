@@ -11,7 +11,6 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from registrum.spec import AGE, DEPARTMENT, INGESTED_AT, SECTOR, UNKNOWN_TEXT
 
@@ -149,18 +148,16 @@ def table_profile(df: DataFrame, exact: bool = False) -> DataFrame:
 
 
 def expected_columns(df: DataFrame, names: Sequence[str]) -> DataFrame:
-    """(column_name, data_type, present) for the schema and a wanted list."""
-    spark = df.sparkSession
+    """(column_name, data_type, present, null_pct) for every column of ``df``
+    plus each wanted name it lacks; the null percentages come from one
+    aggregate pass over the data."""
     types = {f.name: f.dataType.simpleString() for f in df.schema.fields}
-    rows = [(c, types.get(c), c in types) for c in list(df.columns) + [n for n in names if n not in types]]
-    schema = T.StructType(
-        [
-            T.StructField("column_name", T.StringType()),
-            T.StructField("data_type", T.StringType()),
-            T.StructField("present", T.BooleanType()),
-        ]
-    )
-    return spark.createDataFrame(rows, schema)
+    cols = list(df.columns)
+    missing = [n for n in names if n not in types]
+    wide = df.agg(*[(F.avg(F.col(c).isNull().cast("double")) * 100).alias(f"c{i}") for i, c in enumerate(cols)])
+    rows = [f"'{c}', '{types[c]}', true, c{i}" for i, c in enumerate(cols)]
+    rows += [f"'{n}', CAST(NULL AS STRING), false, CAST(NULL AS DOUBLE)" for n in missing]
+    return wide.selectExpr(f"stack({len(rows)}, {', '.join(rows)}) AS (column_name, data_type, present, null_pct)")
 
 
 DEPARTMENT_COLUMN = DEPARTMENT

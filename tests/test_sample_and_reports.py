@@ -74,3 +74,10 @@ def test_dedups_pre_aggregate_before_the_shuffle(spark):
         assert plan.index("Exchange hashpartitioning(k") < plan.rindex("partial_m")
         assert df.count() == 2001
     assert keep_last(hot, ["k"], ["v"]).filter("k = 'hot'").first().v == 2997
+
+
+def test_expected_columns_reads_the_data(spark):
+    df = spark.createDataFrame([("a", None), ("b", 1.0)], "secteur_activite string, age_entreprise double")
+    got = {r.column_name: r for r in P.expected_columns(df, ["secteur_activite", "department"]).collect()}
+    assert got["age_entreprise"].null_pct == 50.0 and got["age_entreprise"].data_type == "double"
+    assert got["department"].present is False and got["department"].null_pct is None
