@@ -83,3 +83,12 @@ def test_sample_is_exact_and_reproducible(spark):
 
 def test_csv_roundtrip_rows(spark):
     assert C.q39_csv_roundtrip(spark, SF001).count() == min(500, C.master(spark, SF001).count())
+
+
+def test_undetermined_size_is_its_own_kpi_bucket(spark):
+    # NULL sizes become the undetermined text in Silver, so only unmatched
+    # establishments are left out of the size KPI
+    got = {r.categorieEntreprise: r.total for r in C.q23_kpi_company_size(spark, SF01).collect()}
+    assert "Indéterminé" in got
+    unmatched = C.q24_join_integrity(spark, SF01).first().unmatched
+    assert sum(got.values()) + unmatched == C.master(spark, SF01).count()

@@ -227,3 +227,26 @@ def test_segments_are_compacted(spark, scratch):
     assert len(snap.paths) == 1 and snap.facts["rows"] == 4
     assert store.read().count() == 4
     assert current_mark(store) == datetime(2026, 1, 4)
+
+
+def test_row_stamped_at_the_mark_is_not_reread(spark, scratch):
+    silver = f"{scratch}/silver"
+    b = _bronze(spark, scratch, [etab_row("00000000000001")], datetime(2026, 1, 1))
+    build_silver(spark, "etablissements", b, silver, 2026)
+    # a late row carrying exactly the mark's timestamp: the mark is strict
+    late = bronze_df(spark, [etab_row("00000000000009")], datetime(2026, 1, 1))
+    late.withColumn("batch_id", F.lit(batch_id_of(datetime(2026, 1, 1)))).write.mode("append").partitionBy(
+        "batch_id"
+    ).parquet(b)
+    r = build_silver(spark, "etablissements", b, silver, 2026)
+    assert r.new_rows == 0 and r.total_rows == 1
+
+
+def test_mark_read_error_is_raised_not_reset(spark, scratch):
+    from registrum.sources import parquet as pq
+
+    store = SnapshotStore(spark, f"{scratch}/silver/etablissements")
+    store.publish(clean(spark, [etab_row("00000000000001")]))
+    pq.write_text(spark, f"{scratch}/silver/etablissements/_commits/00000002", "{not json")
+    with pytest.raises(ValueError):
+        current_mark(store)  # a broken marker must not silently reset to 1900
