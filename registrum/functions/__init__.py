@@ -6,6 +6,7 @@ from registrum.functions.columns import (
     exact_digits,
     first_chars,
     lenient_timestamp,
+    ntz,
     prefix_in,
     sample_key,
     strip_whitespace,
@@ -17,6 +18,7 @@ __all__ = [
     "exact_digits",
     "first_chars",
     "lenient_timestamp",
+    "ntz",
     "prefix_in",
     "sample_key",
     "strip_whitespace",

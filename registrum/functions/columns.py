@@ -9,6 +9,7 @@ from __future__ import annotations
 import functools
 import operator
 from collections.abc import Iterable
+from datetime import datetime
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -66,6 +67,12 @@ def age_in_years(date_col: Column, as_of_year: int) -> Column:
     return F.coalesce(years, F.lit(-1.0))
 
 
+def ntz(ts: datetime) -> Column:
+    """A TIMESTAMP_NTZ literal built from text, so neither the Python
+    process's nor the session's time zone can shift the wall-clock value."""
+    return F.lit(ts.isoformat(sep=" ")).cast("timestamp_ntz")
+
+
 def sample_key(seed: int, key: Column) -> Column:
     """Reproducible, partition-independent random order: md5('seed|key')."""
     return F.md5(F.concat(F.lit(f"{seed}|"), key.cast("string")))

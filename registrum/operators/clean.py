@@ -19,6 +19,7 @@ from registrum.functions.columns import (
     exact_digits,
     first_chars,
     lenient_timestamp,
+    ntz,
     prefix_in,
     strip_whitespace,
 )
@@ -46,7 +47,7 @@ def increment_predicates(df: DataFrame, spec: DatasetSpec, mark: datetime, depar
     """Mark predicate (strictly greater) and, for establishments, the region
     predicate on the raw postal code. A ``batch_id`` partition column, when
     present, gets the same mark so whole batches are pruned at listing time."""
-    preds = [F.col(INGESTED_AT) > F.lit(mark).cast("timestamp_ntz")]
+    preds = [F.col(INGESTED_AT) > ntz(mark)]
     if BATCH_ID in df.columns:
         preds.append(F.col(BATCH_ID) > F.lit(batch_id_of(mark)))
     if spec.region_filtered and departments and spec.postal_column:

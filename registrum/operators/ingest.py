@@ -8,6 +8,7 @@ from datetime import datetime
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from registrum.functions.columns import ntz
 from registrum.operators.clean import batch_id_of
 from registrum.operators.sample import first_n
 from registrum.spec import BATCH_ID, INGESTED_AT
@@ -18,7 +19,7 @@ def with_audit(df: DataFrame, run_ts: datetime) -> DataFrame:
     ``batch_id`` partition value."""
     return df.withColumns(
         {
-            INGESTED_AT: F.lit(run_ts).cast("timestamp_ntz"),
+            INGESTED_AT: ntz(run_ts),
             BATCH_ID: F.lit(batch_id_of(run_ts)),
         }
     )

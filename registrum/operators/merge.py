@@ -15,7 +15,7 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from registrum.functions.columns import exact_digits
+from registrum.functions.columns import exact_digits, ntz
 from registrum.spec import INGESTED_AT, MARK_FLOOR, DatasetSpec
 
 SOURCE_RANK = "_source_rank"  # old Silver = 0, new increment = 1
@@ -23,7 +23,7 @@ SOURCE_RANK = "_source_rank"  # old Silver = 0, new increment = 1
 
 def mark_column(col: str = INGESTED_AT) -> Column:
     """MAX(ingested_at), 1900-01-01 when there is no row."""
-    return F.coalesce(F.max(col), F.lit(MARK_FLOOR).cast("timestamp_ntz")).alias("mark")
+    return F.coalesce(F.max(col), ntz(MARK_FLOOR)).alias("mark")
 
 
 def high_water_mark(df: DataFrame | None) -> datetime:

@@ -15,7 +15,7 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from registrum.functions.columns import clamp_date, exact_digits, lenient_timestamp
+from registrum.functions.columns import clamp_date, exact_digits, lenient_timestamp, ntz
 from registrum.operators import gold as G
 from registrum.operators import profile as P
 from registrum.operators.clean import (
@@ -128,7 +128,7 @@ def q08_empty_like(spark, sf):
 
 
 def _batch1_registry(spark, sf):
-    return etab_raw(spark, sf).filter(F.col("ingested_at") == F.lit(BATCH_1).cast("timestamp_ntz"))
+    return etab_raw(spark, sf).filter(F.col("ingested_at") == ntz(BATCH_1))
 
 
 def q09_anti_join_new_rows(spark, sf):
@@ -186,7 +186,7 @@ def _redelivery(spark, sf):
     again = raw.filter(k % 4 == 0).withColumns(
         {
             "enseigne1Etablissement": F.lit("REDELIVERED"),
-            "ingested_at": F.lit(REDELIVERY_TS).cast("timestamp_ntz"),
+            "ingested_at": ntz(REDELIVERY_TS),
         }
     )
     return raw.unionByName(again)
@@ -195,7 +195,7 @@ def _redelivery(spark, sf):
 def q17_silver_merge(spark, sf):
     spec = ESTABLISHMENTS
     raw = _redelivery(spark, sf)
-    b1 = raw.filter(F.col("ingested_at") <= F.lit(BATCH_1).cast("timestamp_ntz"))
+    b1 = raw.filter(F.col("ingested_at") <= ntz(BATCH_1))
     existing = merge_last_wins(None, silver_increment(b1, spec, MARK_FLOOR, REGION_DEPARTMENTS, AS_OF_YEAR), spec)
     new = silver_increment(raw, spec, BATCH_1, REGION_DEPARTMENTS, AS_OF_YEAR)
     return merge_last_wins(existing, new, spec)

@@ -12,6 +12,7 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from registrum.functions.columns import ntz
 from registrum.plans.bronze import ingest_bronze
 from registrum.plans.gold import build_gold
 from registrum.plans.silver import build_silver
@@ -40,7 +41,7 @@ class RunReport:
         """Append this run's step report to the run-metrics table."""
         (
             self.to_df(spark)
-            .withColumn("run_ts", F.lit(run_ts).cast("timestamp_ntz"))
+            .withColumn("run_ts", ntz(run_ts))
             .coalesce(1)
             .write.mode("append")
             .parquet(path)

@@ -5,7 +5,7 @@ from datetime import date, datetime
 import pytest
 from pyspark.sql import functions as F
 
-from registrum.functions.columns import exact_digits, prefix_in
+from registrum.functions.columns import exact_digits, ntz, prefix_in
 from registrum.operators.clean import batch_id_of, clean_increment, select_increment, silver_increment
 from registrum.operators.merge import merge_last_wins
 from registrum.operators.quality import SchemaViolation, check_columns, validate
@@ -32,7 +32,7 @@ def etab_row(siret, cp="75001", d=date(2000, 1, 1), naf="62.01Z", siren="1234567
 
 
 def bronze_df(spark, rows, ts=datetime(2026, 1, 1)):
-    return spark.createDataFrame(rows, ETAB_SCHEMA).withColumn("ingested_at", F.lit(ts).cast("timestamp_ntz"))
+    return spark.createDataFrame(rows, ETAB_SCHEMA).withColumn("ingested_at", ntz(ts))
 
 
 def clean(spark, rows, departments=REGION_DEPARTMENTS):
@@ -185,7 +185,7 @@ def test_legal_units_chain(spark):
         "siren string, denominationUniteLegale string, nomUniteLegale string, prenom1UniteLegale string, "
         "categorieEntreprise string, categorieJuridiqueUniteLegale double, activitePrincipaleUniteLegale string, "
         "etatAdministratifUniteLegale string, dateCreationUniteLegale date, economieSocialeSolidaireUniteLegale string",
-    ).withColumn("ingested_at", F.lit(datetime(2026, 1, 1)).cast("timestamp_ntz"))
+    ).withColumn("ingested_at", ntz(datetime(2026, 1, 1)))
     out = clean_increment(df, LEGAL_UNITS, 2026)
     validate(out, LEGAL_UNITS)
     r = out.first()
