@@ -26,6 +26,7 @@ def master_table(
 
 
 SIZE = "categorieEntreprise"
+KPI_DIMENSIONS = (DEPARTMENT, SECTOR, SIZE)
 
 
 def _rows(weight: str | None):
@@ -36,7 +37,7 @@ def _rows(weight: str | None):
 def kpi_base(master: DataFrame) -> DataFrame:
     """Row counts per (department, sector, size): all three KPIs derive from
     this small table, so the master is scanned once (three columns)."""
-    return master.groupBy(DEPARTMENT, SECTOR, SIZE).agg(F.count(F.lit(1)).alias("n"))
+    return master.groupBy(*KPI_DIMENSIONS).agg(F.count(F.lit(1)).alias("n"))
 
 
 def kpi_by_department(master: DataFrame, weight: str | None = None) -> DataFrame:

@@ -120,3 +120,15 @@ def left_join_checked(
         return left_join_skew_split(left, right, on)
     r = right.withColumnRenamed(on, "_rk")
     return left.join(r, left[on] == r["_rk"], "left").drop("_rk")
+
+
+PROBE_BROADCAST_BYTES = 64 * 1024 * 1024
+
+
+def keys_overlap(new_keys: DataFrame, old_keys: DataFrame, on: str, max_bytes: int = PROBE_BROADCAST_BYTES) -> bool:
+    """Whether any of ``new_keys`` occurs in ``old_keys``. The new keys are
+    broadcast when measured under the bound, so the (large) old key column is
+    only scanned, never shuffled; otherwise a shuffle semi-join."""
+    if fits_broadcast(new_keys, max_bytes):
+        return not old_keys.join(F.broadcast(new_keys), on, "left_semi").isEmpty()
+    return not new_keys.join(old_keys, on, "left_semi").isEmpty()

@@ -1,7 +1,19 @@
-"""Gold job: master table written once, then three KPI tables read from it.
+"""Gold job: the master table and three KPI tables.
+
+Full build: the master (establishments left-joined to legal units) is
+published as a snapshot version (written files, lineage cut); one scan of three
+of its columns gives the (department, sector, size) counts, stored as the
+small ``kpi_base`` table, from which the three KPIs are derived.
+
+Incremental build: Silver usually only gains appended segments (new keys). If
+both Silver tables merely extend the inputs of the last Gold build, and no
+newly arrived legal unit matches an establishment already in the master
+(that row would have to change from unmatched to matched), then the master
+gains one appended segment, the new establishments joined to all legal units,
+and ``kpi_base`` is updated with the segment's counts. Nothing older is
+rewritten. Any other change, or ``force``, takes the full build. When the
+Silver versions are unchanged, nothing is done.
 
-The master is published as a snapshot version (written files, lineage cut),
-then each KPI scans only the one or two columns it needs from those files.
 KPI tables are a handful of rows, so they are written as a single file; the
 master keeps the parallelism of the join.
 """
@@ -10,17 +22,26 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from registrum.operators.gold import kpi_base, kpi_by_department, kpi_company_size, kpi_dominant_sector, master_table
-from registrum.operators.joins import DEFAULT_BROADCAST_BYTES
+from registrum.operators.gold import (
+    KPI_DIMENSIONS,
+    kpi_base,
+    kpi_by_department,
+    kpi_company_size,
+    kpi_dominant_sector,
+    master_table,
+)
+from registrum.operators.joins import DEFAULT_BROADCAST_BYTES, keys_overlap
 from registrum.sources import parquet as pq
-from registrum.sources.store import SnapshotStore
+from registrum.sources.store import Snapshot, SnapshotStore
 from registrum.spec import KPI_BUSINESS_SIZE, KPI_BY_DEPARTMENT, KPI_DOMINANT_SECTORS, MASTER_TABLE
 
-
 KPI_NAMES = (KPI_BY_DEPARTMENT, KPI_DOMINANT_SECTORS, KPI_BUSINESS_SIZE)
+KPI_BASE = "kpi_base"
+INPUTS = ("etablissements", "unites_legales")
+MAX_SEGMENTS = 32
 
 
 @dataclass(frozen=True)
@@ -28,14 +49,22 @@ class GoldResult:
     master_rows: int
     version: int
     kpis: dict
+    mode: str = "replace"
 
 
-def _silver(spark: SparkSession, silver_root: str, name: str):
-    store = SnapshotStore(spark, f"{silver_root.rstrip('/')}/{name}")
-    snap = store.current()
+def _silver(spark: SparkSession, silver_root: str, name: str) -> Snapshot:
+    snap = SnapshotStore(spark, f"{silver_root.rstrip('/')}/{name}").current()
     if snap is None:
         raise pq.MissingInput(f"Silver table {name} missing in {silver_root}. Run the Silver job first.")
-    return spark.read.parquet(*snap.paths), snap.version
+    return snap
+
+
+def _extends(old: list[str], new: list[str]) -> bool:
+    return len(new) >= len(old) and new[: len(old)] == old
+
+
+def _read(spark: SparkSession, paths: list[str]) -> DataFrame:
+    return spark.read.parquet(*paths)
 
 
 def build_gold(
@@ -45,32 +74,70 @@ def build_gold(
     max_broadcast_bytes: int | None = DEFAULT_BROADCAST_BYTES,
     force: bool = False,
 ) -> GoldResult:
-    etab, etab_v = _silver(spark, silver_root, "etablissements")
-    ul, ul_v = _silver(spark, silver_root, "unites_legales")
-    inputs = {"etablissements": etab_v, "unites_legales": ul_v}
     gold_root = gold_root.rstrip("/")
+    snaps = {n: _silver(spark, silver_root, n) for n in INPUTS}
+    inputs = {n: list(s.paths) for n, s in snaps.items()}
+    etab, ul = _read(spark, inputs["etablissements"]), _read(spark, inputs["unites_legales"])
 
     master_store = SnapshotStore(spark, f"{gold_root}/{MASTER_TABLE}")
-    done = master_store.current()
-    if not force and done is not None and done.facts.get("inputs") == inputs:
+    base_store = SnapshotStore(spark, f"{gold_root}/{KPI_BASE}")
+    done, base_done = master_store.current(), base_store.current()
+    prev = (done.facts.get("inputs") or {}) if done else {}
+    kpis_there = all(SnapshotStore(spark, f"{gold_root}/{n}").current() for n in KPI_NAMES)
+
+    if not force and done and prev == inputs and kpis_there:
         # Same Silver versions as the last build: Gold is already current.
-        kpi_paths = {n: SnapshotStore(spark, f"{gold_root}/{n}").current() for n in KPI_NAMES}
-        if all(kpi_paths.values()):
-            return GoldResult(int(done.facts["rows"]), done.version, {n: k.path for n, k in kpi_paths.items()})
-    snap = master_store.publish(
-        master_table(etab, ul, max_broadcast_bytes, split_hot_keys=True),
-        validate=lambda staged: {"rows": staged.count(), "inputs": inputs},
+        paths = {n: SnapshotStore(spark, f"{gold_root}/{n}").current().path for n in KPI_NAMES}
+        return GoldResult(int(done.facts["rows"]), done.version, paths, "unchanged")
+
+    incremental = (
+        not force
+        and done is not None
+        and base_done is not None
+        and all(n in prev and _extends(prev[n], inputs[n]) for n in INPUTS)
+        and len(done.paths) < MAX_SEGMENTS  # past the bound, rebuild into one directory
     )
-    master = spark.read.parquet(snap.path)
+    if incremental:
+        new_ul = inputs["unites_legales"][len(prev["unites_legales"]) :]
+        if new_ul:
+            # a new legal unit whose siren is already in the master would turn
+            # an unmatched row into a matched one: that needs the full build
+            new_keys = _read(spark, new_ul).select("siren").distinct()
+            incremental = not keys_overlap(new_keys, master_store.read().select("siren"), "siren")
+
+    if incremental:
+        new_etab = inputs["etablissements"][len(prev["etablissements"]) :]
+        delta = master_table(
+            _read(spark, new_etab) if new_etab else etab.limit(0), ul, max_broadcast_bytes, split_hot_keys=True
+        )
+        snap = master_store.publish(
+            delta,
+            validate=lambda staged: {"rows": int(done.facts["rows"]) + staged.count(), "inputs": inputs},
+            mode="append",
+        )
+        delta_base = kpi_base(spark.read.parquet(snap.path))
+        base = (
+            base_store.read()
+            .unionByName(delta_base)
+            .groupBy(*KPI_DIMENSIONS)
+            .agg(F.sum("n").alias("n"))
+        )
+        mode = "append"
+    else:
+        snap = master_store.publish(
+            master_table(etab, ul, max_broadcast_bytes, split_hot_keys=True),
+            validate=lambda staged: {"rows": staged.count(), "inputs": inputs},
+        )
+        # one scan of three master columns; a few thousand rows whatever the size
+        base = kpi_base(master_store.read())
+        mode = "replace"
 
-    # One scan of three master columns; the (department, sector, size) counts
-    # are a few thousand rows whatever the master size. Cached for the three
-    # KPI writes; a lost block is recomputed from the written master files.
-    base = kpi_base(master).cache()
+    base_snap = base_store.publish(base, validate=lambda staged: {"rows": staged.count()}, files=1)
+    stored = spark.read.parquet(base_snap.path)
     kpis = {
-        KPI_BY_DEPARTMENT: kpi_by_department(base, "n"),
-        KPI_DOMINANT_SECTORS: kpi_dominant_sector(base, "n"),
-        KPI_BUSINESS_SIZE: kpi_company_size(base, "n"),
+        KPI_BY_DEPARTMENT: kpi_by_department(stored, "n"),
+        KPI_DOMINANT_SECTORS: kpi_dominant_sector(stored, "n"),
+        KPI_BUSINESS_SIZE: kpi_company_size(stored, "n"),
     }
     out = {}
     for name, df in kpis.items():
@@ -78,8 +145,7 @@ def build_gold(
             df, validate=lambda staged: {"rows": staged.count()}, files=1
         )
         out[name] = s.path
-    base.unpersist()
-    return GoldResult(int(snap.facts["rows"]), snap.version, out)
+    return GoldResult(int(snap.facts["rows"]), snap.version, out, mode)
 
 
 def read_gold(spark: SparkSession, gold_root: str, name: str):

@@ -12,11 +12,11 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 from datetime import datetime
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Observation, SparkSession
 from pyspark.sql import functions as F
 
 from registrum.operators.clean import silver_increment
-from registrum.operators.joins import fits_broadcast
+from registrum.operators.joins import keys_overlap
 from registrum.operators.merge import high_water_mark, merge_last_wins
 from registrum.operators.quality import coerce, validate
 from registrum.sources import parquet as pq
@@ -25,18 +25,6 @@ from registrum.spec import INGESTED_AT, MARK_FLOOR, REGION_DEPARTMENTS, spec_for
 
 
 MAX_SEGMENTS = 32
-PROBE_BROADCAST_BYTES = 64 * 1024 * 1024
-
-
-def keys_overlap(new_keys: DataFrame, old_keys: DataFrame, pk: str, max_bytes: int = PROBE_BROADCAST_BYTES) -> bool:
-    """Whether any incoming key already exists. The increment's keys are
-    broadcast when measured under the bound, so the (large) existing key
-    column is only scanned, never shuffled; otherwise a shuffle semi-join."""
-    if fits_broadcast(new_keys, max_bytes):
-        return not old_keys.join(F.broadcast(new_keys), pk, "left_semi").isEmpty()
-    return not new_keys.join(old_keys, pk, "left_semi").isEmpty()
-
-
 @dataclass(frozen=True)
 class SilverResult:
     dataset: str

@@ -119,3 +119,49 @@ def test_gold_skips_rebuild_when_silver_unchanged(spark, scratch):
     assert again.version == first.version
     forced = build_gold(spark, f"{scratch}/silver", f"{scratch}/gold", force=True)
     assert forced.version == first.version + 1 and forced.master_rows == 3
+
+
+def _etab_rows(spark, rows):
+    return spark.createDataFrame(rows, "siret string, siren string, departement string, secteur_activite string")
+
+
+def _ul_rows(spark, rows):
+    return spark.createDataFrame(
+        [(s, f"N{s}", None, None, size, 1.0, "N") for s, size in rows],
+        "siren string, denominationUniteLegale string, nomUniteLegale string, prenom1UniteLegale string, "
+        "categorieEntreprise string, categorieJuridiqueUniteLegale double, economieSocialeSolidaireUniteLegale string",
+    )
+
+
+def _snapshot(spark, gold):
+    out = {}
+    for name in (MASTER_TABLE, KPI_BY_DEPARTMENT, KPI_DOMINANT_SECTORS, KPI_BUSINESS_SIZE):
+        out[name] = sorted(map(tuple, read_gold(spark, gold, name).collect()), key=str)
+    return out
+
+
+def test_incremental_gold_equals_full_rebuild(spark, scratch):
+    silver = f"{scratch}/silver"
+    es = SnapshotStore(spark, f"{silver}/etablissements")
+    us = SnapshotStore(spark, f"{silver}/unites_legales")
+    es.publish(_etab_rows(spark, [("1", "A", "75", "IT"), ("2", "B", "92", "IT")]))
+    us.publish(_ul_rows(spark, [("A", "PME")]))
+    assert build_gold(spark, silver, f"{scratch}/g1").mode == "replace"
+    # new establishments only: appended segment
+    es.publish(_etab_rows(spark, [("3", "A", "75", "Food"), ("4", "C", "75", "Food")]), mode="append")
+    r = build_gold(spark, silver, f"{scratch}/g1")
+    assert r.mode == "append" and r.master_rows == 4
+    # a new legal unit that no master row uses: still incremental
+    us.publish(_ul_rows(spark, [("Z", "GE")]), mode="append")
+    es.publish(_etab_rows(spark, [("5", "Z", "93", "Food")]), mode="append")
+    assert build_gold(spark, silver, f"{scratch}/g1").mode == "append"
+    build_gold(spark, silver, f"{scratch}/g2", force=True)
+    assert _snapshot(spark, f"{scratch}/g1") == _snapshot(spark, f"{scratch}/g2")
+    # a new legal unit for an existing unmatched siren (B) forces the full build
+    us.publish(_ul_rows(spark, [("B", "ETI")]), mode="append")
+    assert build_gold(spark, silver, f"{scratch}/g1").mode == "replace"
+    build_gold(spark, silver, f"{scratch}/g3", force=True)
+    g1 = _snapshot(spark, f"{scratch}/g1")
+    assert g1 == _snapshot(spark, f"{scratch}/g3")
+    assert dict((k, v) for k, v in g1[KPI_BUSINESS_SIZE]) == {"PME": 2, "GE": 1, "ETI": 1}
+    assert build_gold(spark, silver, f"{scratch}/g1").mode == "unchanged"
