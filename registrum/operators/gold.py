@@ -10,7 +10,11 @@ from registrum.spec import DEPARTMENT, MASTER_LEGAL_UNIT_COLUMNS, SECTOR
 
 
 def master_table(
-    etab: DataFrame, ul: DataFrame, max_broadcast_bytes: int | None = None, split_hot_keys: bool = False
+    etab: DataFrame,
+    ul: DataFrame,
+    max_broadcast_bytes: int | None = None,
+    split_hot_keys: bool = False,
+    ul_rows: int | None = None,
 ) -> DataFrame:
     """All establishment columns plus six legal-unit columns, left join on siren.
 
@@ -21,7 +25,7 @@ def master_table(
     join (``split_hot_keys``) or, without it, split by AQE's skew handling.
     """
     right = ul.select("siren", *MASTER_LEGAL_UNIT_COLUMNS)
-    joined = left_join_checked(etab, right, "siren", max_broadcast_bytes, split_hot_keys)
+    joined = left_join_checked(etab, right, "siren", max_broadcast_bytes, split_hot_keys, ul_rows)
     return joined.select(*etab.columns, *MASTER_LEGAL_UNIT_COLUMNS)
 
 

@@ -22,12 +22,7 @@ def _width(dt: T.DataType) -> int:
     return _WIDTH.get(type(dt), 64)
 
 
-def measured_bytes(df: DataFrame) -> int:
-    """Exact in-memory payload of ``df``: string/binary octets plus fixed widths.
-
-    Row count alone (metadata-only on an unfiltered Parquet scan) rules out
-    large sides before the one aggregate pass is spent on measuring.
-    """
+def _size_aggregates(df: DataFrame):
     fixed = 0
     var = []
     for f in df.schema.fields:
@@ -36,16 +31,31 @@ def measured_bytes(df: DataFrame) -> int:
         else:
             fixed += _width(f.dataType)
     per_row = fixed + 8 * len(df.schema.fields)  # unsafe-row word per field
-    expr = F.count(F.lit(1)) * F.lit(per_row)
+    rows = F.count(F.lit(1))
+    size = rows * F.lit(per_row)
     if var:
-        expr = expr + F.sum(sum(var[1:], var[0]).cast("long"))
-    return int(df.agg(F.coalesce(expr, F.lit(0))).first()[0])
+        size = size + F.coalesce(F.sum(sum(var[1:], var[0]).cast("long")), F.lit(0))
+    return rows.alias("rows"), size.alias("bytes")
+
+
+def measured_bytes(df: DataFrame) -> int:
+    """Exact in-memory payload of ``df``: string/binary octets plus fixed widths."""
+    return int(df.agg(*_size_aggregates(df)).first()["bytes"])
 
 
-def fits_broadcast(df: DataFrame, max_bytes: int) -> bool:
-    if df.count() > MEASURE_ROW_LIMIT:
-        return False
-    return measured_bytes(df) <= max_bytes
+def fits_broadcast(df: DataFrame, max_bytes: int, known_rows: int | None = None) -> bool:
+    """Whether ``df`` is measured under ``max_bytes``.
+
+    With ``known_rows`` (e.g. from a commit marker) a side with too many rows
+    is ruled out without touching the data; otherwise rows and bytes are
+    measured together in one aggregate pass.
+    """
+    if known_rows is not None:
+        if known_rows > MEASURE_ROW_LIMIT:
+            return False
+        return measured_bytes(df) <= max_bytes
+    r = df.agg(*_size_aggregates(df)).first()
+    return r["rows"] <= MEASURE_ROW_LIMIT and r["bytes"] <= max_bytes
 
 
 # A key holding at least this share of the left rows is "hot"; there are at
@@ -103,6 +113,7 @@ def left_join_checked(
     on: str,
     max_broadcast_bytes: int | None,
     split_hot_keys: bool = False,
+    right_rows: int | None = None,
 ) -> DataFrame:
     """Left equi-join; ``right`` is broadcast only if measured under the bound.
 
@@ -113,7 +124,7 @@ def left_join_checked(
     skips the measuring pass. Output columns: ``left``'s, then ``right``'s
     without the key.
     """
-    if max_broadcast_bytes is not None and fits_broadcast(right, max_broadcast_bytes):
+    if max_broadcast_bytes is not None and fits_broadcast(right, max_broadcast_bytes, right_rows):
         r = F.broadcast(right.withColumnRenamed(on, "_rk"))
         return left.join(r, left[on] == r["_rk"], "left").drop("_rk")
     if split_hot_keys:

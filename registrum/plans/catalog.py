@@ -28,6 +28,7 @@ from registrum.operators.clean import (
     silver_increment,
 )
 from registrum.operators.ingest import empty_like, new_rows, with_audit
+from registrum.operators.joins import DEFAULT_BROADCAST_BYTES
 from registrum.operators.merge import keep_last, mark_column, merge_last_wins
 from registrum.operators.quality import duplicate_keys, rule_violations
 from registrum.operators.sample import first_n, hash_sample
@@ -75,7 +76,9 @@ def ul_silver(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def master(spark: SparkSession, sf: str) -> DataFrame:
-    return G.master_table(etab_silver(spark, sf), ul_silver(spark, sf))
+    """As the Gold job builds it: the legal-unit side is broadcast only after
+    one pass measured it under the bound, else a shuffle join."""
+    return G.master_table(etab_silver(spark, sf), ul_silver(spark, sf), DEFAULT_BROADCAST_BYTES)
 
 
 def lineitem(spark: SparkSession, sf: str) -> DataFrame:

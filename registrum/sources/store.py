@@ -93,8 +93,7 @@ class SnapshotStore:
         path = self._version_path(n)
         out = df.coalesce(files) if files else df
         out.write.mode("overwrite").parquet(path)
-        staged = self.spark.read.parquet(path)
-        facts = dict(validate(staged) if validate else {})
+        facts = dict(validate(self.spark.read.parquet(path))) if validate else {}
         prev = [] if (cur is None or mode == "replace") else [int(p.rsplit("=", 1)[1]) for p in cur.paths]
         segments = prev + [n]
         pq.write_text(self.spark, self._marker(n), json.dumps({**facts, "segments": segments}, default=str))
