@@ -55,3 +55,25 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         spark.conf.set("spark.checkpoint.dir", current)
     spark.sparkContext.setCheckpointDir(current)
     return current
+
+
+def cluster_conf(input_bytes: int, target_partition_bytes: int = 256 << 20) -> dict[str, str]:
+    """Settings for a cluster run sized from the input volume.
+
+    The initial shuffle partition count is chosen so that each partition of
+    the largest shuffle (about the input size for the merge and the master
+    join) is near ``target_partition_bytes``; AQE then coalesces small
+    partitions and splits skewed ones at run time, so a wrong guess costs
+    little. Scan splits match the same size. The launcher applies these; the
+    jobs never override a value the cluster already set.
+    """
+    partitions = max(200, min(200_000, input_bytes // target_partition_bytes + 1))
+    return {
+        **{k: v for k, v in DEFAULTS.items() if k != "spark.ui.enabled"},
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(partitions),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(2 * target_partition_bytes),
+    }

@@ -81,3 +81,12 @@ def test_expected_columns_reads_the_data(spark):
     got = {r.column_name: r for r in P.expected_columns(df, ["secteur_activite", "department"]).collect()}
     assert got["age_entreprise"].null_pct == 50.0 and got["age_entreprise"].data_type == "double"
     assert got["department"].present is False and got["department"].null_pct is None
+
+
+def test_cluster_conf_scales_partitions():
+    from registrum.session import cluster_conf
+
+    small, big = cluster_conf(1 << 30), cluster_conf(100 << 40)
+    assert small["spark.sql.shuffle.partitions"] == "200"
+    assert int(big["spark.sql.shuffle.partitions"]) == (100 << 40) // (256 << 20) + 1
+    assert big["spark.sql.autoBroadcastJoinThreshold"] == "-1"
