@@ -86,7 +86,8 @@ def test_expected_columns_reads_the_data(spark):
 def test_cluster_conf_scales_partitions():
     from registrum.session import cluster_conf
 
-    small, big = cluster_conf(1 << 30), cluster_conf(100 << 40)
+    small, mid, big = cluster_conf(1 << 30), cluster_conf(10 << 40), cluster_conf(100 << 40)
     assert small["spark.sql.shuffle.partitions"] == "200"
-    assert int(big["spark.sql.shuffle.partitions"]) == (100 << 40) // (256 << 20) + 1
+    assert int(mid["spark.sql.shuffle.partitions"]) == (10 << 40) // (256 << 20) + 1
+    assert big["spark.sql.shuffle.partitions"] == "200000"  # capped; AQE splits further
     assert big["spark.sql.autoBroadcastJoinThreshold"] == "-1"
