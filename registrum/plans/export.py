@@ -14,7 +14,7 @@ def sample_master(master: DataFrame, n_rows: int = SAMPLE_ROWS, seed: int = SAMP
 
 def export_sampled_master(
     spark: SparkSession,
-    input_path: str,
+    input_path: str | list[str],
     output_path: str,
     n_rows: int = SAMPLE_ROWS,
     seed: int = SAMPLE_SEED,
@@ -25,7 +25,8 @@ def export_sampled_master(
     The sample is bounded by ``n_rows`` (the feature: a file a BI tool can
     open), so one output file is allowed; the selection itself is distributed.
     """
-    sample = sample_master(spark.read.parquet(input_path), n_rows, seed)
+    paths = [input_path] if isinstance(input_path, str) else list(input_path)
+    sample = sample_master(spark.read.parquet(*paths), n_rows, seed)
     out = sample.coalesce(1) if single_file else sample
     out.write.mode("overwrite").option("header", True).csv(output_path)
     return spark.read.option("header", True).csv(output_path).count()

@@ -109,3 +109,15 @@ def test_streaming_replay_after_lost_commit_adds_nothing(spark, scratch):
     q = start_bronze_stream(spark, src_dir, stock.schema, bronze, "etablissements", ckpt)
     q.awaitTermination(120)
     assert spark.read.parquet(bronze).count() == n
+
+
+def test_command_line(spark, scratch, capsys):
+    from registrum.__main__ import main
+
+    sources = _sources(spark, scratch)
+    root = f"{scratch}/lake"
+    args = ["run", "--establishments", sources["etablissements"], "--legal-units", sources["unites_legales"]]
+    assert main(args + ["--root", root, "--as-of-year", "2026"]) == 0
+    assert main(["check-gold", "--root", root]) == 0
+    assert main(["export-sample", "--root", root, "--output", f"{scratch}/csv", "--rows", "10"]) == 0
+    assert "exported 10 rows" in capsys.readouterr().out
