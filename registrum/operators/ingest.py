@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from registrum.functions.columns import ntz
 from registrum.operators.clean import batch_id_of
+from registrum.operators.joins import DEFAULT_BROADCAST_BYTES, fits_broadcast
 from registrum.operators.sample import first_n
 from registrum.spec import BATCH_ID, INGESTED_AT
 
@@ -41,26 +42,42 @@ def dedup_batch(source: DataFrame, pk: str) -> DataFrame:
     return agg.select(pk, *[F.col(f"_r.{c}").alias(c) for c in rest]).select(*source.columns)
 
 
+def new_keys(source: DataFrame, known_keys: DataFrame, pk: str) -> DataFrame:
+    """Distinct non-NULL source keys not yet in the registry: a key-column-only
+    plan (the distinct is partially aggregated, so a repeated key costs one row
+    per task)."""
+    keys = known_keys.select(pk).filter(F.col(pk).isNotNull())
+    return source.select(pk).filter(F.col(pk).isNotNull()).distinct().join(keys, on=pk, how="left_anti")
+
+
 def new_rows(
     source: DataFrame,
     known_keys: DataFrame | None,
     pk: str,
     keep_null_keys: bool = False,
     dedup: bool = True,
+    max_broadcast_bytes: int | None = DEFAULT_BROADCAST_BYTES,
 ) -> DataFrame:
-    """Source rows whose key is not yet in the registry (anti equi-join).
+    """Source rows whose key is not yet in the registry.
+
+    The unknown keys are found on the key column alone, then only their rows
+    are fetched (semi-join; the key set is broadcast when measured under the
+    bound, so the source is filtered map-side) and deduplicated. A daily run
+    shuffles the key column and the new rows, not every column of the whole
+    stock file. With no registry yet, every row is new and is only deduplicated.
 
-    NULL keys never match a key, so they would pass the anti-join on every run.
-    By default they are rejected; ``keep_null_keys`` (parity mode) appends them
-    without sending them through the join, so a NULL-heavy batch cannot pile
-    up in one shuffle partition.
+    NULL keys never match a key, so they would pass on every run. By default
+    they are rejected; ``keep_null_keys`` (parity mode) appends them without
+    any join, so a NULL-heavy batch cannot pile up in one shuffle partition.
     """
     keyed = source.filter(F.col(pk).isNotNull())
+    if known_keys is not None:
+        fresh = new_keys(source, known_keys, pk)
+        if max_broadcast_bytes is not None and fits_broadcast(fresh, max_broadcast_bytes):
+            fresh = F.broadcast(fresh)
+        keyed = keyed.join(fresh, on=pk, how="left_semi")
     if dedup:
         keyed = dedup_batch(keyed, pk)
-    if known_keys is not None:
-        keys = known_keys.select(pk).filter(F.col(pk).isNotNull())
-        keyed = keyed.join(keys, on=pk, how="left_anti")
     if keep_null_keys:
         keyed = keyed.unionByName(source.filter(F.col(pk).isNull()))
     return keyed
