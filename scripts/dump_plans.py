@@ -55,7 +55,7 @@ def main() -> None:
 
     sections = [
         (
-            "Bronze: in-batch dedup + anti-join against known keys (one exchange per side, key column only on the registry side)",
+            "Bronze: unknown keys found on the key column, only their rows fetched (broadcast semi-join) and deduplicated",
             ingest_increment(
                 spark, spark.read.parquet(src["etablissements"]), f"{lake}/lake/bronze/etablissements",
                 "etablissements", datetime(2026, 1, 2),
