@@ -23,8 +23,9 @@ from registrum.sources import parquet as pq
 from registrum.sources.store import SnapshotStore
 from registrum.spec import INGESTED_AT, MARK_FLOOR, REGION_DEPARTMENTS, spec_for
 
-
 MAX_SEGMENTS = 32
+
+
 @dataclass(frozen=True)
 class SilverResult:
     dataset: str
@@ -60,12 +61,10 @@ def build_silver(
     store = SnapshotStore(spark, f"{silver_root.rstrip('/')}/{dataset_name}")
     mark = current_mark(store)
     bronze = pq.read_if_any(spark, bronze_path)
-    if bronze is None:  # Bronze exists but holds no row yet
-        snap = store.current()
-        return SilverResult(dataset_name, mark, 0, 0, snap.version if snap else None, int(snap.facts.get("rows", 0)) if snap else 0)
-    # The emptiness probe runs on an unobserved plan: an observation fires on
-    # the first action, and ``isEmpty`` stops after one row.
-    if silver_increment(bronze, spec, mark, departments, as_of_year).isEmpty():
+    # Nothing to do when Bronze holds no row yet or nothing is newer than the
+    # mark. The emptiness probe runs on an unobserved plan: an observation
+    # fires on the first action, and ``isEmpty`` stops after one row.
+    if bronze is None or silver_increment(bronze, spec, mark, departments, as_of_year).isEmpty():
         snap = store.current()
         total = int(snap.facts.get("rows", 0)) if snap else 0
         return SilverResult(dataset_name, mark, 0, 0, snap.version if snap else None, total)
