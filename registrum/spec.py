@@ -68,7 +68,7 @@ INGESTED_AT = "ingested_at"
 SAMPLE_SEED = 42
 SAMPLE_ROWS = 500_000
 # Gold table names.
-MASTER_TABLE = "sirene_master_enriched"
+MASTER_TABLE = "master_enriched"
 KPI_BY_DEPARTMENT = "kpi_establishments_by_dept"
 KPI_DOMINANT_SECTORS = "kpi_dominant_sectors"
 KPI_BUSINESS_SIZE = "kpi_business_size"
