@@ -21,7 +21,7 @@ from registrum.operators.merge import high_water_mark, merge_last_wins
 from registrum.operators.quality import coerce, validate
 from registrum.sources import parquet as pq
 from registrum.sources.store import SnapshotStore
-from registrum.spec import INGESTED_AT, MARK_FLOOR, REGION_DEPARTMENTS, spec_for
+from registrum.spec import BATCH_ID, INGESTED_AT, MARK_FLOOR, REGION_DEPARTMENTS, spec_for
 
 MAX_SEGMENTS = 32
 
@@ -36,6 +36,14 @@ class SilverResult:
     total_rows: int
 
 
+def bronze_batches(spark: SparkSession, bronze_path: str) -> list[int]:
+    """``batch_id`` partition values present in Bronze, ascending (a listing,
+    no data read)."""
+    prefix = f"{BATCH_ID}="
+    names = pq.list_names(spark, bronze_path)
+    return sorted(int(n[len(prefix) :]) for n in names if n.startswith(prefix) and n[len(prefix) :].isdigit())
+
+
 def current_mark(store: SnapshotStore) -> datetime:
     """Mark from the commit marker; falls back to a MAX scan; 1900 if none."""
     snap = store.current()
@@ -60,12 +68,27 @@ def build_silver(
     pq.require(spark, bronze_path)
     store = SnapshotStore(spark, f"{silver_root.rstrip('/')}/{dataset_name}")
     mark = current_mark(store)
+    prev_snap = store.current()
     bronze = pq.read_if_any(spark, bronze_path)
+    # Batches are listed once: this run reads batches newer than the last
+    # processed one (kept in the marker) up to the newest listed now, so a
+    # batch whose rows were all rejected is not read again, and a batch that
+    # lands while the job runs waits for the next run.
+    batches = bronze_batches(spark, bronze_path)
+    done_batch = (prev_snap.facts.get("bronze_batch") if prev_snap else None) or None
+    if bronze is not None and batches and BATCH_ID in bronze.columns:
+        window = F.col(BATCH_ID) <= F.lit(batches[-1])
+        if done_batch is not None:
+            window = window & (F.col(BATCH_ID) > F.lit(int(done_batch)))
+        bronze = bronze.filter(window)
+    seen = {"bronze_batch": batches[-1]} if batches else {}
     # Nothing to do when Bronze holds no row yet or nothing is newer than the
     # mark. The emptiness probe runs on an unobserved plan: an observation
     # fires on the first action, and ``isEmpty`` stops after one row.
     if bronze is None or silver_increment(bronze, spec, mark, departments, as_of_year).isEmpty():
         snap = store.current()
+        if snap is not None and seen and seen["bronze_batch"] != done_batch:
+            snap = store.touch(seen)  # remember the batches read, no data written
         total = int(snap.facts.get("rows", 0)) if snap else 0
         return SilverResult(dataset_name, mark, 0, 0, snap.version if snap else None, total)
 
@@ -102,7 +125,12 @@ def build_silver(
             staged, spec, [F.count(F.lit(1)).alias("rows"), F.max(INGESTED_AT).alias("mark")]
         )
         marks = [m for m in (facts["mark"].isoformat() if facts["mark"] else None, base_mark) if m]
-        return {"rows": base_rows + int(facts["rows"]), "mark": max(marks) if marks else None, "rules": counts}
+        return {
+            "rows": base_rows + int(facts["rows"]),
+            "mark": max(marks) if marks else None,
+            "rules": counts,
+            **seen,
+        }
 
     snap = store.publish(merged, validate=gate, files=files, mode="append" if append else "replace")
     metrics = obs.get if spec.postal_column else {}

@@ -100,6 +100,18 @@ class SnapshotStore:
         self._prune(n)
         return Snapshot(n, tuple(self._version_path(s) for s in segments), facts)
 
+    def touch(self, facts: dict) -> Snapshot | None:
+        """Commit a new version with the same directories and updated facts
+        (metadata only: e.g. a run that read batches but accepted no row)."""
+        cur = self.current()
+        if cur is None:
+            return None
+        n = cur.version + 1
+        segments = [int(p.rsplit("=", 1)[1]) for p in cur.paths]
+        merged = {**cur.facts, **facts}
+        pq.write_text(self.spark, self._marker(n), json.dumps({**merged, "segments": segments}, default=str))
+        return Snapshot(n, cur.paths, merged)
+
     def _prune(self, newest: int) -> None:
         """Drop directories no longer referenced by the newest ``keep`` versions."""
         live = set()

@@ -250,3 +250,24 @@ def test_mark_read_error_is_raised_not_reset(spark, scratch):
     pq.write_text(spark, f"{scratch}/silver/etablissements/_commits/00000002", "{not json")
     with pytest.raises(ValueError):
         current_mark(store)  # a broken marker must not silently reset to 1900
+
+
+def test_fully_rejected_batch_is_not_read_again(spark, scratch):
+    from registrum.plans.silver import bronze_batches
+
+    silver = f"{scratch}/silver"
+    store = SnapshotStore(spark, f"{silver}/etablissements")
+    b = _bronze(spark, scratch, [etab_row("00000000000001")], datetime(2026, 1, 1))
+    build_silver(spark, "etablissements", b, silver, 2026)
+    # a batch with only out-of-region rows: nothing accepted, mark unchanged
+    _bronze(spark, scratch, [etab_row("00000000000002", cp="69001")], datetime(2026, 2, 1))
+    r = build_silver(spark, "etablissements", b, silver, 2026)
+    assert r.new_rows == 0 and r.total_rows == 1
+    snap = store.current()
+    assert snap.facts["bronze_batch"] == bronze_batches(spark, b)[-1] == batch_id_of(datetime(2026, 2, 1))
+    assert current_mark(store) == datetime(2026, 1, 1)  # the mark itself is the data's
+    # later batches are still read; the rejected one is skipped
+    _bronze(spark, scratch, [etab_row("00000000000003", cp="75002")], datetime(2026, 3, 1))
+    r = build_silver(spark, "etablissements", b, silver, 2026)
+    assert r.new_rows == 1 and r.total_rows == 2
+    assert store.current().facts["bronze_batch"] == batch_id_of(datetime(2026, 3, 1))
