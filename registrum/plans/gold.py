@@ -82,19 +82,25 @@ def build_gold(
 
     master_store = SnapshotStore(spark, f"{gold_root}/{MASTER_TABLE}")
     base_store = SnapshotStore(spark, f"{gold_root}/{KPI_BASE}")
+    kpi_stores = {n: SnapshotStore(spark, f"{gold_root}/{n}") for n in KPI_NAMES}
     done, base_done = master_store.current(), base_store.current()
     prev = (done.facts.get("inputs") or {}) if done else {}
-    kpis_there = all(SnapshotStore(spark, f"{gold_root}/{n}").current() for n in KPI_NAMES)
 
-    if not force and done and prev == inputs and kpis_there:
-        # Same Silver versions as the last build: Gold is already current.
-        paths = {n: SnapshotStore(spark, f"{gold_root}/{n}").current().path for n in KPI_NAMES}
-        return GoldResult(int(done.facts["rows"]), done.version, paths, "unchanged")
+    def derived_from(snap: Snapshot | None, master: Snapshot) -> bool:
+        return snap is not None and snap.facts.get("master_version") == master.version
+
+    if not force and done and prev == inputs:
+        kpis = [s.current() for s in kpi_stores.values()]
+        if derived_from(base_done, done) and all(derived_from(k, done) for k in kpis):
+            # Same Silver versions as the last build: Gold is already current.
+            return GoldResult(int(done.facts["rows"]), done.version, {n: k.path for n, k in zip(KPI_NAMES, kpis)}, "unchanged")
+        # the master was committed but a KPI commit was lost: finish from it
+        return _publish_kpis(spark, done, base_store, kpi_stores, kpi_base(master_store.read()), "resumed")
 
     incremental = (
         not force
         and done is not None
-        and base_done is not None
+        and derived_from(base_done, done)  # the stored counts match the master
         and all(n in prev and _extends(prev[n], inputs[n]) for n in INPUTS)
         and len(done.paths) < MAX_SEGMENTS  # past the bound, rebuild into one directory
     )
@@ -117,34 +123,37 @@ def build_gold(
             mode="append",
         )
         delta_base = kpi_base(spark.read.parquet(snap.path))
-        base = (
-            base_store.read()
-            .unionByName(delta_base)
-            .groupBy(*KPI_DIMENSIONS)
-            .agg(F.sum("n").alias("n"))
-        )
-        mode = "append"
-    else:
-        snap = master_store.publish(
-            master_table(etab, ul, max_broadcast_bytes, True, ul_rows),
-            validate=lambda staged: {"rows": staged.count(), "inputs": inputs},
-        )
-        # one scan of three master columns; a few thousand rows whatever the size
-        base = kpi_base(master_store.read())
-        mode = "replace"
+        base = base_store.read().unionByName(delta_base).groupBy(*KPI_DIMENSIONS).agg(F.sum("n").alias("n"))
+        return _publish_kpis(spark, snap, base_store, kpi_stores, base, "append")
 
-    base_snap = base_store.publish(base, files=1)
+    snap = master_store.publish(
+        master_table(etab, ul, max_broadcast_bytes, True, ul_rows),
+        validate=lambda staged: {"rows": staged.count(), "inputs": inputs},
+    )
+    # one scan of three master columns; a few thousand rows whatever the size
+    return _publish_kpis(spark, snap, base_store, kpi_stores, kpi_base(master_store.read()), "replace")
+
+
+def _publish_kpis(
+    spark: SparkSession,
+    master: Snapshot,
+    base_store: SnapshotStore,
+    kpi_stores: dict[str, SnapshotStore],
+    base: DataFrame,
+    mode: str,
+) -> GoldResult:
+    """Publish ``kpi_base`` and the three KPIs, each stamped with the master
+    version they come from, so a lost commit is detected and finished."""
+    stamp = {"master_version": master.version}
+    base_snap = base_store.publish(base, files=1, facts=stamp)
     stored = spark.read.parquet(base_snap.path)
     kpis = {
         KPI_BY_DEPARTMENT: kpi_by_department(stored, "n"),
         KPI_DOMINANT_SECTORS: kpi_dominant_sector(stored, "n"),
         KPI_BUSINESS_SIZE: kpi_company_size(stored, "n"),
     }
-    out = {}
-    for name, df in kpis.items():
-        s = SnapshotStore(spark, f"{gold_root}/{name}").publish(df, files=1)
-        out[name] = s.path
-    return GoldResult(int(snap.facts["rows"]), snap.version, out, mode)
+    out = {name: kpi_stores[name].publish(df, files=1, facts=stamp).path for name, df in kpis.items()}
+    return GoldResult(int(master.facts["rows"]), master.version, out, mode)
 
 
 def read_gold(spark: SparkSession, gold_root: str, name: str):

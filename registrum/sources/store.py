@@ -77,6 +77,7 @@ class SnapshotStore:
         validate: Callable[[DataFrame], dict] | None = None,
         files: int | None = None,
         mode: str = "replace",
+        facts: dict | None = None,
     ) -> Snapshot:
         """Write ``df`` as the next version, validate the written files, commit.
 
@@ -84,7 +85,7 @@ class SnapshotStore:
         the lineage is cut and executors lost later cannot force a recompute);
         it raises to abort, or returns facts stored in the commit marker.
         Nothing becomes visible unless it returns. ``mode="append"`` keeps the
-        previous directories in the new version.
+        previous directories in the new version. ``facts`` are stored as given.
         """
         if mode not in ("replace", "append"):
             raise ValueError(mode)
@@ -93,7 +94,7 @@ class SnapshotStore:
         path = self._version_path(n)
         out = df.coalesce(files) if files else df
         out.write.mode("overwrite").parquet(path)
-        facts = dict(validate(self.spark.read.parquet(path))) if validate else {}
+        facts = {**(facts or {}), **(validate(self.spark.read.parquet(path)) if validate else {})}
         prev = [] if (cur is None or mode == "replace") else [int(p.rsplit("=", 1)[1]) for p in cur.paths]
         segments = prev + [n]
         pq.write_text(self.spark, self._marker(n), json.dumps({**facts, "segments": segments}, default=str))

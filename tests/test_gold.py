@@ -165,3 +165,32 @@ def test_incremental_gold_equals_full_rebuild(spark, scratch):
     assert g1 == _snapshot(spark, f"{scratch}/g3")
     assert dict((k, v) for k, v in g1[KPI_BUSINESS_SIZE]) == {"PME": 2, "GE": 1, "ETI": 1}
     assert build_gold(spark, silver, f"{scratch}/g1").mode == "unchanged"
+
+
+def test_lost_kpi_commit_is_finished_by_the_next_run(spark, scratch, monkeypatch):
+    import registrum.plans.gold as gold_plan
+
+    silver = f"{scratch}/silver"
+    es = SnapshotStore(spark, f"{silver}/etablissements")
+    us = SnapshotStore(spark, f"{silver}/unites_legales")
+    es.publish(_etab_rows(spark, [("1", "A", "75", "IT")]))
+    us.publish(_ul_rows(spark, [("A", "PME")]))
+    build_gold(spark, silver, f"{scratch}/g")
+    es.publish(_etab_rows(spark, [("2", "A", "92", "IT")]), mode="append")
+
+    def crash(*a, **k):
+        raise RuntimeError("executor lost after the master commit")
+
+    real = gold_plan._publish_kpis
+    monkeypatch.setattr(gold_plan, "_publish_kpis", crash)
+    with pytest.raises(RuntimeError):
+        build_gold(spark, silver, f"{scratch}/g")
+    monkeypatch.setattr(gold_plan, "_publish_kpis", real)
+    assert build_gold(spark, silver, f"{scratch}/g").mode == "resumed"
+    build_gold(spark, silver, f"{scratch}/full", force=True)
+    assert _snapshot(spark, f"{scratch}/g") == _snapshot(spark, f"{scratch}/full")
+    # and the next increment builds on consistent counts
+    es.publish(_etab_rows(spark, [("3", "A", "93", "Food")]), mode="append")
+    assert build_gold(spark, silver, f"{scratch}/g").mode == "append"
+    build_gold(spark, silver, f"{scratch}/full", force=True)
+    assert _snapshot(spark, f"{scratch}/g") == _snapshot(spark, f"{scratch}/full")
