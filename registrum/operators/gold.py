@@ -15,6 +15,7 @@ def master_table(
     max_broadcast_bytes: int | None = None,
     split_hot_keys: bool = False,
     ul_rows: int | None = None,
+    hot_min_rows: int = 0,
 ) -> DataFrame:
     """All establishment columns plus six legal-unit columns, left join on siren.
 
@@ -25,7 +26,7 @@ def master_table(
     join (``split_hot_keys``) or, without it, split by AQE's skew handling.
     """
     right = ul.select("siren", *MASTER_LEGAL_UNIT_COLUMNS)
-    joined = left_join_checked(etab, right, "siren", max_broadcast_bytes, split_hot_keys, ul_rows)
+    joined = left_join_checked(etab, right, "siren", max_broadcast_bytes, split_hot_keys, ul_rows, hot_min_rows)
     return joined.select(*etab.columns, *MASTER_LEGAL_UNIT_COLUMNS)
 
 

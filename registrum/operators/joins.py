@@ -39,7 +39,9 @@ def _size_aggregates(df: DataFrame):
 
 
 def measured_bytes(df: DataFrame) -> int:
-    """Exact in-memory payload of ``df``: string/binary octets plus fixed widths."""
+    """In-memory row payload of ``df`` as Spark holds it (an 8-byte word per
+    field, fixed widths, plus the exact string/binary octets), measured over
+    every row."""
     return int(df.agg(*_size_aggregates(df)).first()["bytes"])
 
 
@@ -63,8 +65,9 @@ def fits_broadcast(df: DataFrame, max_bytes: int, known_rows: int | None = None)
 HOT_SHARE = 0.001
 
 
-def hot_keys(df: DataFrame, on: str, share: float = HOT_SHARE) -> DataFrame:
-    """Keys holding at least ``share`` of the rows (never more than 1/share).
+def hot_keys(df: DataFrame, on: str, share: float = HOT_SHARE, min_rows: int = 0) -> DataFrame:
+    """Keys holding at least ``share`` of the rows and at least ``min_rows``
+    rows (never more than 1/share keys).
 
     The per-key count is partially aggregated on the map side, so even a key
     holding a third of the rows costs one row per task in the shuffle; the
@@ -72,18 +75,21 @@ def hot_keys(df: DataFrame, on: str, share: float = HOT_SHARE) -> DataFrame:
     """
     total = df.select(F.count(F.lit(1))).scalar()
     counts = df.filter(F.col(on).isNotNull()).groupBy(on).agg(F.count(F.lit(1)).alias("_n"))
-    return counts.filter(F.col("_n") >= total * F.lit(share)).select(on)
+    hot = (F.col("_n") >= total * F.lit(share)) & (F.col("_n") >= F.lit(min_rows))
+    return counts.filter(hot).select(on)
 
 
-def hot_key_values(df: DataFrame, on: str, share: float = HOT_SHARE) -> list:
+def hot_key_values(df: DataFrame, on: str, share: float = HOT_SHARE, min_rows: int = 0) -> list:
     """The hot keys as values. Each holds at least ``share`` of the rows, so
     there are at most 1/share of them: a bounded list, not data."""
-    values = [r[0] for r in hot_keys(df, on, share).collect()]
-    assert len(values) <= int(1 / share), "more hot keys than rows allow"
+    values = [r[0] for r in hot_keys(df, on, share, min_rows).collect()]
+    assert len(values) <= round(1 / share), "more hot keys than rows allow"
     return values
 
 
-def left_join_skew_split(left: DataFrame, right: DataFrame, on: str, share: float = HOT_SHARE) -> DataFrame:
+def left_join_skew_split(
+    left: DataFrame, right: DataFrame, on: str, share: float = HOT_SHARE, min_rows: int = 0
+) -> DataFrame:
     """Left equi-join that sends hot keys through a broadcast join and all
     other keys through the shuffle join.
 
@@ -95,7 +101,7 @@ def left_join_skew_split(left: DataFrame, right: DataFrame, on: str, share: floa
     ``right``'s without the key.
     """
     r = right.withColumnRenamed(on, "_rk")
-    hot = hot_key_values(left, on, share)
+    hot = hot_key_values(left, on, share, min_rows)
     if not hot:
         return left.join(r, left[on] == r["_rk"], "left").drop("_rk")
     is_hot = F.col(on).isin(hot)
@@ -114,6 +120,7 @@ def left_join_checked(
     max_broadcast_bytes: int | None,
     split_hot_keys: bool = False,
     right_rows: int | None = None,
+    hot_min_rows: int = 0,
 ) -> DataFrame:
     """Left equi-join; ``right`` is broadcast only if measured under the bound.
 
@@ -128,7 +135,7 @@ def left_join_checked(
         r = F.broadcast(right.withColumnRenamed(on, "_rk"))
         return left.join(r, left[on] == r["_rk"], "left").drop("_rk")
     if split_hot_keys:
-        return left_join_skew_split(left, right, on)
+        return left_join_skew_split(left, right, on, HOT_SHARE, hot_min_rows)
     r = right.withColumnRenamed(on, "_rk")
     return left.join(r, left[on] == r["_rk"], "left").drop("_rk")
 

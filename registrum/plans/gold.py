@@ -42,6 +42,9 @@ KPI_NAMES = (KPI_BY_DEPARTMENT, KPI_DOMINANT_SECTORS, KPI_BUSINESS_SIZE)
 KPI_BASE = "kpi_base"
 INPUTS = ("etablissements", "unites_legales")
 MAX_SEGMENTS = 32
+# A siren is split off the shuffle join only when it also holds this many
+# establishments: below it, its rows fit comfortably in one task.
+HOT_MIN_ROWS = 1_000_000
 
 
 @dataclass(frozen=True)
@@ -115,7 +118,7 @@ def build_gold(
     if incremental:
         new_etab = inputs["etablissements"][len(prev["etablissements"]) :]
         delta = master_table(
-            _read(spark, new_etab) if new_etab else etab.limit(0), ul, max_broadcast_bytes, True, ul_rows
+            _read(spark, new_etab) if new_etab else etab.limit(0), ul, max_broadcast_bytes, True, ul_rows, HOT_MIN_ROWS
         )
         snap = master_store.publish(
             delta,
@@ -127,7 +130,7 @@ def build_gold(
         return _publish_kpis(spark, snap, base_store, kpi_stores, base, "append")
 
     snap = master_store.publish(
-        master_table(etab, ul, max_broadcast_bytes, True, ul_rows),
+        master_table(etab, ul, max_broadcast_bytes, True, ul_rows, HOT_MIN_ROWS),
         validate=lambda staged: {"rows": staged.count(), "inputs": inputs},
     )
     # one scan of three master columns; a few thousand rows whatever the size
