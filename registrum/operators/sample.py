@@ -29,15 +29,17 @@ def _ladder(n: int) -> list[str]:
     """Hex cut-offs from ~1.2 n / 1e9 of the space doubling to the full space."""
     cuts, frac = [], max(1.2 * n / _ESTIMATE_ROWS, 1.0 / _SPACE)
     while frac < 1.0:
-        cuts.append(format(int(frac * _SPACE) + 1, f"0{_PREFIX}x"))
+        cuts.append(format(min(int(frac * _SPACE) + 1, _SPACE - 1), f"0{_PREFIX}x"))
         frac *= 2
     return cuts
 
 
 def first_n(df: DataFrame, n: int, key: str, seed: int) -> DataFrame:
-    """The ``n`` rows with the smallest ``(md5('seed|key'), key)``."""
+    """The ``n`` rows with the smallest ``(md5('seed|key'), key)``; rows with a
+    NULL key have no place in that order and are never selected."""
     if n <= 0:
         return df.limit(0)
+    df = df.filter(F.col(key).isNotNull())
     hashed = df.withColumn("_h", sample_key(seed, F.col(key)))
     prefix = F.substring("_h", 1, _PREFIX)
     cuts = _ladder(n)

@@ -91,3 +91,11 @@ def test_cluster_conf_scales_partitions():
     assert int(mid["spark.sql.shuffle.partitions"]) == (10 << 40) // (256 << 20) + 1
     assert big["spark.sql.shuffle.partitions"] == "200000"  # capped; AQE splits further
     assert big["spark.sql.autoBroadcastJoinThreshold"] == "-1"
+
+
+def test_first_n_ignores_null_keys_and_stays_exact(spark):
+    keys = [f"k{i}" for i in range(50)]
+    df = spark.createDataFrame([(k,) for k in keys] + [(None,)] * 200, "key string")
+    got = sorted(r.key for r in first_n(df, 30, "key", 7).collect())
+    assert got == sorted(brute_force(keys, 30, 7))
+    assert first_n(df, 80, "key", 7).count() == 50
