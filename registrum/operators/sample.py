@@ -3,10 +3,10 @@ data through one task.
 
 A plain ``orderBy(h).limit(n)`` makes every task keep its own top n and merges
 them in one task: up to tasks x n rows. Here the hash is uniform, so one
-aggregate pass counts the rows under a ladder of hash-prefix cut-offs
-(fractions of the hash space doubling from about 1.2 n / rows up to all of
-it); the smallest cut-off holding at least n rows selects the candidates.
-Only those candidates (about 1.2 n keys) are ranked to find the exact n-th
+aggregate pass counts the rows under a ladder of hash-prefix cut-offs (every
+power of two of the 32-bit prefix space); the smallest cut-off holding at
+least n rows selects the candidates. Only those candidates (fewer than about
+2n keys, at any table size) are ranked to find the exact n-th
 (hash, key) pair, and the rows are then taken by a distributed filter
 ``(hash, key) <= threshold``. Three passes in all, the first two over the key
 column only when the input is a Parquet table; the result is always exact.
@@ -21,17 +21,13 @@ from pyspark.sql import functions as F
 from registrum.functions.columns import sample_key
 
 _PREFIX = 8  # hex digits of the hash used for the candidate range
-_SPACE = 16**_PREFIX
-_ESTIMATE_ROWS = 1_000_000_000  # only sizes the cut-off ladder, never the result
+_SPACE = 16**_PREFIX  # 2**32 prefix values
 
 
-def _ladder(n: int) -> list[str]:
-    """Hex cut-offs from ~1.2 n / 1e9 of the space doubling to the full space."""
-    cuts, frac = [], max(1.2 * n / _ESTIMATE_ROWS, 1.0 / _SPACE)
-    while frac < 1.0:
-        cuts.append(format(min(int(frac * _SPACE) + 1, _SPACE - 1), f"0{_PREFIX}x"))
-        frac *= 2
-    return cuts
+def _ladder() -> list[str]:
+    """Hex cut-offs at every power of two of the prefix space: whatever the
+    row count, the smallest cut-off holding n rows holds fewer than about 2n."""
+    return [format(1 << k, f"0{_PREFIX}x") for k in range(32)]
 
 
 def first_n(df: DataFrame, n: int, key: str, seed: int) -> DataFrame:
@@ -42,7 +38,7 @@ def first_n(df: DataFrame, n: int, key: str, seed: int) -> DataFrame:
     df = df.filter(F.col(key).isNotNull())
     hashed = df.withColumn("_h", sample_key(seed, F.col(key)))
     prefix = F.substring("_h", 1, _PREFIX)
-    cuts = _ladder(n)
+    cuts = _ladder()
     counts = hashed.agg(
         F.count(F.lit(1)).alias("total"),
         *[F.count_if(prefix < F.lit(c)).alias(f"c{i}") for i, c in enumerate(cuts)],
@@ -51,7 +47,7 @@ def first_n(df: DataFrame, n: int, key: str, seed: int) -> DataFrame:
         return df
     cut = next((c for i, c in enumerate(cuts) if counts[f"c{i}"] >= n), None)
     cand = hashed if cut is None else hashed.filter(prefix < F.lit(cut))
-    # n-th smallest (hash, key) among the candidates: bounded by ~2.4 n keys.
+    # n-th smallest (hash, key) among the candidates: fewer than about 2n keys.
     thr = (
         cand.select("_h", F.col(key).alias("_k"))
         .orderBy("_h", "_k")
