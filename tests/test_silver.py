@@ -271,3 +271,23 @@ def test_fully_rejected_batch_is_not_read_again(spark, scratch):
     r = build_silver(spark, "etablissements", b, silver, 2026)
     assert r.new_rows == 1 and r.total_rows == 2
     assert store.current().facts["bronze_batch"] == batch_id_of(datetime(2026, 3, 1))
+
+
+def test_two_runs_equal_one_run_at_job_level(spark, scratch):
+    rows1 = [etab_row(f"{i:014d}", cp=f"{75 + i % 3}0{i % 10}{i % 7}0") for i in range(0, 20)]
+    rows2 = [etab_row(f"{i:014d}", cp=f"{90 + i % 6}0{i % 10}{i % 7}0") for i in range(20, 40)]
+    # lake A: Silver after each batch
+    a = f"{scratch}/a"
+    ingest_bronze(spark, spark.createDataFrame(rows1, ETAB_SCHEMA), f"{a}/bronze", "etablissements", datetime(2026, 1, 1))
+    build_silver(spark, "etablissements", f"{a}/bronze", f"{a}/silver", 2026)
+    ingest_bronze(spark, spark.createDataFrame(rows2, ETAB_SCHEMA), f"{a}/bronze", "etablissements", datetime(2026, 2, 1))
+    build_silver(spark, "etablissements", f"{a}/bronze", f"{a}/silver", 2026)
+    # lake B: both batches first, one Silver run
+    b = f"{scratch}/b"
+    ingest_bronze(spark, spark.createDataFrame(rows1, ETAB_SCHEMA), f"{b}/bronze", "etablissements", datetime(2026, 1, 1))
+    ingest_bronze(spark, spark.createDataFrame(rows2, ETAB_SCHEMA), f"{b}/bronze", "etablissements", datetime(2026, 2, 1))
+    build_silver(spark, "etablissements", f"{b}/bronze", f"{b}/silver", 2026)
+    sa = SnapshotStore(spark, f"{a}/silver/etablissements")
+    sb = SnapshotStore(spark, f"{b}/silver/etablissements")
+    assert sorted(map(tuple, sa.read().collect())) == sorted(map(tuple, sb.read().collect()))
+    assert current_mark(sa) == current_mark(sb) == datetime(2026, 2, 1)
