@@ -1,6 +1,7 @@
 """Command line: ``python -m registrum <command>``.
 
   run            Bronze -> Silver -> Gold for the two stock files
+  check-bronze   batches (rows, audit time) and columns of Bronze
   check-silver   profile, quality and region distribution of Silver
   check-gold     row counts, join integrity and previews of Gold
   export-sample  reproducible sample of the master table as CSV
@@ -50,6 +51,8 @@ def main(argv: list[str] | None = None) -> int:
     r.add_argument("--limit", type=int, default=0, help="rows per dataset per run (0 = all)")
     r.add_argument("--departments", default=None, help="comma list; default: the region's eight")
 
+    cb = sub.add_parser("check-bronze")
+    cb.add_argument("--root", required=True)
     cs = sub.add_parser("check-silver")
     cs.add_argument("--root", required=True)
     cg = sub.add_parser("check-gold")
@@ -81,6 +84,14 @@ def main(argv: list[str] | None = None) -> int:
             print(json.dumps(step))
         return 0 if all(s["ok"] for s in rep.steps) else 1
 
+    if a.cmd == "check-bronze":
+        from registrum.plans import reports as R
+
+        bronze = f"{a.root.rstrip('/')}/bronze"
+        _show("batches", R.bronze_checks(spark, bronze))
+        _show("columns", R.bronze_columns(spark, bronze), 200)
+        return 0
+
     if a.cmd == "check-silver":
         from registrum.plans import reports as R
 

@@ -112,3 +112,32 @@ def silver_quality(spark: SparkSession, silver_root: str) -> DataFrame:
         key = "siret" if "siret" in df.columns else "siren"
         parts.append(P.id_quality(df, key).select(F.lit(name).alias("dataset"), "*"))
     return _union(parts)
+
+
+def bronze_checks(spark: SparkSession, bronze_root: str) -> DataFrame:
+    """Per dataset and batch: the audit timestamp and the row count."""
+    parts = []
+    for name in pq.list_names(spark, bronze_root):
+        df = pq.read_if_any(spark, f"{bronze_root.rstrip('/')}/{name}")
+        if df is None or "batch_id" not in df.columns:
+            continue
+        parts.append(
+            df.groupBy("batch_id")
+            .agg(F.max(INGESTED_AT).alias(INGESTED_AT), F.count(F.lit(1)).alias("rows"))
+            .select(F.lit(name).alias("dataset"), "batch_id", INGESTED_AT, "rows")
+        )
+    if not parts:
+        raise pq.MissingInput(f"No Bronze dataset under {bronze_root}")
+    return _union(parts).orderBy("dataset", "batch_id")
+
+
+def bronze_columns(spark: SparkSession, bronze_root: str) -> DataFrame:
+    """Per dataset: every column with its type and null percentage."""
+    parts = []
+    for name in pq.list_names(spark, bronze_root):
+        df = pq.read_if_any(spark, f"{bronze_root.rstrip('/')}/{name}")
+        if df is not None:
+            parts.append(P.expected_columns(df, []).select(F.lit(name).alias("dataset"), "*"))
+    if not parts:
+        raise pq.MissingInput(f"No Bronze dataset under {bronze_root}")
+    return _union(parts)

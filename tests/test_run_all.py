@@ -77,6 +77,9 @@ def test_report_jobs(spark, scratch):
     assert R.silver_region_distribution(spark, f"{root}/silver").count() > 0
     assert R.gold_preview(spark, f"{root}/gold")[MASTER_TABLE].count() == 3
     assert R.silver_quality(spark, f"{root}/silver").count() == 2
+    batches = R.bronze_checks(spark, f"{root}/bronze").collect()
+    assert {b.dataset for b in batches} == {"etablissements", "unites_legales"}
+    assert R.bronze_columns(spark, f"{root}/bronze").filter("column_name = 'batch_id'").count() == 2
 
 
 def test_run_reports_are_kept(spark, scratch):
@@ -119,5 +122,6 @@ def test_command_line(spark, scratch, capsys):
     args = ["run", "--establishments", sources["etablissements"], "--legal-units", sources["unites_legales"]]
     assert main(args + ["--root", root, "--as-of-year", "2026"]) == 0
     assert main(["check-gold", "--root", root]) == 0
+    assert main(["check-bronze", "--root", root]) == 0
     assert main(["export-sample", "--root", root, "--output", f"{scratch}/csv", "--rows", "10"]) == 0
     assert "exported 10 rows" in capsys.readouterr().out
