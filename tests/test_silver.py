@@ -293,3 +293,12 @@ def test_two_runs_equal_one_run_at_job_level(spark, scratch):
     got = sorted(map(tuple, sa.read().collect()))
     assert got == sorted(map(tuple, sb.read().collect())) and len(got) > 20
     assert current_mark(sa) == current_mark(sb) == datetime(2026, 2, 1)
+
+
+def test_empty_column_list_is_a_configuration_error():
+    import dataclasses
+
+    broken = dataclasses.replace(ESTABLISHMENTS, columns=())
+    with pytest.raises(KeyError):
+        broken.selected_columns
+    assert ESTABLISHMENTS.selected_columns[-1] == "ingested_at"
