@@ -39,6 +39,7 @@ from registrum.spec import (
     MARK_FLOOR,
     REGION_DEPARTMENTS,
     SAMPLE_SEED,
+    UNKNOWN_TEXT,
 )
 
 # Fixed parameters of the catalogue.
@@ -385,7 +386,7 @@ def q41_clean_increment_counts(spark, sf):
     return inc.agg(
         F.count(F.lit(1)).alias("rows"),
         F.count_if(F.col("dateCreationEtablissement").isNull()).alias("null_dates"),
-        F.count_if(F.col("secteur_activite") == "Indéterminé").alias("undetermined_sectors"),
+        F.count_if(F.col("secteur_activite") == UNKNOWN_TEXT).alias("undetermined_sectors"),
         F.count_if(~exact_digits(F.col("codePostalEtablissement"), 5)).alias("bad_postal"),
     )
 
