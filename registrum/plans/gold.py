@@ -96,7 +96,8 @@ def build_gold(
         kpis = [s.current() for s in kpi_stores.values()]
         if derived_from(base_done, done) and all(derived_from(k, done) for k in kpis):
             # Same Silver versions as the last build: Gold is already current.
-            return GoldResult(int(done.facts["rows"]), done.version, {n: k.path for n, k in zip(KPI_NAMES, kpis)}, "unchanged")
+            paths = {n: k.path for n, k in zip(KPI_NAMES, kpis)}
+            return GoldResult(int(done.facts["rows"]), done.version, paths, "unchanged")
         # the master was committed but a KPI commit was lost: finish from it
         return _publish_kpis(spark, done, base_store, kpi_stores, kpi_base(master_store.read()), "resumed")
 
