@@ -62,15 +62,15 @@ def main() -> None:
         run_noop(fn(spark, sf_dir))
         times[name] = round(time.perf_counter() - t0, 3)
 
-    # End-to-end runs on a scratch lake: a first load of 90% of the stock,
-    # then the whole stock (10% new keys: the daily increment), then the same
-    # stock again (nothing new).
+    # End-to-end runs on a scratch lake: a first load of 90% of the companies
+    # (legal units and their establishments), then the whole stock (10% new
+    # companies: the daily increment), then the same stock again (nothing new).
     scratch = tempfile.mkdtemp(prefix="run-")
     etab = td.establishments(spark, sf_dir).drop("ingested_at")
     ul = td.legal_units(spark, sf_dir).drop("ingested_at")
     first = {"etablissements": f"{scratch}/src1/e.parquet", "unites_legales": f"{scratch}/src1/u.parquet"}
     full = {"etablissements": f"{scratch}/src2/e.parquet", "unites_legales": f"{scratch}/src2/u.parquet"}
-    etab.filter(F.col("siret").cast("long") % 10 != 0).write.parquet(first["etablissements"])
+    etab.filter(F.col("siren").cast("long") % 10 != 0).write.parquet(first["etablissements"])
     ul.filter(F.col("siren").cast("long") % 10 != 0).write.parquet(first["unites_legales"])
     etab.write.parquet(full["etablissements"])
     ul.write.parquet(full["unites_legales"])
