@@ -16,6 +16,7 @@ def master_table(
     split_hot_keys: bool = False,
     ul_rows: int | None = None,
     hot_min_rows: int = 0,
+    etab_rows: int | None = None,
 ) -> DataFrame:
     """All establishment columns plus six legal-unit columns, left join on siren.
 
@@ -26,7 +27,9 @@ def master_table(
     join (``split_hot_keys``) or, without it, split by AQE's skew handling.
     """
     right = ul.select("siren", *MASTER_LEGAL_UNIT_COLUMNS)
-    joined = left_join_checked(etab, right, "siren", max_broadcast_bytes, split_hot_keys, ul_rows, hot_min_rows)
+    joined = left_join_checked(
+        etab, right, "siren", max_broadcast_bytes, split_hot_keys, ul_rows, hot_min_rows, etab_rows
+    )
     return joined.select(*etab.columns, *MASTER_LEGAL_UNIT_COLUMNS)
 
 

@@ -121,6 +121,7 @@ def left_join_checked(
     split_hot_keys: bool = False,
     right_rows: int | None = None,
     hot_min_rows: int = 0,
+    left_rows: int | None = None,
 ) -> DataFrame:
     """Left equi-join; ``right`` is broadcast only if measured under the bound.
 
@@ -134,7 +135,8 @@ def left_join_checked(
     if max_broadcast_bytes is not None and fits_broadcast(right, max_broadcast_bytes, right_rows):
         r = F.broadcast(right.withColumnRenamed(on, "_rk"))
         return left.join(r, left[on] == r["_rk"], "left").drop("_rk")
-    if split_hot_keys:
+    # with fewer left rows than the floor no key can be hot: skip the search
+    if split_hot_keys and not (left_rows is not None and left_rows < hot_min_rows):
         return left_join_skew_split(left, right, on, HOT_SHARE, hot_min_rows)
     r = right.withColumnRenamed(on, "_rk")
     return left.join(r, left[on] == r["_rk"], "left").drop("_rk")

@@ -81,7 +81,9 @@ def build_gold(
     snaps = {n: _silver(spark, silver_root, n) for n in INPUTS}
     inputs = {n: list(s.paths) for n, s in snaps.items()}
     etab, ul = _read(spark, inputs["etablissements"]), _read(spark, inputs["unites_legales"])
-    ul_rows = snaps["unites_legales"].facts.get("rows")  # from the commit marker, no scan
+    # row counts from the commit markers, no scan
+    ul_rows = snaps["unites_legales"].facts.get("rows")
+    etab_rows = snaps["etablissements"].facts.get("rows")
 
     master_store = SnapshotStore(spark, f"{gold_root}/{MASTER_TABLE}")
     base_store = SnapshotStore(spark, f"{gold_root}/{KPI_BASE}")
@@ -119,7 +121,13 @@ def build_gold(
     if incremental:
         new_etab = inputs["etablissements"][len(prev["etablissements"]) :]
         delta = master_table(
-            _read(spark, new_etab) if new_etab else etab.limit(0), ul, max_broadcast_bytes, True, ul_rows, HOT_MIN_ROWS
+            _read(spark, new_etab) if new_etab else etab.limit(0),
+            ul,
+            max_broadcast_bytes,
+            True,
+            ul_rows,
+            HOT_MIN_ROWS,
+            None if etab_rows is None else max(0, int(etab_rows) - int(done.facts["rows"])),
         )
         snap = master_store.publish(
             delta,
@@ -131,7 +139,7 @@ def build_gold(
         return _publish_kpis(spark, snap, base_store, kpi_stores, base, "append")
 
     snap = master_store.publish(
-        master_table(etab, ul, max_broadcast_bytes, True, ul_rows, HOT_MIN_ROWS),
+        master_table(etab, ul, max_broadcast_bytes, True, ul_rows, HOT_MIN_ROWS, etab_rows),
         validate=lambda staged: {"rows": staged.count(), "inputs": inputs},
     )
     # one scan of three master columns; a few thousand rows whatever the size
