@@ -21,6 +21,10 @@ class SchemaViolation(ValueError):
     """The data does not satisfy the Silver contract."""
 
 
+class DuplicateKeys(SchemaViolation):
+    """The only violated rules are key uniqueness rules."""
+
+
 def check_columns(df: DataFrame, spec: DatasetSpec) -> None:
     """Closed column set: an extra or a missing column fails."""
     want, have = set(spec.silver_columns), set(df.columns)
@@ -91,7 +95,8 @@ def validate(df: DataFrame, spec: DatasetSpec, facts: Sequence[Column] = ()) ->
     counts.update(uniqueness_violations(df, spec))
     bad = {k: v for k, v in counts.items() if v}
     if bad:
-        raise SchemaViolation(f"{spec.name}: contract violated: {bad}")
+        only_keys = all(k.endswith(":unique") for k in bad)
+        raise (DuplicateKeys if only_keys else SchemaViolation)(f"{spec.name}: contract violated: {bad}")
     return counts, row
 
 

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from registrum.operators.clean import silver_increment
 from registrum.operators.joins import keys_overlap
 from registrum.operators.merge import high_water_mark, merge_last_wins
-from registrum.operators.quality import coerce, validate
+from registrum.operators.quality import DuplicateKeys, coerce, validate
 from registrum.sources import parquet as pq
 from registrum.sources.store import SnapshotStore
 from registrum.spec import BATCH_ID, INGESTED_AT, MARK_FLOOR, REGION_DEPARTMENTS, spec_for
@@ -113,9 +113,17 @@ def build_silver(
     # ``max_segments`` the segments are rewritten as one directory. Keys do
     # not collide on this path, so it is a plain rewrite, no shuffle.
     compact = append and prev is not None and len(prev.paths) >= max_segments
-    merged = coerce(merge_last_wins(None if append else existing, new, spec), spec)
+    if append:
+        # Keys from an insert-only Bronze are already unique: the increment is
+        # written as is and the gate's uniqueness check (a shuffle of the key
+        # column only) proves it. Only if it finds duplicates is the last-wins
+        # dedup (a shuffle of whole rows) run, into the same uncommitted version.
+        attempts = [coerce(new, spec), coerce(merge_last_wins(None, new, spec), spec)]
+    else:
+        attempts = [coerce(merge_last_wins(existing, new, spec), spec)]
     if compact:
-        merged = existing.select(*spec.silver_columns).unionByName(merged)
+        old = existing.select(*spec.silver_columns)
+        attempts = [old.unionByName(df) for df in attempts]
         append = False
     base_rows = int(prev.facts.get("rows", 0)) if (prev and append) else 0
     base_mark = prev.facts.get("mark") if (prev and append) else None
@@ -132,7 +140,13 @@ def build_silver(
             **seen,
         }
 
-    snap = store.publish(merged, validate=gate, files=files, mode="append" if append else "replace")
+    for i, df in enumerate(attempts):
+        try:
+            snap = store.publish(df, validate=gate, files=files, mode="append" if append else "replace")
+            break
+        except DuplicateKeys:
+            if i == len(attempts) - 1:
+                raise
     metrics = obs.get if spec.postal_column else {}
     return SilverResult(
         dataset_name,

@@ -302,3 +302,16 @@ def test_empty_column_list_is_a_configuration_error():
     with pytest.raises(KeyError):
         broken.selected_columns
     assert ESTABLISHMENTS.selected_columns[-1] == "ingested_at"
+
+
+def test_repeated_key_in_increment_falls_back_to_dedup(spark, scratch):
+    # an externally written Bronze may repeat a key inside one batch: the
+    # cheap path (no dedup) fails the uniqueness check, the dedup path wins
+    b = f"{scratch}/bronze"
+    rows = [etab_row("00000000000001", enseigne="a"), etab_row("00000000000001", enseigne="b")]
+    bronze_df(spark, rows).withColumn("batch_id", F.lit(batch_id_of(datetime(2026, 1, 1)))).write.partitionBy(
+        "batch_id"
+    ).parquet(b)
+    r = build_silver(spark, "etablissements", b, f"{scratch}/silver", 2026)
+    got = SnapshotStore(spark, f"{scratch}/silver/etablissements").read().collect()
+    assert r.total_rows == 1 and [x.enseigne1Etablissement for x in got] == ["b"]
