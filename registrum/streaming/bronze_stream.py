@@ -17,6 +17,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from registrum.plans.bronze import ingest_bronze
+from registrum.session import ensure_checkpoint_dir
 
 
 def _run_ts() -> datetime:
@@ -35,7 +36,8 @@ def start_bronze_stream(
     max_files_per_trigger: int | None = None,
 ) -> StreamingQuery:
     if checkpoint_location is None:
-        base = spark.conf.get("spark.checkpoint.dir")
+        # the shared folder the cluster names; set only where it is unset (tests)
+        base = ensure_checkpoint_dir(spark)
         checkpoint_location = f"{base.rstrip('/')}/bronze_stream_{dataset_name}"
 
     def write_batch(batch: DataFrame, epoch_id: int) -> None:

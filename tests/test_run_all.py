@@ -125,3 +125,12 @@ def test_command_line(spark, scratch, capsys):
     assert main(["check-bronze", "--root", root]) == 0
     assert main(["export-sample", "--root", root, "--output", f"{scratch}/csv", "--rows", "10"]) == 0
     assert "exported 10 rows" in capsys.readouterr().out
+
+
+def test_streaming_default_checkpoint_under_checkpoint_dir(spark, scratch):
+    src_dir = f"{scratch}/incoming"
+    stock = td.establishments(spark, SF001).drop("ingested_at")
+    stock.limit(10).write.parquet(src_dir)
+    q = start_bronze_stream(spark, src_dir, stock.schema, f"{scratch}/bronze", f"etablissements_{abs(hash(scratch))}")
+    q.awaitTermination(120)
+    assert spark.read.parquet(f"{scratch}/bronze").count() == 10
