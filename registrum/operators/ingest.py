@@ -50,6 +50,13 @@ def new_keys(source: DataFrame, known_keys: DataFrame, pk: str) -> DataFrame:
     return source.select(pk).filter(F.col(pk).isNotNull()).distinct().join(keys, on=pk, how="left_anti")
 
 
+def keys_unique(df: DataFrame, pk: str) -> bool:
+    """Whether no key repeats, from the key column alone: one pass counting
+    rows and distinct keys (the distinct is partially aggregated)."""
+    r = df.agg(F.count(F.lit(1)).alias("rows"), F.count_distinct(pk).alias("keys")).first()
+    return r["rows"] == r["keys"]
+
+
 def new_rows(
     source: DataFrame,
     known_keys: DataFrame | None,
@@ -76,6 +83,10 @@ def new_rows(
         if max_broadcast_bytes is not None and fits_broadcast(fresh, max_broadcast_bytes):
             fresh = F.broadcast(fresh)
         keyed = keyed.join(fresh, on=pk, how="left_semi")
+    elif dedup and keys_unique(keyed, pk):
+        # first load: every row is new; the key column alone shows that no key
+        # repeats, so the whole stock file is not shuffled for a no-op dedup
+        dedup = False
     if dedup:
         keyed = dedup_batch(keyed, pk)
     if keep_null_keys:

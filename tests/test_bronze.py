@@ -90,3 +90,15 @@ def test_empty_first_run_then_rows(spark, scratch):
     assert res.new_rows == 0 and res.version is None
     r = ingest_bronze(spark, _source(spark, scratch, [("1", "x")]), bronze, "etablissements", T2)
     assert (r.new_rows, r.total_rows) == (1, 1)
+
+
+def test_first_load_dedups_only_when_a_key_repeats(spark, scratch):
+    from registrum.operators.ingest import keys_unique
+
+    dup = _source(spark, scratch, [("1", "b"), ("1", "a"), ("2", "c")])
+    r = ingest_bronze(spark, dup, f"{scratch}/b1", "etablissements", T1)
+    assert r.total_rows == 2
+    got = {x.siret: x.data for x in spark.read.parquet(f"{scratch}/b1").collect()}
+    assert got == {"1": "a", "2": "c"}  # smallest row by the other columns
+    assert keys_unique(spark.read.parquet(f"{scratch}/b1"), "siret")
+    assert not keys_unique(spark.read.parquet(dup), "siret")
