@@ -2,10 +2,13 @@
 
 Overwriting a Parquet path that the same job reads empties it on failure, and
 plain Parquet has no transaction log. Each publication therefore writes a new
-directory ``<root>/v=<n>/``, validates the written files, and only then
-creates the commit marker ``<root>/_commits/<n>`` (a create-if-absent of a
-tiny file, atomic on HDFS and on object stores with conditional puts). The
-marker lists the directories that make up the table at that version:
+directory ``<root>/v=<n>-<attempt>/`` (unique per attempt, so two writers
+racing for version n never write into the same directory), validates the
+written files, and only then creates the commit marker ``<root>/_commits/<n>``
+(a create-if-absent of a tiny file, atomic on HDFS and on object stores with
+conditional puts: the loser of a race fails here and its directory is left
+unreferenced). The marker lists the directories that make up the table at
+that version:
 
 * ``replace``: the table is ``[v=n]`` alone (a full rewrite, e.g. a merge);
 * ``append``: the table is the previous list plus ``v=n`` (an increment whose
@@ -20,6 +23,7 @@ count, high-water mark) so later jobs read them without a scan.
 from __future__ import annotations
 
 import json
+import uuid
 from collections.abc import Callable
 from dataclasses import dataclass, field
 
@@ -48,8 +52,17 @@ class SnapshotStore:
         self.root = root.rstrip("/")
         self.keep = keep
 
-    def _version_path(self, n: int) -> str:
-        return f"{self.root}/v={n:08d}"
+    def _segment_path(self, segment) -> str:
+        name = f"v={segment:08d}" if isinstance(segment, int) else segment
+        return f"{self.root}/{name}"
+
+    @staticmethod
+    def _segment_name(path: str) -> str:
+        return path.rstrip("/").rsplit("/", 1)[-1]
+
+    @staticmethod
+    def _segment_version(name: str) -> int:
+        return int(name[2:10])
 
     def _marker(self, n: int) -> str:
         return f"{self.root}/{COMMITS}/{n:08d}"
@@ -57,7 +70,7 @@ class SnapshotStore:
     def _load(self, n: int) -> Snapshot:
         facts = json.loads(pq.read_text(self.spark, self._marker(n)) or "{}")
         segments = facts.pop("segments", [n])
-        return Snapshot(n, tuple(self._version_path(s) for s in segments), facts)
+        return Snapshot(n, tuple(self._segment_path(s) for s in segments), facts)
 
     def committed(self) -> list[int]:
         names = pq.list_names(self.spark, f"{self.root}/{COMMITS}")
@@ -91,15 +104,16 @@ class SnapshotStore:
             raise ValueError(mode)
         cur = self.current()
         n = 1 if cur is None else cur.version + 1
-        path = self._version_path(n)
+        name = f"v={n:08d}-{uuid.uuid4().hex[:12]}"
+        path = self._segment_path(name)
         out = df.coalesce(files) if files else df
         out.write.mode("overwrite").parquet(path)
         facts = {**(facts or {}), **(validate(self.spark.read.parquet(path)) if validate else {})}
-        prev = [] if (cur is None or mode == "replace") else [int(p.rsplit("=", 1)[1]) for p in cur.paths]
-        segments = prev + [n]
+        prev = [] if (cur is None or mode == "replace") else [self._segment_name(p) for p in cur.paths]
+        segments = prev + [name]
         pq.write_text(self.spark, self._marker(n), json.dumps({**facts, "segments": segments}, default=str))
         self._prune(n)
-        return Snapshot(n, tuple(self._version_path(s) for s in segments), facts)
+        return Snapshot(n, tuple(self._segment_path(s) for s in segments), facts)
 
     def touch(self, facts: dict) -> Snapshot | None:
         """Commit a new version with the same directories and updated facts
@@ -108,7 +122,7 @@ class SnapshotStore:
         if cur is None:
             return None
         n = cur.version + 1
-        segments = [int(p.rsplit("=", 1)[1]) for p in cur.paths]
+        segments = [self._segment_name(p) for p in cur.paths]
         merged = {**cur.facts, **facts}
         pq.write_text(self.spark, self._marker(n), json.dumps({**merged, "segments": segments}, default=str))
         return Snapshot(n, cur.paths, merged)
@@ -117,9 +131,8 @@ class SnapshotStore:
         """Drop directories no longer referenced by the newest ``keep`` versions."""
         live = set()
         for v in [x for x in self.committed() if x > newest - self.keep]:
-            live.update(int(p.rsplit("=", 1)[1]) for p in self._load(v).paths)
+            live.update(self._segment_name(p) for p in self._load(v).paths)
         for name in pq.list_names(self.spark, self.root):
-            if name.startswith("v=") and name[2:].isdigit():
-                n = int(name[2:])
-                if n < newest and n not in live:
+            if name.startswith("v=") and name[2:10].isdigit():
+                if self._segment_version(name) < newest and name not in live:
                     pq.delete(self.spark, f"{self.root}/{name}")

@@ -31,7 +31,10 @@ def test_end_to_end_run_twice(spark, scratch):
     assert all(s["ok"] for s in rep2.steps), rep2.steps
     assert read_gold(spark, f"{root}/gold", MASTER_TABLE).count() == n
     out = f"{scratch}/export_csv"
-    assert export_sampled_master(spark, f"{root}/gold/{MASTER_TABLE}/v=00000001", out, n_rows=50) == min(50, n)
+    from registrum.sources.store import SnapshotStore
+
+    master_paths = list(SnapshotStore(spark, f"{root}/gold/{MASTER_TABLE}").current().paths)
+    assert export_sampled_master(spark, master_paths, out, n_rows=50) == min(50, n)
     assert rep.to_df(spark).count() == 5
 
 

@@ -315,3 +315,23 @@ def test_repeated_key_in_increment_falls_back_to_dedup(spark, scratch):
     r = build_silver(spark, "etablissements", b, f"{scratch}/silver", 2026)
     got = SnapshotStore(spark, f"{scratch}/silver/etablissements").read().collect()
     assert r.total_rows == 1 and [x.enseigne1Etablissement for x in got] == ["b"]
+
+
+def test_racing_writers_cannot_both_commit_a_version(spark, scratch):
+    from registrum.sources import parquet as pq
+
+    store = SnapshotStore(spark, f"{scratch}/t")
+    store.publish(spark.createDataFrame([("a",)], "k string"), facts={"who": "first"})
+    # another writer commits version 2 between our listing and our commit
+    pq.write_text(spark, f"{scratch}/t/_commits/00000002", '{"who": "other", "segments": [1]}')
+    real_current = store.current
+
+    def stale_current():  # our writer still believes version 1 is current
+        snap = real_current()
+        return store._load(1) if snap.version == 2 else snap
+
+    store.current = stale_current
+    with pytest.raises(Exception):
+        store.publish(spark.createDataFrame([("b",)], "k string"), facts={"who": "second"})
+    store.current = real_current
+    assert store.current().facts["who"] == "other"  # the winner's commit is intact
