@@ -142,9 +142,12 @@ def table_profile(df: DataFrame, exact: bool = False) -> DataFrame:
     rows = ", ".join(
         f"'{c}', round(100.0D * (_n - nn{i}) / greatest(_n, 1), 2), d{i}, lo{i}, hi{i}" for i, c in enumerate(cols)
     )
-    return wide.selectExpr(
-        f"stack({len(cols)}, {rows}) AS (column_name, null_percentage, unique_count, min, max)"
-    )
+    out = wide.selectExpr(f"stack({len(cols)}, {rows}) AS (column_name, null_percentage, unique_count, min, max)")
+    if not exact:
+        # both names of the sketch-based count, as profile readers expect either
+        out = out.select("column_name", "null_percentage", "unique_count",
+                         F.col("unique_count").alias("approx_unique"), "min", "max")
+    return out
 
 
 def expected_columns(df: DataFrame, names: Sequence[str]) -> DataFrame:

@@ -99,3 +99,9 @@ def test_first_n_ignores_null_keys_and_stays_exact(spark):
     got = sorted(r.key for r in first_n(df, 30, "key", 7).collect())
     assert got == sorted(brute_force(keys, 30, 7))
     assert first_n(df, 80, "key", 7).count() == 50
+
+
+def test_approximate_profile_offers_both_count_names(spark):
+    df = spark.createDataFrame([("a",), ("b",), ("a",)], "s string")
+    r = P.table_profile(df, exact=False).first()
+    assert r.unique_count == r.approx_unique == 2
