@@ -7,10 +7,16 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from registrum.llm import bpe_duckdb, chat_template, pii_crf, quality_gam, quality_rules
+from registrum.llm import bpe_duckdb, chat_template, pii_crf, quality_gam, quality_rules, suffix_dedup
 from registrum.llm.common import table
 
 
+def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"))
+    removed = (F.col("n_bytes") - F.octet_length("kept")).cast("long")
+    return rows.select("doc_id", "n_bytes", removed.alias("n_removed"), F.size("removed").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = quality_rules.ledger(table(spark, sf_dir, "documents"))
     base = rows.fail_bits.bitwiseAND(F.lit(quality_rules.BASE_MASK).cast("long")) != 0
@@ -45,7 +51,7 @@ def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op2_quality_rules, op3_quality_classifier, op7_pii, op8_chat_formatting, op9_bpe)
+    f.__name__: f for f in (op1_suffix_dedup, op2_quality_rules, op3_quality_classifier, op7_pii, op8_chat_formatting, op9_bpe)
 }
 
 _WORDS = r"list_filter(regexp_split_to_array({0}, '[\x20\x09-\x0D]+'), lambda w: w <> '')"
