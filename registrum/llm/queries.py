@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from registrum.llm import bpe_duckdb, chat_template, pii_crf, quality_gam, quality_rules, suffix_dedup
-from registrum.llm.common import table
+from registrum.llm import bpe_duckdb, chat_template, pii_crf, quality_gam, quality_rules, suffix_dedup, warc
+from registrum.llm.common import shared_folder, table
 
 
 def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -31,6 +32,12 @@ def op3_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select(doc_id.alias("doc_id"), quality_gam.held_out(doc_id).alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
 
 
+def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = f"{shared_folder(spark)}/warc-{uuid.uuid4().hex}"
+    warc.write_archives(table(spark, sf_dir, "pages"), path)
+    return warc.merged_index(warc.read_runs(spark, path))
+
+
 def _joined(spans: str) -> F.Column:  # type: ignore[name-defined]
     return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s.kind, s.start.cast("string"), s.end.cast("string"))), ",")
 
@@ -51,7 +58,7 @@ def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_suffix_dedup, op2_quality_rules, op3_quality_classifier, op7_pii, op8_chat_formatting, op9_bpe)
+    f.__name__: f for f in (op1_suffix_dedup, op2_quality_rules, op3_quality_classifier, op4_warc, op7_pii, op8_chat_formatting, op9_bpe)
 }
 
 _WORDS = r"list_filter(regexp_split_to_array({0}, '[\x20\x09-\x0D]+'), lambda w: w <> '')"
