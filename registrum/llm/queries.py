@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from registrum.llm import bpe_duckdb, chat_template, pii_crf, quality_gam, quality_rules, suffix_dedup, warc
+from registrum.llm import bpe_duckdb, chat_template, fingerprints, pii_crf, quality_gam, quality_rules, soft_mixing, suffix_dedup, warc
 from registrum.llm.common import shared_folder, table
 
 
@@ -38,6 +38,10 @@ def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.merged_index(warc.read_runs(spark, path))
 
 
+def op6_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.compare_neighbours(table(spark, sf_dir, "documents"))
+
+
 def _joined(spans: str) -> F.Column:  # type: ignore[name-defined]
     return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s.kind, s.start.cast("string"), s.end.cast("string"))), ",")
 
@@ -57,8 +61,21 @@ def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_duckdb.digests(table(spark, sf_dir, "documents"))
 
 
+def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    rows, model, _ = soft_mixing.rates(docs, domains(docs, table(spark, sf_dir, "labels")))
+    posterior = [F.get("posterior", F.lit(k)).alias(f"posterior_{name}") for k, name in enumerate(model.domains)]
+    return rows.select("doc_id", F.col("tokens").alias("n_tokens"), *posterior, "rate", "copies")
+
+
+def domains(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """The labelled table of domains: the language marks of the documents that labels covers. The
+    classifier's sample is taken from it by hash, so only its ids meet the texts."""
+    return docs.select(docs["doc_id"], docs["lang"].alias("domain")).join(labels.select("doc_id").distinct(), "doc_id")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_suffix_dedup, op2_quality_rules, op3_quality_classifier, op4_warc, op7_pii, op8_chat_formatting, op9_bpe)
+    f.__name__: f for f in (op1_suffix_dedup, op2_quality_rules, op3_quality_classifier, op4_warc, op6_fingerprints, op7_pii, op8_chat_formatting, op9_bpe, op10_mixing)
 }
 
 _WORDS = r"list_filter(regexp_split_to_array({0}, '[\x20\x09-\x0D]+'), lambda w: w <> '')"
