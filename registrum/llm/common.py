@@ -81,3 +81,22 @@ def written(df: DataFrame, name: str) -> DataFrame:
     path = f"{shared_folder(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Give the executors this package, unless their PYTHONPATH has it already."""
+    import os
+    import zipfile
+    from pathlib import Path
+    from tempfile import mkdtemp
+
+    package = Path(__file__).resolve().parents[1]
+    context = spark.sparkContext
+    listed = [os.path.realpath(x) for x in os.environ.get("PYTHONPATH", "").split(os.pathsep) if x]
+    if str(package.parent) in listed or any(x.endswith(f"/{package.name}.zip") for x in context.listFiles):
+        return
+    path = Path(mkdtemp(prefix="package-")) / f"{package.name}.zip"
+    with zipfile.ZipFile(path, "w") as out:
+        for file in sorted(package.rglob("*.py")):
+            out.write(file, file.relative_to(package.parent))
+    context.addPyFile(str(path))

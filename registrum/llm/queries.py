@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
+import functools
 import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from registrum.llm import bpe_duckdb, chat_template, fingerprints, pii_crf, quality_gam, quality_rules, soft_mixing, suffix_dedup, warc
-from registrum.llm.common import shared_folder, table
+from registrum.llm import bpe_duckdb, chat_template, fingerprints, jaccard_join, pii_crf, quality_gam, quality_rules, soft_mixing, suffix_dedup, warc
+from registrum.llm.common import shared_folder, ship_package, table
 
 
 def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -38,6 +39,10 @@ def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.merged_index(warc.read_runs(spark, path))
 
 
+def op5_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.join_components(table(spark, sf_dir, "documents"), words=3, percent=90)
+
+
 def op6_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.compare_neighbours(table(spark, sf_dir, "documents"))
 
@@ -74,8 +79,22 @@ def domains(docs: DataFrame, labels: DataFrame) -> DataFrame:
     return docs.select(docs["doc_id"], docs["lang"].alias("domain")).join(labels.select("doc_id").distinct(), "doc_id")
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_suffix_dedup, op2_quality_rules, op3_quality_classifier, op4_warc, op6_fingerprints, op7_pii, op8_chat_formatting, op9_bpe, op10_mixing)
+Query = Callable[[SparkSession, str], DataFrame]
+
+
+def shipped(query: Query) -> Query:
+    """The query with the package on the executors, whatever their working folder."""
+
+    @functools.wraps(query)
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        ship_package(spark)
+        return query(spark, sf_dir)
+
+    return run
+
+
+QUERIES: dict[str, Query] = {
+    f.__name__: shipped(f) for f in (op1_suffix_dedup, op2_quality_rules, op3_quality_classifier, op4_warc, op5_jaccard_join, op6_fingerprints, op7_pii, op8_chat_formatting, op9_bpe, op10_mixing)
 }
 
 _WORDS = r"list_filter(regexp_split_to_array({0}, '[\x20\x09-\x0D]+'), lambda w: w <> '')"
