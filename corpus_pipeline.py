@@ -12,8 +12,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from registrum.llm import bpe_duckdb, pii_crf, quality_gam
-from registrum.llm.common import table, written
+from registrum.llm import bpe_duckdb, jaccard_join, pii_crf, quality_gam, soft_mixing
+from registrum.llm.common import ship_package, table, written
+from registrum.llm.queries import domains
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
@@ -24,29 +25,55 @@ def _columns(df: DataFrame) -> list:
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality classifier accepts (score of 0.3 or more)."""
+    """Documents that the quality classifier accepts (score of 0.3 or more), row by row."""
     scored = quality_gam.score(docs, quality_gam.learn(docs, table(spark, sf_dir, "labels")))
     return scored.where("score >= 0.3").select(*_columns(scored))
 
 
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of linked ones (five-word shingles, similarity of 0.8 or more): that
+    with the smallest doc_id. Rows that share a doc_id are one document: of them the one whose row has
+    the smallest hash stays. Rows with a null doc_id link with nothing and stay."""
+    groups = jaccard_join.join_components(docs, words=5, percent=80)
+    first = groups.where("doc_id = component_id").groupBy("doc_id").agg(F.count("*").alias("rows"))
+    first = written(first, "kept-documents")
+    key = docs["doc_id"].cast("long")
+    once = docs.join(first.where("rows = 1").select(F.col("doc_id").alias("kept_id")), key == F.col("kept_id"), "left_semi")
+    repeated = docs.join(first.where("rows > 1").select(F.col("doc_id").alias("kept_id")), key == F.col("kept_id"), "left_semi")
+    chosen = repeated.select(repeated["doc_id"].alias("kept_id"), F.struct("*").alias("row")).groupBy("kept_id").agg(F.min_by("row", F.xxhash64("row")).alias("row"))
+    return once.union(chosen.select(*_columns(chosen))).union(docs.where(key.isNull()))
+
+
 def pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Personal data replaced by its kind; n_chars follows the text."""
     return pii_crf.redacted(docs)
 
 
+def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The languages mixed to their target weights by repeating rows; no document is lost."""
+    return soft_mixing.mixed(docs, domains(docs, table(spark, sf_dir, "labels")))
+
+
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The kept documents' ids: all columns, with `ids` (binary, little-endian 32-bit) and n_tokens."""
+    """All rows with `ids` (binary, little-endian 32-bit) and n_tokens."""
     encoded = bpe_duckdb.encode(docs)
     return encoded.select(*_columns(encoded), "ids", F.expr("octet_length(ids) div 4").alias("n_tokens"))
 
 
-STAGES: list[tuple[str, Stage]] = [("quality classifier", quality), ("PII", pii), ("byte-level BPE", encode)]
+STAGES: list[tuple[str, Stage]] = [
+    ("quality classifier", quality),
+    ("n-gram Jaccard join", near_duplicates),
+    ("PII", pii),
+    ("mixing", mixing),
+    ("byte-level BPE", encode),
+]
 
 #: SQL can express neither the classifier nor the random field; tests compare with brute force.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship_package(spark)
     docs = table(spark, sf_dir, "documents")
     for i, (_, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)
