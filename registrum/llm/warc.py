@@ -2,11 +2,11 @@
 
 Writing. Each page becomes one record. Of pages with equal payloads (of at least `min_bytes` bytes) the
 one with the smallest page_id is a response, the others revisit it and carry no payload. The smallest
-id per digest is a partially aggregated minimum; the join back is on the digest, where adaptive execution splits
-a digest that very many pages share. Records are written by Spark's text writer (a record's text is
+id per digest is a partially aggregated minimum; the join back, of ids and digests alone, is on the digest,
+where adaptive execution splits one that very many pages share. Records are written by Spark's text writer (a record's text is
 valid UTF-8, its last two line ends are the line separator), gzip-compressed, so a lost executor only
 costs its tasks. Archives are of bounded size: pages are dealt to them by a hash, in numbers that
-follow the total of bytes.
+follow the total of bytes (and the shuffle partitions, if those are more).
 
 Reading. Archives are read as binary files, each parsed by Content-Length, so a payload may hold
 anything, even text that looks like a record.
@@ -40,21 +40,29 @@ EPOCH = 1704067200  # capture time of page 0 (2024-01-01, UTC); page n was captu
 MAX_SPLITTERS = 4096
 
 
-def base32_sha1(data: Column) -> Column:
-    """Bare upper-case base32 of the SHA-1: five hex digits are four base-32 digits, forty bits at a time."""
-    digest = F.sha1(data)
+def base32(digest: Column) -> Column:
+    """A SHA-1 in hex as bare upper-case base32: forty bits, ten hex digits, at a time."""
     part = lambda i: F.lpad(F.lower(F.conv(F.substring(digest, 1 + 10 * i, 10), 16, 32)), 8, "0")
     return F.translate(F.concat(*map(part, range(4))), "0123456789abcdefghijklmnopqrstuv", "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567")
 
 
-def records(pages: DataFrame, min_bytes: int = 0) -> DataFrame:
-    """(page_id, url, digest, size, refers_to, html): refers_to is null for responses."""
-    rows = pages.select(
+def _payloads(pages: DataFrame) -> DataFrame:
+    return pages.select(
         pages["page_id"].cast("long").alias("page_id"), F.coalesce(pages["url"].cast("string"), F.lit("")).alias("url"), F.coalesce(pages["html"].cast("string"), F.lit("")).alias("html"),
-    ).withColumns({"digest": base32_sha1(F.col("html").cast("binary")), "size": F.octet_length("html").cast("long")})
-    first = rows.where(F.col("size") >= min_bytes).groupBy("digest").agg(F.min("page_id").alias("first"))
-    joined = rows.join(first, "digest", "left")
-    return joined.select("page_id", "url", "digest", "size", F.when((F.col("first") < F.col("page_id")) & (F.col("size") >= min_bytes), F.col("first")).alias("refers_to"), "html")
+    ).withColumns({"sha": F.sha1(F.col("html").cast("binary")), "size": F.octet_length("html").cast("long")})
+
+
+def records(pages: DataFrame, min_bytes: int = 0, parts: int | None = None) -> DataFrame:
+    """(page_id, sha, url, html, size, refers_to, digest): refers_to is null for responses.
+
+    Which pages revisit which is found on page ids and digests alone; the payloads are shuffled once, to
+    `parts` partitions by page, where the revisits meet them."""
+    rows = _payloads(pages)
+    keys = rows.where(F.col("size") >= min_bytes).select("page_id", "sha").where("page_id IS NOT NULL")
+    first = keys.groupBy("sha").agg(F.min("page_id").alias("refers_to"))
+    revisits = keys.join(first, "sha").where("refers_to < page_id").select(F.col("page_id"), F.col("sha"), "refers_to").distinct()
+    parts = max(parts or 1, int(pages.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    return rows.repartition(parts, "page_id", "sha").join(revisits, ["page_id", "sha"], "left").withColumn("digest", base32(F.col("sha")))
 
 
 def _clean(url: Column) -> Column:
@@ -88,9 +96,7 @@ def write_archives(pages: DataFrame, path: str, min_bytes: int = 0, archive_byte
     """
     total = pages.agg(F.sum(F.octet_length("html")).alias("bytes"), F.count("*").alias("rows")).first()
     archives = max(1, -(-((total["bytes"] or 0) + 600 * total["rows"]) // archive_bytes))
-    texts = record_text(records(pages, min_bytes))
-    dealt = texts.repartition(archives, F.xxhash64("page_id", F.octet_length("record")))
-    dealt.select("record").write.option("lineSep", "\r\n").option("compression", "gzip").text(path)
+    record_text(records(pages, min_bytes, archives)).select("record").write.option("lineSep", "\r\n").option("compression", "gzip").text(path)
 
 
 def parse(data: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
