@@ -15,7 +15,7 @@ from __future__ import annotations
 import argparse
 import json
 import sys
-from datetime import datetime
+from datetime import UTC, datetime
 
 from pyspark.sql import SparkSession
 
@@ -75,7 +75,7 @@ def main(argv: list[str] | None = None) -> int:
             spark,
             {"etablissements": a.establishments, "unites_legales": a.legal_units},
             a.root,
-            datetime.now(),
+            datetime.now(UTC).replace(tzinfo=None),  # as the stream stamps its batches
             a.as_of_year,
             a.limit,
             deps,
@@ -100,6 +100,9 @@ def main(argv: list[str] | None = None) -> int:
         _show("quality", R.silver_quality(spark, silver))
         _show("profile", R.silver_profile(spark, silver), 200)
         _show("region distribution", R.silver_region_distribution(spark, silver))
+        _show("distributions", R.silver_distributions(spark, silver))
+        _show("ages", R.silver_ages(spark, silver))
+        _show("top departments", R.silver_top_departments(spark, silver))
         return 0
 
     if a.cmd == "check-gold":

@@ -12,6 +12,7 @@ from registrum.functions.columns import ntz
 from registrum.operators.clean import batch_id_of
 from registrum.operators.joins import DEFAULT_BROADCAST_BYTES, fits_broadcast
 from registrum.operators.sample import first_n
+from registrum.sources.staging import staged
 from registrum.spec import BATCH_ID, INGESTED_AT
 
 
@@ -33,13 +34,25 @@ def empty_like(df: DataFrame, run_ts: datetime) -> DataFrame:
 
 def dedup_batch(source: DataFrame, pk: str) -> DataFrame:
     """One row per key inside a source batch: the smallest row by its other
-    columns. ``min(struct)`` aggregates partially per task, so a hot key never
-    reaches one reducer whole."""
+    columns, a NULL counting as larger than any value (the fuller row stays).
+
+    Only rows of repeated keys are compared: they are found on the key column
+    alone, all others pass untouched. ``min(struct)`` aggregates partially per
+    task, so a hot key never reaches one reducer whole."""
     rest = [c for c in source.columns if c != pk]
     if not rest:
         return source.select(pk).distinct()
-    agg = source.groupBy(pk).agg(F.min(F.struct(*rest)).alias("_r"))
-    return agg.select(pk, *[F.col(f"_r.{c}").alias(c) for c in rest]).select(*source.columns)
+    repeated = source.groupBy(pk).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > 1).select(F.col(pk).alias("_rk"))
+    repeated = staged(repeated, "repeated-keys")
+    if repeated.isEmpty():
+        return source
+    if fits_broadcast(repeated, DEFAULT_BROADCAST_BYTES):
+        repeated = F.broadcast(repeated)
+    once = source.join(repeated, source[pk].eqNullSafe(F.col("_rk")), "left_anti")
+    several = source.join(repeated, source[pk].eqNullSafe(F.col("_rk")), "left_semi")
+    ranked = F.struct(*[x for c in rest for x in (F.col(c).isNull().alias(f"_null_{c}"), F.col(c).alias(c))])
+    least = several.groupBy(pk).agg(F.min(ranked).alias("_r"))
+    return once.unionByName(least.select(pk, *[F.col(f"_r.{c}").alias(c) for c in rest]).select(*source.columns))
 
 
 def new_keys(source: DataFrame, known_keys: DataFrame, pk: str) -> DataFrame:
@@ -79,7 +92,8 @@ def new_rows(
     """
     keyed = source.filter(F.col(pk).isNotNull())
     if known_keys is not None:
-        fresh = new_keys(source, known_keys, pk)
+        # staged once: measured, and joined, without a second anti-join
+        fresh = staged(new_keys(source, known_keys, pk), "new-keys")
         if max_broadcast_bytes is not None and fits_broadcast(fresh, max_broadcast_bytes):
             fresh = F.broadcast(fresh)
         keyed = keyed.join(fresh, on=pk, how="left_semi")
@@ -96,7 +110,8 @@ def new_rows(
 
 def cap(df: DataFrame, limit: int, pk: str, seed: int = 0) -> DataFrame:
     """``limit`` > 0: exactly min(limit, rows) rows, chosen by a seeded hash of
-    the key (the reference's unordered LIMIT made reproducible)."""
+    the key (an unordered LIMIT made reproducible); rows without key and rows
+    that share one take part like any other."""
     if not limit or limit <= 0:
         return df
     return first_n(df, limit, pk, seed)

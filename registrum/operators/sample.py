@@ -1,16 +1,17 @@
 """Exact, reproducible first-n by a seeded hash order, without funnelling the
 data through one task.
 
-A plain ``orderBy(h).limit(n)`` makes every task keep its own top n and merges
-them in one task: up to tasks x n rows. Here the hash is uniform, so one
-aggregate pass counts the rows under a ladder of hash-prefix cut-offs (every
-power of two of the 32-bit prefix space); the smallest cut-off holding at
-least n rows selects the candidates. Only those candidates (fewer than about
-2n keys, at any table size) are ranked to find the exact n-th
-(hash, key) pair, and the rows are then taken by a distributed filter
-``(hash, key) <= threshold``. Three passes in all, the first two over the key
-column only when the input is a Parquet table; the result is always exact.
-Keys are expected to be unique (rows sharing a key tie and are kept together).
+Rows are ordered by ``(md5('seed|key'), key is NULL, key, hash of the row)``. A
+plain ``orderBy().limit(n)`` makes every task keep its own top n and merges them
+in one task: up to tasks x n rows. Here the first hash is uniform, so a count of
+rows per equal part of its range (``PARTS`` numbers) shows which part holds the
+n-th row; that part is divided again until it holds few rows, and only those
+are ranked. The hashes are staged once (key, two hashes), so the input itself
+is read twice: to hash it and to take the rows.
+
+A NULL key has its place in the order like any other, rows that share a key are
+told apart by the row hash, and of wholly equal rows exactly as many are taken
+as are missing. So the result has exactly ``min(n, rows)`` rows, always.
 """
 
 from __future__ import annotations
@@ -19,45 +20,64 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from registrum.functions.columns import sample_key
+from registrum.sources.staging import staged
 
-_PREFIX = 8  # hex digits of the hash used for the candidate range
-_SPACE = 16**_PREFIX  # 2**32 prefix values
+PARTS = 4096
+#: A part of at most this many rows is ranked; larger ones are divided.
+RANKED = 50_000
+_RANGE = 1 << 60  # the first fifteen hex digits of the hash
 
 
-def _ladder() -> list[str]:
-    """Hex cut-offs at every power of two of the prefix space: whatever the
-    row count, the smallest cut-off holding n rows holds fewer than about 2n."""
-    return [format(1 << k, f"0{_PREFIX}x") for k in range(32)]
+def _order_columns(df: DataFrame, key: str, seed: int) -> dict:
+    k = F.col(key)
+    h = F.coalesce(sample_key(seed, k), F.md5(F.lit(f"{seed}|")))
+    return {
+        "_h": h,
+        "_p": F.conv(F.substring(h, 1, 15), 16, 10).cast("long"),
+        "_r": F.xxhash64(*[F.col(c) for c in df.columns]),
+    }
 
 
 def first_n(df: DataFrame, n: int, key: str, seed: int) -> DataFrame:
-    """The ``n`` rows with the smallest ``(md5('seed|key'), key)``; rows with a
-    NULL key have no place in that order and are never selected."""
+    """The ``n`` first rows in the seeded order; all rows if there are no more."""
     if n <= 0:
         return df.limit(0)
-    df = df.filter(F.col(key).isNotNull())
-    hashed = df.withColumn("_h", sample_key(seed, F.col(key)))
-    prefix = F.substring("_h", 1, _PREFIX)
-    cuts = _ladder()
-    counts = hashed.agg(
-        F.count(F.lit(1)).alias("total"),
-        *[F.count_if(prefix < F.lit(c)).alias(f"c{i}") for i, c in enumerate(cuts)],
-    ).first()
-    if counts["total"] <= n:
+    marked = df.withColumns(_order_columns(df, key, seed))
+    hashes = staged(marked.select("_p", "_h", F.col(key).isNull().alias("_null"), F.col(key).alias("_k"), "_r"), "sample-order")
+    low, width, below, inside = 0, _RANGE, 0, hashes.count()
+    if inside <= n:
         return df
-    cut = next((c for i, c in enumerate(cuts) if counts[f"c{i}"] >= n), None)
-    cand = hashed if cut is None else hashed.filter(prefix < F.lit(cut))
-    # n-th smallest (hash, key) among the candidates: fewer than about 2n keys.
-    thr = (
-        cand.select("_h", F.col(key).alias("_k"))
-        .orderBy("_h", "_k")
-        .limit(n)
-        .agg(F.max(F.struct("_h", "_k")).alias("t"))
-        .first()["t"]
-    )
-    th, tk = thr["_h"], thr["_k"]
-    keep = (F.col("_h") < F.lit(th)) | ((F.col("_h") == F.lit(th)) & (F.col(key) <= F.lit(tk)))
-    return hashed.filter(keep).drop("_h")
+    while inside > RANKED and width > PARTS:
+        part = width // PARTS
+        of_part = hashes.filter((F.col("_p") >= low) & (F.col("_p") < low + width))
+        counts = of_part.groupBy(F.least(F.floor((F.col("_p") - low) / part), F.lit(PARTS - 1)).alias("i")).count().collect()
+        for i, rows in sorted((r["i"], r["count"]) for r in counts):
+            if below + rows >= n:
+                last = i == PARTS - 1
+                low, width, inside = low + i * part, width - i * part if last else part, rows
+                break
+            below += rows
+    place = ["_h", "_null", "_k", "_r"]
+    candidates = hashes.filter((F.col("_p") >= low) & (F.col("_p") < low + width)).select(*place)
+    end = candidates.orderBy(*place).limit(n - below).groupBy().agg(F.max(F.struct(*place)).alias("t")).first()["t"]
+    ties = candidates.filter(F.struct(*place) == _literal(candidates, place, end)).count()
+    before = candidates.filter(F.struct(*place) < _literal(candidates, place, end)).count()
+    here = marked.withColumn("_null", F.col(key).isNull()).withColumn("_k", F.col(key))
+    point = F.struct(*place)
+    limit = _literal(here, place, end)
+    taken = here.filter((F.col("_p") < low) | ((F.col("_p") < low + width) & (point < limit)))
+    missing = n - below - before
+    equal = here.filter((F.col("_p") >= low) & (F.col("_p") < low + width) & (point == limit))
+    if missing >= ties:
+        out = here.filter((F.col("_p") < low) | ((F.col("_p") < low + width) & (point <= limit)))
+    else:  # wholly equal rows: any of them
+        out = taken.unionByName(equal.limit(missing))
+    return out.select(*df.columns)
+
+
+def _literal(df: DataFrame, names: list[str], values) -> F.Column:  # type: ignore[name-defined]
+    types = {f.name: f.dataType for f in df.schema.fields}
+    return F.struct(*[F.lit(values[c]).cast(types[c]).alias(c) for c in names])
 
 
 def hash_sample(df: DataFrame, n: int, key: str, seed: int = 42) -> DataFrame:

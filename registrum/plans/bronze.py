@@ -23,6 +23,43 @@ from registrum.sources import parquet as pq
 from registrum.spec import BATCH_ID, bronze_pk
 
 
+class StaleBatch(ValueError):
+    """The run's timestamp is older than a batch that is there or that Silver has read."""
+
+
+#: Names of the empty files below this folder of a Bronze table are batches that Silver has read.
+READ_BY_SILVER = "_read_by_silver"
+
+
+def batches(spark: SparkSession, bronze_path: str) -> list[int]:
+    """``batch_id`` partition values present in Bronze, ascending (a listing,
+    no data read)."""
+    prefix = f"{BATCH_ID}="
+    names = pq.list_names(spark, bronze_path)
+    return sorted(int(n[len(prefix) :]) for n in names if n.startswith(prefix) and n[len(prefix) :].isdigit())
+
+
+def seal(spark: SparkSession, bronze_path: str, batch_id: int) -> None:
+    """Note that Silver has read every batch up to this one."""
+    pq.write_text(spark, f"{bronze_path.rstrip('/')}/{READ_BY_SILVER}/{batch_id}", "", overwrite=True)
+
+
+def sealed(spark: SparkSession, bronze_path: str) -> int | None:
+    names = [int(n) for n in pq.list_names(spark, f"{bronze_path.rstrip('/')}/{READ_BY_SILVER}") if n.isdigit()]
+    return max(names, default=None)
+
+
+def require_new_batch(spark: SparkSession, bronze_path: str, run_ts: datetime) -> None:
+    """Batches come in the order of time: Silver reads on from the last it has seen, so
+    an older one would never reach it. The newest may be written again (a retry) until
+    Silver has read it."""
+    own, there, read = batch_id_of(run_ts), batches(spark, bronze_path), sealed(spark, bronze_path)
+    if there and own < there[-1]:
+        raise StaleBatch(f"{bronze_path}: batch {own} is older than batch {there[-1]}, which is there already")
+    if read is not None and own <= read:
+        raise StaleBatch(f"{bronze_path}: Silver has read up to batch {read}; batch {own} would be missed")
+
+
 @dataclass(frozen=True)
 class BronzeResult:
     dataset: str
@@ -50,7 +87,8 @@ def ingest_increment(
     limit: int = 0,
     keep_null_keys: bool = False,
 ) -> DataFrame:
-    """The rows this run appends (lazy): unknown keys, deduplicated, capped."""
+    """The rows this run appends: unknown keys, deduplicated, capped. The unknown keys
+    (and, with a cap, the row order) are staged when this is called; the rest is lazy."""
     pk = bronze_pk(dataset_name)
     registry = known_keys(spark, bronze_path, pk, exclude_batch=batch_id_of(run_ts))
     fresh = new_rows(source, registry, pk, keep_null_keys=keep_null_keys)
@@ -66,12 +104,13 @@ def ingest_bronze(
     limit: int = 0,
     keep_null_keys: bool = False,
 ) -> BronzeResult:
-    """Append this run's unknown rows to Bronze; returns counts observed during
-    the write (no extra pass)."""
+    """Append this run's unknown rows to Bronze; the new rows are counted during the
+    write, NULL keys on the key column."""
+    require_new_batch(spark, bronze_path, run_ts)
     source = spark.read.parquet(source_path) if isinstance(source_path, str) else source_path
     pk = bronze_pk(dataset_name)
-    null_obs = Observation(f"bronze_src_{dataset_name}")
-    source = source.observe(null_obs, F.count_if(F.col(pk).isNull()).alias("null_keys"))
+    # counted on the key column alone; an observation would be answered by whichever job runs first
+    nulls = source.filter(F.col(pk).isNull()).count()
     rows = ingest_increment(spark, source, bronze_path, dataset_name, run_ts, limit, keep_null_keys)
     obs = Observation(f"bronze_{dataset_name}")
     rows = rows.observe(obs, F.count(F.lit(1)).alias("new_rows"))
@@ -82,7 +121,6 @@ def ingest_bronze(
         .parquet(bronze_path)
     )
     added = int(obs.get.get("new_rows", 0))
-    nulls = int(null_obs.get.get("null_keys", 0)) if null_obs.get else 0
     written = pq.read_if_any(spark, bronze_path)
     total = written.count() if written is not None else 0
     return BronzeResult(dataset_name, batch_id_of(run_ts), added, nulls, total)

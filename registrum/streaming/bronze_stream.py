@@ -2,26 +2,41 @@
 
 New stock files dropped into a directory are picked up with
 ``trigger(availableNow=True)`` and each micro-batch goes through the same
-anti-join ingestion as the batch job (``foreachBatch``). The streaming
-checkpoint records which files were consumed; the Bronze write itself is
-idempotent (unknown keys only, dynamic overwrite of the run's own batch
-partition), so a micro-batch replayed after a failure appends nothing twice.
+anti-join ingestion as the batch job (``foreachBatch``), whole: there is no row
+cap, as the checkpoint takes a file as consumed.
+
+The streaming checkpoint records which files were consumed. The batch id of an
+epoch is chosen at its first attempt (now in UTC, after the newest batch) and
+kept beside the checkpoint, so a micro-batch that is replayed after a failure
+overwrites its own partition and appends nothing twice. One that Silver has
+read meanwhile was complete and is left as it is.
 """
 
 from __future__ import annotations
 
-from datetime import UTC, datetime
+from datetime import UTC, datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from registrum.plans.bronze import ingest_bronze
+from registrum.operators.clean import EPOCH, batch_id_of
+from registrum.plans.bronze import batches, ingest_bronze, sealed
 from registrum.session import ensure_checkpoint_dir
+from registrum.sources import parquet as pq
 
 
-def _run_ts() -> datetime:
-    return datetime.now(UTC).replace(tzinfo=None)
+def epoch_timestamp(spark: SparkSession, folder: str, epoch_id: int, bronze_path: str) -> datetime:
+    """The run timestamp of an epoch: the one kept for it, or a new one later than every batch."""
+    path = f"{folder}/{epoch_id}"
+    if pq.exists(spark, path) and (kept := pq.read_text(spark, path)):
+        return EPOCH + timedelta(microseconds=int(kept))
+    there = [*batches(spark, bronze_path), *filter(None, [sealed(spark, bronze_path)])]
+    own = max(batch_id_of(datetime.now(UTC).replace(tzinfo=None)), max(there, default=0) + 1)
+    if pq.exists(spark, path):
+        pq.delete(spark, path)
+    pq.write_text_once(spark, path, str(own))
+    return EPOCH + timedelta(microseconds=own)
 
 
 def start_bronze_stream(
@@ -31,7 +46,6 @@ def start_bronze_stream(
     bronze_path: str,
     dataset_name: str,
     checkpoint_location: str | None = None,
-    limit: int = 0,
     keep_null_keys: bool = False,
     max_files_per_trigger: int | None = None,
 ) -> StreamingQuery:
@@ -39,9 +53,15 @@ def start_bronze_stream(
         # the shared folder the cluster names; set only where it is unset (tests)
         base = ensure_checkpoint_dir(spark)
         checkpoint_location = f"{base.rstrip('/')}/bronze_stream_{dataset_name}"
+    epochs = f"{checkpoint_location.rstrip('/')}-epochs"
 
     def write_batch(batch: DataFrame, epoch_id: int) -> None:
-        ingest_bronze(batch.sparkSession, batch, bronze_path, dataset_name, _run_ts(), limit, keep_null_keys)
+        session = batch.sparkSession
+        run_ts = epoch_timestamp(session, epochs, epoch_id, bronze_path)
+        read = sealed(session, bronze_path)
+        if read is not None and batch_id_of(run_ts) <= read:
+            return  # written before, and read by Silver since
+        ingest_bronze(session, batch, bronze_path, dataset_name, run_ts, 0, keep_null_keys)
 
     reader = spark.readStream.schema(schema)
     if max_files_per_trigger:

@@ -12,14 +12,15 @@ def _source(spark, scratch, rows, schema="siret string, data string"):
     return path
 
 
-def test_bronze_idempotency(spark, scratch):
-    src = _source(spark, scratch, [("11122233344455", "Company A"), ("66677788899900", "Company B")])
+def test_second_run_of_the_same_stock_adds_nothing(spark, scratch):
+    rows = [("30120045600017", "Boulangerie du Pont"), ("41255500100026", None), ("41255500100026", "Garage Est"), (None, "sans numéro")]
+    src = _source(spark, scratch, rows)
     bronze = f"{scratch}/bronze"
-    r1 = ingest_bronze(spark, src, bronze, "etablissements_test", T1, limit=0)
-    assert (r1.new_rows, r1.total_rows) == (2, 2)
-    r2 = ingest_bronze(spark, src, bronze, "etablissements_test", T2, limit=0)
-    assert (r2.new_rows, r2.total_rows) == (0, 2)
-    assert spark.read.parquet(bronze).count() == 2
+    first = ingest_bronze(spark, src, bronze, "etablissements_stock", T1)
+    assert (first.new_rows, first.null_keys, first.total_rows) == (2, 1, 2)
+    second = ingest_bronze(spark, src, bronze, "etablissements_stock", T2)
+    assert (second.new_rows, second.null_keys, second.total_rows) == (0, 1, 2)
+    assert {(r.siret, r.data) for r in spark.read.parquet(bronze).collect()} == {("30120045600017", "Boulangerie du Pont"), ("41255500100026", "Garage Est")}
 
 
 def test_insert_only_first_write_wins(spark, scratch):
@@ -102,3 +103,37 @@ def test_first_load_dedups_only_when_a_key_repeats(spark, scratch):
     assert got == {"1": "a", "2": "c"}  # smallest row by the other columns
     assert keys_unique(spark.read.parquet(f"{scratch}/b1"), "siret")
     assert not keys_unique(spark.read.parquet(dup), "siret")
+
+
+def test_registry_schema_without_rows(spark):
+    from registrum.operators.ingest import empty_like
+
+    df = empty_like(spark.createDataFrame([("1", 2.5)], "siret string, x double"), T1)
+    assert df.dtypes == [("siret", "string"), ("x", "double"), ("ingested_at", "timestamp_ntz"), ("batch_id", "bigint")]
+    assert df.collect() == []
+
+
+def test_cap_above_the_input_is_no_cap(spark, scratch):
+    src = _source(spark, scratch, [(str(i) if i % 2 else None, "x") for i in range(60)])
+    free = ingest_bronze(spark, src, f"{scratch}/b0", "etablissements", T1, keep_null_keys=True)
+    capped = ingest_bronze(spark, src, f"{scratch}/b1", "etablissements", T1, limit=1_000_000, keep_null_keys=True)
+    assert free.total_rows == capped.total_rows == 60
+    assert ingest_bronze(spark, src, f"{scratch}/b2", "etablissements", T1, limit=45, keep_null_keys=True).total_rows == 45
+
+
+def test_batches_come_in_the_order_of_time(spark, scratch):
+    import pytest
+
+    from registrum.plans.bronze import StaleBatch, batches, seal
+
+    bronze = f"{scratch}/bronze"
+    ingest_bronze(spark, _source(spark, scratch, [("1", "x")]), bronze, "etablissements", T2)
+    more = _source(spark, scratch, [("1", "x"), ("2", "y")])
+    with pytest.raises(StaleBatch):
+        ingest_bronze(spark, more, bronze, "etablissements", T1)
+    assert ingest_bronze(spark, more, bronze, "etablissements", T2).total_rows == 2  # a retry
+    seal(spark, bronze, batches(spark, bronze)[-1])
+    with pytest.raises(StaleBatch):
+        ingest_bronze(spark, more, bronze, "etablissements", T2)
+    assert ingest_bronze(spark, more, bronze, "etablissements", T3).new_rows == 0
+    assert spark.read.parquet(bronze).count() == 2

@@ -93,12 +93,30 @@ def test_cluster_conf_scales_partitions():
     assert big["spark.sql.autoBroadcastJoinThreshold"] == "-1"
 
 
-def test_first_n_ignores_null_keys_and_stays_exact(spark):
+def test_first_n_counts_rows_without_key(spark):
     keys = [f"k{i}" for i in range(50)]
     df = spark.createDataFrame([(k,) for k in keys] + [(None,)] * 200, "key string")
-    got = sorted(r.key for r in first_n(df, 30, "key", 7).collect())
-    assert got == sorted(brute_force(keys, 30, 7))
-    assert first_n(df, 80, "key", 7).count() == 50
+    for n in (1, 30, 80, 249, 250, 1_000_000):
+        assert first_n(df, n, "key", 7).count() == min(n, 250)
+    assert first_n(df, 250, "key", 7).filter("key IS NULL").count() == 200
+
+
+def test_first_n_is_exact_with_repeated_keys(spark):
+    rows = [(f"k{i}", j % 4) for i in range(10) for j in range(10)]
+    df = spark.createDataFrame(rows, "key string, v int").repartition(3)
+    for n in (1, 5, 13, 99, 100, 101):
+        one = sorted(map(tuple, first_n(df, n, "key", 42).collect()))
+        assert len(one) == min(n, 100) and one == sorted(map(tuple, first_n(df.repartition(7), n, "key", 42).collect()))
+
+
+def test_first_n_divides_large_parts(spark, monkeypatch):
+    from registrum.operators import sample
+
+    monkeypatch.setattr(sample, "RANKED", 3)
+    monkeypatch.setattr(sample, "PARTS", 8)
+    keys = [f"k{i:05d}" for i in range(400)]
+    df = spark.createDataFrame([(k,) for k in keys], "key string")
+    assert sorted(r.key for r in first_n(df, 123, "key", 1).collect()) == sorted(brute_force(keys, 123, 1))
 
 
 def test_approximate_profile_offers_both_count_names(spark):
