@@ -38,6 +38,9 @@ def prefix_in(c: Column, prefixes: Iterable[str]) -> Column:
     Same truth table (NULL and short strings included), but Parquet receives
     it as pushed ``StringStartsWith`` filters instead of a post-scan filter.
     """
+    prefixes = list(prefixes)
+    if len({len(p) for p in prefixes}) > 1:
+        raise ValueError(f"prefixes of one length only: {prefixes}")
     preds = [c.startswith(p) for p in prefixes]
     return functools.reduce(operator.or_, preds)
 
@@ -47,9 +50,11 @@ def first_chars(c: Column, n: int = 2) -> Column:
 
 
 def clamp_date(c: Column) -> Column:
-    """NULL outside [1678-01-01, 2261-12-31]; both bounds are kept."""
+    """NULL outside [1678-01-01, 2261-12-31]; both bounds are kept. ``c`` is a date
+    or a timestamp; text is parsed first (``lenient_timestamp``)."""
     lo, hi = F.lit(DATE_LOWER).cast("date"), F.lit(DATE_UPPER).cast("date")
-    return F.when(c < lo, F.lit(None)).when(c > hi, F.lit(None)).otherwise(c)
+    day = c.cast("date")
+    return F.when(day < lo, F.lit(None)).when(day > hi, F.lit(None)).otherwise(c)
 
 
 def lenient_timestamp(c: Column, dtype: T.DataType) -> Column:

@@ -51,6 +51,9 @@ def increment_predicates(df: DataFrame, spec: DatasetSpec, mark: datetime, depar
     if BATCH_ID in df.columns:
         preds.append(F.col(BATCH_ID) > F.lit(batch_id_of(mark)))
     if spec.region_filtered and departments and spec.postal_column:
+        wrong = [d for d in departments if len(d) != 2]
+        if wrong:
+            raise ValueError(f"a department is the first two characters of a postal code, not {wrong}")
         preds.append(prefix_in(F.col(spec.postal_column), departments))
     return preds
 
@@ -59,12 +62,16 @@ def select_increment(
     bronze: DataFrame, spec: DatasetSpec, mark: datetime, departments: Sequence[str]
 ) -> DataFrame:
     """Rows newer than ``mark`` (and in the region), configured columns only,
-    creation date clamped to the supported range."""
+    creation date clamped to the supported range. A creation date that comes as
+    text is parsed before it is clamped, so a malformed one is NULL."""
     cond = functools.reduce(operator.and_, increment_predicates(bronze, spec, mark, departments))
-    cols = [
-        clamp_date(F.col(c)).alias(c) if c == spec.date_column else F.col(c)
-        for c in spec.selected_columns
-    ]
+    types = {f.name: f.dataType for f in bronze.schema.fields}
+
+    def creation(c: str) -> Column:
+        col = F.col(c)
+        return clamp_date(lenient_timestamp(col, types[c]) if isinstance(types[c], T.StringType) else col).alias(c)
+
+    cols = [creation(c) if c == spec.date_column else F.col(c) for c in spec.selected_columns]
     return bronze.filter(cond).select(*cols)
 
 
@@ -112,9 +119,8 @@ def engineer(df: DataFrame, spec: DatasetSpec, as_of_year: int) -> DataFrame:
     new = {}
     if spec.postal_column and spec.postal_column in df.columns:
         new[DEPARTMENT] = first_chars(F.col(spec.postal_column), 2)
-    naf = "activitePrincipaleEtablissement" if "siret" in df.columns else "activitePrincipaleUniteLegale"
-    if naf in df.columns:
-        new[SECTOR] = first_chars(F.col(naf), 2)
+    if spec.activity_column in df.columns:
+        new[SECTOR] = first_chars(F.col(spec.activity_column), 2)
     if spec.date_column in df.columns:
         new[AGE] = age_in_years(F.col(spec.date_column), as_of_year)
     return df.withColumns(new)

@@ -6,8 +6,6 @@ count on the key. The gate raises before anything is published.
 
 from __future__ import annotations
 
-import functools
-import operator
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -34,18 +32,35 @@ def check_columns(df: DataFrame, spec: DatasetSpec) -> None:
 
 
 def coerce(df: DataFrame, spec: DatasetSpec) -> DataFrame:
-    """Cast every column to its contract type (try_cast: failures become NULL,
-    which the not-null and ``coerce_failures`` checks then catch)."""
+    """Cast every column to its contract type (try_cast: a failure becomes NULL;
+    ``coerce_failures`` counts them beforehand)."""
     return df.select(*[F.col(f.name).try_cast(f.dataType).alias(f.name) for f in spec.schema.fields])
 
 
-def _rule_checks(df: DataFrame, spec: DatasetSpec) -> list[tuple[str, Column]]:
-    checks: list[tuple[str, Column]] = []
+def coerce_failures(df: DataFrame, spec: DatasetSpec) -> list[tuple[str, Column]]:
+    """(rule, condition) for each column whose values may not cast to its contract type:
+    the value is there and its cast is not."""
     types = {f.name: f.dataType for f in df.schema.fields}
-    for f in spec.schema.fields:
-        if f.name in types and types[f.name] != f.dataType:
-            c = F.col(f.name)
-            checks.append((f"{f.name}:coerce", c.isNotNull() & c.try_cast(f.dataType).isNull()))
+    return [
+        (f"{f.name}:coerce", F.col(f.name).isNotNull() & F.col(f.name).try_cast(f.dataType).isNull())
+        for f in spec.schema.fields
+        if f.name in types and types[f.name] != f.dataType
+    ]
+
+
+def coerce_metrics(df: DataFrame, spec: DatasetSpec) -> list[Column]:
+    """The counts of ``coerce_failures`` as observable metrics, named by rule."""
+    return [F.count_if(cond).alias(rule) for rule, cond in coerce_failures(df, spec)]
+
+
+def require_coerced(counts: dict[str, int], spec: DatasetSpec) -> None:
+    bad = {k: int(v) for k, v in counts.items() if k.endswith(":coerce") and v}
+    if bad:
+        raise SchemaViolation(f"{spec.name}: values that do not fit their column's type: {bad}")
+
+
+def _rule_checks(df: DataFrame, spec: DatasetSpec) -> list[tuple[str, Column]]:
+    checks = coerce_failures(df, spec)
     for r in spec.rules:
         c = F.col(r.column)
         if not r.nullable:
@@ -98,7 +113,3 @@ def validate(df: DataFrame, spec: DatasetSpec, facts: Sequence[Column] = ()) ->
         only_keys = all(k.endswith(":unique") for k in bad)
         raise (DuplicateKeys if only_keys else SchemaViolation)(f"{spec.name}: contract violated: {bad}")
     return counts, row
-
-
-def any_true(conds: Sequence[Column]) -> Column:
-    return functools.reduce(operator.or_, conds)

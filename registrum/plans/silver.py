@@ -18,8 +18,11 @@ from pyspark.sql import functions as F
 from registrum.operators.clean import silver_increment
 from registrum.operators.joins import keys_overlap
 from registrum.operators.merge import high_water_mark, merge_last_wins
-from registrum.operators.quality import DuplicateKeys, coerce, validate
+from registrum.operators.quality import DuplicateKeys, coerce, coerce_metrics, require_coerced, validate
+from registrum.plans.bronze import batches as bronze_batches
+from registrum.plans.bronze import seal
 from registrum.sources import parquet as pq
+from registrum.sources.staging import stage
 from registrum.sources.store import SnapshotStore
 from registrum.spec import BATCH_ID, INGESTED_AT, MARK_FLOOR, REGION_DEPARTMENTS, spec_for
 
@@ -36,14 +39,6 @@ class SilverResult:
     total_rows: int
 
 
-def bronze_batches(spark: SparkSession, bronze_path: str) -> list[int]:
-    """``batch_id`` partition values present in Bronze, ascending (a listing,
-    no data read)."""
-    prefix = f"{BATCH_ID}="
-    names = pq.list_names(spark, bronze_path)
-    return sorted(int(n[len(prefix) :]) for n in names if n.startswith(prefix) and n[len(prefix) :].isdigit())
-
-
 def current_mark(store: SnapshotStore) -> datetime:
     """Mark from the commit marker; falls back to a MAX scan; 1900 if none."""
     snap = store.current()
@@ -61,7 +56,6 @@ def build_silver(
     silver_root: str,
     as_of_year: int,
     departments: Sequence[str] = REGION_DEPARTMENTS,
-    files: int | None = None,
     max_segments: int = MAX_SEGMENTS,
 ) -> SilverResult:
     spec = spec_for(dataset_name)  # ValueError for an unknown dataset
@@ -82,15 +76,34 @@ def build_silver(
             window = window & (F.col(BATCH_ID) > F.lit(int(done_batch)))
         bronze = bronze.filter(window)
     seen = {"bronze_batch": batches[-1]} if batches else {}
-    # Nothing to do when Bronze holds no row yet or nothing is newer than the
-    # mark. The emptiness probe runs on an unobserved plan: an observation
-    # fires on the first action, and ``isEmpty`` stops after one row.
-    if bronze is None or silver_increment(bronze, spec, mark, departments, as_of_year).isEmpty():
+    obs = Observation(f"silver_{dataset_name}")
+    increment, staged_path = None, None
+    if bronze is not None:
+        # The increment is computed once, as the columns come; probes, type check and
+        # merge read the staged files.
+        rows = silver_increment(bronze, spec, mark, departments, as_of_year, obs)
+        added = Observation(f"silver_new_{dataset_name}")
+        rows = rows.observe(added, F.count(F.lit(1)).alias("new_rows"), *coerce_metrics(rows, spec))
+        increment, staged_path = stage(rows, f"silver-{dataset_name}")
+    try:
+        return _merge_and_publish(spark, spec, store, increment, mark, seen, done_batch, max_segments, obs, added.get if increment is not None else {}, bronze_path)
+    finally:
+        if staged_path:
+            pq.delete(spark, staged_path)
+
+
+def _merge_and_publish(spark, spec, store, increment, mark, seen, done_batch, max_segments, obs, added, bronze_path) -> SilverResult:
+    """Check the staged increment's types, merge it and publish the result."""
+    dataset_name = spec.name
+    if increment is None or increment.isEmpty():
         snap = store.current()
         if snap is not None and seen and seen["bronze_batch"] != done_batch:
             snap = store.touch(seen)  # remember the batches read, no data written
+            seal(spark, bronze_path, seen["bronze_batch"])
         total = int(snap.facts.get("rows", 0)) if snap else 0
         return SilverResult(dataset_name, mark, 0, 0, snap.version if snap else None, total)
+    # Before any cast: a value that does not fit its column's type stops the run.
+    require_coerced(added, spec)
 
     existing = store.read()
     # Bronze is insert-only, so an increment normally brings only unseen keys:
@@ -99,15 +112,11 @@ def build_silver(
     # merge rewritten. The probe joins key columns only.
     append = existing is None or not keys_overlap(
         # partial aggregation first: a repeated key cannot skew the probe
-        silver_increment(bronze, spec, mark, departments, as_of_year).select(spec.pk).distinct(),
+        increment.select(spec.pk).distinct(),
         existing.select(spec.pk),
         spec.pk,
     )
-
-    obs = Observation(f"silver_{dataset_name}")
-    new = silver_increment(bronze, spec, mark, departments, as_of_year, obs)
-    added_obs = Observation(f"silver_new_{dataset_name}")
-    new = new.observe(added_obs, F.count(F.lit(1)).alias("new_rows"))
+    new = increment
     prev = store.current()
     # Appending forever would leave one small directory per run: past
     # ``max_segments`` the segments are rewritten as one directory. Keys do
@@ -142,16 +151,18 @@ def build_silver(
 
     for i, df in enumerate(attempts):
         try:
-            snap = store.publish(df, validate=gate, files=files, mode="append" if append else "replace")
+            snap = store.publish(df, validate=gate, mode="append" if append else "replace")
             break
         except DuplicateKeys:
             if i == len(attempts) - 1:
                 raise
+    if seen:
+        seal(spark, bronze_path, seen["bronze_batch"])
     metrics = obs.get if spec.postal_column else {}
     return SilverResult(
         dataset_name,
         mark,
-        int(added_obs.get.get("new_rows", 0)),
+        int(added.get("new_rows", 0)),
         int(metrics.get("rejected_postal", 0)),
         snap.version,
         int(snap.facts["rows"]),

@@ -65,6 +65,35 @@ def write_text(spark: SparkSession, path: str, text: str, overwrite: bool = Fals
         out.close()
 
 
+def write_text_once(spark: SparkSession, path: str, text: str) -> None:
+    """Create a whole file or fail if it exists: written beside it, then renamed."""
+    import uuid
+
+    jvm = spark.sparkContext._jvm
+    target = jvm.org.apache.hadoop.fs.Path(path)
+    beside = f"{path.rpartition('/')[0]}/.{uuid.uuid4().hex}.tmp"
+    write_text(spark, beside, text)
+    files = jvm.org.apache.hadoop.fs.FileContext.getFileContext(target.toUri(), spark.sparkContext._jsc.hadoopConfiguration()) if target.toUri().getScheme() else jvm.org.apache.hadoop.fs.FileContext.getFileContext(spark.sparkContext._jsc.hadoopConfiguration())
+    none = spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 1)
+    none[0] = jvm.org.apache.hadoop.fs.Options.Rename.NONE
+    try:
+        files.rename(jvm.org.apache.hadoop.fs.Path(beside), target, none)
+    except Exception:
+        delete(spark, beside)
+        raise
+
+
+def list_ages(spark: SparkSession, path: str) -> list[tuple[str, float]]:
+    """Names of the direct children of a directory and the seconds since they changed."""
+    import time
+
+    fs, p = _fs(spark, path)
+    if not fs.exists(p):
+        return []
+    now = time.time()
+    return sorted((str(s.getPath().getName()), now - s.getModificationTime() / 1000) for s in fs.listStatus(p))
+
+
 def read_text(spark: SparkSession, path: str) -> str:
     fs, p = _fs(spark, path)
     jvm = spark.sparkContext._jvm

@@ -4,10 +4,10 @@ Overwriting a Parquet path that the same job reads empties it on failure, and
 plain Parquet has no transaction log. Each publication therefore writes a new
 directory ``<root>/v=<n>-<attempt>/`` (unique per attempt, so two writers
 racing for version n never write into the same directory), validates the
-written files, and only then creates the commit marker ``<root>/_commits/<n>``
-(a create-if-absent of a tiny file, atomic on HDFS and on object stores with
-conditional puts: the loser of a race fails here and its directory is left
-unreferenced). The marker lists the directories that make up the table at
+written files, and only then puts the commit marker ``<root>/_commits/<n>`` in
+place: a tiny file written under another name and renamed without overwriting, so
+a marker is whole or absent (the loser of a race fails here and its directory is
+left unreferenced). A torn marker from elsewhere is ignored and its number left. The marker lists the directories that make up the table at
 that version:
 
 * ``replace``: the table is ``[v=n]`` alone (a full rewrite, e.g. a merge);
@@ -47,10 +47,11 @@ class Snapshot:
 
 
 class SnapshotStore:
-    def __init__(self, spark: SparkSession, root: str, keep: int = 2):
+    def __init__(self, spark: SparkSession, root: str, keep: int = 2, grace_seconds: float = 24 * 3600.0):
         self.spark = spark
         self.root = root.rstrip("/")
         self.keep = keep
+        self.grace_seconds = grace_seconds
 
     def _segment_path(self, segment) -> str:
         name = f"v={segment:08d}" if isinstance(segment, int) else segment
@@ -67,18 +68,38 @@ class SnapshotStore:
     def _marker(self, n: int) -> str:
         return f"{self.root}/{COMMITS}/{n:08d}"
 
-    def _load(self, n: int) -> Snapshot:
-        facts = json.loads(pq.read_text(self.spark, self._marker(n)) or "{}")
-        segments = facts.pop("segments", [n])
+    def _load(self, n: int) -> Snapshot | None:
+        """The version's snapshot, or None if its marker is torn (empty, cut off or
+        without its directories): such a version was never committed."""
+        try:
+            facts = json.loads(pq.read_text(self.spark, self._marker(n)))
+            segments = facts.pop("segments")
+        except (ValueError, KeyError, AttributeError):
+            return None
         return Snapshot(n, tuple(self._segment_path(s) for s in segments), facts)
 
-    def committed(self) -> list[int]:
+    def numbers(self) -> list[int]:
+        """Version numbers that have a marker, torn ones included."""
         names = pq.list_names(self.spark, f"{self.root}/{COMMITS}")
         return sorted(int(x) for x in names if x.isdigit())
 
+    def committed(self) -> list[int]:
+        return [n for n in self.numbers() if self._load(n) is not None]
+
+    def _head(self) -> tuple[Snapshot | None, int]:
+        """The newest snapshot and the number of the next version, from one listing: a
+        number that no marker has, so a torn marker is left behind, not replaced, and a
+        writer that commits meanwhile takes that number first."""
+        numbers = self.numbers()
+        loaded = (self._load(n) for n in reversed(numbers))
+        return next((s for s in loaded if s is not None), None), max(numbers, default=0) + 1
+
     def current(self) -> Snapshot | None:
-        versions = self.committed()
-        return self._load(versions[-1]) if versions else None
+        return self._head()[0]
+
+    def _commit(self, n: int, facts: dict) -> None:
+        """Put the marker in place whole: written under another name, then renamed."""
+        pq.write_text_once(self.spark, self._marker(n), json.dumps(facts, default=str))
 
     def read(self) -> DataFrame | None:
         snap = self.current()
@@ -102,37 +123,37 @@ class SnapshotStore:
         """
         if mode not in ("replace", "append"):
             raise ValueError(mode)
-        cur = self.current()
-        n = 1 if cur is None else cur.version + 1
+        cur, n = self._head()
         name = f"v={n:08d}-{uuid.uuid4().hex[:12]}"
         path = self._segment_path(name)
-        out = df.coalesce(files) if files else df
+        # repartition, not coalesce: what makes the rows keeps its parallelism
+        out = df.repartition(files) if files else df
         out.write.mode("overwrite").parquet(path)
         facts = {**(facts or {}), **(validate(self.spark.read.parquet(path)) if validate else {})}
         prev = [] if (cur is None or mode == "replace") else [self._segment_name(p) for p in cur.paths]
         segments = prev + [name]
-        pq.write_text(self.spark, self._marker(n), json.dumps({**facts, "segments": segments}, default=str))
+        self._commit(n, {**facts, "segments": segments})
         self._prune(n)
         return Snapshot(n, tuple(self._segment_path(s) for s in segments), facts)
 
     def touch(self, facts: dict) -> Snapshot | None:
         """Commit a new version with the same directories and updated facts
         (metadata only: e.g. a run that read batches but accepted no row)."""
-        cur = self.current()
+        cur, n = self._head()
         if cur is None:
             return None
-        n = cur.version + 1
         segments = [self._segment_name(p) for p in cur.paths]
         merged = {**cur.facts, **facts}
-        pq.write_text(self.spark, self._marker(n), json.dumps({**merged, "segments": segments}, default=str))
+        self._commit(n, {**merged, "segments": segments})
         return Snapshot(n, cur.paths, merged)
 
     def _prune(self, newest: int) -> None:
-        """Drop directories no longer referenced by the newest ``keep`` versions."""
+        """Drop directories that the newest ``keep`` versions do not reference and that
+        are older than the grace period, so that a long reader finishes its scan."""
         live = set()
-        for v in [x for x in self.committed() if x > newest - self.keep]:
+        for v in self.committed()[-self.keep :]:
             live.update(self._segment_name(p) for p in self._load(v).paths)
-        for name in pq.list_names(self.spark, self.root):
+        for name, age in pq.list_ages(self.spark, self.root):
             if name.startswith("v=") and name[2:10].isdigit():
-                if self._segment_version(name) < newest and name not in live:
+                if self._segment_version(name) < newest and name not in live and age >= self.grace_seconds:
                     pq.delete(self.spark, f"{self.root}/{name}")

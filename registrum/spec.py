@@ -105,7 +105,7 @@ class DatasetSpec:
     def selected_columns(self) -> tuple[str, ...]:
         """Configured columns, always with the audit column."""
         if not self.columns:
-            raise KeyError(f"No columns selected for {self.name}")
+            raise KeyError(f"dataset {self.name} lists no column to keep")
         if INGESTED_AT in self.columns:
             return self.columns
         return self.columns + (INGESTED_AT,)
@@ -192,7 +192,7 @@ def spec_for(dataset_name: str) -> DatasetSpec:
     try:
         return SPECS[dataset_name]
     except KeyError:
-        raise ValueError(f"No schema defined for dataset: {dataset_name}") from None
+        raise ValueError(f"unknown dataset {dataset_name!r}; known: {sorted(SPECS)}") from None
 
 
 def bronze_pk(dataset_name: str) -> str:

@@ -41,7 +41,7 @@ def clean(spark, rows, departments=REGION_DEPARTMENTS):
 
 def test_siret_validation(sample_etablissements):
     flags = [r[0] for r in sample_etablissements.select(exact_digits(F.col("siret"), 14)).collect()]
-    assert flags == [True, False, True]
+    assert flags == [True, False, True, True]
 
 
 def test_region_filtering(spark):
@@ -243,14 +243,52 @@ def test_row_stamped_at_the_mark_is_not_reread(spark, scratch):
     assert r.new_rows == 0 and r.total_rows == 1
 
 
-def test_mark_read_error_is_raised_not_reset(spark, scratch):
+@pytest.mark.parametrize("torn", ["", "{not json", '{"rows": 1}'])
+def test_torn_marker_is_ignored_and_left(spark, scratch, torn):
+    """A writer that dies between creating and filling a marker costs its version, nothing else."""
     from registrum.sources import parquet as pq
 
     store = SnapshotStore(spark, f"{scratch}/silver/etablissements")
-    store.publish(clean(spark, [etab_row("00000000000001")]))
-    pq.write_text(spark, f"{scratch}/silver/etablissements/_commits/00000002", "{not json")
-    with pytest.raises(ValueError):
-        current_mark(store)  # a broken marker must not silently reset to 1900
+    store.publish(clean(spark, [etab_row("00000000000001")]), facts={"mark": "2026-02-03T00:00:00"})
+    pq.write_text(spark, f"{scratch}/silver/etablissements/_commits/00000002", torn)
+    assert current_mark(store).isoformat() == "2026-02-03T00:00:00"  # not reset to 1900
+    assert store.read().count() == 1
+    assert store.publish(clean(spark, [etab_row("00000000000002")]), mode="append").version == 3
+    assert store.read().count() == 2 and store.committed() == [1, 3]
+    assert not [n for n in pq.list_names(spark, f"{scratch}/silver/etablissements/_commits") if n.endswith(".tmp")]
+
+
+def test_old_directories_outlive_a_grace_period(spark, scratch):
+    from registrum.sources import parquet as pq
+
+    df = spark.createDataFrame([("a",)], "k string")
+    for grace, left in ((3600.0, 4), (0.0, 2)):
+        store = SnapshotStore(spark, f"{scratch}/{left}", grace_seconds=grace)
+        for _ in range(4):
+            store.publish(df)
+        assert sum(n.startswith("v=") for n in pq.list_names(spark, f"{scratch}/{left}")) == left
+
+
+def test_value_that_does_not_fit_its_type_stops_the_run(spark, scratch, column="etablissementSiege", bad="maybe"):
+    """Before any cast: the value is not published as NULL, and the version before stays."""
+    from datetime import datetime
+
+    from registrum.operators.quality import SchemaViolation
+    from registrum.plans.bronze import ingest_bronze
+    from registrum.plans.catalog import etab_stock
+
+    from .conftest import SF001
+
+    stock = etab_stock(spark, SF001)
+    ingest_bronze(spark, stock.limit(400), f"{scratch}/bronze/a", "etablissements", datetime(2026, 1, 1))
+    first = build_silver(spark, "etablissements", f"{scratch}/bronze/a", f"{scratch}/silver", 2026)
+    assert first.version == 1
+    text = stock.withColumn(column, F.when(F.col("siret").cast("long") % 2 == 0, F.lit(bad)).otherwise(F.col(column).cast("string")))
+    ingest_bronze(spark, text, f"{scratch}/bronze/b", "etablissements", datetime(2026, 1, 2))
+    with pytest.raises(SchemaViolation, match=f"{column}:coerce"):
+        build_silver(spark, "etablissements", f"{scratch}/bronze/b", f"{scratch}/silver", 2026)
+    store = SnapshotStore(spark, f"{scratch}/silver/etablissements")
+    assert store.current().version == 1 and store.read().count() == first.total_rows
 
 
 def test_fully_rejected_batch_is_not_read_again(spark, scratch):
@@ -324,14 +362,9 @@ def test_racing_writers_cannot_both_commit_a_version(spark, scratch):
     store.publish(spark.createDataFrame([("a",)], "k string"), facts={"who": "first"})
     # another writer commits version 2 between our listing and our commit
     pq.write_text(spark, f"{scratch}/t/_commits/00000002", '{"who": "other", "segments": [1]}')
-    real_current = store.current
-
-    def stale_current():  # our writer still believes version 1 is current
-        snap = real_current()
-        return store._load(1) if snap.version == 2 else snap
-
-    store.current = stale_current
+    real_head = store._head
+    store._head = lambda: (store._load(1), 2)  # our writer still believes version 1 is current
     with pytest.raises(Exception):
         store.publish(spark.createDataFrame([("b",)], "k string"), facts={"who": "second"})
-    store.current = real_current
+    store._head = real_head
     assert store.current().facts["who"] == "other"  # the winner's commit is intact
