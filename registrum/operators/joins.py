@@ -83,7 +83,8 @@ def hot_key_values(df: DataFrame, on: str, share: float = HOT_SHARE, min_rows: i
     """The hot keys as values. Each holds at least ``share`` of the rows, so
     there are at most 1/share of them: a bounded list, not data."""
     values = [r[0] for r in hot_keys(df, on, share, min_rows).collect()]
-    assert len(values) <= round(1 / share), "more hot keys than rows allow"
+    if len(values) > round(1 / share):
+        raise RuntimeError(f"{len(values)} hot keys; at most {round(1 / share)} can hold {share:.1%} of the rows each")
     return values
 
 
@@ -151,4 +152,5 @@ def keys_overlap(new_keys: DataFrame, old_keys: DataFrame, on: str, max_bytes: i
     only scanned, never shuffled; otherwise a shuffle semi-join."""
     if fits_broadcast(new_keys, max_bytes):
         return not old_keys.join(F.broadcast(new_keys), on, "left_semi").isEmpty()
-    return not new_keys.join(old_keys, on, "left_semi").isEmpty()
+    # distinct first: a key that very many old rows hold is one row of that side
+    return not new_keys.join(old_keys.distinct(), on, "left_semi").isEmpty()

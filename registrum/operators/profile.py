@@ -9,10 +9,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from registrum.spec import AGE, DEPARTMENT, INGESTED_AT, SECTOR, UNKNOWN_TEXT
+from registrum.spec import AGE, INGESTED_AT, SECTOR, UNKNOWN_TEXT
 
 
 def row_count(df: DataFrame) -> DataFrame:
@@ -31,14 +31,13 @@ def layer_counts(tables: dict[str, DataFrame]) -> DataFrame:
 def share(df: DataFrame, key, digits: int, total: int | None = None) -> DataFrame:
     """Count per key and its percentage of all rows, rounded to ``digits``.
 
-    The denominator is an uncorrelated scalar subquery (``DataFrame.scalar``):
-    Spark runs it as its own small job and inlines the value, so no row
-    travels to the driver. A known ``total`` may be passed instead.
+    The denominator is the sum of the grouped counts (a second, tiny aggregation of
+    one row per key and task), so the input is read once. A known ``total`` may be
+    passed instead.
     """
-    denom = df.select(F.count(F.lit(1))).scalar() if total is None else F.lit(total)
-    cnt = F.count(F.lit(1))
-    pct = F.round(cnt * F.lit(100.0) / denom, digits)
-    return df.groupBy(key).agg(cnt.alias("count"), pct.alias("percentage" if digits == 2 else "pct"))
+    counts = df.groupBy(key).agg(F.count(F.lit(1)).alias("count"))
+    whole = F.sum("count").over(Window.partitionBy(F.lit(1))) if total is None else F.lit(total)
+    return counts.withColumn("percentage" if digits == 2 else "pct", F.round(F.col("count") * F.lit(100.0) / whole, digits))
 
 
 def region_share(silver_etab: DataFrame) -> DataFrame:
@@ -52,6 +51,12 @@ def top_values(df: DataFrame, column: str, k: int = 5, digits: int = 1) -> DataF
     return share(df, column, digits).orderBy(F.desc("count"), F.asc(column)).limit(k)
 
 
+def top_values_tagged(df: DataFrame, dataset: str, column: str, k: int = 5) -> DataFrame:
+    """``top_values`` as rows (dataset, column_name, value, count, pct)."""
+    top = top_values(df, column, k, 1)
+    return top.select(F.lit(dataset).alias("dataset"), F.lit(column).alias("column_name"), F.col(column).cast("string").alias("value"), "count", "pct")
+
+
 def value_counts(df: DataFrame, column: str, k: int = 3) -> DataFrame:
     """pandas-style value_counts().head(k): NULL dropped, most frequent first."""
     return (
@@ -162,5 +167,3 @@ def expected_columns(df: DataFrame, names: Sequence[str]) -> DataFrame:
     rows += [f"'{n}', CAST(NULL AS STRING), false, CAST(NULL AS DOUBLE)" for n in missing]
     return wide.selectExpr(f"stack({len(rows)}, {', '.join(rows)}) AS (column_name, data_type, present, null_pct)")
 
-
-DEPARTMENT_COLUMN = DEPARTMENT

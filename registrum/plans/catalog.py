@@ -8,9 +8,10 @@ dedup fixture. Each query runs the library's own operators over whole tables;
 
 from __future__ import annotations
 
-import tempfile
+import uuid
 from collections.abc import Callable
 from datetime import datetime
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -27,11 +28,13 @@ from registrum.operators.clean import (
     select_increment,
     silver_increment,
 )
-from registrum.operators.ingest import empty_like, new_rows, with_audit
+from registrum.operators.ingest import new_rows, with_audit
 from registrum.operators.joins import DEFAULT_BROADCAST_BYTES
 from registrum.operators.merge import keep_last, mark_column, merge_last_wins
-from registrum.operators.quality import duplicate_keys, rule_violations
+from registrum.operators.quality import coerce, duplicate_keys, rule_violations
 from registrum.operators.sample import first_n, hash_sample
+from registrum.plans.reports import DISTRIBUTIONS
+from registrum.session import ensure_checkpoint_dir
 from registrum.sources import testdata as td
 from registrum.spec import (
     ESTABLISHMENTS,
@@ -113,6 +116,27 @@ def q04_lenient_timestamp(spark, sf):
     return raw.select("siret", lenient_timestamp(F.col(d), raw.schema[d].dataType).alias(d))
 
 
+def _text_dates(spark, sf):
+    """Bronze with creation dates as text: malformed ones, both bounds and values beyond them."""
+    d = ESTABLISHMENTS.date_column
+    k = F.col("siret").cast("long")
+    text = (
+        F.when(k % 13 == 0, F.lit("not-a-date"))
+        .when(k % 17 == 0, F.lit("2020-13-01"))
+        .when(k % 19 == 0, F.lit("1678-01-01"))
+        .when(k % 23 == 0, F.lit("1677-12-31"))
+        .when(k % 29 == 0, F.lit("2261-12-31"))
+        .when(k % 31 == 0, F.lit("2262-01-01"))
+        .otherwise(F.col(d).cast("string"))
+    )
+    return etab_raw(spark, sf).withColumn(d, text)
+
+
+def q04b_text_dates_to_silver(spark, sf):
+    new = silver_increment(_text_dates(spark, sf), ESTABLISHMENTS, MARK_FLOOR, REGION_DEPARTMENTS, AS_OF_YEAR)
+    return merge_last_wins(None, coerce(new, ESTABLISHMENTS), ESTABLISHMENTS)
+
+
 def q05_default_fills(spark, sf):
     return fill_defaults(etab_raw(spark, sf)).select(
         "siret", "etatAdministratifEtablissement", "trancheEffectifsEtablissement", "enseigne1Etablissement"
@@ -127,10 +151,6 @@ def q07_engineered(spark, sf):
     return etab_silver(spark, sf).select("siret", "departement", "secteur_activite", "age_entreprise")
 
 
-def q08_empty_like(spark, sf):
-    return empty_like(etab_stock(spark, sf), RUN_TS)
-
-
 def _batch1_registry(spark, sf):
     return etab_raw(spark, sf).filter(F.col("ingested_at") == ntz(BATCH_1))
 
@@ -140,6 +160,19 @@ def q09_anti_join_new_rows(spark, sf):
     return with_audit(fresh, RUN_TS)
 
 
+def _repeated_keys(spark, sf):
+    """The stock file with NULL keys and with keys that come again, less complete."""
+    k = F.col("siret").cast("long")
+    src = etab_stock(spark, sf).withColumn("siret", F.when(k % 23 == 0, F.lit(None)).otherwise(F.col("siret")))
+    again = src.filter(F.col("siret").cast("long") % 4 == 0).withColumn("libelleCommuneEtablissement", F.lit(None).cast("string"))
+    return src.unionByName(again)
+
+
+def q09b_repeated_and_null_keys(spark, sf):
+    """First load of a batch with repeated keys: the fullest, then smallest row of each stays."""
+    return with_audit(new_rows(_repeated_keys(spark, sf), None, "siret", keep_null_keys=True), RUN_TS)
+
+
 def q10_idempotent_union(spark, sf):
     src = etab_stock(spark, sf)
     run1 = with_audit(new_rows(src, None, "siret"), BATCH_1)
@@ -183,6 +216,19 @@ def q16_capped_increment(spark, sf):
     return first_n(fresh, CAP_ROWS, "siret", SAMPLE_SEED)
 
 
+def _null_and_repeated(spark, sf):
+    return _repeated_keys(spark, sf).select("siret", "siren", "codePostalEtablissement")
+
+
+def q16b_cap_with_null_and_repeated_keys(spark, sf):
+    """Exactly as many rows as the cap says, whatever the keys."""
+    return first_n(_null_and_repeated(spark, sf), CAP_ROWS, "siret", SAMPLE_SEED).select("siret")
+
+
+def q16c_cap_above_input(spark, sf):
+    return first_n(_null_and_repeated(spark, sf), 1_000_000_000, "siret", SAMPLE_SEED)
+
+
 def _redelivery(spark, sf):
     """Batch 2 plus a later redelivery of every fourth key with a new sign."""
     raw = etab_raw(spark, sf)
@@ -216,10 +262,18 @@ def _bad_ids(spark, sf):
         {
             "siret": F.when(k % 101 == 0, F.concat(F.lit("X"), F.substring("siret", 2, 13))).otherwise(F.col("siret")),
             "siren": F.when(k % 103 == 0, F.substring("siren", 1, 8)).otherwise(F.col("siren")),
+            "etablissementSiege": F.when(k % 107 == 0, F.lit("maybe")).otherwise(F.col("etablissementSiege").cast("string")),
+            "ingested_at": F.when(k % 109 == 0, F.lit("yesterday")).otherwise(F.col("ingested_at").cast("string")),
         }
     )
 
 
+def q18b_rule_violations_legal_units(spark, sf):
+    k = F.col("siren").cast("long")
+    number = F.when(k % 9 == 0, F.lit("abc")).otherwise(F.col("categorieJuridiqueUniteLegale").cast("string"))
+    return rule_violations(ul_raw(spark, sf).withColumn("categorieJuridiqueUniteLegale", number), LEGAL_UNITS)
+
+
 def q18_rule_violations(spark, sf):
     return rule_violations(_bad_ids(spark, sf), ESTABLISHMENTS)
 
@@ -282,12 +336,34 @@ def q27_top_five_distribution(spark, sf):
     return P.top_values(etab_silver(spark, sf), "secteur_activite", 5, 1)
 
 
+def q27b_distributions(spark, sf):
+    """The five distributions of the quality report."""
+    tables = {"etablissements": etab_silver(spark, sf), "unites_legales": ul_silver(spark, sf)}
+    parts = [P.top_values_tagged(tables[n], n, c, 5) for n, cols in DISTRIBUTIONS.items() for c in cols]
+    return reduce(DataFrame.unionByName, parts)
+
+
 def q28_age_profile(spark, sf):
     return P.age_profile(etab_silver(spark, sf))
 
 
+#: Years by which the approximate median may be off (whole-year values; Spark's default rank
+#: error of 1/10,000), and the share by which a sketch's distinct count may be (three times its 5 %).
+MEDIAN_TOLERANCE, DISTINCT_TOLERANCE = 1.0, 0.15
+
+
 def q28b_age_profile_approx(spark, sf):
-    return P.age_profile(etab_silver(spark, sf), exact_median=False)
+    """The approximate profile, with whether its median is within tolerance of the exact one."""
+    e = etab_silver(spark, sf)
+    exact = P.age_profile(e).select(F.col("median_age").alias("exact"))
+    off = F.abs(F.col("median_age") - F.col("exact")) <= MEDIAN_TOLERANCE
+    both = P.age_profile(e, exact_median=False).join(exact, F.lit(True))
+    return both.select("min_age", "avg_age", "max_age", off.alias("within_tolerance"))
+
+
+def q28c_age_profiles(spark, sf):
+    parts = [P.age_profile(df).select(F.lit(n).alias("dataset"), "*") for n, df in (("etablissements", etab_silver(spark, sf)), ("unites_legales", ul_silver(spark, sf)))]
+    return parts[0].unionByName(parts[1])
 
 
 def q29_row_counts(spark, sf):
@@ -331,7 +407,12 @@ def q33b_table_profile_legal_units(spark, sf):
 
 
 def q33c_table_profile_approx(spark, sf):
-    return P.table_profile(etab_silver(spark, sf), exact=False)
+    """The sketch-based profile, with whether each distinct count is within tolerance of the exact one."""
+    e = etab_silver(spark, sf)
+    exact = P.table_profile(e, exact=True).select("column_name", F.col("unique_count").alias("exact"))
+    near = F.abs(F.col("unique_count") - F.col("exact")) <= F.greatest(F.lit(1.0), F.col("exact") * DISTINCT_TOLERANCE)
+    both = P.table_profile(e, exact=False).join(exact, "column_name")
+    return both.select("column_name", "null_percentage", "min", "max", near.alias("within_tolerance"))
 
 
 def q34_top_three_departments(spark, sf):
@@ -365,8 +446,7 @@ def q38_preview(spark, sf):
 
 
 def q39_csv_roundtrip(spark, sf):
-    base = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="registrum-csv-")
-    out = f"{base.rstrip('/')}/csv_roundtrip_{abs(hash(sf)) % 10_000_000}"
+    out = f"{ensure_checkpoint_dir(spark).rstrip('/')}/csv_roundtrip_{uuid.uuid4().hex}"
     hash_sample(master(spark, sf), SAMPLE_N, "siret", SAMPLE_SEED).write.mode("overwrite").option(
         "header", True
     ).csv(out)

@@ -27,6 +27,7 @@ def export_sampled_master(
     """
     paths = [input_path] if isinstance(input_path, str) else list(input_path)
     sample = sample_master(spark.read.parquet(*paths), n_rows, seed)
-    out = sample.coalesce(1) if single_file else sample
+    # repartition: the scan of the master keeps its tasks, only the sample meets in one
+    out = sample.repartition(1) if single_file else sample
     out.write.mode("overwrite").option("header", True).csv(output_path)
     return spark.read.option("header", True).csv(output_path).count()

@@ -14,7 +14,7 @@ ETAB_RAW = """
 etab_raw AS (
   SELECT
     lpad(CAST(o_orderkey AS VARCHAR), 14, '0') AS siret,
-    lpad(CAST(o_custkey AS VARCHAR), 9, '0') AS siren,
+    lpad(CAST(CASE WHEN o_custkey % 19 = 0 THEN o_custkey + 900000000 ELSE o_custkey END AS VARCHAR), 9, '0') AS siren,
     nullif(o_orderstatus, 'P') AS etatAdministratifEtablissement,
     make_date(CAST(1650 + o_orderkey % 640 AS INTEGER), CAST(month(o_orderdate) AS INTEGER), 1)
       AS dateCreationEtablissement,
@@ -56,7 +56,7 @@ ul_raw AS (
     CASE WHEN c_custkey % 3 = 1 THEN 'O' WHEN c_custkey % 3 = 2 THEN 'N' END
       AS economieSocialeSolidaireUniteLegale,
     TIMESTAMP '2026-01-01 00:00:00' AS ingested_at
-  FROM customer WHERE c_custkey % 19 <> 0
+  FROM customer
 )"""
 
 
@@ -155,6 +155,12 @@ UL_COLS = [
 ]
 
 
+MASTER_MORE = [
+    "denominationUniteLegale", "nomUniteLegale", "prenom1UniteLegale", "categorieEntreprise",
+    "categorieJuridiqueUniteLegale", "economieSocialeSolidaireUniteLegale",
+]
+
+
 def _profile_sql(table: str, cols: list[str]) -> str:
     parts = []
     for c in cols:
@@ -180,6 +186,51 @@ batch1 AS (SELECT * FROM redelivered WHERE ingested_at <= TIMESTAMP '2026-01-01
 
 SILVER_LIST = ", ".join(SILVER_COLS)
 
+# Creation dates as text, parsed leniently before they are clamped.
+TEXT_DATES = """
+etab_text AS (
+  SELECT * REPLACE (TRY_CAST(CASE WHEN k % 13 = 0 THEN 'not-a-date' WHEN k % 17 = 0 THEN '2020-13-01'
+      WHEN k % 19 = 0 THEN '1678-01-01' WHEN k % 23 = 0 THEN '1677-12-31' WHEN k % 29 = 0 THEN '2261-12-31'
+      WHEN k % 31 = 0 THEN '2262-01-01' ELSE CAST(dateCreationEtablissement AS VARCHAR) END AS DATE)
+    AS dateCreationEtablissement)
+  FROM (SELECT *, CAST(siret AS BIGINT) AS k FROM etab_raw)
+)"""
+
+REST = [c for c in ETAB_STOCK_COLS.split(", ") if c != "siret"]
+# NULL keys, and every fourth key again without its commune.
+REPEATED = f"""
+keyed AS (
+  SELECT CASE WHEN CAST(siret AS BIGINT) % 23 = 0 THEN NULL ELSE siret END AS siret, {", ".join(REST)} FROM etab_raw
+),
+repeated AS (
+  SELECT * FROM keyed
+  UNION ALL
+  SELECT * REPLACE (CAST(NULL AS VARCHAR) AS libelleCommuneEtablissement) FROM keyed WHERE CAST(siret AS BIGINT) % 4 = 0
+)"""
+TYPES = {"etablissementSiege": "boolean", "dateCreationEtablissement": "timestamp_ntz", "ingested_at": "timestamp_ntz",
+         "age_entreprise": "double"}
+
+
+def _top_sql(table: str, dataset: str, column: str) -> str:
+    return (
+        f"SELECT * FROM (SELECT '{dataset}' AS dataset, '{column}' AS column_name, {column} AS value, count(*) AS count, "
+        f"round(count(*) * 100.0 / (SELECT count(*) FROM {table}), 1) AS pct "
+        f"FROM {table} GROUP BY {column} ORDER BY count DESC, {column} LIMIT 5)"
+    )
+
+
+def _age_sql(table: str) -> str:
+    return (
+        "min(age_entreprise) AS min_age, round(avg(age_entreprise), 1) AS avg_age, max(age_entreprise) AS max_age, "
+        f"median(age_entreprise) AS median_age FROM {table} WHERE age_entreprise >= 0"
+    )
+
+
+def _csv_text(column: str) -> str:
+    if column in ("dateCreationEtablissement", "ingested_at"):
+        return f"strftime({column}, '%Y-%m-%dT%H:%M:%S.%g') AS {column}"
+    return f"nullif(CAST({column} AS VARCHAR), '') AS {column}"
+
 SQL: dict[str, str] = {
     "q01_bronze_scan_audit": RAW + f"SELECT {ETAB_STOCK_COLS}, {AUDIT} FROM etab_raw",
     "q02_select_columns": RAW + f"SELECT {ETAB_STOCK_COLS}, TIMESTAMP '2026-03-01 00:00:00' AS ingested_at FROM etab_raw",
@@ -190,6 +241,8 @@ SQL: dict[str, str] = {
                         WHEN CAST(siret AS BIGINT) % 17 = 0 THEN '2020-13-01'
                         ELSE CAST(dateCreationEtablissement AS VARCHAR) END AS TIMESTAMP) AS dateCreationEtablissement
        FROM etab_raw""",
+    "q04b_text_dates_to_silver": with_ctes(ETAB_RAW, TEXT_DATES, etab_silver_from("etab_text", "etab_silver", "1900-01-01"))
+    + f"SELECT {SILVER_LIST} FROM etab_silver",
     "q05_default_fills": RAW
     + """SELECT siret, coalesce(etatAdministratifEtablissement, 'A') AS etatAdministratifEtablissement,
               coalesce(trancheEffectifsEtablissement, '00') AS trancheEffectifsEtablissement,
@@ -205,11 +258,15 @@ SQL: dict[str, str] = {
               etablissementSiege,
               coalesce(enseigne1Etablissement, {U}) AS enseigne1Etablissement, ingested_at FROM etab_raw""",
     "q07_engineered": ETAB_SILVER + "SELECT siret, departement, secteur_activite, age_entreprise FROM etab_silver",
-    "q08_empty_like": RAW + f"SELECT {ETAB_STOCK_COLS}, {AUDIT} FROM etab_raw WHERE 1 = 0",
     "q09_anti_join_new_rows": RAW
     + f"""SELECT {ETAB_STOCK_COLS}, {AUDIT} FROM etab_raw s
        WHERE s.siret IS NOT NULL AND NOT EXISTS (
          SELECT 1 FROM etab_raw t WHERE t.ingested_at = TIMESTAMP '2026-01-01 00:00:00' AND t.siret = s.siret)""",
+    "q09b_repeated_and_null_keys": with_ctes(ETAB_RAW, REPEATED)
+    + f"""SELECT {ETAB_STOCK_COLS}, {AUDIT} FROM (
+         SELECT *, row_number() OVER (PARTITION BY siret ORDER BY {", ".join(f"{c} NULLS LAST" for c in REST)}) AS rn
+         FROM repeated WHERE siret IS NOT NULL) WHERE rn = 1
+       UNION ALL SELECT {ETAB_STOCK_COLS}, {AUDIT} FROM repeated WHERE siret IS NULL""",
     "q10_idempotent_union": RAW
     + f"""SELECT {ETAB_STOCK_COLS}, TIMESTAMP '2026-01-01 00:00:00' AS ingested_at,
               CAST({batch_id_of(BATCH_1)} AS BIGINT) AS batch_id
@@ -247,6 +304,9 @@ SQL: dict[str, str] = {
        WHERE s.siret IS NOT NULL AND NOT EXISTS (
          SELECT 1 FROM etab_raw t WHERE t.ingested_at = TIMESTAMP '2026-01-01 00:00:00' AND t.siret = s.siret)
        ORDER BY md5('42|' || siret), siret LIMIT 500""",
+    "q16b_cap_with_null_and_repeated_keys": with_ctes(ETAB_RAW, REPEATED)
+    + "SELECT siret FROM repeated ORDER BY md5('42|' || coalesce(siret, '')), siret IS NULL, siret LIMIT 500",
+    "q16c_cap_above_input": with_ctes(ETAB_RAW, REPEATED) + "SELECT siret, siren, codePostalEtablissement FROM repeated",
     "q17_silver_merge": with_ctes(
         ETAB_RAW,
         REDELIVERY,
@@ -272,6 +332,8 @@ SQL: dict[str, str] = {
                 codePostalEtablissement AS cp
          FROM etab_raw)
        SELECT 'dateCreationEtablissement:coerce' AS rule, CAST(0 AS BIGINT) AS violations
+       UNION ALL SELECT 'etablissementSiege:coerce', CAST(count_if(CAST(siret AS BIGINT) % 107 = 0) AS BIGINT) FROM etab_raw
+       UNION ALL SELECT 'ingested_at:coerce', CAST(count_if(CAST(siret AS BIGINT) % 109 = 0) AS BIGINT) FROM etab_raw
        UNION ALL SELECT 'siret:not_null', CAST(count_if(siret IS NULL) AS BIGINT) FROM bad
        UNION ALL SELECT 'siret:str_length', CAST(count_if(siret IS NOT NULL AND length(siret) <> 14) AS BIGINT) FROM bad
        UNION ALL SELECT 'siret:str_matches', CAST(count_if(siret IS NOT NULL AND NOT regexp_full_match(siret, '[0-9]{14}')) AS BIGINT) FROM bad
@@ -280,6 +342,13 @@ SQL: dict[str, str] = {
        UNION ALL SELECT 'siren:str_matches', CAST(count_if(siren IS NOT NULL AND NOT regexp_full_match(siren, '[0-9]{9}')) AS BIGINT) FROM bad
        UNION ALL SELECT 'codePostalEtablissement:str_length', CAST(count_if(cp IS NOT NULL AND length(cp) <> 5) AS BIGINT) FROM bad
        UNION ALL SELECT 'codePostalEtablissement:str_matches', CAST(count_if(cp IS NOT NULL AND NOT regexp_full_match(cp, '[0-9]{5}')) AS BIGINT) FROM bad""",
+    "q18b_rule_violations_legal_units": with_ctes(UL_RAW)
+    + """SELECT 'categorieJuridiqueUniteLegale:coerce' AS rule,
+              CAST(count_if(CAST(siren AS BIGINT) % 9 = 0) AS BIGINT) AS violations FROM ul_raw
+       UNION ALL SELECT 'dateCreationUniteLegale:coerce', CAST(0 AS BIGINT)
+       UNION ALL SELECT 'siren:not_null', CAST(count_if(siren IS NULL) AS BIGINT) FROM ul_raw
+       UNION ALL SELECT 'siren:str_length', CAST(count_if(length(siren) <> 9) AS BIGINT) FROM ul_raw
+       UNION ALL SELECT 'siren:str_matches', CAST(count_if(NOT regexp_full_match(siren, '[0-9]{9}')) AS BIGINT) FROM ul_raw""",
     "q19_duplicate_keys": """SELECT l_orderkey, l_linenumber, count(*) AS n FROM lineitem
        GROUP BY l_orderkey, l_linenumber HAVING count(*) > 1""",
     "q20_master": BASE + "SELECT * FROM master",
@@ -317,6 +386,21 @@ SQL: dict[str, str] = {
     + """SELECT secteur_activite, count(*) AS count,
               round(count(*) * 100.0 / (SELECT count(*) FROM etab_silver), 1) AS pct
        FROM etab_silver GROUP BY 1 ORDER BY count DESC, secteur_activite LIMIT 5""",
+    "q27b_distributions": BASE
+    + " UNION ALL ".join(
+        _top_sql(t, d, c)
+        for t, d, cols in (
+            ("etab_silver", "etablissements", ("departement", "secteur_activite", "etatAdministratifEtablissement")),
+            ("ul_silver", "unites_legales", ("secteur_activite", "economieSocialeSolidaireUniteLegale")),
+        )
+        for c in cols
+    ),
+    "q28b_age_profile_approx": ETAB_SILVER
+    + """SELECT min(age_entreprise) AS min_age, round(avg(age_entreprise), 1) AS avg_age,
+              max(age_entreprise) AS max_age, true AS within_tolerance
+       FROM etab_silver WHERE age_entreprise >= 0""",
+    "q28c_age_profiles": BASE
+    + f"SELECT 'etablissements' AS dataset, {_age_sql('etab_silver')} UNION ALL SELECT 'unites_legales', {_age_sql('ul_silver')}",
     "q28_age_profile": ETAB_SILVER
     + """SELECT min(age_entreprise) AS min_age, round(avg(age_entreprise), 1) AS avg_age,
               max(age_entreprise) AS max_age, median(age_entreprise) AS median_age
@@ -349,6 +433,14 @@ SQL: dict[str, str] = {
     + "SELECT avg(age_entreprise) AS avg_age FROM etab_silver WHERE age_entreprise > 0",
     "q33_table_profile": ETAB_SILVER + _profile_sql("etab_silver", SILVER_COLS),
     "q33b_table_profile_legal_units": UL_ONLY + _profile_sql("ul_silver", UL_COLS),
+    "q33c_table_profile_approx": ETAB_SILVER
+    + f"SELECT column_name, null_percentage, min, max, true AS within_tolerance FROM ({_profile_sql('etab_silver', SILVER_COLS)})",
+    "q35_describe": ETAB_SILVER
+    + " UNION ALL ".join(
+        f"SELECT '{c}' AS column_name, '{TYPES.get(c, 'string')}' AS data_type, true AS present, "
+        f"avg(CASE WHEN {c} IS NULL THEN 1.0 ELSE 0.0 END) * 100 AS null_pct FROM etab_silver"
+        for c in SILVER_COLS
+    ),
     "q34_top_three_departments": ETAB_SILVER
     + """SELECT departement, count(*) AS count FROM etab_silver WHERE departement IS NOT NULL
        GROUP BY departement ORDER BY count DESC, departement LIMIT 3""",
@@ -359,6 +451,9 @@ SQL: dict[str, str] = {
     "q38_preview": BASE
     + """SELECT siret, denominationUniteLegale, departement, age_entreprise FROM master
        ORDER BY siret LIMIT 3""",
+    "q39_csv_roundtrip": BASE
+    + "SELECT " + ", ".join(_csv_text(c) for c in [*SILVER_COLS, *MASTER_MORE])
+    + " FROM (SELECT * FROM master ORDER BY md5('42|' || siret), siret LIMIT 500)",
     "q40_ul_engineered": UL_ONLY
     + "SELECT siren, secteur_activite, age_entreprise, economieSocialeSolidaireUniteLegale FROM ul_silver",
     "q41_clean_increment_counts": ETAB_SILVER

@@ -80,6 +80,37 @@ def silver_checks(spark: SparkSession, silver_root: str) -> DataFrame:
     return _union(rows)
 
 
+#: Columns whose most frequent values the quality report shows, by dataset.
+DISTRIBUTIONS = {
+    "etablissements": (DEPARTMENT, SECTOR, "etatAdministratifEtablissement"),
+    "unites_legales": (SECTOR, "economieSocialeSolidaireUniteLegale"),
+}
+
+
+def silver_distributions(spark: SparkSession, silver_root: str, k: int = 5) -> DataFrame:
+    """The k most frequent values of each reported column, with their share of the rows."""
+    tables = published(spark, silver_root)
+    parts = [P.top_values_tagged(tables[n], n, c, k) for n, cols in DISTRIBUTIONS.items() if n in tables for c in cols if c in tables[n].columns]
+    if not parts:
+        raise pq.MissingInput(f"No Silver table under {silver_root}")
+    return _union(parts)
+
+
+def silver_ages(spark: SparkSession, silver_root: str) -> DataFrame:
+    """The age profile of every dataset that has ages."""
+    parts = [P.age_profile(df).select(F.lit(n).alias("dataset"), "*") for n, df in published(spark, silver_root).items() if AGE in df.columns]
+    if not parts:
+        raise pq.MissingInput(f"No Silver table under {silver_root}")
+    return _union(parts)
+
+
+def silver_top_departments(spark: SparkSession, silver_root: str, k: int = 3) -> DataFrame:
+    df = SnapshotStore(spark, f"{silver_root.rstrip('/')}/etablissements").read()
+    if df is None:
+        raise pq.MissingInput(f"No establishments under {silver_root}")
+    return P.value_counts(df, DEPARTMENT, k)
+
+
 def gold_checks(spark: SparkSession, gold_root: str) -> DataFrame:
     """Row count of every Gold table plus the join-integrity count."""
     tables = published(spark, gold_root)

@@ -26,15 +26,23 @@ class RunReport:
     steps: list[dict] = field(default_factory=list)
 
     def add(self, layer: str, dataset: str, ok: bool, seconds: float, detail) -> None:
+        metric = lambda *names: next((int(v) for n in names if (v := getattr(detail, n, None)) is not None), None)
         self.steps.append(
-            {"layer": layer, "dataset": dataset, "ok": ok, "seconds": round(seconds, 3), "detail": str(detail)}
+            {
+                "layer": layer, "dataset": dataset, "ok": ok, "seconds": round(seconds, 3), "detail": str(detail),
+                "new_rows": metric("new_rows"), "total_rows": metric("total_rows", "master_rows"),
+                "null_keys": metric("null_keys"), "rejected_postal": metric("rejected_postal"),
+            }
         )
 
     def ok(self, layer: str) -> list[str]:
         return [s["dataset"] for s in self.steps if s["layer"] == layer and s["ok"]]
 
     def to_df(self, spark: SparkSession) -> DataFrame:
-        schema = "layer string, dataset string, ok boolean, seconds double, detail string"
+        schema = (
+            "layer string, dataset string, ok boolean, seconds double, detail string, "
+            "new_rows long, total_rows long, null_keys long, rejected_postal long"
+        )
         return spark.createDataFrame([tuple(s.values()) for s in self.steps], schema)
 
     def save(self, spark: SparkSession, path: str, run_ts: datetime) -> None:

@@ -48,9 +48,12 @@ def local_session(cores: int | str = 8, partitions: int = 8, app: str = "registr
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return spark.checkpoint.dir; set a scratch one only where it is unset (tests)."""
+    """Return spark.checkpoint.dir, the folder that driver and executors share. Unset, a local
+    session (tests) gets a scratch one; any other session must name it."""
     current = spark.conf.get("spark.checkpoint.dir", None)
     if not current:
+        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+            raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
         current = tempfile.mkdtemp(prefix="registrum-ckpt-")
         spark.conf.set("spark.checkpoint.dir", current)
     spark.sparkContext.setCheckpointDir(current)

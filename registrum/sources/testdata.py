@@ -47,7 +47,7 @@ def establishments_from_orders(orders: DataFrame) -> DataFrame:
     )
     return orders.select(
         F.lpad(_str(k), 14, "0").alias("siret"),
-        F.lpad(_str(c), 9, "0").alias("siren"),
+        F.lpad(_str(F.when(c % 19 == 0, c + 900_000_000).otherwise(c)), 9, "0").alias("siren"),
         F.nullif(F.col("o_orderstatus"), F.lit("P")).alias("etatAdministratifEtablissement"),
         F.make_date(
             (F.lit(1650) + k % 640).cast("int"), F.month("o_orderdate").cast("int"), F.lit(1)
@@ -65,7 +65,7 @@ def establishments_from_orders(orders: DataFrame) -> DataFrame:
 
 
 def legal_units_from_customer(customer: DataFrame) -> DataFrame:
-    """Raw legal-unit stock rows; every 19th customer is absent (orphans)."""
+    """Raw legal-unit stock rows, one for every customer."""
     k = F.col("c_custkey")
     size = (
         F.when(k % 7 <= 2, F.lit("PME"))
@@ -73,7 +73,7 @@ def legal_units_from_customer(customer: DataFrame) -> DataFrame:
         .when(k % 7 == 4, F.lit("GE"))
         .otherwise(F.lit(None))
     )
-    return customer.filter(k % 19 != 0).select(
+    return customer.select(
         F.lpad(_str(k), 9, "0").alias("siren"),
         _null_if(k % 17 == 0, F.col("c_name")).alias("denominationUniteLegale"),
         F.when(k % 17 == 0, F.concat(F.lit("NOM"), _str(k))).alias("nomUniteLegale"),

@@ -27,12 +27,13 @@ def scratch():
 
 @pytest.fixture
 def sample_etablissements(spark):
-    """Mixed valid/invalid establishment rows."""
+    """One clean row, one whose siret is no number, one of another region, one without siren."""
     return spark.createDataFrame(
         [
-            ("12345678901234", "123456789", "75001", "2020-01-01", "A"),
-            ("invalid_siret", "123456789", "69001", "2020-01-01", "A"),
-            ("99999999999999", "999999999", "95000", "2025-12-31", "A"),
+            ("30120045600017", "301200456", "75011", "1987-03-02", "A"),
+            ("3012004560001X", "301200456", "78000", "1987-03-02", "F"),
+            ("41255500100026", "412555001", "33000", "2009-11-30", None),
+            ("41255500100034", None, "94800", "2010-01-15", "A"),
         ],
         "siret string, siren string, codePostalEtablissement string, dateCreationEtablissement string, "
         "etatAdministratifEtablissement string",

@@ -9,12 +9,13 @@ from registrum.spec import KPI_BUSINESS_SIZE, KPI_BY_DEPARTMENT, KPI_DOMINANT_SE
 
 
 def _silver(spark, scratch):
+    """Two departments, a sector tie, a unit without size and an establishment without unit."""
     etab = spark.createDataFrame(
-        [("111001", "111", "75", "IT"), ("111002", "111", "75", "IT"), ("222001", "222", "92", "Bakery")],
+        [("30120045600017", "301200456", "77", "47"), ("30120045600025", "301200456", "77", "10"), ("41255500100026", "412555001", "93", "62"), ("50000000100018", "500000001", "77", "10"), ("69999999900011", "699999999", "77", "47")],
         "siret string, siren string, departement string, secteur_activite string",
     )
     ul = spark.createDataFrame(
-        [("111", "TechCorp", None, None, "PME", "5710", "N"), ("222", "BreadInc", None, None, "GE", "5499", "N")],
+        [("301200456", "Pont SARL", None, None, "PME", "5499", "N"), ("412555001", None, "Durand", "Lou", "ETI", "1000", "O"), ("500000001", "Sans Taille", None, None, None, "5710", "N")],
         "siren string, denominationUniteLegale string, nomUniteLegale string, prenom1UniteLegale string, "
         "categorieEntreprise string, categorieJuridiqueUniteLegale string, economieSocialeSolidaireUniteLegale string",
     )
@@ -22,21 +23,20 @@ def _silver(spark, scratch):
     SnapshotStore(spark, f"{scratch}/silver/unites_legales").publish(ul)
 
 
-def test_gold_logic_and_kpis(spark, scratch):
+def test_master_and_indicators(spark, scratch):
     _silver(spark, scratch)
     res = build_gold(spark, f"{scratch}/silver", f"{scratch}/gold")
-    assert res.master_rows == 3
     gold = f"{scratch}/gold"
     master = read_gold(spark, gold, MASTER_TABLE)
+    assert res.master_rows == master.count() == 5
     assert master.columns[:4] == ["siret", "siren", "departement", "secteur_activite"]
-    by_dept = {r.departement: r.total_establishments for r in read_gold(spark, gold, KPI_BY_DEPARTMENT).collect()}
-    assert by_dept == {"75": 2, "92": 1}
-    size = {r.categorieEntreprise: r.total for r in read_gold(spark, gold, KPI_BUSINESS_SIZE).collect()}
-    assert size == {"PME": 2, "GE": 1}
-    dom = {r.departement: (r.secteur_activite, r["count"]) for r in read_gold(spark, gold, KPI_DOMINANT_SECTORS).collect()}
-    assert dom == {"75": ("IT", 2), "92": ("Bakery", 1)}
-    # KPI tables are written in order, most first
-    assert [r.departement for r in read_gold(spark, gold, KPI_BY_DEPARTMENT).collect()] == ["75", "92"]
+    # written in order, most first
+    assert [tuple(r) for r in read_gold(spark, gold, KPI_BY_DEPARTMENT).collect()] == [("77", 4), ("93", 1)]
+    sizes = {r.categorieEntreprise: r.total for r in read_gold(spark, gold, KPI_BUSINESS_SIZE).collect()}
+    assert sizes == {"PME": 2, "ETI": 1}
+    sectors = {r.departement: (r.secteur_activite, r["count"]) for r in read_gold(spark, gold, KPI_DOMINANT_SECTORS).collect()}
+    assert sectors == {"77": ("10", 2), "93": ("62", 1)}
+    assert G.unmatched_count(master).first().unmatched == 1
 
 
 def test_gold_requires_silver(spark, scratch):
@@ -115,7 +115,7 @@ def test_gold_skips_rebuild_when_silver_unchanged(spark, scratch):
     again = build_gold(spark, f"{scratch}/silver", f"{scratch}/gold")
     assert again.version == first.version
     forced = build_gold(spark, f"{scratch}/silver", f"{scratch}/gold", force=True)
-    assert forced.version == first.version + 1 and forced.master_rows == 3
+    assert forced.version == first.version + 1 and forced.master_rows == 5
 
 
 def _etab_rows(spark, rows):

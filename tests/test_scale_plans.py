@@ -32,12 +32,12 @@ def test_bronze_increment_reads_keys_only_for_detection(spark, scratch):
         spark, spark.read.parquet(f"{scratch}/src2"), f"{scratch}/bronze", "etablissements", datetime(2026, 1, 2)
     )
     plan = plan_of(inc)
-    # the registry and the detection branch read the key column only
-    assert plan.count("ReadSchema: struct<siret:string>") == 2
-    # the new keys were measured small: the stock file is filtered map-side
+    # the new keys are found once and staged: what is left reads them, and no registry
+    assert plan.count("ReadSchema: struct<siret:string>") == 1 and "staged/new-keys" in plan
+    assert f"{scratch}/bronze" not in plan
+    # they were measured small and no key repeats: the stock file is filtered map-side, without a shuffle
     assert "BroadcastHashJoin" in plan and "LeftSemi" in plan
-    # the dedup is partially aggregated before its exchange
-    assert "partial_min" in plan
+    assert "Exchange hashpartitioning" not in plan
     assert inc.count() == stock.count() - stock.filter(F.col("siret").cast("long") % 10 != 0).count()
 
 
