@@ -20,6 +20,8 @@ K = 64
 WORDS = 5
 #: Documents of one bucket of `with_next`.
 BUCKET_ROWS = 2_000
+#: Up to so many buckets their first ids (8 bytes each) are broadcast, so the texts stay where they are.
+MAX_BROADCAST_BUCKETS = 1_000_000
 _SPACE = "[\\x20\\x09-\\x0D]+"
 
 
@@ -125,7 +127,9 @@ def with_next(docs: DataFrame, extra: dict[str, Column] | None = None, id_column
     groups = within.groupBy("group").agg(F.min("bucket").alias("first"))
     ring = groups.select("group", F.coalesce(F.lead("first").over(Window.orderBy("group")), F.min("first").over(Window.partitionBy(F.lit(0)))).alias("first_after"))
     links = within.join(ring, "group").select("bucket", F.coalesce("after", "first_after").alias("after"))
-    head_rows = numbered.join(heads.select("doc_id"), "doc_id", "left_semi").groupBy("bucket", "doc_id").agg(F.min("text").alias("text"))
+    ids = heads.select("doc_id")  # a row per bucket, whose number is known
+    ids = F.broadcast(ids) if per_segment * len(limits) <= MAX_BROADCAST_BUCKETS else ids
+    head_rows = numbered.join(ids, "doc_id", "left_semi").groupBy("bucket", "doc_id").agg(F.min("text").alias("text"))
     head_rows = head_rows.select(F.col("bucket").alias("after"), "doc_id", "text").select("after", F.struct("doc_id", "text", *(c.alias(n) for n, c in extra.items())).alias("head"))
     rows = rows.join(links.join(head_rows, "after").select("bucket", "head"), "bucket", "left")
     return rows.select(*fields, F.when(known, F.coalesce("follower", "head")).alias("next"))
