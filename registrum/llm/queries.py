@@ -156,4 +156,48 @@ SELECT conv_id, count(*) AS n_turns,
 FROM sizes GROUP BY conv_id
 """
 
-SQL: dict[str, str] = {"op2_quality_rules": _OP2, "op8_chat_formatting": _OP8}
+_OP1 = """
+WITH d AS (
+    SELECT doc_id, hex(encode(coalesce(text, ''))) AS h, strlen(coalesce(text, '')) AS n FROM documents
+), w AS (
+    SELECT doc_id, p, substr(h, 2 * p + 1, 100) AS s FROM (SELECT doc_id, h, unnest(range(0, n - 49)) AS p FROM d WHERE n >= 50)
+), hit AS (
+    SELECT doc_id, p FROM w JOIN (SELECT s, min(doc_id) AS first FROM w GROUP BY s) USING (s) WHERE first < doc_id
+), edge AS (
+    SELECT doc_id, p, coalesce(p > lag(p) OVER o + 50, true) AS fresh FROM hit WINDOW o AS (PARTITION BY doc_id ORDER BY p)
+), run AS (
+    SELECT doc_id, min(p) AS a, max(p) + 50 AS b
+    FROM (SELECT doc_id, p, sum(fresh::INTEGER) OVER (PARTITION BY doc_id ORDER BY p) AS r FROM edge) GROUP BY doc_id, r
+), piece AS (
+    SELECT doc_id, coalesce(lag(b) OVER o, 0) AS a, a AS b FROM run WINDOW o AS (PARTITION BY doc_id ORDER BY a)
+    UNION ALL SELECT doc_id, max(b), NULL FROM run GROUP BY doc_id
+), kept AS (
+    SELECT doc_id, string_agg(CASE WHEN p.b IS NULL THEN substr(h, 2 * p.a + 1) ELSE substr(h, 2 * p.a + 1, 2 * (p.b - p.a)) END, '' ORDER BY p.a) AS k
+    FROM piece p JOIN d USING (doc_id) GROUP BY doc_id
+), total AS (SELECT doc_id, count(*) AS n_spans, sum(b - a) AS n_removed FROM run GROUP BY doc_id)
+SELECT doc_id, n::BIGINT AS n_bytes, coalesce(n_removed, 0)::BIGINT AS n_removed, coalesce(n_spans, 0)::BIGINT AS n_spans,
+       sha256(from_hex(coalesce(k, h))) AS kept_sha256
+FROM d LEFT JOIN kept USING (doc_id) LEFT JOIN total USING (doc_id)
+"""
+
+_UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+_OP5 = rf"""
+WITH RECURSIVE d AS (
+    SELECT doc_id, {_WORDS.format(f"translate(coalesce(text, ''), '{_UPPER}', '{_UPPER.lower()}')")} AS words FROM documents
+), s AS (
+    SELECT DISTINCT doc_id, CASE WHEN len(words) < 3 THEN array_to_string(words, ' ') ELSE array_to_string(words[i:i + 2], ' ') END AS shingle
+    FROM (SELECT doc_id, words, unnest(range(1, greatest(len(words) - 1, 2))) AS i FROM d WHERE len(words) > 0)
+), n AS (
+    SELECT doc_id, count(*) AS size FROM s GROUP BY doc_id
+), link AS (
+    SELECT a, b FROM (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS common FROM s x JOIN s y USING (shingle) WHERE x.doc_id <> y.doc_id GROUP BY ALL)
+    JOIN n na ON na.doc_id = a JOIN n nb ON nb.doc_id = b WHERE 100 * common >= 90 * (na.size + nb.size - common)
+), reach AS (
+    SELECT doc_id AS a, doc_id AS b FROM documents
+    UNION SELECT reach.a, link.b FROM reach JOIN link ON link.a = reach.b
+)
+SELECT a AS doc_id, coalesce(any_value(size), 0)::BIGINT AS n_shingles, min(b) AS component_id
+FROM reach LEFT JOIN n ON n.doc_id = a GROUP BY a
+"""
+
+SQL: dict[str, str] = {"op1_suffix_dedup": _OP1, "op2_quality_rules": _OP2, "op5_jaccard_join": _OP5, "op8_chat_formatting": _OP8}
