@@ -16,7 +16,7 @@ as are missing. So the result has exactly ``min(n, rows)`` rows, always.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from registrum.functions.columns import sample_key
@@ -60,8 +60,9 @@ def first_n(df: DataFrame, n: int, key: str, seed: int) -> DataFrame:
     place = ["_h", "_null", "_k", "_r"]
     candidates = hashes.filter((F.col("_p") >= low) & (F.col("_p") < low + width)).select(*place)
     end = candidates.orderBy(*place).limit(n - below).groupBy().agg(F.max(F.struct(*place)).alias("t")).first()["t"]
-    ties = candidates.filter(F.struct(*place) == _literal(candidates, place, end)).count()
-    before = candidates.filter(F.struct(*place) < _literal(candidates, place, end)).count()
+    at = _literal(candidates, place, end)
+    found = candidates.agg(F.count_if(F.struct(*place) == at).alias("ties"), F.count_if(F.struct(*place) < at).alias("before")).first()
+    ties, before = found["ties"], found["before"]
     here = marked.withColumn("_null", F.col(key).isNull()).withColumn("_k", F.col(key))
     point = F.struct(*place)
     limit = _literal(here, place, end)
@@ -75,7 +76,7 @@ def first_n(df: DataFrame, n: int, key: str, seed: int) -> DataFrame:
     return out.select(*df.columns)
 
 
-def _literal(df: DataFrame, names: list[str], values) -> F.Column:  # type: ignore[name-defined]
+def _literal(df: DataFrame, names: list[str], values) -> Column:
     types = {f.name: f.dataType for f in df.schema.fields}
     return F.struct(*[F.lit(values[c]).cast(types[c]).alias(c) for c in names])
 

@@ -10,7 +10,6 @@ from dataclasses import dataclass, field
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from registrum.functions.columns import ntz
 from registrum.plans.bronze import ingest_bronze
