@@ -34,7 +34,7 @@ from registrum.llm.common import slices, text_column
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 LONG = 256
-KEPT = 800_000  # entries of a worker's dictionary; it is emptied beyond
+KEPT = 300_000  # entries of a worker's dictionary; it is emptied beyond, and after each task
 ROUND = 30_000  # matches in one recursive query
 
 #: White space, and for texts without characters above U+024F the letters and numbers of the pattern.
@@ -199,6 +199,7 @@ def encode(docs: DataFrame, text: str = "text", vocabulary: str = VOCABULARY) ->
         for piece in slices(batches, "text", 4 << 20):
             ids = own.encode(piece.column("text").to_pylist())
             yield pa.RecordBatch.from_arrays([piece.column("row"), pa.array(ids, pa.binary())], ["row", "ids"])
+        own.known.clear()  # the worker's process lives on, with other tasks
 
     return source.mapInArrow(run, StructType([source.schema["row"], StructField("ids", BinaryType())]))
 
@@ -229,5 +230,6 @@ def digests(docs: DataFrame, id_column: str = "doc_id", text: str = "text", voca
             ids = own.encode(piece.column("text").to_pylist())
             sizes = pa.array([len(x) // 4 for x in ids], pa.int64())
             yield pa.RecordBatch.from_arrays([piece.column("doc_id"), sizes, digest(ids), digest(own.decode(ids))], ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
+        own.known.clear()
 
     return source.mapInArrow(run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")

@@ -11,7 +11,9 @@ Jaccard distance is a metric. Documents link at a distance of 1 - p / 100 or les
    classes hold (each differing class costs 1 at least), so no link is lost. Sizes are cut into rings, and a
    point joins its own ring and the next, as far as a partner's size can reach.
 3. The regions' graph falls into connected candidates, mostly families of near copies. A candidate
-   of up to `most` points is joined in one task. A larger one is split: pivots are documents of it, each
+   of up to `most` points (or as many times 4,000 bytes) is joined in one task. Of larger ones the points
+   that share too few shingles with all others for any link drop out (they have a passage in common,
+   no more), and the rest is cut into candidates anew. What is still too large is split: pivots are documents of it, each
    point goes to the Voronoi region of its nearest pivot and, by the triangle inequality, to every region whose
    pivot is at most 2 * (1 - p / 100) further away, where a partner could be. Regions that are still too
    large are split again; regions that do not shrink are joined block by block, all pairs of blocks, so
@@ -41,6 +43,7 @@ from pyspark.sql import functions as F
 
 from registrum.llm.common import as_bytes, slices, text_column, written
 from registrum.llm.components import components
+from registrum.llm.suffix_dedup import _by_bucket, _pack, _release, _unpack
 
 _A, _B, _C = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9))
 
@@ -63,7 +66,7 @@ _WORDS = _Words()
 
 def shingle_sets(texts: list[bytes], words: int) -> tuple[np.ndarray, np.ndarray]:
     """(hashes, ends): the sorted distinct shingle hashes of each text, one after the other."""
-    if len(_WORDS) > 500_000:
+    if len(_WORDS) > 200_000:
         _WORDS.clear()
     split = [x.lower().split() for x in texts]  # ASCII letters and white space only, as bytes
     counts = np.array([len(x) for x in split], np.int64)
@@ -241,7 +244,10 @@ def links_within(hashes: np.ndarray, ends: np.ndarray, percent: int, sides: np.n
 
 
 def _distances(pivot: np.ndarray, hashes: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    inside = np.concatenate([[0], np.cumsum(np.isin(hashes, pivot))])
+    if not len(pivot):
+        return np.ones(len(ends))
+    found = pivot[np.minimum(np.searchsorted(pivot, hashes), len(pivot) - 1)] == hashes
+    inside = np.concatenate([[0], np.cumsum(found)])
     sizes = np.diff(ends, prepend=0)
     both = inside[ends] - inside[ends - sizes]
     return 1 - both / np.maximum(1, len(pivot) + sizes - both)
@@ -266,12 +272,17 @@ def _split_regions(points: DataFrame, sizes: DataFrame, words: int, percent: int
         schema = pa.schema([("region", pa.string()), ("doc_id", pa.int64()), ("text", pa.binary())])
         if not rows.num_rows:
             return schema.empty_table()
-        hashes, ends = shingle_sets(as_bytes(rows.column("text").combine_chunks()), words)
         names = pivots.column("pivot").to_pylist()
         order = sorted(range(len(names)), key=names.__getitem__)
-        own_hashes, own_ends = shingle_sets(as_bytes(pivots.column("pivot_text").combine_chunks()), words) if names else (hashes[:0], ends[:0])
-        starts = np.concatenate([[0], own_ends[:-1]]).astype(int) if names else []
-        far = np.array([_distances(own_hashes[starts[i] : own_ends[i]], hashes, ends) for i in order]) if names else np.zeros((1, rows.num_rows))
+        own_hashes, own_ends = shingle_sets(as_bytes(pivots.column("pivot_text").combine_chunks()), words)
+        starts = np.concatenate([[0], own_ends[:-1]]).astype(int)
+        far = np.zeros((max(1, len(names)), rows.num_rows))
+        at = 0
+        for piece in slices(iter(rows.to_batches()), "text", 2 << 20):
+            hashes, ends = shingle_sets(as_bytes(piece.column("text")), words)
+            for k, i in enumerate(order):
+                far[k, at : at + piece.num_rows] = _distances(own_hashes[starts[i] : own_ends[i]], hashes, ends)
+            at += piece.num_rows
         row, where = np.nonzero((far <= far.min(0) + reach).T)
         parent = rows.column("region")[0].as_py()
         region = pa.array([f"{parent}/{names[order[w]] if names else 0}" for w in where.tolist()], pa.string())
@@ -285,6 +296,7 @@ def _joined(points: DataFrame, words: int, percent: int, tasks: int) -> DataFram
     """Links (a, b) inside the regions of points (region, doc_id, text, side), many small regions a task."""
 
     def join(rows: pa.Table) -> pa.Table:
+        _release()
         regions = rows.column("region").to_pylist()
         ids, sides = rows.column("doc_id").to_pylist(), rows.column("side").to_pylist()
         texts = as_bytes(rows.column("text").combine_chunks())
@@ -310,13 +322,18 @@ def _joined(points: DataFrame, words: int, percent: int, tasks: int) -> DataFram
     return dealt.groupBy("task").applyInArrow(join, "a long, b long")
 
 
+def _weights(points: DataFrame) -> DataFrame:
+    """(region, n): the number of points, or of 4,000 bytes of text if that is more."""
+    size = F.ceil(F.sum(F.octet_length("text")) / 4_000)
+    return points.groupBy("region").agg(F.greatest(F.count("*"), size).cast("long").alias("n"))
+
+
 def _in_regions(points: DataFrame, words: int, percent: int, most: int, tasks: int, depth: int = 4) -> DataFrame:
     """Links of all regions, splitting those of more than `most` points."""
     found = []
     now, parents = points, None
     for level in range(depth + 1):
-        sizes = now.groupBy("region").agg(F.count("*").alias("n"))
-        large = sizes.where(F.col("n") > most)
+        large = _weights(now).where(F.col("n") > most)
         if parents is None:
             large = large.withColumn("stuck", F.lit(level == depth))
         else:  # a region that has kept over four fifths of its parent's points does not shrink
@@ -347,13 +364,8 @@ def _in_regions(points: DataFrame, words: int, percent: int, most: int, tasks: i
 PASS = "doc_id long, n_shingles long, key binary, bucket int, regions binary, points binary, keys binary"
 
 
-def join_components(docs: DataFrame, words: int = 5, percent: int = 80, id_column: str = "doc_id", text: str = "text", most: int = 20_000, bucket_bytes: int = 24 << 20) -> DataFrame:
-    """(doc_id, n_shingles, component_id) for every row; component_id is the smallest doc_id reachable."""
-    if not 50 <= percent <= 99:
-        raise ValueError("percent is between 50 and 99")
-    source = docs.select(docs[id_column].cast("long").alias("doc_id"), text_column(docs, text).cast("binary").alias("text"))
-    total = source.agg(F.sum(F.octet_length("text")).alias("n")).first()["n"] or 0
-    buckets = max(4, -(-total // bucket_bytes))
+def _summaries(source: DataFrame, words: int, percent: int, buckets: int) -> DataFrame:
+    """Written rows of two kinds (PASS): a document's set key and size; packed region ids of many sets."""
 
     def summarise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = [x.split(" ")[0] for x in PASS.split(", ")]
@@ -380,7 +392,7 @@ def join_components(docs: DataFrame, words: int = 5, percent: int = 80, id_colum
             seen.clear()
 
         count = 0
-        for piece in slices(batches, "text", 8 << 20):
+        for piece in slices(batches, "text", 3 << 20):
             ids = piece.column("doc_id").to_pylist()
             hashes, ends = shingle_sets(as_bytes(piece.column("text")), words)
             begins = np.concatenate([[0], ends[:-1]]).astype(int)
@@ -392,16 +404,24 @@ def join_components(docs: DataFrame, words: int = 5, percent: int = 80, id_colum
                 regions, points = signatures(np.concatenate(parts), np.cumsum([len(x) for x in parts]), percent)
                 held.append((regions, np.array([seen[keys[i]] for i in fresh], np.int64)[points]))
                 count += len(regions)
-                if count > 2_000_000:
+                if count > 500_000:
                     yield from flush()
                     count = 0
         yield from flush()
+        _WORDS.clear()  # the worker's process lives on, with other tasks
+        _release()
+
+    return written(source.mapInArrow(summarise, PASS), "shingle-regions")
+
 
-    first = written(source.mapInArrow(summarise, PASS), "shingle-regions")
+def _candidates(first: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
+    """Of _summaries' rows: the documents' rows, (key, point) of each distinct set, links between the sets of
+    one doc_id, and (node, component) of the points that share a region with another."""
     rows = first.where("bucket IS NULL").select("doc_id", "n_shingles", "key")
 
     def meet(parts: pa.Table) -> pa.Table:
         """Candidate edges between set keys that share a region of this bucket (a spanning forest)."""
+        _release()
         keys_in = [np.frombuffer(x, "V16") for x in parts.column("keys").to_pylist()]
         shift = np.concatenate([[0], np.cumsum([len(k) for k in keys_in])])
         keys, same = np.unique(np.concatenate(keys_in).view(">u8").reshape(-1, 2), axis=0, return_inverse=True)
@@ -425,9 +445,93 @@ def join_components(docs: DataFrame, words: int = 5, percent: int = 80, id_colum
     several = filled.groupBy("doc_id").agg(F.min("key").alias("least"), F.max("key").alias("most")).where("least <> most").select("doc_id")
     one_document = written(filled.join(several, "doc_id").join(points, "key").where("doc_id <> point").select(F.col("doc_id").alias("a"), F.col("point").alias("b")), "one-document")
     name = lambda c: points.select(F.col("key").alias(c), F.col("point").alias(f"point_{c}"))
-    candidates = components(met.distinct().join(name("a"), "a").join(name("b"), "b").select(F.col("point_a").alias("a"), F.col("point_b").alias("b")).union(one_document))
+    found = components(met.distinct().join(name("a"), "a").join(name("b"), "b").select(F.col("point_a").alias("a"), F.col("point_b").alias("b")).union(one_document))
+    return rows, points, one_document, found
+
+
+def _shared_enough(points: DataFrame, words: int, percent: int, blocks: int) -> DataFrame:
+    """The points (doc_id, text) whose shingles are in other points often enough for any link. Blocks of
+    points send their shingles' hashes, buckets answer which occur twice (a collision keeps one more)."""
+    buckets = max(4, blocks // 2)
+    dealt = points.select("doc_id", "text").withColumn("block", F.pmod(F.xxhash64("doc_id"), F.lit(blocks)).cast("int")).repartition(blocks, "block")
+    shift = np.uint64(24)
+
+    def sets(rows: pa.Table) -> tuple[list[bytes], np.ndarray, np.ndarray]:
+        texts = as_bytes(rows.column("text").combine_chunks())
+        hashes, ends = shingle_sets(texts, words)
+        return texts, hashes >> shift, ends
+
+    def ask(rows: pa.Table) -> pa.Table:
+        _release()
+        _, hashes, _ = sets(rows)
+        distinct, counts = np.unique(hashes, return_counts=True)
+        edges = _by_bucket(distinct, buckets).tolist()
+        parts = [(i, a, b) for i, (a, b) in enumerate(zip(edges, edges[1:], strict=False)) if a < b]
+        return pa.table({
+            "bucket": pa.array([i for i, _, _ in parts], pa.int32()), "block": pa.array([rows.column("block")[0].as_py()] * len(parts), pa.int32()),
+            "hashes": pa.array([_pack(np.diff(distinct[a:b], prepend=np.uint64(0))) for _, a, b in parts], pa.binary()),
+            "many": pa.array([np.packbits(counts[a:b] > 1).tobytes() for _, a, b in parts], pa.binary()),
+        })
+
+    def answer(rows: pa.Table) -> pa.Table:
+        _release()
+        sent = [np.cumsum(_unpack(x)) for x in rows.column("hashes").to_pylist()]
+        names, same, counts = np.unique(np.concatenate(sent), return_inverse=True, return_counts=True)
+        twice = np.split(counts[same.ravel()] > 1, np.cumsum([len(x) for x in sent])[:-1])
+        many = [np.unpackbits(np.frombuffer(x, np.uint8), count=len(y)).astype(bool) for x, y in zip(rows.column("many").to_pylist(), sent, strict=True)]
+        return pa.table({"block": rows.column("block").combine_chunks(), "bucket": rows.column("bucket").combine_chunks(), "bits": pa.array([np.packbits(x | y).tobytes() for x, y in zip(twice, many, strict=True)], pa.binary())})
+
+    def keep(rows: pa.Table, answers: pa.Table) -> pa.Table:
+        _release()
+        texts, hashes, ends = sets(rows)
+        distinct = np.unique(hashes)
+        edges, on = _by_bucket(distinct, buckets), np.zeros(len(distinct), bool)
+        for bucket, bits in zip(answers.column("bucket").to_pylist(), answers.column("bits").to_pylist(), strict=True):
+            on[edges[bucket] : edges[bucket + 1]] = np.unpackbits(np.frombuffer(bits, np.uint8), count=edges[bucket + 1] - edges[bucket]).astype(bool)
+        shared = np.concatenate([[0], np.cumsum(on[np.searchsorted(distinct, hashes)])])
+        sizes = np.diff(ends, prepend=0)
+        enough = 100 * (shared[ends] - shared[ends - sizes]) >= percent * sizes
+        return rows.select(["doc_id", "text"]).filter(pa.array(enough))
+
+    asked = dealt.groupBy("block").applyInArrow(ask, "bucket int, block int, hashes binary, many binary")
+    answered = asked.groupBy("bucket").applyInArrow(answer, "block int, bucket int, bits binary")
+    return dealt.groupBy("block").cogroup(answered.groupBy("block")).applyInArrow(keep, "doc_id long, text binary")
+
+
+def _recut(points: DataFrame, words: int, percent: int, most: int, rounds: int = 3) -> DataFrame:
+    """Points whose large candidate regions are cut anew: points that cannot link (they only share passages)
+    drop out, and the regions' graph of the others falls into smaller parts. As often as that helps."""
+    done = []
+    before = None
+    for cut in range(1, rounds + 1):
+        large = written(_weights(points).where(F.col("n") > most), "large-candidates")
+        total = large.agg(F.sum("n").alias("n")).first()["n"]
+        if not total or (before and total > 0.8 * before):
+            break
+        before = total
+        done.append(points.join(large.select("region"), "region", "left_anti"))
+        blocks = max(4, -(-total * 4_000 // (3 << 20)))
+        left = written(_shared_enough(points.join(large.select("region"), "region", "left_semi"), words, percent, blocks), "shared-enough")
+        _, _, _, found = _candidates(_summaries(left, words, percent, blocks))
+        points = written(left.join(found.select(F.col("node").alias("doc_id"), F.concat(F.lit(f"{cut}."), F.col("component").cast("string")).alias("region")), "doc_id").select("region", "doc_id", "text"), "candidates")
+    for more in done:
+        points = points.union(more)
+    return points
+
+
+def join_components(docs: DataFrame, words: int = 5, percent: int = 80, id_column: str = "doc_id", text: str = "text", most: int = 3_000, bucket_bytes: int = 24 << 20) -> DataFrame:
+    """(doc_id, n_shingles, component_id) for every row; component_id is the smallest doc_id reachable."""
+    if not 50 <= percent <= 99:
+        raise ValueError("percent is between 50 and 99")
+    source = docs.select(docs[id_column].cast("long").alias("doc_id"), text_column(docs, text).cast("binary").alias("text"))
+    total = source.agg(F.sum(F.octet_length("text")).alias("n")).first()["n"] or 0
+    buckets = max(4, -(-total // bucket_bytes))
+
+    first = _summaries(source, words, percent, buckets)
+    rows, points, one_document, candidates = _candidates(first)
     texts = source.join(candidates.select(F.col("node").alias("doc_id"), F.col("component").cast("string").alias("region")).hint("shuffle_hash"), "doc_id")
-    links = _in_regions(written(texts.select("region", "doc_id", "text"), "candidates"), words, percent, most, buckets)
+    near = _recut(written(texts.select("region", "doc_id", "text"), "candidates"), words, percent, most)
+    links = _in_regions(near, words, percent, most, buckets)
     found = components(links.union(one_document))
     named = rows.join(points, "key", "left").join(found, F.col("point") == F.col("node"), "left")
     alone = F.col("n_shingles") == 0

@@ -6,7 +6,7 @@ import functools
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from registrum.llm import bpe_duckdb, chat_template, fingerprints, jaccard_join, pii_crf, quality_gam, quality_rules, soft_mixing, suffix_dedup, warc
@@ -47,7 +47,7 @@ def op6_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.compare_neighbours(table(spark, sf_dir, "documents"))
 
 
-def _joined(spans: str) -> F.Column:  # type: ignore[name-defined]
+def _joined(spans: str) -> Column:
     return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s.kind, s.start.cast("string"), s.end.cast("string"))), ",")
 
 
