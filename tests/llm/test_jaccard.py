@@ -55,6 +55,23 @@ def test_components(spark, n, percent, most):
     assert got == brute(rows, n, percent)
 
 
+def test_large_candidates_are_cut_anew(spark):
+    """Documents that share a passage are one candidate; those that cannot link drop out of it."""
+    rng = random.Random(5)
+    passage = " ".join(f"p{i}" for i in range(40))
+    rows = []
+    for i in range(90):
+        own = " ".join(f"o{rng.randrange(10_000)}" for _ in range(rng.choice([3, 8, 60])))
+        rows.append((i, f"{own} {passage}"))
+    rows += [(100 + i, f"{rows[i][1]} {rng.choice('xyz')}") for i in range(0, 90, 3)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    points = df.selectExpr("'1' AS region", "doc_id", "cast(text as binary) AS text")
+    left = jj._recut(points, 5, 80, 10)
+    assert 1 < left.count() < len(rows)
+    got = sorted((tuple(r) for r in jj.join_components(df, 5, 80, most=10, bucket_bytes=4_000).collect()), key=repr)
+    assert got == brute(rows, 5, 80)
+
+
 def test_odd_documents(odd_documents, no_documents):
     df, rows = odd_documents
     got = sorted((tuple(r) for r in jj.join_components(df, 3, 90).collect()), key=repr)
