@@ -23,13 +23,16 @@ Defined results: null text is empty; texts under `length` bytes lose nothing; ro
 are one document for this purpose (they do not cut each other) but keep a row each; a null doc_id
 neither cuts nor is cut; other columns are ignored; an empty table gives an empty result.
 
-Scale: blocks and buckets grow with the input (`block_bytes`, 24 MB by default, each); a row of the
+Scale: blocks and buckets grow with the input (`block_bytes`, 4 MB by default; a bucket answers
+for three blocks' worth, as it reads its runs as a stream); a row of the
 exchanges is a whole packed run, so there are blocks x buckets of them. For tables of many TB raise
 block_bytes with the executors' memory.
 """
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
@@ -42,6 +45,7 @@ from registrum.llm.loser_tree import merge_front_coded, shared
 
 K = 24  # bytes of an anchor's K-gram
 HASH_BITS = 40
+CHUNK = 1 << 20  # bytes whose K-grams are hashed at a time
 _A, _B, _C = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9))
 
 
@@ -81,6 +85,13 @@ def _expand(data: bytes) -> bytes:
     return pa.decompress(data[8:], decompressed_size=int.from_bytes(data[:8], "little"), codec="zstd", asbytes=True) if data else b""
 
 
+def _release() -> None:
+    """Give freed memory back to the system: a worker's process lives on, beside others."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # not on every platform
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 class _Block:
     """The texts of a block behind one another, and their anchors."""
 
@@ -92,28 +103,38 @@ class _Block:
         self.sizes = np.array([len(x) for x in self.texts], np.int64)
         self.ends = np.cumsum(self.sizes)
         self.begins = self.ends - self.sizes
-        self.data = np.frombuffer(b"".join(self.texts) + bytes(64), np.uint8)
-        self.n = len(self.data) - 64
+        self.data = np.frombuffer(b"".join([*self.texts, bytes(256)]), np.uint8)
+        self.n = len(self.data) - 256
+        self.padded = np.concatenate([np.zeros(length - K, np.uint8), self.data])
+        self.numbers = np.array([i if i is not None else 0 for i in self.ids], np.int64)
 
     def anchors(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Places of anchors in documents that take part, their rows, and the hashes of their K-grams."""
-        width = self.length - K + 1
-        if self.n < self.length:
-            return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint64)
-        words = np.ndarray((self.n + 48,), "<u8", buffer=self.data, strides=(1,))
-        hashes = _mix(words[: self.n] * _A + _mix(words[8 : self.n + 8] * _B + _mix(words[16 : self.n + 16] * _A)))
-        short = (hashes >> np.uint64(32)).astype(np.uint32)
+        width, margin = self.length - K + 1, self.length
         usable = np.zeros(self.n + 1, np.int8)  # places where a K-gram of a participating document starts
-        on = np.array([i is not None for i in self.ids]) & (self.sizes >= self.length)
+        on = np.array([i is not None for i in self.ids], bool) & (self.sizes >= self.length)
         np.add.at(usable, self.begins[on], 1)
         np.add.at(usable, self.ends[on] - K + 1, -1)
         usable = np.cumsum(usable[:-1], dtype=np.int8).astype(bool)
-        short[~usable] = 0xFFFFFFFF
-        least = _slide(short, width, np.minimum)
-        pad = np.zeros(width - 1, np.uint32)
-        reach = _slide(np.concatenate([pad, least, pad]), width, np.maximum)
-        at = np.flatnonzero((reach == short) & usable)
-        return at, np.searchsorted(self.ends, at, side="right"), hashes[at] >> np.uint64(64 - HASH_BITS)
+        places, grams = [np.zeros(0, np.int64)], [np.zeros(0, np.uint64)]
+        for start in range(0, self.n, CHUNK):  # a place depends on the bytes within `margin` of it only
+            lo, hi = max(0, start - margin), min(self.n, start + CHUNK + margin)
+            if hi - lo < width:
+                continue
+            words = np.ndarray((hi - lo + 16,), "<u8", buffer=self.data[lo:], strides=(1,))
+            n = hi - lo
+            hashes = _mix(words[:n] * _A + _mix(words[8 : n + 8] * _B + _mix(words[16 : n + 16] * _A)))
+            short = (hashes >> np.uint64(32)).astype(np.uint32)
+            short[~usable[lo:hi]] = 0xFFFFFFFF
+            least = _slide(short, width, np.minimum)
+            pad = np.zeros(width - 1, np.uint32)
+            reach = _slide(np.concatenate([pad, least, pad]), width, np.maximum)
+            at = np.flatnonzero((reach == short) & usable[lo:hi]) + lo
+            own = (at >= start) & (at < start + CHUNK)
+            places.append(at[own])
+            grams.append(hashes[at[own] - lo] >> np.uint64(64 - HASH_BITS))
+        at = np.concatenate(places)
+        return at, np.searchsorted(self.ends, at, side="right"), np.concatenate(grams)
 
 
 def _by_bucket(sorted_hashes: np.ndarray, buckets: int) -> np.ndarray:
@@ -133,19 +154,13 @@ def _distinct(hashes: np.ndarray, owners: np.ndarray) -> tuple[np.ndarray, np.nd
     return h[first], o[first] != o[last]
 
 
-def _ids(block: _Block) -> np.ndarray:
-    return np.array([i if i is not None else 0 for i in block.ids], np.int64)
-
-
 def _entries(block: _Block, at: np.ndarray, row: np.ndarray) -> dict:
     """Sorted distinct (suffix, bytes before it) at the given anchors, with the smallest doc_id of each, the
     places of that document, and the cuts that the block's own documents decide."""
     before, after = block.length - K, block.length
     left = np.minimum(before, at - block.begins[row])
     right = np.minimum(after, block.ends[row] - at)
-    padded = np.concatenate([np.zeros(before, np.uint8), block.data, np.zeros(after, np.uint8)])
-    span = np.lib.stride_tricks.sliding_window_view(padded, before + after)[at]
-    cells = np.array(span)
+    cells = np.lib.stride_tricks.sliding_window_view(block.padded, before + after)[at]  # a copy
     cells[:, :before][np.arange(before)[None, :] < (before - left)[:, None]] = 0
     cells[:, before:][np.arange(after)[None, :] >= right[:, None]] = 0
     width = -(-(after + 1 + before + 1) // 8) * 8
@@ -154,11 +169,11 @@ def _entries(block: _Block, at: np.ndarray, row: np.ndarray) -> dict:
     keys[:, after] = right
     keys[:, after + 1 : after + 1 + before] = cells[:, before - 1 :: -1] if before else 0
     keys[:, after + 1 + before] = left
-    order = np.lexsort((at, _ids(block)[row], *[keys[:, i : i + 8].copy().view(">u8").ravel() for i in range(width - 8, -1, -8)]))
+    order = np.lexsort((at, block.numbers[row], *[keys[:, i : i + 8].copy().view(">u8").ravel() for i in range(width - 8, -1, -8)]))
     keys, at, row, left, right = keys[order], at[order], row[order], left[order], right[order]
     new = np.concatenate([[True], (keys[1:] != keys[:-1]).any(1)]) if len(at) else np.zeros(0, bool)
     entry = np.cumsum(new) - 1
-    ids = _ids(block)[row]
+    ids = block.numbers[row]
     least = ids[new][entry] if len(at) else ids
     own = ids == least  # these wait for the answer; the others repeat a document of this block
     cut = ~own & (left + right >= block.length)
@@ -252,14 +267,17 @@ def _resolve(group: list[tuple], length: int, out: list[tuple[bytearray, bytearr
 
 def _merge(rows: pa.Table, length: int) -> pa.Table:
     """A bucket's answers: for each entry of each run the bytes to cut left and right of its anchor."""
+    _release()
     runs = rows.sort_by("block").to_pylist()
-    decoded = []
+    del rows
+    decoded, lengths = [], []
     for r in runs:
-        prefix, sizes = _expand(r["prefix"]), _expand(r["size"])
-        decoded.append(zip(prefix, _strings(bytes(s - p for s, p in zip(sizes, prefix, strict=True)), _expand(r["rest"])), strict=True))
-    lefts = [_strings(_expand(r["left"]), _expand(r["lefts"])) for r in runs]
-    ids = [iter(_unpack(r["ids"]).view("<i8").tolist()) for r in runs]
-    out = [(bytearray(n), bytearray(n)) for n in (len(_expand(r["size"])) for r in runs)]
+        prefix, sizes = _expand(r.pop("prefix")), _expand(r.pop("size"))
+        lengths.append(len(sizes))
+        decoded.append(zip(prefix, _strings(bytes(s - p for s, p in zip(sizes, prefix, strict=True)), _expand(r.pop("rest"))), strict=True))
+    lefts = [_strings(_expand(r.pop("left")), _expand(r.pop("lefts"))) for r in runs]
+    ids = [map(int, _unpack(r.pop("ids")).view("<i8")) for r in runs]
+    out = [(bytearray(n), bytearray(n)) for n in lengths]
     place = [0] * len(runs)
     group: list[tuple] = []
     text = b""
@@ -293,7 +311,7 @@ def _cut(block: _Block, answers: pa.Table) -> pa.Table:
             np.add.at(depth, (at + hi[entry])[on], -1)
         np.add.at(depth, _unpack(r["start"]).astype(np.int64), 1)
         np.add.at(depth, _unpack(r["stop"]).astype(np.int64), -1)
-    gone = np.cumsum(depth[:-1]) > 0
+    gone = np.cumsum(depth[:-1], dtype=np.int32) > 0
     edge = np.flatnonzero(np.diff(gone, prepend=False, append=False))
     owner = np.searchsorted(block.ends, edge[::2], side="right")
     removed: list[list[dict]] = [[] for _ in block.ids]
@@ -308,21 +326,22 @@ def _cut(block: _Block, answers: pa.Table) -> pa.Table:
     return pa.table({"doc_id": pa.array(block.ids, pa.int64()), "n_bytes": pa.array(block.sizes), "removed": pa.array(removed, spans), "kept": pa.array(kept, pa.binary())})
 
 
-def remove_repeats(docs: DataFrame, id_column: str = "doc_id", text: str = "text", length: int = 50, block_bytes: int = 24 << 20) -> DataFrame:
+def remove_repeats(docs: DataFrame, id_column: str = "doc_id", text: str = "text", length: int = 50, block_bytes: int = 4 << 20) -> DataFrame:
     """(doc_id, n_bytes, removed spans in bytes, kept bytes) for every row."""
     if not K <= length <= 200:
         raise ValueError(f"length is between {K} and 200 bytes")
     source = docs.select(docs[id_column].cast("long").alias("doc_id"), text_column(docs, text).cast("binary").alias("text"))
     total = source.agg(F.sum(F.octet_length("text")).alias("n")).first()["n"] or 0
     blocks = max(4, -(-total // block_bytes))
-    buckets = max(4, blocks // 2)
+    buckets = max(4, blocks // 3)
     # one exchange of the texts, which all three readings of a block use
     dealt = source.withColumn("block", F.pmod(F.xxhash64("doc_id"), F.lit(blocks)).cast("int")).repartition(blocks, "block")
 
     def ask(rows: pa.Table) -> pa.Table:
+        _release()
         block = _Block(rows, length)
         _, row, hashes = block.anchors()
-        distinct, many = _distinct(hashes, _ids(block)[row])
+        distinct, many = _distinct(hashes, block.numbers[row])
         edges = _by_bucket(distinct, buckets)
         parts = [(i, a, b) for i, (a, b) in enumerate(zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True)) if a < b]
         number = rows.column("block")[0].as_py()
@@ -346,11 +365,13 @@ def remove_repeats(docs: DataFrame, id_column: str = "doc_id", text: str = "text
         return pa.table({"block": rows.column("block").combine_chunks(), "bucket": rows.column("bucket").combine_chunks(), "bits": pa.array([np.packbits(x).tobytes() for x in on], pa.binary())})
 
     def run(rows: pa.Table, answers: pa.Table) -> pa.Table:
+        _release()
         if not rows.num_rows:
             return pa.Table.from_pylist([], schema=pa.schema([(n, pa.int32() if n in ("bucket", "block") else pa.binary()) for n in _RUN]))
         return _runs(_Block(rows, length), rows.column("block")[0].as_py(), answers, buckets)
 
     def cut(rows: pa.Table, answers: pa.Table) -> pa.Table:
+        _release()
         return _cut(_Block(rows, length), answers)
 
     asked = dealt.groupBy("block").applyInArrow(ask, "bucket int, block int, hashes binary, many binary")
