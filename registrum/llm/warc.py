@@ -12,7 +12,7 @@ Reading. Archives are read as binary files, each parsed by Content-Length, so a
 anything, even text that looks like a record.
 
 Index. Each archive's captures, sorted by URL key and timestamp, are a run. A run is cut at splitters
-(a bounded sample of the runs' keys) and each range merges its parts of all runs by a loser tree, which
+(from a bounded sample of all captures) and each range merges its parts of all runs by a loser tree, which
 gives globally ordered capture histories: ranges in order, captures in order within.
 
 Defined results: null html is an empty payload; null url is an empty one; rows with a null page_id are
@@ -38,6 +38,7 @@ from registrum.llm.loser_tree import merge
 
 EPOCH = 1704067200  # capture time of page 0 (2024-01-01, UTC); page n was captured n seconds later
 MAX_SPLITTERS = 4096
+SAMPLE = 16  # sampled captures for each splitter
 
 
 def base32(digest: Column) -> Column:
@@ -169,27 +170,36 @@ def read_runs(spark: SparkSession, path: str) -> DataFrame:
     return files.mapInArrow(run, f"archive string, captures array<struct<{fields}>>")
 
 
+def _edge(found: list[dict], archive: str, splitter: tuple) -> int:
+    """How many captures of an archive's run come before a splitter (a capture's key, its archive, its place
+    in the run); equal keys are in order of their archives, as the merge gives them."""
+    *key, of, place = splitter
+    if archive == of:
+        return place
+    return (bisect.bisect_right if archive < of else bisect.bisect_left)(found, tuple(key), key=_order)
+
+
 def merged_index(runs: DataFrame, per_range: int = 50_000) -> DataFrame:
     """All captures in ranges of URL key, time and page: column `range` orders the partitions, `place` the
-    captures within. Splitters come from every (per_range / 8)-th key of each run, MAX_SPLITTERS at most."""
-    runs = written(runs, "capture-runs")  # read for the splitters and for the ranges, made once
-    key = "struct(c.url_key, c.captured, c.page_id is null, coalesce(c.page_id, 0))"
-    step = max(1, per_range // 8)
-    sample = runs.selectExpr(f"transform(filter(captures, (c, i) -> i % {step} = {step - 1}), c -> {key}) AS keys").select(F.explode("keys").alias("key"))
-    ranked = sample.agg(F.count("*").alias("n")).first()["n"]
-    wanted = min(MAX_SPLITTERS, ranked * step // per_range)
+    captures within. Splitters are quantiles of a sample over the captures of all runs, however short the runs
+    are: about SAMPLE captures for each range of about per_range; MAX_SPLITTERS at most. Captures with
+    equal keys are told apart by archive and place, so many of them do not make a range large."""
+    runs = written(runs, "capture-runs")  # read for their number, the splitters and the ranges, made once
+    captures = runs.agg(F.sum(F.size("captures"))).first()[0] or 0
+    wanted = min(MAX_SPLITTERS, captures // per_range)
     splitters: list[tuple] = []
     if wanted:
-        # every (ranked / wanted)-th sampled key, found by range-partitioned sorting; `wanted` rows reach the driver
-        spread = F.pmod(F.xxhash64("key"), F.lit(max(1, ranked // (wanted * 4)))) == 0
-        kept = [tuple(r.key) for r in sample.where(spread).orderBy("key").limit(MAX_SPLITTERS * 16).collect()]
-        splitters = kept[:: max(1, len(kept) // wanted)]
+        each = runs.selectExpr("archive", "posexplode(captures) AS (i, c)")
+        sample = each.where(F.pmod(F.xxhash64("i", "c.url_key", "c.captured", "c.page_id"), F.lit(max(1, captures // (SAMPLE * wanted)))) == 0)
+        kept = sorted(map(tuple, sample.selectExpr("c.url_key", "c.captured", "c.page_id IS NULL", "coalesce(c.page_id, 0)", "archive", "i").collect()))
+        splitters = [kept[len(kept) * n // (wanted + 1)] for n in range(1, wanted + 1)] if kept else []
     item = pa.struct(_CAPTURE)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for name, found in zip(batch.column("archive").to_pylist(), batch.column("captures").to_pylist(), strict=True):
-                edges = [0, *(bisect.bisect_left(found, s, key=_order) for s in splitters), len(found)]
+            for name, captured in zip(batch.column("archive").to_pylist(), batch.column("captures"), strict=True):
+                found = captured.as_py()  # one archive's at a time
+                edges = [0, *(_edge(found, name, s) for s in splitters), len(found)]
                 parts = [(i, found[a:b]) for i, (a, b) in enumerate(zip(edges, edges[1:], strict=False)) if a < b]
                 if parts:
                     yield pa.RecordBatch.from_arrays([pa.array([i for i, _ in parts], pa.int32()), pa.array([name] * len(parts)), pa.array([p for _, p in parts], pa.list_(item))], ["range", "archive", "captures"])

@@ -62,6 +62,27 @@ def test_global_order(spark):
     assert max(sum(r.range == k for r in found) for k in {r.range for r in found}) < 150
 
 
+def sizes(index):
+    return [r["count"] for r in index.groupBy("range").count().collect()]
+
+
+def test_short_runs_are_cut_into_ranges(spark):
+    """More captures than per_range in archives of far fewer each, at the default per_range."""
+    capture = "named_struct('page_id', id * 200 + i, 'payload_bytes', 1L, 'payload_digest', 'x', 'record_type', 'response', 'refers_to', CAST(NULL AS bigint), 'url', 'u', 'url_key', format_string('%03d', i), 'captured', format_string('%014d', id * 200 + i))"
+    index = warc.merged_index(spark.range(600).selectExpr("format_string('a%04d', id) AS archive", f"transform(sequence(0L, 199L), i -> {capture}) AS captures")).cache()
+    assert index.count() == 120_000
+    assert len(sizes(index)) > 1 and max(sizes(index)) < 100_000
+    keys = [(r.url_key, r.captured) for r in index.select("url_key", "captured", "range", "place").orderBy("range", "place").collect()]
+    assert keys == sorted(keys)
+
+
+def test_equal_keys_are_cut_into_ranges(spark):
+    rows = [(None, "http://a.org/", str(i % 7)) for i in range(300)]
+    _, index = run(spark, rows, archive_bytes=30_000)
+    assert digest(index) == brute(rows)
+    assert len(sizes(index)) > 3 and max(sizes(index)) < 150
+
+
 def test_parse_is_strict():
     import pytest
 
