@@ -2,7 +2,7 @@
 
 A byte goes if a `length`-byte string (50) that covers it also starts in a document with a smaller
 doc_id. Documents are dealt to blocks by doc_id; nothing is collected, and no task holds more than
-a block, or the entries of one bucket.
+a block, or the entries of one bucket or group.
 
 1. Anchors. In every window of `length` bytes the K-gram of least hash is an anchor. The choice
    depends on the window's bytes alone, so equal windows have anchors at the same place, and the suffixes
@@ -16,6 +16,10 @@ a block, or the entries of one bucket.
 4. A bucket merges its runs by a loser tree that never compares a known prefix again. Suffixes that
    share the K-gram come out side by side; for each the furthest matching bytes to the left and right
    with a smaller doc_id follow. The answers go back to the blocks, which cut the texts.
+5. A K-gram with more than `most` entries in all (documents that share a passage have different bytes
+   before or after it, so near its ends each has an entry of its own) is resolved apart, window by
+   window: each block sends the distinct `length`-byte windows around its anchors with their smallest
+   doc_id, dealt to groups by K-gram, place and bytes, and a group answers which windows a smaller doc_id has.
 
 Bytes are compared, not hashes, so matches are exact and never cross documents.
 
@@ -45,6 +49,9 @@ from registrum.llm.loser_tree import merge_front_coded, shared
 
 K = 24  # bytes of an anchor's K-gram
 HASH_BITS = 40
+FEW = 4  # anchors of a K-gram in a block whose surroundings are not compared to count its entries
+SALT_BITS = 14
+WINDOWS = 1 << 18  # of one K-gram and place that go to one group, about
 CHUNK = 1 << 20  # bytes whose K-grams are hashed at a time
 _A, _B, _C = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9))
 
@@ -154,15 +161,59 @@ def _distinct(hashes: np.ndarray, owners: np.ndarray) -> tuple[np.ndarray, np.nd
     return h[first], o[first] != o[last]
 
 
-def _entries(block: _Block, at: np.ndarray, row: np.ndarray) -> dict:
-    """Sorted distinct (suffix, bytes before it) at the given anchors, with the smallest doc_id of each, the
-    places of that document, and the cuts that the block's own documents decide."""
+def _cells(block: _Block, at: np.ndarray, row: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The bytes before and from the given anchors on, zero outside their documents, and how many are inside."""
     before, after = block.length - K, block.length
     left = np.minimum(before, at - block.begins[row])
     right = np.minimum(after, block.ends[row] - at)
     cells = np.lib.stride_tricks.sliding_window_view(block.padded, before + after)[at]  # a copy
     cells[:, :before][np.arange(before)[None, :] < (before - left)[:, None]] = 0
     cells[:, before:][np.arange(after)[None, :] >= right[:, None]] = 0
+    return cells, left, right
+
+
+def _words(cells: np.ndarray) -> np.ndarray:
+    """Rows of bytes as rows of integers, padded with zeros."""
+    wide = np.zeros((len(cells), -(-cells.shape[1] // 8) * 8), np.uint8)
+    wide[:, : cells.shape[1]] = cells
+    return wide.view("<u8")
+
+
+def _hash(words: np.ndarray, start: np.ndarray) -> np.ndarray:
+    for column in words.T:
+        start = _mix(start * _A + column * _B)
+    return start
+
+
+def _changes(*columns: np.ndarray) -> np.ndarray:
+    """Whether a row differs from the one before it."""
+    new = np.ones(len(columns[0]), bool)
+    new[1:] = False
+    for c in columns:
+        new[1:] |= c[1:] != c[:-1] if c.ndim == 1 else (c[1:] != c[:-1]).any(1)
+    return new
+
+
+def _counts(block: _Block, at: np.ndarray, row: np.ndarray, hashes: np.ndarray, distinct: np.ndarray) -> np.ndarray:
+    """How many entries the block has of each distinct hash; up to FEW anchors all count."""
+    which = np.searchsorted(distinct, hashes)
+    counts = np.bincount(which, minlength=len(distinct))
+    often = np.flatnonzero(counts[which] > FEW)
+    if len(often):
+        cells, left, right = _cells(block, at[often], row[often])
+        marks, of = _hash(_words(cells), (left << 8 | right).astype(np.uint64)), which[often]
+        order = np.lexsort((marks, of))
+        of = of[order]
+        counts[of] = 0
+        counts += np.bincount(of[_changes(of, marks[order])], minlength=len(distinct))
+    return counts
+
+
+def _entries(block: _Block, at: np.ndarray, row: np.ndarray) -> dict:
+    """Sorted distinct (suffix, bytes before it) at the given anchors, with the smallest doc_id of each, the
+    places of that document, and the cuts that the block's own documents decide."""
+    before, after = block.length - K, block.length
+    cells, left, right = _cells(block, at, row)
     width = -(-(after + 1 + before + 1) // 8) * 8
     keys = np.zeros((len(at), width), np.uint8)  # suffix, its length, the bytes before in reverse, their number
     keys[:, :after] = cells[:, before:]
@@ -185,15 +236,19 @@ def _runs(block: _Block, number: int, answers: pa.Table, buckets: int) -> pa.Tab
     at, row, hashes = block.anchors()
     distinct, _ = _distinct(hashes, row)
     edges = _by_bucket(distinct, buckets)
-    shared_by_two = np.zeros(len(distinct), bool)
-    for bucket, bits in zip(answers.column("bucket").to_pylist(), answers.column("bits").to_pylist(), strict=True):
+    shared_by_two, heavy = np.zeros(len(distinct), bool), np.zeros(len(distinct), np.uint64)
+    for bucket, bits, sizes in zip(*(answers.column(x).to_pylist() for x in ("bucket", "bits", "heavy")), strict=True):
         a, b = edges[bucket], edges[bucket + 1]
         shared_by_two[a:b] = np.unpackbits(np.frombuffer(bits, np.uint8), count=b - a).astype(bool)
+        if sizes:
+            heavy[a:b] = _unpack(sizes)
     which = np.searchsorted(distinct, hashes)
     chosen = shared_by_two[which] if len(distinct) else np.zeros(0, bool)
-    at, row, hashes = at[chosen], row[chosen], hashes[chosen]
-    bucket_of = np.searchsorted(edges[1:-1], which[chosen], side="right")
-    out = []
+    at, row, hashes, which = at[chosen], row[chosen], hashes[chosen], which[chosen]
+    apart = heavy[which] > 0
+    out = _windows(block, number, at[apart], row[apart], hashes[apart], heavy[which][apart])
+    at, row, which = at[~apart], row[~apart], which[~apart]
+    bucket_of = np.searchsorted(edges[1:-1], which, side="right")
     for bucket in np.unique(bucket_of).tolist():
         mine = bucket_of == bucket
         e = _entries(block, at[mine], row[mine])
@@ -210,11 +265,71 @@ def _runs(block: _Block, number: int, answers: pa.Table, buckets: int) -> pa.Tab
             "left": _squeeze(left.astype(np.uint8).tobytes()), "lefts": _squeeze(lefts), "ids": _pack(e["ids"].astype("<i8").view("<u8")),
             "entry": _pack(np.diff(e["entry"], prepend=0)), "at": _pack(e["at"]), "start": _pack(e["from"]), "stop": _pack(e["to"]),
         })
-    return pa.Table.from_pylist(out, schema=pa.schema([(n, pa.int32() if n in ("bucket", "block") else pa.binary()) for n in _RUN]))
+    return pa.Table.from_pylist(out, schema=_arrow(_RUN))
+
+
+def _windows(block: _Block, number: int, at: np.ndarray, row: np.ndarray, grams: np.ndarray, sizes: np.ndarray) -> list[dict]:
+    """Rows like runs, one for each group (a bucket below 0): the distinct windows around anchors of K-grams
+    with very many entries (sizes), place by place, with the smallest doc_id of each and that document's
+    windows; what the block's own documents decide is cut already."""
+    out: list[dict] = []
+    cut = [np.zeros(0, np.int64)]
+    salts = (sizes + np.uint64(WINDOWS - 1)) // np.uint64(WINDOWS)
+    salts = np.minimum(salts, np.uint64(1 << SALT_BITS))
+    view = np.lib.stride_tricks.sliding_window_view(block.data, block.length)
+    for back in range(block.length - K + 1):
+        inside = (at - back >= block.begins[row]) & (at - back + block.length <= block.ends[row])
+        place, ids = at[inside] - back, block.numbers[row[inside]]
+        if not len(place):
+            continue
+        words = _words(view[place])
+        salt = _hash(words, np.zeros(len(words), np.uint64)) % salts[inside]
+        group = -1 - (((grams[inside] << np.uint64(8) | np.uint64(back)) << np.uint64(SALT_BITS)) | salt).astype(np.int64)
+        order = np.lexsort((place, ids, *words.T, group))
+        group, words, place, ids = group[order], words[order], place[order], ids[order]
+        new = _changes(group, words)
+        own = ids == ids[new][np.cumsum(new) - 1]
+        cut.append(place[~own])
+        edges = [*np.flatnonzero(_changes(group)).tolist(), len(group)]
+        for a, b in zip(edges, edges[1:], strict=False):
+            first, mine = np.flatnonzero(new[a:b]) + a, own[a:b]
+            entry = (np.cumsum(new[a:b]) - 1)[mine]
+            out.append({
+                "bucket": int(group[a]), "block": number, "rest": _squeeze(words[first].view(np.uint8)[:, : block.length].tobytes()), "ids": _pack(ids[first].astype("<i8").view("<u8")),
+                "entry": _pack(np.diff(entry, prepend=0)), "at": _pack(place[a:b][mine]), "start": b"", "stop": b"",
+            })
+    cuts = np.unique(np.concatenate(cut))
+    if len(cuts):  # windows that touch or overlap are one piece
+        far = np.flatnonzero(np.diff(cuts) > block.length)
+        out[0] |= {"start": _pack(cuts[np.concatenate([[0], far + 1])]), "stop": _pack(cuts[np.concatenate([far, [len(cuts) - 1]])] + block.length)}
+    return out
+
+
+def _least(rows: pa.Table, length: int) -> pa.Table:
+    """A group's answers: the windows that a smaller doc_id of another block has are cut."""
+    _release()
+    rows = rows.sort_by("block")
+    ids = [_unpack(x).view("<i8") for x in rows.column("ids").to_pylist()]
+    words = _words(np.frombuffer(b"".join(map(_expand, rows.column("rest").to_pylist())), np.uint8).reshape(-1, length))
+    order = np.lexsort(words.T)
+    new = _changes(words[order])
+    numbers = np.concatenate(ids)
+    least = np.empty_like(numbers)
+    least[order] = np.minimum.reduceat(numbers[order], np.flatnonzero(new))[np.cumsum(new) - 1]
+    hit = np.split(np.where(least < numbers, length, 0).astype(np.uint8), np.cumsum([len(x) for x in ids])[:-1])
+    answers = [{**r, "lo": _squeeze(bytes(len(h))), "hi": _squeeze(h.tobytes())} for r, h in zip(rows.select(_CARRIED).to_pylist(), hit, strict=True)]
+    return pa.Table.from_pylist(answers, schema=_arrow(_ANSWER))
+
+
+def _arrow(names: tuple[str, ...]) -> pa.Schema:
+    return pa.schema([(n, {"bucket": pa.int64(), "block": pa.int32()}.get(n, pa.binary())) for n in names])
+
+
+def _sql(names: tuple[str, ...]) -> str:
+    return ", ".join(f"{n} { {'bucket': 'long', 'block': 'int'}.get(n, 'binary')}" for n in names)
 
 
 _RUN = ("bucket", "block", "prefix", "size", "rest", "left", "lefts", "ids", "entry", "at", "start", "stop")
-_RUN_SCHEMA = ", ".join(f"{n} {'int' if n in ('bucket', 'block') else 'binary'}" for n in _RUN)
 
 
 def _strings(lengths: bytes, joined: bytes) -> Iterator[bytes]:
@@ -292,11 +407,11 @@ def _merge(rows: pa.Table, length: int) -> pa.Table:
     if len(group) > 1:
         _resolve(group, length, out)
     answers = [{"block": r["block"], "bucket": r["bucket"], "lo": _squeeze(bytes(a)), "hi": _squeeze(bytes(b)), "entry": r["entry"], "at": r["at"], "start": r["start"], "stop": r["stop"]} for r, (a, b) in zip(runs, out, strict=True)]
-    return pa.Table.from_pylist(answers, schema=pa.schema([(n, pa.int32() if n in ("bucket", "block") else pa.binary()) for n in _ANSWER]))
+    return pa.Table.from_pylist(answers, schema=_arrow(_ANSWER))
 
 
 _ANSWER = ("block", "bucket", "lo", "hi", "entry", "at", "start", "stop")
-_ANSWER_SCHEMA = ", ".join(f"{n} {'int' if n in ('bucket', 'block') else 'binary'}" for n in _ANSWER)
+_CARRIED = ["block", "bucket", "entry", "at", "start", "stop"]
 
 
 def _cut(block: _Block, answers: pa.Table) -> pa.Table:
@@ -326,7 +441,42 @@ def _cut(block: _Block, answers: pa.Table) -> pa.Table:
     return pa.table({"doc_id": pa.array(block.ids, pa.int64()), "n_bytes": pa.array(block.sizes), "removed": pa.array(removed, spans), "kept": pa.array(kept, pa.binary())})
 
 
-def remove_repeats(docs: DataFrame, id_column: str = "doc_id", text: str = "text", length: int = 50, block_bytes: int = 4 << 20) -> DataFrame:
+def _ask(block: _Block, number: int, buckets: int) -> pa.Table:
+    """A block's distinct hashes for each bucket: which two of its documents have, how many entries each has."""
+    at, row, hashes = block.anchors()
+    distinct, many = _distinct(hashes, block.numbers[row])
+    counts = _counts(block, at, row, hashes, distinct)
+    edges = _by_bucket(distinct, buckets)
+    parts = [(i, a, b) for i, (a, b) in enumerate(zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True)) if a < b]
+    return pa.table({
+        "bucket": pa.array([i for i, _, _ in parts], pa.int32()), "block": pa.array([number] * len(parts), pa.int32()),
+        "hashes": pa.array([_pack(np.diff(distinct[a:b], prepend=np.uint64(0))) for _, a, b in parts], pa.binary()),
+        "many": pa.array([np.packbits(many[a:b]).tobytes() for _, a, b in parts], pa.binary()),
+        "counts": pa.array([_pack(counts[a:b]) for _, a, b in parts], pa.binary()),
+    })
+
+
+def _answer(rows: pa.Table, most: int) -> pa.Table:
+    """For each block which of its hashes are in two documents or more, and the number of entries of those
+    that have more than `most` (0 for others, nothing if there are none)."""
+    sent = [np.cumsum(_unpack(x)) for x in rows.column("hashes").to_pylist()]
+    many = [np.unpackbits(np.frombuffer(x, np.uint8), count=len(s)).astype(bool) for x, s in zip(rows.column("many").to_pylist(), sent, strict=True)]
+    hashes, counts = np.concatenate(sent), np.concatenate([_unpack(x) for x in rows.column("counts").to_pylist()])
+    order = np.argsort(hashes, kind="stable")
+    new = _changes(hashes[order])
+    twice, heavy = np.zeros(len(hashes), bool), np.zeros(len(hashes), np.uint64)
+    twice[order] = ~new | ~np.append(new[1:], True)
+    total = np.add.reduceat(counts[order], np.flatnonzero(new))
+    heavy[order] = np.where(total > most, total, 0)[np.cumsum(new) - 1]
+    ends = np.cumsum([len(s) for s in sent])[:-1]
+    on = np.split(twice | np.concatenate(many), ends)
+    return pa.table({
+        "block": rows.column("block").combine_chunks(), "bucket": rows.column("bucket").combine_chunks(), "bits": pa.array([np.packbits(x).tobytes() for x in on], pa.binary()),
+        "heavy": pa.array([_pack(x) if x.any() else b"" for x in np.split(heavy, ends)], pa.binary()),
+    })
+
+
+def remove_repeats(docs: DataFrame, id_column: str = "doc_id", text: str = "text", length: int = 50, block_bytes: int = 4 << 20, most: int = 1 << 15) -> DataFrame:
     """(doc_id, n_bytes, removed spans in bytes, kept bytes) for every row."""
     if not K <= length <= 200:
         raise ValueError(f"length is between {K} and 200 bytes")
@@ -339,43 +489,23 @@ def remove_repeats(docs: DataFrame, id_column: str = "doc_id", text: str = "text
 
     def ask(rows: pa.Table) -> pa.Table:
         _release()
-        block = _Block(rows, length)
-        _, row, hashes = block.anchors()
-        distinct, many = _distinct(hashes, block.numbers[row])
-        edges = _by_bucket(distinct, buckets)
-        parts = [(i, a, b) for i, (a, b) in enumerate(zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True)) if a < b]
-        number = rows.column("block")[0].as_py()
-        return pa.table({
-            "bucket": pa.array([i for i, _, _ in parts], pa.int32()), "block": pa.array([number] * len(parts), pa.int32()),
-            "hashes": pa.array([_pack(np.diff(distinct[a:b], prepend=np.uint64(0))) for _, a, b in parts], pa.binary()),
-            "many": pa.array([np.packbits(many[a:b]).tobytes() for _, a, b in parts], pa.binary()),
-        })
+        return _ask(_Block(rows, length), rows.column("block")[0].as_py(), buckets)
 
-    def answer(rows: pa.Table) -> pa.Table:
-        sent = [np.cumsum(_unpack(x)) for x in rows.column("hashes").to_pylist()]
-        many = [np.unpackbits(np.frombuffer(x, np.uint8), count=len(s)).astype(bool) for x, s in zip(rows.column("many").to_pylist(), sent, strict=True)]
-        hashes = np.concatenate(sent)
-        order = np.argsort(hashes, kind="stable")
-        ordered = hashes[order]
-        equal = ordered[1:] == ordered[:-1]
-        twice = np.zeros(len(hashes), bool)
-        twice[order[1:][equal]] = True
-        twice[order[:-1][equal]] = True
-        on = np.split(twice | np.concatenate(many), np.cumsum([len(s) for s in sent])[:-1])
-        return pa.table({"block": rows.column("block").combine_chunks(), "bucket": rows.column("bucket").combine_chunks(), "bits": pa.array([np.packbits(x).tobytes() for x in on], pa.binary())})
+    def merge(rows: pa.Table) -> pa.Table:
+        return (_least if rows.column("bucket")[0].as_py() < 0 else _merge)(rows, length)
 
     def run(rows: pa.Table, answers: pa.Table) -> pa.Table:
         _release()
         if not rows.num_rows:
-            return pa.Table.from_pylist([], schema=pa.schema([(n, pa.int32() if n in ("bucket", "block") else pa.binary()) for n in _RUN]))
+            return pa.Table.from_pylist([], schema=_arrow(_RUN))
         return _runs(_Block(rows, length), rows.column("block")[0].as_py(), answers, buckets)
 
     def cut(rows: pa.Table, answers: pa.Table) -> pa.Table:
         _release()
         return _cut(_Block(rows, length), answers)
 
-    asked = dealt.groupBy("block").applyInArrow(ask, "bucket int, block int, hashes binary, many binary")
-    answered = asked.groupBy("bucket").applyInArrow(answer, "block int, bucket int, bits binary")
-    sent = dealt.groupBy("block").cogroup(answered.groupBy("block")).applyInArrow(run, _RUN_SCHEMA)
-    merged = sent.groupBy("bucket").applyInArrow(lambda rows: _merge(rows, length), _ANSWER_SCHEMA)
+    asked = dealt.groupBy("block").applyInArrow(ask, "bucket int, block int, hashes binary, many binary, counts binary")
+    answered = asked.groupBy("bucket").applyInArrow(lambda rows: _answer(rows, most), "block int, bucket int, bits binary, heavy binary")
+    sent = dealt.groupBy("block").cogroup(answered.groupBy("block")).applyInArrow(run, _sql(_RUN))
+    merged = sent.groupBy("bucket").applyInArrow(merge, _sql(_ANSWER))
     return dealt.groupBy("block").cogroup(merged.groupBy("block")).applyInArrow(cut, "doc_id long, n_bytes long, removed array<struct<start:int,end:int>>, kept binary")

@@ -65,6 +65,48 @@ def test_many_contexts_of_one_gram(spark):
     assert found(spark.createDataFrame(rows, "doc_id long, text string"), block_bytes=500) == brute(rows)
 
 
+def passage_in_all(n):
+    """Documents that share a passage, each with bytes of its own before and after it; some whole copies."""
+    rng = random.Random(9)
+    word = lambda k: "".join(rng.choice("abcdefghij klmnop") for _ in range(k))
+    passage = word(130)
+    rows = [(i, word(rng.randint(0, 60)) + passage[rng.randint(0, 3) :] + word(rng.randint(0, 60))) for i in range(n)]
+    return [*rows, (n, rows[3][1]), (2, rows[5][1]), (None, rows[7][1])]
+
+
+@pytest.mark.parametrize("length", [30, 50])
+def test_grams_with_very_many_entries(spark, length):
+    rows = passage_in_all(200)
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    for most in (0, 20):
+        assert found(df, block_bytes=3_000, length=length, most=most) == brute(rows, length)
+
+
+def test_no_bucket_gathers_a_common_gram(monkeypatch):
+    """The stages one after another in this process: groups stay under the limit, however many documents
+    share a passage."""
+    import pyarrow as pa
+    import pyarrow.compute as pc
+
+    from registrum.llm import suffix_dedup
+
+    most, buckets, rows = 50, 4, [r for r in passage_in_all(400) if r[0] is not None]
+    largest, resolve = [], suffix_dedup._resolve
+    monkeypatch.setattr(suffix_dedup, "_resolve", lambda group, *more: (largest.append(len(group)), resolve(group, *more)))
+    blocks = [suffix_dedup._Block(pa.table({"doc_id": [i for i, _ in part], "text": pa.array([t.encode() for _, t in part], pa.binary())}), 50) for part in (rows[k::8] for k in range(8))]
+    by = lambda table, name: [table.filter(pc.equal(table[name], k)) for k in sorted(set(table[name].to_pylist()))]
+    asked = pa.concat_tables(suffix_dedup._ask(b, k, buckets) for k, b in enumerate(blocks))
+    for limit, is_heavy in ((1 << 15, False), (most, True)):
+        answers = pa.concat_tables(suffix_dedup._answer(x, limit) for x in by(asked, "bucket"))
+        sent = pa.concat_tables(suffix_dedup._runs(b, k, answers.filter(pc.equal(answers["block"], k)), buckets) for k, b in enumerate(blocks))
+        assert (min(sent["bucket"].to_pylist()) < 0) == is_heavy
+        largest.clear()
+        for group in by(sent, "bucket"):
+            if group["bucket"][0].as_py() >= 0:
+                suffix_dedup._merge(group, 50)
+        assert (max(largest) <= most) == is_heavy
+
+
 def test_loser_trees():
     rng = random.Random(7)
     for k in (0, 1, 2, 5, 8):
