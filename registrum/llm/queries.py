@@ -68,7 +68,8 @@ def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    rows, model, _ = soft_mixing.rates(docs, domains(docs, table(spark, sf_dir, "labels")))
+    rows, model, found = soft_mixing.rates(docs, domains(docs, table(spark, sf_dir, "labels")))
+    found.checked()
     posterior = [F.get("posterior", F.lit(k)).alias(f"posterior_{name}") for k, name in enumerate(model.domains)]
     return rows.select("doc_id", F.col("tokens").alias("n_tokens"), *posterior, "rate", "copies")
 

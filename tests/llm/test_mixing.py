@@ -80,6 +80,29 @@ def test_mix_loses_nothing(spark, odd_documents, no_documents):
     assert sm.rates(df, none)[0].count() == len(rows)
 
 
+def test_least_rate_keeps_the_targets(spark):
+    """One document that the targets would rule out neither loses them nor multiplies all others."""
+    rows = [(10, [0.6, 0.4])] * 200 + [(10, [0.4, 0.6])] * 200 + [(10, [0.0, 1.0])]
+    members = spark.createDataFrame(rows, "tokens long, posterior array<double>").coalesce(1).cache()
+    for wanted in (0.55, 0.58):
+        found = sm.fit(members, 2, [wanted, 1 - wanted], least_rate=1.0)
+        rate = [r.rate for r in members.select(found.of(F.col("posterior")).alias("rate")).collect()]
+        assert min(rate) > 1 - 1e-9 and max(rate) < 30
+        share = sum(r * p[0] for r, (_, p) in zip(rate, rows, strict=True)) / sum(rate)
+        assert abs(share - wanted) < 0.002 and found.miss() <= sm.MISS
+    with pytest.warns(RuntimeWarning, match="reached"):
+        assert sm.fit(members, 2, [0.9, 0.1], least_rate=1.0).checked().miss() > sm.MISS
+
+
+def test_mix_does_not_miss_targets_silently(spark):
+    docs = spark.createDataFrame([(i, ("der die das " if i % 3 else "the of and ") * (1 + i % 5)) for i in range(60)], "doc_id long, text string")
+    labelled = spark.createDataFrame([(i, "de" if i % 3 else "en") for i in range(30)], "doc_id long, domain string")
+    with pytest.raises(ValueError, match="target 0"):
+        sm.mixed(docs, labelled, {"en": 1.0})
+    rows, found = sm.mix(docs, labelled, {"en": 0.4, "de": 0.6})
+    assert found.targets == (0.6, 0.4) and found.miss() <= sm.MISS and rows.select("doc_id").distinct().count() == 60
+
+
 def test_plan_is_native(fitted):
     docs, _, model, _ = fitted
     plan = sm.membership(docs, model)._jdf.queryExecution().executedPlan().toString()
