@@ -4,11 +4,13 @@ The patterns (e-mail, IP, card, phone) are exact and linear in the text's length
 tags white-space tokens by features of their shape and of their neighbours' shapes. It is trained
 here from a small labelled table and decoded by Viterbi in numpy batches; its spans are added where
 they overlap no pattern's span. It finds what the patterns cannot: access tokens and keys, cards that
-fail the check digit, phones without a plus sign, obfuscated addresses.
+fail the check digit, phones without a plus sign.
 
 The field is constrained: a token without a digit or one of the signs @ = _ / \\ is always outside, in
 training as in decoding, so every chain falls apart at such tokens and only runs of the others (with
-their neighbours' shapes as features) are decoded. That is exact, not a shortcut.
+their neighbours' shapes as features) are decoded. Decoding is exact for the field so constrained; what
+has only such tokens is never found at any size: secrets of letters alone, addresses spelled out in
+words, digits of other scripts.
 
 Spans are in code points, end exclusive. Defined results: null or empty text has no spans; rows
 are treated one by one; other columns are ignored; an empty table gives an empty result.
