@@ -9,6 +9,8 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from registrum.sources.parquet import delete
+
 #: ASCII white space that separates words: [\x20\x09-\x0D].
 WORD_SPACE = "\\x20\\x09-\\x0D"
 #: UTF-8 continuation bytes; all others start a code point.
@@ -80,7 +82,15 @@ def written(df: DataFrame, name: str) -> DataFrame:
 
     path = f"{shared_folder(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out.written_path = path
+    return out
+
+
+def discard(*frames: DataFrame) -> None:
+    """Delete tables made by `written` that no later job reads any more."""
+    for df in frames:
+        delete(df.sparkSession, df.written_path)
 
 
 def ship_package(spark: SparkSession) -> None:

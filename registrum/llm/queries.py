@@ -9,7 +9,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from registrum.llm import bpe_duckdb, chat_template, fingerprints, jaccard_join, pii_crf, quality_gam, quality_rules, soft_mixing, suffix_dedup, warc
+from registrum.llm import bit_sliced, bpe_duckdb, chat_template, divergence, fingerprints, jaccard_join, merkle, pii_crf, quality_gam, quality_rules, soft_mixing, suffix_dedup, warc
 from registrum.llm.common import shared_folder, ship_package, table
 
 
@@ -80,6 +80,18 @@ def domains(docs: DataFrame, labels: DataFrame) -> DataFrame:
     return docs.select(docs["doc_id"], docs["lang"].alias("domain")).join(labels.select("doc_id").distinct(), "doc_id")
 
 
+def op11_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bit_sliced.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, k=5)
+
+
+def op12_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(table(spark, sf_dir, "documents"))
+
+
+def op13_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.audited(table(spark, sf_dir, "documents"))
+
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 
@@ -95,7 +107,11 @@ def shipped(query: Query) -> Query:
 
 
 QUERIES: dict[str, Query] = {
-    f.__name__: shipped(f) for f in (op1_suffix_dedup, op2_quality_rules, op3_quality_classifier, op4_warc, op5_jaccard_join, op6_fingerprints, op7_pii, op8_chat_formatting, op9_bpe, op10_mixing)
+    f.__name__: shipped(f)
+    for f in (
+        op1_suffix_dedup, op2_quality_rules, op3_quality_classifier, op4_warc, op5_jaccard_join, op6_fingerprints, op7_pii,
+        op8_chat_formatting, op9_bpe, op10_mixing, op11_topk, op12_divergence, op13_merkle,
+    )
 }
 
 _WORDS = r"list_filter(regexp_split_to_array({0}, '[\x20\x09-\x0D]+'), lambda w: w <> '')"
@@ -201,4 +217,101 @@ SELECT a AS doc_id, coalesce(any_value(size), 0)::BIGINT AS n_shingles, min(b) A
 FROM reach LEFT JOIN n ON n.doc_id = a GROUP BY a
 """
 
-SQL: dict[str, str] = {"op1_suffix_dedup": _OP1, "op2_quality_rules": _OP2, "op5_jaccard_join": _OP5, "op8_chat_formatting": _OP8}
+_OP11 = """
+WITH e AS (
+    SELECT row_number() OVER () AS r, vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS q FROM embeddings
+    WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), s AS (
+    SELECT a.r, a.vec_id AS query_id, b.vec_id, list_dot_product(a.q, b.q)::BIGINT AS score
+    FROM e a JOIN e b ON a.r <> b.r WHERE a.vec_id % 50 = 0
+), o AS (
+    SELECT query_id, row_number() OVER (PARTITION BY r ORDER BY score DESC, vec_id NULLS LAST)::INTEGER AS rank, vec_id, score FROM s
+)
+SELECT query_id, rank, vec_id, score FROM o WHERE rank <= 5
+"""
+
+_OP12 = rf"""
+WITH d AS (
+    SELECT row_number() OVER () AS k, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+           regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_UPPER.lower()}'), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS terms
+    FROM documents
+), w AS (SELECT k, lang, source, unnest(terms) AS term FROM d
+), kept AS (SELECT lang, term FROM w GROUP BY lang, term HAVING count(DISTINCT k) >= {divergence.MIN_DOCUMENTS}
+), g AS (SELECT DISTINCT lang, source FROM d
+), c AS (SELECT lang, source, term, count(*) AS n FROM w JOIN kept USING (lang, term) GROUP BY ALL
+), full_count AS (
+    SELECT g.lang, g.source, kept.term, coalesce(c.n, 0)::HUGEINT AS n
+    FROM g JOIN kept USING (lang) LEFT JOIN c ON c.lang = g.lang AND c.source = g.source AND c.term = kept.term
+), share AS (
+    SELECT lang, source, term, n, 1 + {divergence.UNIT} * (n + 1) // (sum(n) OVER o + count(*) OVER o)::HUGEINT AS p
+    FROM full_count WINDOW o AS (PARTITION BY lang, source)
+), lang_count AS (SELECT lang, term, sum(n)::HUGEINT AS n FROM full_count GROUP BY lang, term
+), lang_share AS (
+    SELECT lang, term, 1 + {divergence.UNIT} * (n + 1) // (sum(n) OVER o + count(*) OVER o)::HUGEINT AS q FROM lang_count WINDOW o AS (PARTITION BY lang)
+), pair AS (
+    SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // b.p) AS value
+    FROM share a JOIN share b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL
+), whole_pair AS (
+    SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(p.value, 0)::BIGINT AS value
+    FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source
+    LEFT JOIN pair p ON p.lang = a.lang AND p.source = a.source AND p.item = b.source
+), term AS (
+    SELECT lang, source, 'term' AS part, term AS item, ((p - q) * (p - q) // q)::BIGINT AS value FROM share JOIN lang_share USING (lang, term) WHERE n > 0 AND p > q
+), ranked AS (
+    SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item)::INTEGER AS rank
+    FROM (SELECT * FROM whole_pair UNION ALL SELECT * FROM term)
+)
+SELECT lang, source, part, item, value, rank FROM ranked WHERE part = 'pair' OR rank <= {divergence.TOP_TERMS}
+"""
+
+#: crc32 of the digits of an id, bit by bit (polynomial 0xEDB88320).
+_CRC = """xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split(doc_id::VARCHAR, ''), lambda c: ascii(c)::BIGINT)),
+    lambda c, b: list_reduce(list_prepend(xor(c, b), range(8)), lambda r, i: xor(r >> 1, CASE WHEN r & 1 = 1 THEN 3988292384 ELSE 0 END))), 4294967295)"""
+
+
+def _leaf_sql(text: str) -> str:
+    part = lambda x: f"coalesce(strlen({x}::VARCHAR) || ':' || {x}::VARCHAR, '-')"
+    return f"sha256({' || '.join(part(text if c == 'text' else c) for c in merkle.FIELDS)})"
+
+
+_OP13 = f"""
+WITH RECURSIVE d AS (
+    SELECT row_number() OVER () AS k, doc_id, coalesce('=' || lang, '') AS key, {_leaf_sql("text")} AS leaf,
+           CASE WHEN {_CRC} % 3 = 0 THEN {_leaf_sql(f"translate(text, '{_UPPER}', '{_UPPER.lower()}')")} END AS altered
+    FROM documents
+), placed AS (
+    SELECT *, row_number() OVER (PARTITION BY key ORDER BY doc_id NULLS FIRST, leaf, k) - 1 AS pos FROM d
+), node AS (
+    SELECT key, 0 AS level, pos, leaf AS node, count(*) OVER (PARTITION BY key) AS n FROM placed
+    UNION ALL
+    SELECT key, level + 1, pos // 8, sha256(string_agg(node, '' ORDER BY pos)), (n + 7) // 8 FROM node WHERE n > 1 GROUP BY key, level, pos // 8, n
+), subroot AS (
+    SELECT key, level AS height, node AS subroot, row_number() OVER (ORDER BY key) - 1 AS pos FROM node WHERE n = 1
+), top AS (
+    SELECT 0 AS level, pos, subroot AS node, count(*) OVER () AS n FROM subroot
+    UNION ALL
+    SELECT level + 1, pos // 8, sha256(string_agg(node, '' ORDER BY pos)), (n + 7) // 8 FROM top WHERE n > 1 GROUP BY level, pos // 8, n
+), step AS (
+    SELECT p.k, x.level, x.pos < p.pos // (8 ** x.level)::BIGINT AS before, x.pos, x.node FROM placed p JOIN node x
+        ON x.key = p.key AND x.n > 1 AND x.pos // 8 = p.pos // (8 ** (x.level + 1))::BIGINT AND x.pos <> p.pos // (8 ** x.level)::BIGINT
+    UNION ALL
+    SELECT p.k, s.height + x.level, x.pos < s.pos // (8 ** x.level)::BIGINT, x.pos, x.node FROM placed p JOIN subroot s USING (key) JOIN top x
+        ON x.n > 1 AND x.pos // 8 = s.pos // (8 ** (x.level + 1))::BIGINT AND x.pos <> s.pos // (8 ** x.level)::BIGINT
+), side AS (
+    SELECT k, level, coalesce(string_agg(node, '' ORDER BY pos) FILTER (before), '') AS l, coalesce(string_agg(node, '' ORDER BY pos) FILTER (NOT before), '') AS r
+    FROM step GROUP BY k, level
+), height AS (
+    SELECT key, height + (SELECT max(level) FROM top) AS h FROM subroot
+), fold AS (
+    SELECT k, 0 AS level, coalesce(altered, leaf) AS node, h FROM placed JOIN height USING (key)
+    UNION ALL
+    SELECT f.k, f.level + 1, sha256(coalesce(s.l, '') || f.node || coalesce(s.r, '')), h
+    FROM fold f LEFT JOIN side s ON s.k = f.k AND s.level = f.level WHERE f.level < h
+), proof AS (
+    SELECT k, sha256(string_agg(l || r, '' ORDER BY level)) AS proof_sha256 FROM side GROUP BY k
+), root AS (SELECT node AS root FROM top WHERE n = 1)
+SELECT doc_id, leaf, subroot, root, coalesce(proof_sha256, sha256('')) AS proof_sha256, f.node AS folded_root, f.node = root AS verified
+FROM placed p JOIN subroot USING (key) JOIN fold f ON f.k = p.k AND f.level = f.h LEFT JOIN proof ON proof.k = p.k, root
+"""
+
+SQL: dict[str, str] = {"op1_suffix_dedup": _OP1, "op2_quality_rules": _OP2, "op5_jaccard_join": _OP5, "op8_chat_formatting": _OP8, "op11_topk": _OP11, "op12_divergence": _OP12, "op13_merkle": _OP13}
