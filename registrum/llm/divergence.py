@@ -23,10 +23,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from registrum.llm.common import as_bytes, discard, slices, text_column, written
+from registrum.llm.common import as_bytes, discard, text_column, written
 from registrum.llm.ordering import small, sorted_rows
 
 #: Bytes of a term: letters of any case and all of a longer code point.
@@ -37,30 +38,52 @@ TOP_TERMS = 200
 #: Terms of one chunk of the order (about), and sources of one block.
 CHUNK_TERMS = 16_384
 BLOCK_SOURCES = 64
-RUN = "struct<start:long,length:long,p:long>"
+#: Counts that a task holds at most before it hands them on.
+HELD_ENTRIES = 400_000
 
 
-def term_counts(docs: DataFrame) -> DataFrame:
-    """(lang, source, term, n, documents): occurrences and documents, added up over slices of the texts in
-    the task and then over tasks; a group without terms has one row with a null term."""
-    rows = docs.select(*[F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in ("lang", "source")], text_column(docs).alias("text"))
+def _named(docs: DataFrame) -> list[Column]:
+    return [F.coalesce(docs[c].cast("string"), F.lit("")).alias(c) for c in ("lang", "source")]
+
+
+def _rows(found: dict[tuple, tuple[Counter, Counter]]) -> Iterator[pa.RecordBatch]:
+    for (lang, source), (n, documents) in found.items():
+        terms = pa.array(list(n), pa.binary()).cast(pa.string())
+        held = pa.array([documents[t] for t in n], pa.int64())
+        yield pa.RecordBatch.from_arrays([pa.array([lang] * len(n), pa.string()), pa.array([source] * len(n), pa.string()), terms, pa.array(list(n.values()), pa.int64()), held], ["lang", "source", "term", "n", "documents"])
+
+
+def task_counts(docs: DataFrame, max_entries: int = HELD_ENTRIES) -> DataFrame:
+    """(lang, source, term, n, documents): occurrences and documents, added up inside the task over as many
+    texts as have max_entries different (group, term), a text at least."""
+    rows = docs.select(*_named(docs), text_column(docs).alias("text"))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for piece in slices(batches, "text"):
-            found: dict[tuple, list[Counter]] = {}
-            for lang, source, text in zip(piece.column("lang").to_pylist(), piece.column("source").to_pylist(), as_bytes(piece.column("text"))):
-                n, documents = found.setdefault((lang, source), [Counter(), Counter()])
-                terms = Counter(TERM.findall(text.lower()))  # bytes: only A to Z change
+        found: dict[tuple, tuple[Counter, Counter]] = {}
+        entries = 0
+        for batch in batches:
+            for lang, source, text in zip(batch.column("lang").to_pylist(), batch.column("source").to_pylist(), as_bytes(batch.column("text"))):
+                n, documents = found.setdefault((lang, source), (Counter(), Counter()))
+                terms = TERM.findall(text.lower())  # bytes: only A to Z change
+                before = len(n)
                 n.update(terms)
-                documents.update(terms.keys())
-            out = [(lang, source, term.decode(), k, documents[term]) for (lang, source), (n, documents) in found.items() for term, k in n.items()]
-            out += [(lang, source, None, 0, 0) for lang, source in found]
-            columns = zip(*out) if out else [[]] * 5
-            kinds = (pa.string(), pa.string(), pa.string(), pa.int64(), pa.int64())
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds)], ["lang", "source", "term", "n", "documents"])
+                documents.update(set(terms))
+                entries += len(n) - before
+                if entries > max_entries:
+                    yield from _rows(found)
+                    found.clear()
+                    entries = 0
+        yield from _rows(found)
+
+    return rows.mapInArrow(count, "lang string, source string, term string, n long, documents long")
+
 
-    parts = rows.mapInArrow(count, "lang string, source string, term string, n long, documents long")
-    return parts.groupBy("lang", "source", "term").agg(F.sum("n").alias("n"), F.sum("documents").alias("documents"))
+def term_columns(counts: DataFrame) -> DataFrame:
+    """(lang, term, total, documents, column): one row per term with its counts by source. Tasks have added up
+    theirs, so a term comes as often as there are tasks and sources, however often it occurs; both groupings
+    follow the one exchange by (lang, term)."""
+    added = counts.repartition("lang", "term").groupBy("lang", "source", "term").agg(F.sum("n").alias("n"), F.sum("documents").alias("documents"))
+    return added.groupBy("lang", "term").agg(F.sum("n").alias("total"), F.sum("documents").alias("documents"), F.collect_list(F.struct("source", "n")).alias("column"))
 
 
 def _share(n: Column, total: Column, terms: Column) -> Column:
@@ -69,12 +92,12 @@ def _share(n: Column, total: Column, terms: Column) -> Column:
     return F.call_function("div", top, (total + terms).cast("decimal(19,0)")) + 1
 
 
-def vocabulary(counts: DataFrame, min_documents: int = MIN_DOCUMENTS, chunk_terms: int = CHUNK_TERMS) -> DataFrame:
-    """(lang, term, total, part, index): the kept terms, reordered so that equal columns of counts are neighbours."""
-    held = counts.where("term IS NOT NULL").groupBy("lang", "term").agg(
-        F.sum("n").alias("total"), F.sum("documents").alias("documents"), F.count("*").alias("sources"), F.sum(F.xxhash64("source", "n").cast("decimal(38,0)")).alias("signature")
-    )
-    kept = written(held.where(F.col("documents") >= min_documents).drop("documents"), "kept-terms")
+def vocabulary(columns: DataFrame, min_documents: int = MIN_DOCUMENTS, chunk_terms: int = CHUNK_TERMS) -> DataFrame:
+    """The kept terms (lang, term, total, column) with `part` and `index`, their place in the order: terms with
+    equal counts in every source are neighbours."""
+    kept = columns.where(F.col("documents") >= min_documents).drop("documents")
+    signature = F.xxhash64(F.array_sort("column"))
+    kept = written(kept.select("*", F.size("column").alias("sources"), signature.alias("signature")), "kept-terms")
     parts = max(1, -(-kept.count() // chunk_terms))
     rows = sorted_rows(kept, ["lang", "total", "sources", "signature", "term"], "vocabulary", parts).drop("sources", "signature")
     discard(kept)
@@ -89,20 +112,13 @@ def _runs(entries: DataFrame) -> DataFrame:
     return runs.groupBy("lang", "source", "part").agg(F.array_sort(F.collect_list(F.struct("start", "length", "p"))).alias("runs"))
 
 
-def _filled(first: int, size: int, p0: int, runs: list[dict]) -> tuple[np.ndarray, np.ndarray]:
-    """Run starts and their shares over a whole chunk, zero runs put between."""
-    starts, shares, at = [], [], first
-    for run in runs or ():
-        if run["start"] > at:
-            starts.append(at)
-            shares.append(p0)
-        starts.append(run["start"])
-        shares.append(run["p"])
-        at = run["start"] + run["length"]
-    if at < first + size:
-        starts.append(at)
-        shares.append(p0)
-    return np.array(starts, np.int64), np.array(shares, np.int64)
+def _filled(first: int, size: int, p0: int, starts: np.ndarray, lengths: np.ndarray, shares: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Run starts and their shares over a whole chunk, zero runs put where none of the given ones is."""
+    free = np.concatenate([[first], starts + lengths])
+    gap = free < np.concatenate([starts, [first + size]])
+    at = np.concatenate([starts, free[gap]])
+    order = np.argsort(at)
+    return at[order], np.concatenate([shares, np.full(gap.sum(), p0)])[order]
 
 
 def _sums(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray], end: int) -> tuple[int, int]:
@@ -125,10 +141,13 @@ def pair_sums(columns: DataFrame, blocks: Column) -> DataFrame:
     cells = cells.withColumns({"low": F.least("own", "other"), "high": F.greatest("own", "other")})
 
     def compare(group: pa.Table) -> pa.Table:
-        rows = group.select(["source", "own", "first", "size", "p0", "runs"]).to_pylist()
+        rows = group.select(["source", "own", "first", "size", "p0"]).to_pylist()
         low, high = group.column("low")[0].as_py(), group.column("high")[0].as_py()
         lang = group.column("lang")[0].as_py()
-        filled = [_filled(r["first"], r["size"], r["p0"], r["runs"]) for r in rows]
+        runs = group.column("runs").combine_chunks()
+        ends = np.cumsum(pc.fill_null(pc.list_value_length(runs), 0).to_numpy())[:-1]
+        starts, lengths, shares = (np.split(pc.struct_field(runs.flatten(), k).to_numpy(), ends) for k in ("start", "length", "p"))
+        filled = [_filled(r["first"], r["size"], r["p0"], *x) for r, *x in zip(rows, starts, lengths, shares)]
         out: list[tuple[str, str, str, int]] = []
         for i, r in enumerate(rows):
             for j in range(i):
@@ -147,20 +166,17 @@ def pair_sums(columns: DataFrame, blocks: Column) -> DataFrame:
 
 def audit(docs: DataFrame, min_documents: int = MIN_DOCUMENTS, top_terms: int = TOP_TERMS, chunk_terms: int = CHUNK_TERMS, block_sources: int = BLOCK_SOURCES) -> DataFrame:
     """(lang, source, part, item, value, rank) as the module says; part is pair or term."""
-    counts = written(term_counts(docs), "term-counts")
-    terms = vocabulary(counts, min_documents, chunk_terms)
+    terms = vocabulary(term_columns(task_counts(docs)), min_documents, chunk_terms)
     chunks = terms.groupBy("lang", "part").agg(F.min("index").alias("first"), F.count("*").alias("size"), F.sum("total").alias("lang_n"))
     langs = chunks.groupBy("lang").agg(F.sum("size").alias("v"), F.sum("lang_n").alias("lang_n"))
-    entries = counts.where("term IS NOT NULL").drop("documents").join(terms, ["lang", "term"])
-    entries = written(entries, "term-entries")
+    entries = terms.select("lang", "term", "total", "part", "index", F.inline("column"))
     held = entries.groupBy("lang", "source").agg(F.sum("n").alias("group_n"))
-    groups = counts.select("lang", "source").distinct().join(held, ["lang", "source"], "left").join(small(langs), "lang", "left")
+    groups = docs.select(*_named(docs)).distinct().join(held, ["lang", "source"], "left").join(small(langs), "lang", "left")
     sources = F.count("*").over(Window.partitionBy("lang"))
     groups = groups.select("lang", "source", F.coalesce("group_n", F.lit(0)).alias("group_n"), F.coalesce("v", F.lit(0)).alias("v"), "lang_n", F.ceil(sources / block_sources).cast("long").alias("n_blocks"))
     groups = written(groups.withColumn("p0", F.when(F.col("v") > 0, _share(F.lit(0), F.col("group_n"), F.col("v"))).otherwise(1)), "term-groups")
     shared = entries.join(small(groups), ["lang", "source"])
     shared = written(shared.select("lang", "source", "term", "part", "index", "n", _share(F.col("n"), F.col("group_n"), F.col("v")).alias("p"), _share(F.col("total"), F.col("lang_n"), F.col("v")).alias("q")), "term-shares")
-    discard(counts, entries)
     # a language without terms has one empty chunk, so that its pairs are there
     spread = groups.join(small(chunks.drop("lang_n")), "lang", "left").withColumns({c: F.coalesce(c, F.lit(0).cast("long")) for c in ("part", "first", "size")})
     columns = spread.join(_runs(shared), ["lang", "source", "part"], "left")

@@ -5,6 +5,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from registrum.llm import divergence
 from tests.llm.conftest import texts
@@ -88,7 +89,6 @@ def test_vocabulary_clusters_equal_columns(spark):
     """Terms with the same counts everywhere are neighbours, so a group has few runs."""
     docs = [("en", s, " ".join(f"{s}{chr(97 + i % 26)}{chr(97 + i // 26)}" for i in range(120))) for s in "abcd" for _ in range(3)]
     df = spark.createDataFrame(docs, "lang string, source string, text string")
-    counts = divergence.term_counts(df).cache()
-    terms = divergence.vocabulary(counts)
-    columns = divergence._runs(counts.where("term IS NOT NULL").join(terms, ["lang", "term"]).withColumnRenamed("n", "p").selectExpr("*", "p AS n")).collect()
+    terms = divergence.vocabulary(divergence.term_columns(divergence.task_counts(df, max_entries=50)))
+    columns = divergence._runs(terms.select("*", F.inline("column")).withColumn("p", F.col("n"))).collect()
     assert len(columns) == 4 and all(len(c["runs"]) == 1 for c in columns)
