@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from registrum.functions.columns import exact_digits, ntz
+from registrum.operators.joins import DEFAULT_BROADCAST_BYTES, fits_broadcast
 from registrum.spec import INGESTED_AT, MARK_FLOOR, DatasetSpec
 
 SOURCE_RANK = "_source_rank"  # old Silver = 0, new increment = 1
@@ -59,3 +60,20 @@ def merge_last_wins(existing: DataFrame | None, new: DataFrame, spec: DatasetSpe
         union = union.filter(exact_digits(F.col(spec.postal_column), 5))
     merged = keep_last(union, spec.id_columns, [INGESTED_AT, SOURCE_RANK])
     return merged.select(*cols)
+
+
+def merge_repeated(old: DataFrame, new: DataFrame, again: DataFrame, spec: DatasetSpec) -> DataFrame:
+    """``merge_last_wins(old, new)`` where the keys on both sides are known (``again``): only their rows
+    are compared, all others pass as they are. New rows of other keys must be unique."""
+    keys = again.select(F.col(spec.pk).alias("_again"))
+    if fits_broadcast(keys, DEFAULT_BROADCAST_BYTES):
+        keys = F.broadcast(keys)
+
+    def split(df: DataFrame, how: str) -> DataFrame:
+        return df.join(keys, df[spec.pk] == F.col("_again"), how)
+
+    compared = merge_last_wins(split(old, "left_semi"), split(new, "left_semi"), spec)
+    passed = split(old, "left_anti")
+    if spec.postal_column:
+        passed = passed.filter(exact_digits(F.col(spec.postal_column), 5))
+    return passed.unionByName(split(new, "left_anti")).unionByName(compared)

@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from registrum.operators.clean import batch_id_of
 from registrum.operators.ingest import cap, new_rows, with_audit
 from registrum.sources import parquet as pq
+from registrum.sources.staging import staging
 from registrum.spec import BATCH_ID, bronze_pk
 
 
@@ -111,16 +112,15 @@ def ingest_bronze(
     pk = bronze_pk(dataset_name)
     # counted on the key column alone; an observation would be answered by whichever job runs first
     nulls = source.filter(F.col(pk).isNull()).count()
-    rows = ingest_increment(spark, source, bronze_path, dataset_name, run_ts, limit, keep_null_keys)
     obs = Observation(f"bronze_{dataset_name}")
-    rows = rows.observe(obs, F.count(F.lit(1)).alias("new_rows"))
-    (
-        rows.write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(BATCH_ID)
-        .parquet(bronze_path)
-    )
+    with staging(spark):
+        rows = ingest_increment(spark, source, bronze_path, dataset_name, run_ts, limit, keep_null_keys)
+        rows = rows.observe(obs, F.count(F.lit(1)).alias("new_rows"))
+        rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(BATCH_ID).parquet(bronze_path)
     added = int(obs.get.get("new_rows", 0))
+    if not added:
+        # an empty result overwrites no partition: drop what an earlier attempt of this batch left
+        pq.delete(spark, f"{bronze_path.rstrip('/')}/{BATCH_ID}={batch_id_of(run_ts)}")
     written = pq.read_if_any(spark, bronze_path)
     total = written.count() if written is not None else 0
     return BronzeResult(dataset_name, batch_id_of(run_ts), added, nulls, total)

@@ -4,6 +4,11 @@ gate and atomic publication.
 One lazy lineage (increment -> clean -> merge) is written once as a new
 snapshot version; the contract is checked on the written files; only then is
 the version committed. A failed gate leaves the previous version current.
+
+The table is dealt into buckets by a hash of its key. New keys are appended; a
+key that comes again rewrites its bucket only, and in it only the rows of the
+repeated keys are compared. Small segments are taken up by later ones (see
+``registrum.sources.store``).
 """
 
 from __future__ import annotations
@@ -12,21 +17,22 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 from datetime import datetime
 
-from pyspark.sql import Observation, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from registrum.operators.clean import silver_increment
-from registrum.operators.joins import keys_overlap
-from registrum.operators.merge import high_water_mark, merge_last_wins
+from registrum.operators.joins import DEFAULT_BROADCAST_BYTES, fits_broadcast
+from registrum.operators.merge import high_water_mark, merge_last_wins, merge_repeated
 from registrum.operators.quality import DuplicateKeys, coerce, coerce_metrics, require_coerced, validate
 from registrum.plans.bronze import batches as bronze_batches
-from registrum.plans.bronze import seal
+from registrum.plans.bronze import seal, sealed
 from registrum.sources import parquet as pq
-from registrum.sources.staging import stage
-from registrum.sources.store import SnapshotStore
+from registrum.sources.staging import stage, staged, staging
+from registrum.sources.store import Layout, SnapshotStore, buckets_for
 from registrum.spec import BATCH_ID, INGESTED_AT, MARK_FLOOR, REGION_DEPARTMENTS, spec_for
 
-MAX_SEGMENTS = 32
+#: Segments of one level that the next one takes up.
+MAX_SEGMENTS = 8
 
 
 @dataclass(frozen=True)
@@ -57,7 +63,9 @@ def build_silver(
     as_of_year: int,
     departments: Sequence[str] = REGION_DEPARTMENTS,
     max_segments: int = MAX_SEGMENTS,
+    buckets: int | None = None,
 ) -> SilverResult:
+    """``buckets`` is used by the first run alone; unset, it follows from the size of Bronze."""
     spec = spec_for(dataset_name)  # ValueError for an unknown dataset
     pq.require(spark, bronze_path)
     store = SnapshotStore(spark, f"{silver_root.rstrip('/')}/{dataset_name}")
@@ -70,6 +78,10 @@ def build_silver(
     # lands while the job runs waits for the next run.
     batches = bronze_batches(spark, bronze_path)
     done_batch = (prev_snap.facts.get("bronze_batch") if prev_snap else None) or None
+    if done_batch is not None and (sealed(spark, bronze_path) or 0) < int(done_batch):
+        # the run before ended between its commit and the seal: a retry of that
+        # batch must not be accepted any more, it would never be read
+        seal(spark, bronze_path, int(done_batch))
     if bronze is not None and batches and BATCH_ID in bronze.columns:
         window = F.col(BATCH_ID) <= F.lit(batches[-1])
         if done_batch is not None:
@@ -77,22 +89,37 @@ def build_silver(
         bronze = bronze.filter(window)
     seen = {"bronze_batch": batches[-1]} if batches else {}
     obs = Observation(f"silver_{dataset_name}")
-    increment, staged_path = None, None
-    if bronze is not None:
+    if bronze is None:
+        return _publish(spark, spec, store, None, mark, seen, done_batch, max_segments, None, obs, {}, bronze_path)
+    with staging(spark):
         # The increment is computed once, as the columns come; probes, type check and
         # merge read the staged files.
         rows = silver_increment(bronze, spec, mark, departments, as_of_year, obs)
         added = Observation(f"silver_new_{dataset_name}")
         rows = rows.observe(added, F.count(F.lit(1)).alias("new_rows"), *coerce_metrics(rows, spec))
-        increment, staged_path = stage(rows, f"silver-{dataset_name}")
-    try:
-        return _merge_and_publish(spark, spec, store, increment, mark, seen, done_batch, max_segments, obs, added.get if increment is not None else {}, bronze_path)
-    finally:
-        if staged_path:
-            pq.delete(spark, staged_path)
+        increment, _ = stage(rows, f"silver-{dataset_name}")
+        layout = prev_snap.layout if prev_snap else None
+        layout = layout or Layout(spec.pk, buckets or buckets_for(pq.size_of(spark, bronze_path)))
+        return _publish(spark, spec, store, increment, mark, seen, done_batch, max_segments, layout, obs, added.get, bronze_path)
+
+
+def repeated_keys(store: SnapshotStore, increment: DataFrame, layout: Layout) -> DataFrame:
+    """The keys of the increment that Silver holds already, staged. Only the key column of the
+    buckets that the increment falls into is read; the new keys are broadcast when measured small,
+    so the old ones are scanned in place."""
+    key = layout.key
+    new = increment.select(key, layout.bucket().alias("_b")).distinct()
+    snap = store.current()
+    hit = {r[0] for r in new.select("_b").distinct().collect()}  # bucket numbers, bounded by the layout
+    old = store.rows_of(snap, buckets=hit).select(key)
+    if fits_broadcast(new, DEFAULT_BROADCAST_BYTES):
+        found = old.join(F.broadcast(new), key, "left_semi").distinct()
+    else:
+        found = new.select(key).join(old.distinct(), key, "left_semi")
+    return staged(found, "repeated-silver-keys")
 
 
-def _merge_and_publish(spark, spec, store, increment, mark, seen, done_batch, max_segments, obs, added, bronze_path) -> SilverResult:
+def _publish(spark, spec, store, increment, mark, seen, done_batch, max_segments, layout, obs, added, bronze_path) -> SilverResult:
     """Check the staged increment's types, merge it and publish the result."""
     dataset_name = spec.name
     if increment is None or increment.isEmpty():
@@ -105,53 +132,37 @@ def _merge_and_publish(spark, spec, store, increment, mark, seen, done_batch, ma
     # Before any cast: a value that does not fit its column's type stops the run.
     require_coerced(added, spec)
 
-    existing = store.read()
-    # Bronze is insert-only, so an increment normally brings only unseen keys:
-    # then it is appended as a new segment and nothing older is rewritten.
-    # Only when a key already in Silver comes again is the full last-wins
-    # merge rewritten. The probe joins key columns only.
-    append = existing is None or not keys_overlap(
-        # partial aggregation first: a repeated key cannot skew the probe
-        increment.select(spec.pk).distinct(),
-        existing.select(spec.pk),
-        spec.pk,
-    )
-    new = increment
     prev = store.current()
-    # Appending forever would leave one small directory per run: past
-    # ``max_segments`` the segments are rewritten as one directory. Keys do
-    # not collide on this path, so it is a plain rewrite, no shuffle.
-    compact = append and prev is not None and len(prev.paths) >= max_segments
-    if append:
-        # Keys from an insert-only Bronze are already unique: the increment is
-        # written as is and the gate's uniqueness check (a shuffle of the key
-        # column only) proves it. Only if it finds duplicates is the last-wins
-        # dedup (a shuffle of whole rows) run, into the same uncommitted version.
-        attempts = [coerce(new, spec), coerce(merge_last_wins(None, new, spec), spec)]
+    once, dedup = coerce(increment, spec), coerce(merge_last_wins(None, increment, spec), spec)
+    options = {"layout": layout, "mode": "append", "fan_in": max_segments}
+    if prev is None:
+        attempts = [once, dedup]
+    elif prev.layout is None:
+        # a table written before buckets: merged whole, and dealt from now on
+        options["mode"] = "replace"
+        attempts = [coerce(merge_last_wins(store.read(), increment, spec), spec)]
     else:
-        attempts = [coerce(merge_last_wins(existing, new, spec), spec)]
-    if compact:
-        old = existing.select(*spec.silver_columns)
-        attempts = [old.unionByName(df) for df in attempts]
-        append = False
-    base_rows = int(prev.facts.get("rows", 0)) if (prev and append) else 0
-    base_mark = prev.facts.get("mark") if (prev and append) else None
-
-    def gate(staged):
-        counts, facts = validate(
-            staged, spec, [F.count(F.lit(1)).alias("rows"), F.max(INGESTED_AT).alias("mark")]
-        )
+        again = repeated_keys(store, increment, layout)
+        touched = {r[0] for r in again.select(layout.bucket()).distinct().collect()}
+        if touched:
+            old = store.rows_of(prev, buckets=touched).select(*spec.silver_columns)
+            options["replaces"] = touched
+            attempts = [merge_repeated(old, rows, again, spec) for rows in (once, dedup)]
+        else:
+            attempts = [once, dedup]
+    base_mark = prev.facts.get("mark") if prev else None
+
+    def gate(written):
+        # Keys from an insert-only Bronze are unique: the increment is written as is and
+        # the uniqueness check (a shuffle of the key column only) proves it. Buckets that
+        # are not rewritten hold none of its keys.
+        counts, facts = validate(written, spec, [F.max(INGESTED_AT).alias("mark")])
         marks = [m for m in (facts["mark"].isoformat() if facts["mark"] else None, base_mark) if m]
-        return {
-            "rows": base_rows + int(facts["rows"]),
-            "mark": max(marks) if marks else None,
-            "rules": counts,
-            **seen,
-        }
+        return {"mark": max(marks) if marks else None, "rules": counts, **seen}
 
     for i, df in enumerate(attempts):
         try:
-            snap = store.publish(df, validate=gate, mode="append" if append else "replace")
+            snap = store.publish(df, validate=gate, **options)
             break
         except DuplicateKeys:
             if i == len(attempts) - 1:

@@ -56,6 +56,12 @@ def list_names(spark: SparkSession, path: str) -> list[str]:
     return sorted(str(s.getPath().getName()) for s in fs.listStatus(p))
 
 
+def size_of(spark: SparkSession, path: str) -> int:
+    """Bytes of the files below a path."""
+    fs, p = _fs(spark, path)
+    return int(fs.getContentSummary(p).getLength()) if fs.exists(p) else 0
+
+
 def write_text(spark: SparkSession, path: str, text: str, overwrite: bool = False) -> None:
     fs, p = _fs(spark, path)
     out = fs.create(p, overwrite)

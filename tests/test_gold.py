@@ -154,9 +154,9 @@ def test_incremental_gold_equals_full_rebuild(spark, scratch):
     assert build_gold(spark, silver, f"{scratch}/g1").mode == "append"
     build_gold(spark, silver, f"{scratch}/g2", force=True)
     assert _snapshot(spark, f"{scratch}/g1") == _snapshot(spark, f"{scratch}/g2")
-    # a new legal unit for an existing unmatched siren (B) forces the full build
+    # a new legal unit for an existing unmatched siren (B) rewrites the buckets that hold it
     us.publish(_ul_rows(spark, [("B", "ETI")]), mode="append")
-    assert build_gold(spark, silver, f"{scratch}/g1").mode == "replace"
+    assert build_gold(spark, silver, f"{scratch}/g1").mode == "update"
     build_gold(spark, silver, f"{scratch}/g3", force=True)
     g1 = _snapshot(spark, f"{scratch}/g1")
     assert g1 == _snapshot(spark, f"{scratch}/g3")
@@ -191,3 +191,91 @@ def test_lost_kpi_commit_is_finished_by_the_next_run(spark, scratch, monkeypatch
     assert build_gold(spark, silver, f"{scratch}/g").mode == "append"
     build_gold(spark, silver, f"{scratch}/full", force=True)
     assert _snapshot(spark, f"{scratch}/g") == _snapshot(spark, f"{scratch}/full")
+
+
+FACTS = ("departement", "secteur_activite")
+
+
+def _silver_stores(spark, silver, buckets):
+    from registrum.sources.store import Layout
+
+    return {n: (SnapshotStore(spark, f"{silver}/{n}"), Layout(k, buckets)) for n, k in (("etablissements", "siret"), ("unites_legales", "siren"))}
+
+
+def _deliver(spark, store, layout, df, ts, again=()):
+    """As the Silver job publishes: new keys appended, buckets of repeated ones rewritten; the mark in the marker."""
+    from datetime import datetime
+
+    from pyspark.sql import functions as F
+
+    from registrum.functions.columns import ntz
+
+    snap, rows = store.current(), df.withColumn("ingested_at", ntz(datetime(2026, 1, ts)))
+    touched = {r[0] for r in rows.filter(F.col(layout.key).isin(list(again))).select(layout.bucket()).distinct().collect()}
+    if touched:
+        old = store.rows_of(snap, buckets=touched)
+        rows = old.filter(~F.col(layout.key).isin(list(again))).unionByName(rows)
+    store.publish(rows, mode="append", layout=layout, replaces=touched, fan_in=3, facts={"mark": f"2026-01-{ts:02d}T00:00:00"})
+
+
+def test_random_inserts_updates_and_late_units_equal_a_forced_rebuild(spark, scratch):
+    import random
+
+    rng = random.Random(8)
+    silver, gold = f"{scratch}/silver", f"{scratch}/gold"
+    stores = _silver_stores(spark, silver, 4)
+    etab, ul, modes = {}, {}, []
+    for day in range(1, 9):
+        for name, (store, layout) in stores.items():
+            known = etab if name == "etablissements" else ul
+            again = rng.sample(sorted(known), min(len(known), rng.choice([0, 1, 3]))) if day > 1 else []
+            if name == "etablissements":
+                fresh = [f"e{day}-{i}" for i in range(rng.choice([0, 3, 8]) if day > 1 else 20)]
+                rows = [(k, known[k] if k in known else f"s{rng.randrange(12)}", rng.choice(["75", "92"]), rng.choice(["IT", "Food"])) for k in [*again, *fresh]]
+                known.update({k: siren for k, siren, *_ in rows})
+                df = _etab_rows(spark, rows or [("x", "x", "x", "x")])
+            else:
+                fresh = [k for k in (f"s{i}" for i in rng.sample(range(12), 3)) if k not in known]
+                rows = [(k, rng.choice(["PME", "ETI", "GE", None])) for k in [*again, *fresh]]
+                known.update(dict(rows))
+                df = _ul_rows(spark, rows or [("x", "x")])
+            if rows:
+                _deliver(spark, store, layout, df, day, again)
+        modes.append(build_gold(spark, silver, gold, buckets=8).mode)
+        build_gold(spark, silver, f"{scratch}/full", force=True)
+        assert _snapshot(spark, gold) == _snapshot(spark, f"{scratch}/full"), modes
+    assert modes[0] == "replace" and "update" in modes and modes.count("replace") == 1
+
+
+def test_only_buckets_of_a_late_unit_are_rewritten(spark, scratch):
+    silver, gold = f"{scratch}/silver", f"{scratch}/gold"
+    stores = _silver_stores(spark, silver, 4)
+    _deliver(spark, *stores["etablissements"], _etab_rows(spark, [(f"e{i}", f"s{i % 40}", "75", "IT") for i in range(200)]), 1)
+    _deliver(spark, *stores["unites_legales"], _ul_rows(spark, [(f"s{i}", "PME") for i in range(39)]), 1)
+    build_gold(spark, silver, gold, buckets=16)
+    master = SnapshotStore(spark, f"{gold}/{MASTER_TABLE}")
+    before = master.current()
+    _deliver(spark, *stores["unites_legales"], _ul_rows(spark, [("s39", "GE")]), 2)
+    assert build_gold(spark, silver, gold).mode == "update"
+    after = master.current()
+    assert len(before.paths) > 8 and len(set(before.paths) - set(after.paths)) == 1 and len(set(after.paths) - set(before.paths)) == 1
+    assert after.segments[-1].rows < 60
+    sizes = {r.categorieEntreprise: r.total for r in read_gold(spark, gold, KPI_BUSINESS_SIZE).collect()}
+    assert sizes == {"PME": 195, "GE": 5}
+    # a changed establishment: the bucket of its siren alone
+    _deliver(spark, *stores["etablissements"], _etab_rows(spark, [("e7", "s7", "93", "Food")]), 3, ["e7"])
+    assert build_gold(spark, silver, gold).mode == "update"
+    assert len(set(after.paths) - set(master.current().paths)) == 1
+    assert {r.departement: r.total_establishments for r in read_gold(spark, gold, KPI_BY_DEPARTMENT).collect()} == {"75": 199, "93": 1}
+
+
+def test_silver_made_anew_is_not_taken_for_the_old_one(spark, scratch):
+    import os
+
+    silver, gold = f"{scratch}/silver", f"{scratch}/gold"
+    for n in range(2):
+        stores = _silver_stores(spark, silver, 2)
+        _deliver(spark, *stores["etablissements"], _etab_rows(spark, [(f"{n}", f"s{n}", "75", "IT")]), 1)
+        _deliver(spark, *stores["unites_legales"], _ul_rows(spark, [(f"s{n}", "PME")]), 1)
+        assert build_gold(spark, silver, gold).mode == "replace"
+        os.rename(silver, f"{scratch}/old{n}")

@@ -368,3 +368,142 @@ def test_racing_writers_cannot_both_commit_a_version(spark, scratch):
         store.publish(spark.createDataFrame([("b",)], "k string"), facts={"who": "second"})
     store._head = real_head
     assert store.current().facts["who"] == "other"  # the winner's commit is intact
+
+
+def _again(spark, b, rows, ts):
+    """A Bronze batch written elsewhere, which may repeat keys."""
+    df = bronze_df(spark, rows, ts).withColumn("batch_id", F.lit(batch_id_of(ts)))
+    df.write.mode("append").partitionBy("batch_id").parquet(b)
+
+
+def test_repeated_key_rewrites_its_bucket_only(spark, scratch):
+    silver = f"{scratch}/silver"
+    store = SnapshotStore(spark, f"{silver}/etablissements")
+    rows = [etab_row(f"{i:014d}", enseigne=f"e{i}") for i in range(200)]
+    b = _bronze(spark, scratch, rows, datetime(2026, 1, 1))
+    build_silver(spark, "etablissements", b, silver, 2026, buckets=16)
+    before = store.current()
+    assert before.layout.buckets == 16 and len(before.paths) == 16 and before.facts["rows"] == 200
+    changed = [etab_row(f"{i:014d}", enseigne="again") for i in (3, 77)] + [etab_row(f"{900:014d}", enseigne="new")]
+    _again(spark, b, changed, datetime(2026, 2, 1))
+    read = []
+    real = SnapshotStore.rows_of
+    SnapshotStore.rows_of = lambda self, *a, **k: read.append(out := real(self, *a, **k)) or out
+    try:
+        r = build_silver(spark, "etablissements", b, silver, 2026)
+    finally:
+        SnapshotStore.rows_of = real
+    after = store.current()
+    touched = {r[0] for r in spark.createDataFrame(changed[:2], ETAB_SCHEMA).select(before.layout.bucket()).collect()}
+    gone = set(before.paths) - set(after.paths)
+    assert {int(p.rsplit("=", 1)[1]) for p in gone} == touched and len(touched) == 2
+    assert after.segments[-1].rows < 50 and r.total_rows == 201
+    # nothing of another bucket was read: neither the keys nor the rows
+    asked = touched | {r[0] for r in spark.createDataFrame(changed[2:], ETAB_SCHEMA).select(before.layout.bucket()).collect()}
+    files = {f for df in read for f in df.inputFiles()}
+    assert files and {int(f.split("_bucket=")[1].split("/")[0]) for f in files} <= asked
+    # equal to the full merge
+    old = clean(spark, rows)
+    new = silver_increment(bronze_df(spark, changed, datetime(2026, 2, 1)), ESTABLISHMENTS, MARK_FLOOR, REGION_DEPARTMENTS, 2026)
+    want = merge_last_wins(old, new, ESTABLISHMENTS).select(*store.read().columns)
+    assert sorted(map(tuple, store.read().collect()), key=str) == sorted(map(tuple, want.collect()), key=str)
+
+
+def test_crash_before_the_commit_of_a_bucket_rewrite(spark, scratch, monkeypatch):
+    silver = f"{scratch}/silver"
+    store = SnapshotStore(spark, f"{silver}/etablissements")
+    b = _bronze(spark, scratch, [etab_row(f"{i:014d}", enseigne="a") for i in range(40)], datetime(2026, 1, 1))
+    build_silver(spark, "etablissements", b, silver, 2026, buckets=4)
+    _again(spark, b, [etab_row("00000000000005", enseigne="b")], datetime(2026, 2, 1))
+
+    def crash(*a, **k):
+        raise RuntimeError("driver lost after the write")
+
+    real = SnapshotStore._commit
+    monkeypatch.setattr(SnapshotStore, "_commit", crash)
+    with pytest.raises(RuntimeError):
+        build_silver(spark, "etablissements", b, silver, 2026)
+    monkeypatch.setattr(SnapshotStore, "_commit", real)
+    assert {x.enseigne1Etablissement for x in store.read().collect()} == {"a"}  # the version before, whole
+    r = build_silver(spark, "etablissements", b, silver, 2026)
+    got = {x.siret: x.enseigne1Etablissement for x in store.read().collect()}
+    assert r.total_rows == len(got) == 40 and [k for k, v in got.items() if v == "b"] == ["00000000000005"]
+
+
+def test_crash_between_commit_and_seal_loses_no_row(spark, scratch, monkeypatch):
+    """The next Silver run seals what it has committed; a retry of that batch is refused, not lost."""
+    import registrum.plans.silver as plan
+    from registrum.plans.bronze import StaleBatch
+
+    silver, half = f"{scratch}/silver", [etab_row(f"{i:014d}") for i in range(10)]
+    b = _bronze(spark, scratch, half, datetime(2026, 1, 1))
+    real = plan.seal
+    monkeypatch.setattr(plan, "seal", lambda *a: (_ for _ in ()).throw(RuntimeError("driver lost")))
+    with pytest.raises(RuntimeError):
+        build_silver(spark, "etablissements", b, silver, 2026)
+    monkeypatch.setattr(plan, "seal", real)
+    assert build_silver(spark, "etablissements", b, silver, 2026).new_rows == 0
+    whole = half + [etab_row(f"{i:014d}") for i in range(10, 20)]
+    with pytest.raises(StaleBatch):
+        _bronze(spark, scratch, whole, datetime(2026, 1, 1))
+    _bronze(spark, scratch, whole, datetime(2026, 1, 2))
+    assert build_silver(spark, "etablissements", b, silver, 2026).total_rows == 20
+
+
+def test_retry_with_nothing_to_write_leaves_no_old_attempt(spark, scratch):
+    b = _bronze(spark, scratch, [etab_row(f"{i:014d}") for i in range(5)], datetime(2026, 1, 1))
+    empty = spark.createDataFrame([], ETAB_SCHEMA)
+    assert ingest_bronze(spark, empty, b, "etablissements", datetime(2026, 1, 1)).total_rows == 0
+
+
+def test_jobs_leave_nothing_staged(spark, scratch):
+    from registrum.session import ensure_checkpoint_dir
+    from registrum.sources import parquet as pq
+
+    folder = f"{ensure_checkpoint_dir(spark).rstrip('/')}/staged"
+    before = pq.list_names(spark, folder)
+    for day in (1, 2):
+        rows = [etab_row(f"{i % 30:014d}", enseigne=f"{i}") for i in range(20 * day)]
+        b = f"{scratch}/bronze"
+        ingest_bronze(spark, spark.createDataFrame(rows, ETAB_SCHEMA), b, "etablissements", datetime(2026, 1, day), limit=18)
+        build_silver(spark, "etablissements", b, f"{scratch}/silver", 2026)
+    assert pq.list_names(spark, folder) == before
+
+
+def test_rows_rewritten_over_many_runs_grow_like_n_log_n():
+    import math
+
+    from registrum.sources.store import Segment, carry
+
+    segments, written, runs = [], 0, 200
+    for i in range(runs):
+        kept, taken, level = carry(segments, 8, 10**9)
+        rows = 10 + sum(s.rows for s in taken)
+        written += rows
+        segments = [*kept, Segment(f"v={i:08d}", {0: rows}, i, not taken, level)]
+    assert sum(s.rows for s in segments) == 10 * runs and len(segments) <= 8 * math.ceil(math.log(runs, 8))
+    assert written <= 10 * runs * (1 + math.ceil(math.log(runs, 8)))
+    # a run never carries more than the bound
+    assert carry([Segment("v=00000001", {0: 60}), Segment("v=00000002", {0: 50})], 2, 100) == ([Segment("v=00000001", {0: 60}), Segment("v=00000002", {0: 50})], [], 0)
+
+
+def test_gold_follows_carried_segments(spark, scratch):
+    """Silver segments taken up by later ones do not force a rebuild of Gold."""
+    from registrum.plans.gold import build_gold
+
+    silver, b, modes = f"{scratch}/silver", f"{scratch}/bronze", []
+    ul = spark.createDataFrame(
+        [("123456789", None, "N", None, "PME", 5710.0, None, "A", date(1990, 1, 1), None)],
+        "siren string, denominationUniteLegale string, nomUniteLegale string, prenom1UniteLegale string, "
+        "categorieEntreprise string, categorieJuridiqueUniteLegale double, activitePrincipaleUniteLegale string, "
+        "etatAdministratifUniteLegale string, dateCreationUniteLegale date, economieSocialeSolidaireUniteLegale string",
+    )
+    ingest_bronze(spark, ul, f"{scratch}/ul", "unites_legales", datetime(2026, 1, 1))
+    build_silver(spark, "unites_legales", f"{scratch}/ul", silver, 2026)
+    for day in range(1, 5):
+        _bronze(spark, scratch, [etab_row(f"{day}{i:013d}") for i in range(3)], datetime(2026, 1, day))
+        build_silver(spark, "etablissements", b, silver, 2026, max_segments=2)
+        r = build_gold(spark, silver, f"{scratch}/gold")
+        modes.append(r.mode)
+        assert r.master_rows == 3 * day
+    assert modes == ["replace", "append", "append", "append"]
