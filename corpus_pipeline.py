@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from registrum.llm import bpe_duckdb, jaccard_join, pii_crf, quality_gam, soft_mixing
-from registrum.llm.common import ship_package, table, written
+from registrum.llm.common import discard, ship_package, table, written
 from registrum.llm.queries import domains
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
@@ -55,9 +55,11 @@ def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All rows with `ids` (binary, little-endian 32-bit) and n_tokens."""
+    """All rows with `ids` (binary, little-endian 32-bit) and n_tokens, in place of columns so named."""
     encoded = bpe_duckdb.encode(docs)
-    return encoded.select(*_columns(encoded), "ids", F.expr("octet_length(ids) div 4").alias("n_tokens"))
+    # a column of that name gives way to the stage's own
+    kept = [F.col("row").getField(c).alias(c) for c in encoded.schema["row"].dataType.names if c.lower() not in ("ids", "n_tokens")]
+    return encoded.select(*kept, "ids", F.expr("octet_length(ids) div 4").alias("n_tokens"))
 
 
 STAGES: list[tuple[str, Stage]] = [
@@ -74,9 +76,12 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     ship_package(spark)
-    docs = table(spark, sf_dir, "documents")
+    docs, before = table(spark, sf_dir, "documents"), None
     for i, (_, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)
         if i < len(STAGES) - 1:
             docs = written(docs, f"pipeline-{i}")
+            if before is not None:
+                discard(before)  # the stage before has been read
+            before = docs
     return docs

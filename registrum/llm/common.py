@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -76,6 +77,28 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
+_scratch: list[list[str]] = []
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[Callable[[DataFrame], DataFrame]]:
+    """Tables `written` inside are deleted at the end, also after a failure, but for those that the given
+    function has marked to be kept (they belong to the caller's scratch, if there is one)."""
+    _scratch.append([])
+
+    def keep(df: DataFrame) -> DataFrame:
+        _scratch[-1].remove(df.written_path)
+        if len(_scratch) > 1:
+            _scratch[-2].append(df.written_path)
+        return df
+
+    try:
+        yield keep
+    finally:
+        for path in _scratch.pop():
+            delete(spark, path)
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """Cut the lineage: write df as Parquet to the shared folder, under a fresh name, and read it."""
     import uuid
@@ -84,6 +107,8 @@ def written(df: DataFrame, name: str) -> DataFrame:
     df.write.parquet(path)
     out = df.sparkSession.read.schema(df.schema).parquet(path)
     out.written_path = path
+    if _scratch:
+        _scratch[-1].append(path)
     return out
 
 
@@ -91,6 +116,8 @@ def discard(*frames: DataFrame) -> None:
     """Delete tables made by `written` that no later job reads any more."""
     for df in frames:
         delete(df.sparkSession, df.written_path)
+        if _scratch and df.written_path in _scratch[-1]:
+            _scratch[-1].remove(df.written_path)
 
 
 def ship_package(spark: SparkSession) -> None:

@@ -41,7 +41,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from registrum.llm.common import as_bytes, slices, text_column, written
+from registrum.llm.common import as_bytes, discard, scratch, slices, text_column, written
 from registrum.llm.components import components
 from registrum.llm.suffix_dedup import _by_bucket, _pack, _release, _unpack
 
@@ -417,7 +417,7 @@ def _summaries(source: DataFrame, words: int, percent: int, buckets: int) -> Dat
 def _candidates(first: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
     """Of _summaries' rows: the documents' rows, (key, point) of each distinct set, links between the sets of
     one doc_id, and (node, component) of the points that share a region with another."""
-    rows = first.where("bucket IS NULL").select("doc_id", "n_shingles", "key")
+    rows = written(first.where("bucket IS NULL").select("doc_id", "n_shingles", "key"), "set-keys")
 
     def meet(parts: pa.Table) -> pa.Table:
         """Candidate edges between set keys that share a region of this bucket (a spanning forest)."""
@@ -446,6 +446,7 @@ def _candidates(first: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame, Data
     one_document = written(filled.join(several, "doc_id").join(points, "key").where("doc_id <> point").select(F.col("doc_id").alias("a"), F.col("point").alias("b")), "one-document")
     name = lambda c: points.select(F.col("key").alias(c), F.col("point").alias(f"point_{c}"))
     found = components(met.distinct().join(name("a"), "a").join(name("b"), "b").select(F.col("point_a").alias("a"), F.col("point_b").alias("b")).union(one_document))
+    discard(first)
     return rows, points, one_document, found
 
 
@@ -527,13 +528,12 @@ def join_components(docs: DataFrame, words: int = 5, percent: int = 80, id_colum
     total = source.agg(F.sum(F.octet_length("text")).alias("n")).first()["n"] or 0
     buckets = max(4, -(-total // bucket_bytes))
 
-    first = _summaries(source, words, percent, buckets)
-    rows, points, one_document, candidates = _candidates(first)
-    texts = source.join(candidates.select(F.col("node").alias("doc_id"), F.col("component").cast("string").alias("region")).hint("shuffle_hash"), "doc_id")
-    near = _recut(written(texts.select("region", "doc_id", "text"), "candidates"), words, percent, most)
-    links = _in_regions(near, words, percent, most, buckets)
-    found = components(links.union(one_document))
-    named = rows.join(points, "key", "left").join(found, F.col("point") == F.col("node"), "left")
-    alone = F.col("n_shingles") == 0
-    component = F.when(F.col("doc_id").isNull(), F.lit(None)).when(alone, F.col("doc_id")).otherwise(F.coalesce("component", "point"))
-    return named.select("doc_id", "n_shingles", component.alias("component_id"))
+    with scratch(docs.sparkSession) as keep:
+        rows, points, one_document, candidates = _candidates(_summaries(source, words, percent, buckets))
+        texts = source.join(candidates.select(F.col("node").alias("doc_id"), F.col("component").cast("string").alias("region")), "doc_id")
+        near = _recut(written(texts.select("region", "doc_id", "text"), "candidates"), words, percent, most)
+        found = components(_in_regions(near, words, percent, most, buckets).union(one_document))
+        named = rows.join(points, "key", "left").join(found, F.col("point") == F.col("node"), "left")
+        alone = F.col("n_shingles") == 0
+        component = F.when(F.col("doc_id").isNull(), F.lit(None)).when(alone, F.col("doc_id")).otherwise(F.coalesce("component", "point"))
+        return keep(written(named.select("doc_id", "n_shingles", component.alias("component_id")), "components"))

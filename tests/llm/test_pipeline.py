@@ -71,3 +71,23 @@ def test_one_row_of_each_group_stays(spark, odd_documents):
     groups = jaccard_join.join_components(df, 5, 80).collect()
     assert sorted(i for i in kept if i is not None) == sorted({r.component_id for r in groups if r.doc_id is not None})
     assert kept.count(None) == sum(r.doc_id is None for r in groups)
+
+
+def test_columns_named_as_the_stage_s_own_give_way(spark, odd_documents):
+    from pyspark.sql import functions as F
+
+    df, _ = odd_documents
+    clash = df.withColumns({"ids": F.lit("x"), "N_tokens": F.lit(-1)})
+    got = written(cp.encode(spark, clash, SF001), "clash")
+    assert got.columns == [*df.columns, "ids", "n_tokens"] and got.schema["ids"].dataType.simpleString() == "binary"
+    assert got.count() == df.count()
+
+
+def test_join_leaves_its_result_only(spark, odd_documents):
+    from registrum.llm.common import shared_folder
+    from registrum.sources.parquet import list_names
+
+    df, _ = odd_documents
+    before = set(list_names(spark, shared_folder(spark)))
+    jaccard_join.join_components(df, 5, 80)
+    assert [n.split("-")[0] for n in set(list_names(spark, shared_folder(spark))) - before] == ["components"]
