@@ -57,12 +57,30 @@ def clamp_date(c: Column) -> Column:
     return F.when(day < lo, F.lit(None)).when(day > hi, F.lit(None)).otherwise(c)
 
 
-def lenient_timestamp(c: Column, dtype: T.DataType) -> Column:
-    """Parse to TIMESTAMP_NTZ; anything unparseable becomes NULL (never raises)."""
+#: Spellings of a date other than ISO: name -> (pattern of the whole text, the same as ISO text). What
+#: follows the day is a time of day, or nothing.
+DATE_SPELLINGS = {
+    "day first": (r"^(\d{1,2})[/.-](\d{1,2})[/.-](\d{4})($|[ T].*$)", "$3-$2-$1$4"),
+    "month first": (r"^(\d{1,2})[/.-](\d{1,2})[/.-](\d{4})($|[ T].*$)", "$3-$1-$2$4"),
+    "year first": (r"^(\d{4})[/.](\d{1,2})[/.](\d{1,2})($|[ T].*$)", "$1-$2-$3$4"),
+    "digits": (r"^(\d{4})(\d{2})(\d{2})($|[ T].*$)", "$1-$2-$3$4"),
+}
+
+
+def spelled_timestamp(text: Column, spelling: str) -> Column:
+    """A text in that spelling as TIMESTAMP_NTZ, else NULL (no such day included)."""
+    pattern, iso = DATE_SPELLINGS[spelling]
+    return F.when(text.rlike(pattern), F.regexp_replace(text, pattern, iso)).try_cast("timestamp_ntz")
+
+
+def lenient_timestamp(c: Column, dtype: T.DataType, spellings: Iterable[str] = ()) -> Column:
+    """Parse to TIMESTAMP_NTZ; anything unparseable becomes NULL (never raises). Text is
+    read as ISO first, then in each of the ``spellings`` in their order."""
     if isinstance(dtype, T.TimestampNTZType):
         return c
     if isinstance(dtype, T.StringType):
-        return strip_whitespace(c).try_cast("timestamp_ntz")
+        text = strip_whitespace(c)
+        return F.coalesce(text.try_cast("timestamp_ntz"), *[spelled_timestamp(text, s) for s in spellings])
     return c.try_cast("timestamp_ntz")
 
 

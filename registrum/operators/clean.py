@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from registrum.functions.columns import (
+    DATE_SPELLINGS,
     age_in_years,
     clamp_date,
     exact_digits,
@@ -21,6 +22,7 @@ from registrum.functions.columns import (
     lenient_timestamp,
     ntz,
     prefix_in,
+    spelled_timestamp,
     strip_whitespace,
 )
 from registrum.spec import (
@@ -58,8 +60,33 @@ def increment_predicates(df: DataFrame, spec: DatasetSpec, mark: datetime, depar
     return preds
 
 
+Spellings = dict[str, Sequence[str]]
+
+
+def date_spellings(df: DataFrame) -> Spellings:
+    """The spellings in which the text date columns hold days that ISO does not read, most frequent
+    first: one aggregate over those columns. Day first and month first exclude each other: the one that
+    reads more rows is taken (day first if both read the same)."""
+    texts = [c for c in date_columns(df) if isinstance(df.schema[c].dataType, T.StringType)]
+    if not texts:
+        return {}
+    counts = []
+    for c in texts:
+        text = strip_whitespace(F.col(c))
+        other = text.isNotNull() & text.try_cast("timestamp_ntz").isNull()
+        counts += [F.count_if(other & spelled_timestamp(text, s).isNotNull()).alias(f"{c}:{s}") for s in DATE_SPELLINGS]
+    found = df.agg(*counts).first().asDict()
+    out = {}
+    for c in texts:
+        rows = {s: found[f"{c}:{s}"] for s in DATE_SPELLINGS}
+        rows.pop("month first" if rows["day first"] >= rows["month first"] else "day first")
+        if chosen := sorted((s for s in rows if rows[s]), key=lambda s: -rows[s]):
+            out[c] = tuple(chosen)
+    return out
+
+
 def select_increment(
-    bronze: DataFrame, spec: DatasetSpec, mark: datetime, departments: Sequence[str]
+    bronze: DataFrame, spec: DatasetSpec, mark: datetime, departments: Sequence[str], spellings: Spellings | None = None
 ) -> DataFrame:
     """Rows newer than ``mark`` (and in the region), configured columns only,
     creation date clamped to the supported range. A creation date that comes as
@@ -69,7 +96,7 @@ def select_increment(
 
     def creation(c: str) -> Column:
         col = F.col(c)
-        return clamp_date(lenient_timestamp(col, types[c]) if isinstance(types[c], T.StringType) else col).alias(c)
+        return clamp_date(lenient_timestamp(col, types[c], (spellings or {}).get(c, ())) if isinstance(types[c], T.StringType) else col).alias(c)
 
     cols = [creation(c) if c == spec.date_column else F.col(c) for c in spec.selected_columns]
     return bronze.filter(cond).select(*cols)
@@ -103,10 +130,10 @@ def date_columns(df: DataFrame) -> list[str]:
     return [c for c in df.columns if "date" in c.lower() or INGESTED_AT in c]
 
 
-def parse_dates(df: DataFrame) -> DataFrame:
+def parse_dates(df: DataFrame, spellings: Spellings | None = None) -> DataFrame:
     """Every date-like column becomes TIMESTAMP_NTZ; unparseable -> NULL."""
     types = {f.name: f.dataType for f in df.schema.fields}
-    return df.withColumns({c: lenient_timestamp(F.col(c), types[c]) for c in date_columns(df)})
+    return df.withColumns({c: lenient_timestamp(F.col(c), types[c], (spellings or {}).get(c, ())) for c in date_columns(df)})
 
 
 def fill_defaults(df: DataFrame) -> DataFrame:
@@ -133,13 +160,13 @@ def fill_strings(df: DataFrame) -> DataFrame:
 
 
 def clean_increment(
-    df: DataFrame, spec: DatasetSpec, as_of_year: int, observation: Observation | None = None
+    df: DataFrame, spec: DatasetSpec, as_of_year: int, observation: Observation | None = None, spellings: Spellings | None = None
 ) -> DataFrame:
     """The Silver cleaning chain, in the reference's order."""
     return (
         df.transform(drop_null_keys, spec)
         .transform(clean_postal, spec, observation)
-        .transform(parse_dates)
+        .transform(parse_dates, spellings)
         .transform(fill_defaults)
         .transform(engineer, spec, as_of_year)
         .transform(fill_strings)
@@ -153,9 +180,10 @@ def silver_increment(
     departments: Sequence[str],
     as_of_year: int,
     observation: Observation | None = None,
+    spellings: Spellings | None = None,
 ) -> DataFrame:
     """select_increment + clean_increment: new Silver rows from Bronze."""
-    return clean_increment(select_increment(bronze, spec, mark, departments), spec, as_of_year, observation)
+    return clean_increment(select_increment(bronze, spec, mark, departments, spellings), spec, as_of_year, observation, spellings)
 
 
 def postal_audit(df: DataFrame, spec: DatasetSpec) -> DataFrame:

@@ -9,8 +9,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from registrum.spec import AGE, INGESTED_AT, SECTOR, UNKNOWN_TEXT
 
@@ -31,12 +32,12 @@ def layer_counts(tables: dict[str, DataFrame]) -> DataFrame:
 def share(df: DataFrame, key, digits: int, total: int | None = None) -> DataFrame:
     """Count per key and its percentage of all rows, rounded to ``digits``.
 
-    The denominator is the sum of the grouped counts (a second, tiny aggregation of
-    one row per key and task), so the input is read once. A known ``total`` may be
-    passed instead.
+    The denominator is a scalar subquery over the grouped counts, which share their
+    exchange with it: the input is read once, and however many groups there are, none
+    of them meet in one task. A known ``total`` may be passed instead.
     """
     counts = df.groupBy(key).agg(F.count(F.lit(1)).alias("count"))
-    whole = F.sum("count").over(Window.partitionBy(F.lit(1))) if total is None else F.lit(total)
+    whole = counts.select(F.sum("count")).scalar() if total is None else F.lit(total)
     return counts.withColumn("percentage" if digits == 2 else "pct", F.round(F.col("count") * F.lit(100.0) / whole, digits))
 
 
@@ -123,23 +124,59 @@ def null_percentages(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return wide.selectExpr(f"stack({len(columns)}, {pairs}) AS (column_name, null_pct)")
 
 
+def _number(col: Column, kind: T.DataType) -> Column:
+    """What orders the values of a numeric column; NULL for others, whose text orders them."""
+    return col.cast("double") if isinstance(kind, T.NumericType) else F.lit(None).cast("double")
+
+
+def _text(col: Column, kind: T.DataType) -> Column:
+    """A value as text; both zeros of a floating-point column are one."""
+    return (col + F.lit(0.0).cast(kind)).cast("string") if isinstance(kind, (T.DoubleType, T.FloatType)) else col.cast("string")
+
+
+def _cells(df: DataFrame) -> DataFrame:
+    """(i, number, whole, value): one row per row and column."""
+    kinds = [f.dataType for f in df.schema.fields]
+    whole = lambda c, k: (F.col(c) if isinstance(k, T.IntegralType) else F.lit(None)).cast("long")
+    cells = [F.struct(F.lit(i).alias("i"), _number(F.col(c), k).alias("number"), whole(c, k).alias("whole"), _text(F.col(c), k).alias("value")) for i, (c, k) in enumerate(zip(df.columns, kinds))]
+    return df.select(F.inline(F.array(*cells)))
+
+
+def _exact_profile(df: DataFrame) -> DataFrame:
+    """Rows turned into (column, value), counted in each task before the one shuffle by both; distinct
+    counts, minima and maxima are those of the grouping."""
+    values = _cells(df).groupBy("i", "number", "whole", "value").agg(F.count(F.lit(1)).alias("n"))
+    there = F.col("value").isNotNull()
+    place = F.when(there, F.struct("number", "whole", "value"))
+    by_column = values.groupBy("i").agg(
+        F.sum("n").alias("n"), F.coalesce(F.sum(F.when(there, F.col("n"))), F.lit(0)).alias("nn"), F.count("value").alias("unique_count"),
+        F.min(place).getField("value").alias("min"), F.max(place).getField("value").alias("max"),
+    )
+    names = df.sparkSession.createDataFrame(list(enumerate(df.columns)), "i int, column_name string")
+    out = names.join(by_column, "i", "left")
+    n, nn = (F.coalesce(c, F.lit(0)) for c in ("n", "nn"))
+    share_null = F.round(F.lit(100.0) * (n - nn) / F.greatest(n, F.lit(1)), 2)
+    return out.select("column_name", share_null.alias("null_percentage"), F.coalesce("unique_count", F.lit(0)).cast("long").alias("unique_count"), "min", "max")
+
+
 def table_profile(df: DataFrame, exact: bool = False) -> DataFrame:
     """SUMMARIZE-like profile: per column null percentage, distinct count, min
-    and max (as text), in one aggregate pass.
+    and max (as text).
 
-    ``exact=False`` uses HyperLogLog (``approx_count_distinct``) so the pass
-    stays a plain partial aggregation at any size; ``exact=True`` counts
-    distinct values exactly (Spark expands the rows once per column).
+    ``exact=False`` uses HyperLogLog (``approx_count_distinct``) in one plain
+    partial aggregation at any size; ``exact=True`` counts distinct values
+    exactly, by one grouping on (column, value).
     """
+    if exact:
+        return _exact_profile(df)
     cols = df.columns
     n = F.count(F.lit(1))
     aggs = [n.alias("_n")]
     for i, c in enumerate(cols):
         col = F.col(c)
-        distinct = F.count_distinct(col) if exact else F.approx_count_distinct(col)
         aggs += [
             F.count(col).alias(f"nn{i}"),
-            distinct.alias(f"d{i}"),
+            F.approx_count_distinct(col).alias(f"d{i}"),
             F.min(col).cast("string").alias(f"lo{i}"),
             F.max(col).cast("string").alias(f"hi{i}"),
         ]
@@ -148,11 +185,56 @@ def table_profile(df: DataFrame, exact: bool = False) -> DataFrame:
         f"'{c}', round(100.0D * (_n - nn{i}) / greatest(_n, 1), 2), d{i}, lo{i}, hi{i}" for i, c in enumerate(cols)
     )
     out = wide.selectExpr(f"stack({len(cols)}, {rows}) AS (column_name, null_percentage, unique_count, min, max)")
-    if not exact:
-        # both names of the sketch-based count, as profile readers expect either
-        out = out.select("column_name", "null_percentage", "unique_count",
-                         F.col("unique_count").alias("approx_unique"), "min", "max")
-    return out
+    # both names of the sketch-based count, as profile readers expect either
+    return out.select("column_name", "null_percentage", "unique_count", F.col("unique_count").alias("approx_unique"), "min", "max")
+
+
+#: Hashes of a distinct-count sketch (2 ** 12: exact up to as many, then a standard error of 1.6 %; the union
+#: keeps the smallest ones, so it does not depend on the cut), and size of a quantile sketch
+#: (rank error about 0.1 %).
+THETA_K, KLL_K = 12, 4096
+
+
+def sketch_rows(df: DataFrame, by: str) -> DataFrame:
+    """Mergeable profile of each part ``by`` (a bucket): rows, present values, minimum and maximum, a
+    distinct-count sketch, and for numbers a quantile sketch, per column. Partial aggregation only."""
+    fields = [f for f in df.schema.fields if f.name != by]
+    aggs = [F.count(F.lit(1)).alias("rows")]
+    for i, f in enumerate(fields):
+        text, number = _text(F.col(f.name), f.dataType), _number(F.col(f.name), f.dataType)
+        aggs += [
+            F.count(f.name).alias(f"nn{i}"), F.min(f.name).alias(f"lo{i}"), F.max(f.name).alias(f"hi{i}"),
+            F.theta_sketch_agg(text, THETA_K).alias(f"d{i}"), F.kll_sketch_agg_double(number, KLL_K).alias(f"q{i}"),
+        ]
+    wide = df.groupBy(by).agg(*aggs)
+
+    def edge(c: str, f: T.StructField) -> Column:
+        return F.struct(_number(F.col(c), f.dataType).alias("number"), _text(F.col(c), f.dataType).alias("value"))
+
+    cells = [
+        F.struct(
+            F.lit(i).alias("i"), F.lit(f.name).alias("column_name"), F.lit(isinstance(f.dataType, T.NumericType)).alias("numeric"),
+            F.col(f"nn{i}").alias("nn"), edge(f"lo{i}", f).alias("lo"), edge(f"hi{i}", f).alias("hi"), F.col(f"d{i}").alias("d"), F.col(f"q{i}").alias("q"),
+        )
+        for i, f in enumerate(fields)
+    ]
+    return wide.select(by, "rows", F.inline(F.array(*cells)))
+
+
+def merged_profile(sketches: DataFrame) -> DataFrame:
+    """The profile of the whole from the sketches of its parts, without reading the table: null percentage,
+    distinct count (estimated), min, max and the median of numbers (estimated). However the table was cut, the
+    distinct-count sketch of the whole is the same."""
+    held = F.col("nn") > 0
+    merged = sketches.groupBy("i", "column_name", "numeric").agg(
+        F.sum("rows").alias("n"), F.sum("nn").alias("nn"),
+        F.min(F.when(held, F.col("lo"))).getField("value").alias("min"), F.max(F.when(held, F.col("hi"))).getField("value").alias("max"),
+        F.theta_sketch_estimate(F.theta_union_agg("d", THETA_K)).alias("approx_unique"),
+        F.kll_merge_agg_double(F.when(F.col("numeric") & held, F.col("q"))).alias("q"),
+    )
+    median = F.when(F.col("numeric") & (F.col("nn") > 0), F.kll_sketch_get_quantile_double("q", F.lit(0.5)))
+    share_null = F.round(F.lit(100.0) * (F.col("n") - F.col("nn")) / F.greatest(F.col("n"), F.lit(1)), 2)
+    return merged.select("column_name", share_null.alias("null_percentage"), "approx_unique", "min", "max", median.alias("median"))
 
 
 def expected_columns(df: DataFrame, names: Sequence[str]) -> DataFrame:

@@ -21,6 +21,7 @@ from registrum.operators import gold as G
 from registrum.operators import profile as P
 from registrum.operators.clean import (
     clean_increment,
+    date_spellings,
     drop_null_keys,
     fill_defaults,
     fill_strings,
@@ -137,6 +138,24 @@ def q04b_text_dates_to_silver(spark, sf):
     return merge_last_wins(None, coerce(new, ESTABLISHMENTS), ESTABLISHMENTS)
 
 
+def q04c_date_spellings(spark, sf):
+    """Dates in five spellings, malformed ones and days that are none; the spellings are found in the data."""
+    d = ESTABLISHMENTS.date_column
+    k = F.col("siret").cast("long")
+    part = lambda f: F.date_format(F.col(d), f)
+    text = (
+        F.when(k % 13 == 0, F.lit("31/02/2020"))
+        .when(k % 17 == 0, F.lit("20201301"))
+        .when(k % 5 == 1, F.concat_ws("/", part("dd"), part("MM"), part("yyyy")))
+        .when(k % 5 == 2, part("yyyyMMdd"))
+        .when(k % 5 == 3, F.concat_ws("/", part("yyyy"), part("MM"), part("dd")))
+        .when(k % 5 == 4, F.concat(part("dd.MM.yyyy"), F.lit(" 06:07:08")))
+        .otherwise(F.col(d).cast("string"))
+    )
+    raw = etab_raw(spark, sf).select("siret", text.alias(d))
+    return raw.select("siret", lenient_timestamp(F.col(d), raw.schema[d].dataType, date_spellings(raw).get(d, ())).alias(d))
+
+
 def q05_default_fills(spark, sf):
     return fill_defaults(etab_raw(spark, sf)).select(
         "siret", "etatAdministratifEtablissement", "trancheEffectifsEtablissement", "enseigne1Etablissement"
@@ -415,6 +434,16 @@ def q33c_table_profile_approx(spark, sf):
     return both.select("column_name", "null_percentage", "min", "max", near.alias("within_tolerance"))
 
 
+def q33d_profile_from_sketches(spark, sf):
+    """The profile merged from sketches of seven parts, with whether each distinct count is within three
+    standard errors of the exact one."""
+    e = etab_silver(spark, sf)
+    parts = P.sketch_rows(e.withColumn("part", F.pmod(F.xxhash64("siret"), F.lit(7))), "part")
+    exact = P.table_profile(e, exact=True).select("column_name", F.col("unique_count").alias("exact"))
+    near = F.abs(F.col("approx_unique") - F.col("exact")) <= F.greatest(F.lit(1.0), F.col("exact") * 0.05)
+    return P.merged_profile(parts).join(exact, "column_name").select("column_name", "null_percentage", "min", "max", near.alias("within_tolerance"))
+
+
 def q34_top_three_departments(spark, sf):
     return P.value_counts(etab_silver(spark, sf), "departement", 3)
 

@@ -241,6 +241,14 @@ SQL: dict[str, str] = {
                         WHEN CAST(siret AS BIGINT) % 17 = 0 THEN '2020-13-01'
                         ELSE CAST(dateCreationEtablissement AS VARCHAR) END AS TIMESTAMP) AS dateCreationEtablissement
        FROM etab_raw""",
+    "q04c_date_spellings": RAW
+    + """SELECT siret, CASE WHEN CAST(siret AS BIGINT) % 13 = 0 OR CAST(siret AS BIGINT) % 17 = 0 THEN NULL
+                        WHEN CAST(siret AS BIGINT) % 5 = 1 THEN try_strptime(strftime(dateCreationEtablissement, '%d/%m/%Y'), '%d/%m/%Y')
+                        WHEN CAST(siret AS BIGINT) % 5 = 2 THEN try_strptime(strftime(dateCreationEtablissement, '%Y%m%d'), '%Y%m%d')
+                        WHEN CAST(siret AS BIGINT) % 5 = 3 THEN try_strptime(strftime(dateCreationEtablissement, '%Y/%m/%d'), '%Y/%m/%d')
+                        WHEN CAST(siret AS BIGINT) % 5 = 4 THEN try_strptime(strftime(dateCreationEtablissement, '%d.%m.%Y') || ' 06:07:08', '%d.%m.%Y %H:%M:%S')
+                        ELSE CAST(dateCreationEtablissement AS TIMESTAMP) END AS dateCreationEtablissement
+       FROM etab_raw""",
     "q04b_text_dates_to_silver": with_ctes(ETAB_RAW, TEXT_DATES, etab_silver_from("etab_text", "etab_silver", "1900-01-01"))
     + f"SELECT {SILVER_LIST} FROM etab_silver",
     "q05_default_fills": RAW
@@ -435,6 +443,8 @@ SQL: dict[str, str] = {
     "q33b_table_profile_legal_units": UL_ONLY + _profile_sql("ul_silver", UL_COLS),
     "q33c_table_profile_approx": ETAB_SILVER
     + f"SELECT column_name, null_percentage, min, max, true AS within_tolerance FROM ({_profile_sql('etab_silver', SILVER_COLS)})",
+    "q33d_profile_from_sketches": ETAB_SILVER
+    + f"SELECT column_name, null_percentage, min, max, true AS within_tolerance FROM ({_profile_sql('etab_silver', SILVER_COLS)})",
     "q35_describe": ETAB_SILVER
     + " UNION ALL ".join(
         f"SELECT '{c}' AS column_name, '{TYPES.get(c, 'string')}' AS data_type, true AS present, "

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from registrum.operators import gold as G
 from registrum.operators import profile as P
 from registrum.sources import parquet as pq
-from registrum.sources.store import SnapshotStore
+from registrum.sources.store import BUCKET, SnapshotStore
 from registrum.spec import (
     AGE,
     DEPARTMENT,
@@ -49,6 +49,23 @@ def silver_profile(spark: SparkSession, silver_root: str, exact: bool = False) -
     return _union([P.table_profile(df, exact).select(F.lit(n).alias("dataset"), "*") for n, df in tables.items()])
 
 
+def silver_sketch_profile(spark: SparkSession, silver_root: str) -> DataFrame:
+    """The profile of every Silver table from the sketches kept with its segments: no table is scanned. A
+    table with a segment that has none is sketched whole."""
+    parts = []
+    for name in pq.list_names(spark, silver_root):
+        store = SnapshotStore(spark, f"{silver_root.rstrip('/')}/{name}")
+        snap = store.current()
+        if snap is not None:
+            kept = store.profiles(snap)
+            if kept is None:
+                kept = P.sketch_rows(store.rows_of(snap).withColumn(BUCKET, F.lit(0)), BUCKET)
+            parts.append(P.merged_profile(kept).select(F.lit(name).alias("dataset"), "*"))
+    if not parts:
+        raise pq.MissingInput(f"No Silver table under {silver_root}")
+    return _union(parts)
+
+
 def silver_region_distribution(spark: SparkSession, silver_root: str) -> DataFrame:
     df = SnapshotStore(spark, f"{silver_root.rstrip('/')}/etablissements").read()
     if df is None:

@@ -14,15 +14,18 @@ repeated keys are compared. Small segments are taken up by later ones (see
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, field, replace
 from datetime import datetime
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from registrum.operators.clean import silver_increment
+from registrum.operators.clean import date_spellings, increment_predicates, silver_increment
 from registrum.operators.joins import DEFAULT_BROADCAST_BYTES, fits_broadcast
 from registrum.operators.merge import high_water_mark, merge_last_wins, merge_repeated
+from registrum.operators.profile import sketch_rows
 from registrum.operators.quality import DuplicateKeys, coerce, coerce_metrics, require_coerced, validate
 from registrum.plans.bronze import batches as bronze_batches
 from registrum.plans.bronze import seal, sealed
@@ -43,6 +46,8 @@ class SilverResult:
     rejected_postal: int
     version: int | None
     total_rows: int
+    #: spellings other than ISO in which text dates of this run were read, by column
+    date_spellings: dict = field(default_factory=dict)
 
 
 def current_mark(store: SnapshotStore) -> datetime:
@@ -94,13 +99,16 @@ def build_silver(
     with staging(spark):
         # The increment is computed once, as the columns come; probes, type check and
         # merge read the staged files.
-        rows = silver_increment(bronze, spec, mark, departments, as_of_year, obs)
+        read = bronze.filter(reduce(and_, increment_predicates(bronze, spec, mark, departments)))
+        spellings = date_spellings(read.select(*[c for c in spec.selected_columns if c != INGESTED_AT]))
+        rows = silver_increment(bronze, spec, mark, departments, as_of_year, obs, spellings)
         added = Observation(f"silver_new_{dataset_name}")
         rows = rows.observe(added, F.count(F.lit(1)).alias("new_rows"), *coerce_metrics(rows, spec))
         increment, _ = stage(rows, f"silver-{dataset_name}")
         layout = prev_snap.layout if prev_snap else None
         layout = layout or Layout(spec.pk, buckets or buckets_for(pq.size_of(spark, bronze_path)))
-        return _publish(spark, spec, store, increment, mark, seen, done_batch, max_segments, layout, obs, added.get, bronze_path)
+        result = _publish(spark, spec, store, increment, mark, seen, done_batch, max_segments, layout, obs, added.get, bronze_path)
+        return replace(result, date_spellings=spellings)
 
 
 def repeated_keys(store: SnapshotStore, increment: DataFrame, layout: Layout) -> DataFrame:
@@ -162,7 +170,7 @@ def _publish(spark, spec, store, increment, mark, seen, done_batch, max_segments
 
     for i, df in enumerate(attempts):
         try:
-            snap = store.publish(df, validate=gate, **options)
+            snap = store.publish(df, validate=gate, profile=sketch_rows, **options)
             break
         except DuplicateKeys:
             if i == len(attempts) - 1:

@@ -37,6 +37,7 @@ import json
 import uuid
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field, replace
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -45,6 +46,7 @@ from pyspark.sql.types import IntegerType, StructField, StructType
 from registrum.sources import parquet as pq
 
 COMMITS = "_commits"
+PROFILES = "_profiles"
 #: Rows that one run carries into its segment at most; larger segments stay as they are.
 MAX_CARRY_ROWS = 200_000_000
 
@@ -187,6 +189,13 @@ class SnapshotStore:
             return self.spark.createDataFrame([], whole)
         return reader.parquet(*paths)
 
+    def profiles(self, snap: Snapshot) -> DataFrame | None:
+        """The profile rows of a snapshot's live buckets; None if one of its segments has none."""
+        if snap.layout is None or not snap.segments or not all(pq.exists(self.spark, f"{self.root}/{PROFILES}/{s.name}") for s in snap.segments):
+            return None
+        parts = [self.spark.read.parquet(f"{self.root}/{PROFILES}/{s.name}").filter(F.col(BUCKET).isin(sorted(s.buckets))) for s in snap.segments]
+        return reduce(DataFrame.unionByName, parts)
+
     def publish(
         self,
         df: DataFrame,
@@ -198,6 +207,7 @@ class SnapshotStore:
         replaces: set[int] | None = None,
         fan_in: int = 0,
         max_carry_rows: int = MAX_CARRY_ROWS,
+        profile: Callable[[DataFrame, str], DataFrame] | None = None,
     ) -> Snapshot:
         """Write ``df`` as the next version, validate the written files, commit.
 
@@ -208,6 +218,8 @@ class SnapshotStore:
         previous directories in the new version, without the buckets that ``df``
         ``replaces`` and the segments that it carries (``fan_in``); with a layout
         the marker's ``rows`` count the whole table. ``facts`` are stored as given.
+        ``profile`` makes rows per bucket from the written rows and the bucket column's
+        name; they are kept beside the segment (``profiles``).
         """
         if mode not in ("replace", "append"):
             raise ValueError(mode)
@@ -229,6 +241,8 @@ class SnapshotStore:
             out.write.mode("overwrite").partitionBy(BUCKET).parquet(path)
             staged = self.spark.read.schema(StructType([*schema.fields, StructField(BUCKET, IntegerType())])).parquet(path)
             buckets = {r[0]: r[1] for r in staged.groupBy(BUCKET).count().collect()}  # one row per bucket
+            if profile:
+                profile(staged, BUCKET).write.mode("overwrite").parquet(f"{self.root}/{PROFILES}/{name}")
             staged = staged.drop(BUCKET)
         else:
             # repartition, not coalesce: what makes the rows keeps its parallelism
@@ -262,6 +276,7 @@ class SnapshotStore:
                 continue
             if name not in names:
                 pq.delete(self.spark, f"{self.root}/{name}")
+                pq.delete(self.spark, f"{self.root}/{PROFILES}/{name}")
             elif name not in live:
                 for part in pq.list_names(self.spark, f"{self.root}/{name}"):
                     if part.startswith(f"{BUCKET}=") and f"{name}/{part}" not in live:
