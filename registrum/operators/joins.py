@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from registrum.operators.frequent import holding
+
 DEFAULT_BROADCAST_BYTES = 64 * 1024 * 1024
 # Upper bound on rows worth measuring at all; above it the side is joined by
 # shuffle without a measuring pass.
@@ -69,14 +71,11 @@ def hot_keys(df: DataFrame, on: str, share: float = HOT_SHARE, min_rows: int = 0
     """Keys holding at least ``share`` of the rows and at least ``min_rows``
     rows (never more than 1/share keys).
 
-    The per-key count is partially aggregated on the map side, so even a key
-    holding a third of the rows costs one row per task in the shuffle; the
-    total is a scalar subquery.
+    No count of all keys and no shuffle by key: rows are counted per hash class,
+    and only classes that hold enough rows are grouped by key
+    (``registrum.operators.frequent``).
     """
-    total = df.select(F.count(F.lit(1))).scalar()
-    counts = df.filter(F.col(on).isNotNull()).groupBy(on).agg(F.count(F.lit(1)).alias("_n"))
-    hot = (F.col("_n") >= total * F.lit(share)) & (F.col("_n") >= F.lit(min_rows))
-    return counts.filter(hot).select(on)
+    return holding(df, on, share, min_rows).select(on)
 
 
 def hot_key_values(df: DataFrame, on: str, share: float = HOT_SHARE, min_rows: int = 0) -> list:

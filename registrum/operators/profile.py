@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from registrum.operators.frequent import most_frequent
 from registrum.spec import AGE, INGESTED_AT, SECTOR, UNKNOWN_TEXT
 
 
@@ -48,8 +49,11 @@ def region_share(silver_etab: DataFrame) -> DataFrame:
 
 
 def top_values(df: DataFrame, column: str, k: int = 5, digits: int = 1) -> DataFrame:
-    """Top-k values by frequency with their percentage; ties by value."""
-    return share(df, column, digits).orderBy(F.desc("count"), F.asc(column)).limit(k)
+    """Top-k values by frequency with their percentage; ties by value. Of a column with very many
+    values only those are counted that can be among the k."""
+    counts, total = most_frequent(df, column, k)
+    share_of = F.round(F.col("count") * F.lit(100.0) / F.lit(total), digits)
+    return counts.withColumn("percentage" if digits == 2 else "pct", share_of).orderBy(F.desc("count"), F.asc(column)).limit(k)
 
 
 def top_values_tagged(df: DataFrame, dataset: str, column: str, k: int = 5) -> DataFrame:
