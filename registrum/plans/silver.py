@@ -31,7 +31,7 @@ from registrum.plans.bronze import batches as bronze_batches
 from registrum.plans.bronze import seal, sealed
 from registrum.sources import parquet as pq
 from registrum.sources.staging import stage, staged, staging
-from registrum.sources.store import Layout, SnapshotStore, buckets_for
+from registrum.sources.store import Layout, Snapshot, SnapshotStore, buckets_for
 from registrum.spec import BATCH_ID, INGESTED_AT, MARK_FLOOR, REGION_DEPARTMENTS, spec_for
 
 #: Segments of one level that the next one takes up.
@@ -60,6 +60,14 @@ def current_mark(store: SnapshotStore) -> datetime:
     return high_water_mark(store.read())
 
 
+def seal_committed(spark: SparkSession, snap: Snapshot | None, bronze_path: str) -> None:
+    """Seal the batches a committed version has read, if the run that committed it ended before its
+    seal: a retry of such a batch must not be accepted any more, Silver would never read it."""
+    done = snap.facts.get("bronze_batch") if snap else None
+    if done is not None and (sealed(spark, bronze_path) or 0) < int(done):
+        seal(spark, bronze_path, int(done))
+
+
 def build_silver(
     spark: SparkSession,
     dataset_name: str,
@@ -83,10 +91,7 @@ def build_silver(
     # lands while the job runs waits for the next run.
     batches = bronze_batches(spark, bronze_path)
     done_batch = (prev_snap.facts.get("bronze_batch") if prev_snap else None) or None
-    if done_batch is not None and (sealed(spark, bronze_path) or 0) < int(done_batch):
-        # the run before ended between its commit and the seal: a retry of that
-        # batch must not be accepted any more, it would never be read
-        seal(spark, bronze_path, int(done_batch))
+    seal_committed(spark, prev_snap, bronze_path)
     if bronze is not None and batches and BATCH_ID in bronze.columns:
         window = F.col(BATCH_ID) <= F.lit(batches[-1])
         if done_batch is not None:

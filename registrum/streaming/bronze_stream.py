@@ -14,6 +14,7 @@ read meanwhile was complete and is left as it is.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from datetime import UTC, datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
@@ -48,7 +49,10 @@ def start_bronze_stream(
     checkpoint_location: str | None = None,
     keep_null_keys: bool = False,
     max_files_per_trigger: int | None = None,
+    before: Callable[[SparkSession], None] | None = None,
+    after: Callable[[SparkSession], None] | None = None,
 ) -> StreamingQuery:
+    """``before`` and ``after`` are run with each micro-batch, a replayed one included."""
     if checkpoint_location is None:
         # the shared folder the cluster names; set only where it is unset (tests)
         base = ensure_checkpoint_dir(spark)
@@ -57,11 +61,15 @@ def start_bronze_stream(
 
     def write_batch(batch: DataFrame, epoch_id: int) -> None:
         session = batch.sparkSession
+        if before:
+            before(session)
         run_ts = epoch_timestamp(session, epochs, epoch_id, bronze_path)
         read = sealed(session, bronze_path)
-        if read is not None and batch_id_of(run_ts) <= read:
-            return  # written before, and read by Silver since
-        ingest_bronze(session, batch, bronze_path, dataset_name, run_ts, 0, keep_null_keys)
+        # a batch that Silver has read was written before
+        if read is None or batch_id_of(run_ts) > read:
+            ingest_bronze(session, batch, bronze_path, dataset_name, run_ts, 0, keep_null_keys)
+        if after:
+            after(session)
 
     reader = spark.readStream.schema(schema)
     if max_files_per_trigger:
