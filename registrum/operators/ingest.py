@@ -77,8 +77,9 @@ def new_rows(
     keep_null_keys: bool = False,
     dedup: bool = True,
     max_broadcast_bytes: int | None = DEFAULT_BROADCAST_BYTES,
+    fresh: DataFrame | None = None,
 ) -> DataFrame:
-    """Source rows whose key is not yet in the registry.
+    """Source rows whose key is not yet in the registry. ``fresh``: those keys, if they are known.
 
     The unknown keys are found on the key column alone, then only their rows
     are fetched (semi-join; the key set is broadcast when measured under the
@@ -93,7 +94,7 @@ def new_rows(
     keyed = source.filter(F.col(pk).isNotNull())
     if known_keys is not None:
         # staged once: measured, and joined, without a second anti-join
-        fresh = staged(new_keys(source, known_keys, pk), "new-keys")
+        fresh = staged(new_keys(source, known_keys, pk) if fresh is None else fresh, "new-keys")
         if max_broadcast_bytes is not None and fits_broadcast(fresh, max_broadcast_bytes):
             fresh = F.broadcast(fresh)
         keyed = keyed.join(fresh, on=pk, how="left_semi")

@@ -4,23 +4,29 @@ The Bronze dataset is a Parquet directory partitioned by ``batch_id`` and is
 itself the registry of known keys (no second store). A run appends only the
 source rows whose key is unknown, under its own ``batch_id`` partition with
 dynamic partition overwrite, so a retried run replaces its own partial batch
-and never touches earlier ones. The anti-join reads only the key column of
-earlier batches and is a shuffle join: the key set grows with the registry, so
-it is never force-broadcast.
+and never touches earlier ones. Beside each batch lies a Bloom filter of its keys
+(``registrum.operators.keyfilter``): source keys that no filter can hold are new
+without any look at the registry; only for the others the key column is read,
+and of it only the batches whose own filter can hold one of them. That
+anti-join is a shuffle join: the key set grows with the registry, so it is
+never force-broadcast. A batch without filter is always read.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 from datetime import datetime
+from functools import reduce
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from registrum.operators.clean import batch_id_of
-from registrum.operators.ingest import cap, new_rows, with_audit
+from registrum.operators.ingest import cap, new_keys, new_rows, with_audit
+from registrum.operators.joins import fits_broadcast
+from registrum.operators.keyfilter import FILTER_BITS, ask, batches_asked, key_filter, merged_filter
 from registrum.sources import parquet as pq
-from registrum.sources.staging import staging
+from registrum.sources.staging import stage, staging
 from registrum.spec import BATCH_ID, bronze_pk
 
 
@@ -30,6 +36,8 @@ class StaleBatch(ValueError):
 
 #: Names of the empty files below this folder of a Bronze table are batches that Silver has read.
 READ_BY_SILVER = "_read_by_silver"
+#: Keys that may be known are compared with each batch's filter up to this size; more of them read all batches.
+ASKED_BYTES = 8 << 20
 
 
 def batches(spark: SparkSession, bronze_path: str) -> list[int]:
@@ -79,6 +87,44 @@ def known_keys(spark: SparkSession, bronze_path: str, pk: str, exclude_batch: in
     return reg.select(pk)
 
 
+#: One Parquet table per batch below this folder of a Bronze table, named by size and batch.
+KEY_FILTERS = "_key_filters"
+
+
+def _filters(spark: SparkSession, bronze_path: str, bits: int) -> dict[int, str]:
+    """Paths of the whole filters of that size, by batch."""
+    root, prefix = f"{bronze_path.rstrip('/')}/{KEY_FILTERS}", f"{bits}-"
+    names = [n for n in pq.list_names(spark, root) if n.startswith(prefix)]
+    return {int(n[len(prefix) :]): f"{root}/{n}" for n in names if pq.exists(spark, f"{root}/{n}/_SUCCESS")}
+
+
+def unknown_keys(spark: SparkSession, source: DataFrame, bronze_path: str, pk: str, own_batch: int, registry: DataFrame, bits: int = FILTER_BITS) -> DataFrame:
+    """Distinct non-NULL source keys that the registry does not hold, exactly: those that the filters rule
+    out need no look; the others are compared with the batches that may hold them."""
+    there = [b for b in batches(spark, bronze_path) if b != own_batch]
+    filters = {b: p for b, p in _filters(spark, bronze_path, bits).items() if b in there}
+    if not filters or len(filters) < len(there):
+        return new_keys(source, registry, pk)
+    each = reduce(DataFrame.unionByName, [spark.read.parquet(p).withColumn(BATCH_ID, F.lit(b)) for b, p in filters.items()])
+    merged, _ = stage(merged_filter(each), "key-filter")
+    keys, _ = stage(ask(source.select(pk).filter(F.col(pk).isNotNull()).distinct(), pk, merged, bits), "asked-keys")
+    surely_new, maybe = keys.filter(~F.col("maybe")).select(pk), keys.filter("maybe").select(pk)
+    if fits_broadcast(maybe, ASKED_BYTES):
+        wanted = batches_asked(maybe, pk, each, BATCH_ID, bits)
+        if not wanted:
+            return keys.select(pk)
+        registry = pq.read_if_any(spark, bronze_path).filter(F.col(BATCH_ID).isin(wanted)).select(pk)
+    return surely_new.unionByName(new_keys(maybe, registry, pk))
+
+
+def write_filter(spark: SparkSession, bronze_path: str, batch: int, pk: str, bits: int = FILTER_BITS) -> None:
+    """The filter of a written batch, from its key column."""
+    rows = pq.read_if_any(spark, bronze_path)
+    if rows is not None:
+        keys = rows.filter(F.col(BATCH_ID) == F.lit(batch)).select(pk)
+        key_filter(keys, pk, bits).write.mode("overwrite").parquet(f"{bronze_path.rstrip('/')}/{KEY_FILTERS}/{bits}-{batch}")
+
+
 def ingest_increment(
     spark: SparkSession,
     source: DataFrame,
@@ -91,8 +137,10 @@ def ingest_increment(
     """The rows this run appends: unknown keys, deduplicated, capped. The unknown keys
     (and, with a cap, the row order) are staged when this is called; the rest is lazy."""
     pk = bronze_pk(dataset_name)
-    registry = known_keys(spark, bronze_path, pk, exclude_batch=batch_id_of(run_ts))
-    fresh = new_rows(source, registry, pk, keep_null_keys=keep_null_keys)
+    own = batch_id_of(run_ts)
+    registry = known_keys(spark, bronze_path, pk, exclude_batch=own)
+    fresh = unknown_keys(spark, source, bronze_path, pk, own, registry) if registry is not None else None
+    fresh = new_rows(source, registry, pk, keep_null_keys=keep_null_keys, fresh=fresh)
     return with_audit(cap(fresh, limit, pk), run_ts)
 
 
@@ -113,6 +161,9 @@ def ingest_bronze(
     # counted on the key column alone; an observation would be answered by whichever job runs first
     nulls = source.filter(F.col(pk).isNull()).count()
     obs = Observation(f"bronze_{dataset_name}")
+    own = batch_id_of(run_ts)
+    # what an earlier attempt of this batch says of its keys ends here; without a filter it is read
+    pq.delete(spark, f"{bronze_path.rstrip('/')}/{KEY_FILTERS}/{FILTER_BITS}-{own}")
     with staging(spark):
         rows = ingest_increment(spark, source, bronze_path, dataset_name, run_ts, limit, keep_null_keys)
         rows = rows.observe(obs, F.count(F.lit(1)).alias("new_rows"))
@@ -120,7 +171,9 @@ def ingest_bronze(
     added = int(obs.get.get("new_rows", 0))
     if not added:
         # an empty result overwrites no partition: drop what an earlier attempt of this batch left
-        pq.delete(spark, f"{bronze_path.rstrip('/')}/{BATCH_ID}={batch_id_of(run_ts)}")
+        pq.delete(spark, f"{bronze_path.rstrip('/')}/{BATCH_ID}={own}")
+    else:
+        write_filter(spark, bronze_path, own, pk)
     written = pq.read_if_any(spark, bronze_path)
     total = written.count() if written is not None else 0
     return BronzeResult(dataset_name, batch_id_of(run_ts), added, nulls, total)
