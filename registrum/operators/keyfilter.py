@@ -10,17 +10,23 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-#: 16 MB: with 10 million keys some 2 % of unknown keys pass, with 40 million 20 %.
-FILTER_BITS = 1 << 27
 HASHES = 2
 BUCKET_BITS = 32_768
+#: Least and largest filter (128 KB and 64 MB).
+MIN_BITS, MAX_BITS = 1 << 20, 1 << 29
+
+
+def filter_bits(keys: int) -> int:
+    """Bits of a table's filters from the keys of its first batch: 16 or more per key, a power of two, so
+    that some 1.4 % of unknown keys pass when as many keys are in it; MAX_BITS holds 33 million keys so."""
+    return min(MAX_BITS, max(MIN_BITS, 1 << (16 * max(1, keys) - 1).bit_length()))
 
 
 def _positions(key: str, bits: int) -> list[Column]:
     return [F.pmod(F.xxhash64(F.col(key), F.lit(i)), F.lit(bits)) for i in range(HASHES)]
 
 
-def key_filter(keys: DataFrame, key: str, bits: int = FILTER_BITS) -> DataFrame:
+def key_filter(keys: DataFrame, key: str, bits: int) -> DataFrame:
     """(bucket, bitmap) of the present keys; each task ORs its own bits first."""
     at = keys.filter(F.col(key).isNotNull()).select(F.explode(F.array(*_positions(key, bits))).alias("_p"))
     # the bitmap functions count buckets from 1 for the positions from 1
@@ -38,7 +44,7 @@ def _is_set(bitmap: Column, position: Column) -> Column:
     return F.coalesce(F.call_function("shiftright", byte, (bit % 8).cast("int")).bitwiseAND(F.lit(1)) == 1, F.lit(False))
 
 
-def ask(keys: DataFrame, key: str, merged: DataFrame, bits: int = FILTER_BITS, flag: str = "maybe") -> DataFrame:
+def ask(keys: DataFrame, key: str, merged: DataFrame, bits: int, flag: str = "maybe") -> DataFrame:
     """``keys`` with whether each may be in the filter. The filter has a set size and is broadcast."""
     out = keys
     for i, position in enumerate(_positions(key, bits)):
@@ -51,7 +57,7 @@ def ask(keys: DataFrame, key: str, merged: DataFrame, bits: int = FILTER_BITS, f
     return out.withColumn(flag, found).select(*keys.columns, flag)
 
 
-def batches_asked(keys: DataFrame, key: str, filters: DataFrame, batch: str, bits: int = FILTER_BITS) -> list[int]:
+def batches_asked(keys: DataFrame, key: str, filters: DataFrame, batch: str, bits: int) -> list[int]:
     """The batches whose own filter (rows with ``batch``) may hold one of the keys, a bounded broadcast side."""
     at = keys.select(F.col(key).alias("_k"), F.posexplode(F.array(*_positions(key, bits))).alias("_i", "_p"))
     at = F.broadcast(at.withColumn("_bucket", F.bitmap_bucket_number(F.col("_p") + 1)))

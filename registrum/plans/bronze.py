@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from registrum.operators.clean import batch_id_of
 from registrum.operators.ingest import cap, new_keys, new_rows, with_audit
 from registrum.operators.joins import fits_broadcast
-from registrum.operators.keyfilter import FILTER_BITS, ask, batches_asked, key_filter, merged_filter
+from registrum.operators.keyfilter import ask, batches_asked, filter_bits, key_filter, merged_filter
 from registrum.sources import parquet as pq
 from registrum.sources.staging import stage, staging
 from registrum.spec import BATCH_ID, bronze_pk
@@ -37,7 +37,7 @@ class StaleBatch(ValueError):
 #: Names of the empty files below this folder of a Bronze table are batches that Silver has read.
 READ_BY_SILVER = "_read_by_silver"
 #: Keys that may be known are compared with each batch's filter up to this size; more of them read all batches.
-ASKED_BYTES = 8 << 20
+ASKED_BYTES = 1 << 20
 
 
 def batches(spark: SparkSession, bronze_path: str) -> list[int]:
@@ -91,18 +91,20 @@ def known_keys(spark: SparkSession, bronze_path: str, pk: str, exclude_batch: in
 KEY_FILTERS = "_key_filters"
 
 
-def _filters(spark: SparkSession, bronze_path: str, bits: int) -> dict[int, str]:
-    """Paths of the whole filters of that size, by batch."""
-    root, prefix = f"{bronze_path.rstrip('/')}/{KEY_FILTERS}", f"{bits}-"
-    names = [n for n in pq.list_names(spark, root) if n.startswith(prefix)]
-    return {int(n[len(prefix) :]): f"{root}/{n}" for n in names if pq.exists(spark, f"{root}/{n}/_SUCCESS")}
+def key_filters(spark: SparkSession, bronze_path: str) -> tuple[int | None, dict[int, str]]:
+    """The size of a table's filters (None: it has none yet) and the paths of the whole ones, by batch."""
+    root = f"{bronze_path.rstrip('/')}/{KEY_FILTERS}"
+    named = [(n, *map(int, n.split("-"))) for n in pq.list_names(spark, root)]
+    whole = {batch: f"{root}/{n}" for n, _, batch in named if pq.exists(spark, f"{root}/{n}/_SUCCESS")}
+    return (named[0][1] if named else None), whole
 
 
-def unknown_keys(spark: SparkSession, source: DataFrame, bronze_path: str, pk: str, own_batch: int, registry: DataFrame, bits: int = FILTER_BITS) -> DataFrame:
+def unknown_keys(spark: SparkSession, source: DataFrame, bronze_path: str, pk: str, own_batch: int, registry: DataFrame) -> DataFrame:
     """Distinct non-NULL source keys that the registry does not hold, exactly: those that the filters rule
     out need no look; the others are compared with the batches that may hold them."""
     there = [b for b in batches(spark, bronze_path) if b != own_batch]
-    filters = {b: p for b, p in _filters(spark, bronze_path, bits).items() if b in there}
+    bits, filters = key_filters(spark, bronze_path)
+    filters = {b: p for b, p in filters.items() if b in there}
     if not filters or len(filters) < len(there):
         return new_keys(source, registry, pk)
     each = reduce(DataFrame.unionByName, [spark.read.parquet(p).withColumn(BATCH_ID, F.lit(b)) for b, p in filters.items()])
@@ -117,10 +119,11 @@ def unknown_keys(spark: SparkSession, source: DataFrame, bronze_path: str, pk: s
     return surely_new.unionByName(new_keys(maybe, registry, pk))
 
 
-def write_filter(spark: SparkSession, bronze_path: str, batch: int, pk: str, bits: int = FILTER_BITS) -> None:
-    """The filter of a written batch, from its key column."""
-    rows = pq.read_if_any(spark, bronze_path)
+def write_filter(spark: SparkSession, bronze_path: str, batch: int, pk: str, written: int) -> None:
+    """The filter of a written batch, from its key column; the first one sets the size."""
+    rows, (bits, _) = pq.read_if_any(spark, bronze_path), key_filters(spark, bronze_path)
     if rows is not None:
+        bits = bits or filter_bits(written)
         keys = rows.filter(F.col(BATCH_ID) == F.lit(batch)).select(pk)
         key_filter(keys, pk, bits).write.mode("overwrite").parquet(f"{bronze_path.rstrip('/')}/{KEY_FILTERS}/{bits}-{batch}")
 
@@ -163,7 +166,8 @@ def ingest_bronze(
     obs = Observation(f"bronze_{dataset_name}")
     own = batch_id_of(run_ts)
     # what an earlier attempt of this batch says of its keys ends here; without a filter it is read
-    pq.delete(spark, f"{bronze_path.rstrip('/')}/{KEY_FILTERS}/{FILTER_BITS}-{own}")
+    if path := key_filters(spark, bronze_path)[1].get(own):
+        pq.delete(spark, path)
     with staging(spark):
         rows = ingest_increment(spark, source, bronze_path, dataset_name, run_ts, limit, keep_null_keys)
         rows = rows.observe(obs, F.count(F.lit(1)).alias("new_rows"))
@@ -173,7 +177,7 @@ def ingest_bronze(
         # an empty result overwrites no partition: drop what an earlier attempt of this batch left
         pq.delete(spark, f"{bronze_path.rstrip('/')}/{BATCH_ID}={own}")
     else:
-        write_filter(spark, bronze_path, own, pk)
+        write_filter(spark, bronze_path, own, pk, added)
     written = pq.read_if_any(spark, bronze_path)
     total = written.count() if written is not None else 0
     return BronzeResult(dataset_name, batch_id_of(run_ts), added, nulls, total)

@@ -93,9 +93,11 @@ def changed_rows(store: SnapshotStore, snap: Snapshot, done: dict) -> DataFrame
     return rows.filter(F.col(INGESTED_AT) > ntz(datetime.fromisoformat(done["mark"])))
 
 
-def _numbers(keys: DataFrame) -> set[int]:
-    """Distinct bucket numbers: bounded by the layout."""
-    return {r[0] for r in keys.distinct().collect()}
+def _numbers(rows: DataFrame, layout: Layout) -> set[int]:
+    """The buckets that rows fall into: bounded by the layout."""
+    if layout.buckets == 1:
+        return set() if rows.isEmpty() else {0}
+    return {r[0] for r in rows.select(layout.bucket()).distinct().collect()}
 
 
 def _matching(old: DataFrame, new: DataFrame, on: str, how: str) -> DataFrame:
@@ -108,12 +110,14 @@ def _matching(old: DataFrame, new: DataFrame, on: str, how: str) -> DataFrame:
 def touched_buckets(store: SnapshotStore, master: Snapshot, etab: DataFrame, ul: DataFrame) -> set[int]:
     """Master buckets that hold a changed establishment or the siren of a new or changed legal unit. Of
     the buckets the new rows fall into only the key columns are read."""
-    bucket, out = master.layout.bucket(), set()
+    out: set[int] = set()
     for new, key in ((ul, "siren"), (etab, "siret")):
-        candidates = _numbers(new.select(bucket))
+        if len(out) == master.layout.buckets:
+            break
+        candidates = _numbers(new, master.layout)
         if candidates:
             held = store.rows_of(master, buckets=candidates).select("siret", "siren")
-            out |= _numbers(_matching(held, new, key, "left_semi").select(bucket))
+            out |= _numbers(_matching(held, new, key, "left_semi"), master.layout)
     return out
 
 
@@ -144,7 +148,7 @@ def legal_units_of(store: SnapshotStore, snap: Snapshot, etab: DataFrame) -> Dat
     """The legal units that can match: of the buckets that the establishments' sirens fall into."""
     if snap.layout is None or snap.layout.key != "siren":
         return store.rows_of(snap)
-    return store.rows_of(snap, buckets=_numbers(etab.filter(F.col("siren").isNotNull()).select(snap.layout.bucket())))
+    return store.rows_of(snap, buckets=_numbers(etab.filter(F.col("siren").isNotNull()), snap.layout))
 
 
 def build_gold(

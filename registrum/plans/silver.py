@@ -123,7 +123,8 @@ def repeated_keys(store: SnapshotStore, increment: DataFrame, layout: Layout) ->
     key = layout.key
     new = increment.select(key, layout.bucket().alias("_b")).distinct()
     snap = store.current()
-    hit = {r[0] for r in new.select("_b").distinct().collect()}  # bucket numbers, bounded by the layout
+    # bucket numbers, bounded by the layout
+    hit = None if layout.buckets == 1 else {r[0] for r in new.select("_b").distinct().collect()}
     old = store.rows_of(snap, buckets=hit).select(key)
     if fits_broadcast(new, DEFAULT_BROADCAST_BYTES):
         found = old.join(F.broadcast(new), key, "left_semi").distinct()

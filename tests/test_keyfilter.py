@@ -31,10 +31,7 @@ def test_filter_holds_every_key(spark, bits):
 @pytest.mark.parametrize("bits", [512, 1 << 16])
 def test_no_wrong_row_with_a_small_filter(spark, scratch, monkeypatch, bits):
     """Nearly all keys pass a small filter: the exact comparison then decides."""
-    for f, at in ((bronze_plan.unknown_keys, 0), (bronze_plan.write_filter, 0), (bronze_plan._filters, None)):
-        if at is not None:
-            monkeypatch.setattr(f, "__defaults__", (bits,))
-    monkeypatch.setattr(bronze_plan, "FILTER_BITS", bits)
+    monkeypatch.setattr(bronze_plan, "filter_bits", lambda keys: bits)
     b, seen = f"{scratch}/b", set()
     for day, (low, high) in enumerate([(0, 300), (100, 400), (1000, 1200), (0, 1300)], 1):
         r = ingest_bronze(spark, keys(spark, low, high), b, "etablissements", datetime(2026, 1, day))
@@ -58,6 +55,11 @@ def test_only_batches_that_may_hold_a_key_are_read(spark, scratch):
     assert scanned and len({x for line in scanned for x in __import__("re").findall(r"batch_id#\d+L? (?:=|IN) \(?(\d+)", line)}) == 1, (read, scanned)
 
 
+def test_size_follows_from_the_first_batch():
+    assert K.filter_bits(0) == K.filter_bits(60_000) == 1 << 20 and K.filter_bits(40_000_000) == K.MAX_BITS
+    assert all(16 * n <= K.filter_bits(n) < 64 * n for n in (100_000, 2_000_000, 33_000_000))
+
+
 def test_batch_without_filter_is_read(spark, scratch):
     b = f"{scratch}/b"
     ingest_bronze(spark, keys(spark, 0, 50), b, "etablissements", datetime(2026, 1, 1))
