@@ -6,9 +6,13 @@ Jaccard distance is a metric. Documents link at a distance of 1 - p / 100 or les
 2. Unrelated documents all lie at distances near 1 from any pivot, where Voronoi regions of documents
    separate nothing. So the first split uses another metric that the same pivots serve: the symmetric
    difference, which links bound by T = 2 (100 - p) / (100 + p) times the size. Pivots are classes of
-   shingles (by hash), a point's regions are its exact projections on the first T + 1 classes that it
-   has shingles in. Two points within T of each other agree on at least one of them, whatever the other
-   classes hold (each differing class costs 1 at least), so no link is lost. Sizes are cut into rings, and a
+   shingles (by hash), a point's regions are its exact projections on T + 1 of the classes that it has
+   shingles in: those with most shingles, ties by class. Two points within T differ in at most T classes
+   (each costs 1 at least). The order of projections is the same for both, so at most T of either's come
+   before the first that they have in common: no link is lost. Projections of many shingles agree by
+   chance, or for a shared passage, much less often than those of one. Points with shingles in T
+   classes or fewer may have none in common; they also meet by single shingles, as many of the
+   smallest hashes as one more than a link may differ in. Sizes are cut into rings, and a
    point joins its own ring and the next, as far as a partner's size can reach.
 3. The regions' graph falls into connected candidates, mostly families of near copies. A candidate
    of up to `most` points (or as many times 4,000 bytes) is joined in one task. Of larger ones the points
@@ -109,11 +113,12 @@ def signatures(hashes: np.ndarray, ends: np.ndarray, percent: int) -> tuple[np.n
     reach = np.searchsorted(limits, sizes * 100 // percent, side="right") - 1
     out: list[tuple[np.ndarray, np.ndarray]] = []
     owner_all = np.repeat(np.arange(len(sizes)), sizes)
+    sparse = np.zeros(len(sizes), bool)
     for ring, takes in ((own, sizes > 0), (own + 1, (sizes > 0) & (reach > own))):
         most = limits[ring + 1] - 1  # largest size in the ring
         differ = 2 * (100 - percent) * most // (100 + percent)  # T
         takes = takes & (differ > 0)  # at T = 0 only equal sets link
-        classes = differ + 1 + np.maximum(8, -(-4 * differ // 10))
+        classes = differ + 1 + np.maximum(2, -(-8 * differ // 10))
         on = takes[owner_all]
         owner, h = owner_all[on], hashes[on]
         cls = (_mix(h + ring[owner].astype(np.uint64) * _A) % classes[owner].astype(np.uint64)).astype(np.int64)
@@ -122,15 +127,28 @@ def signatures(hashes: np.ndarray, ends: np.ndarray, percent: int) -> tuple[np.n
         first = np.flatnonzero(np.concatenate([[True], (owner[1:] != owner[:-1]) | (cls[1:] != cls[:-1])])) if len(owner) else np.zeros(0, np.int64)
         if len(first):
             total = np.add.reduceat(h, first)
+            held = np.diff(np.append(first, len(owner)))
             owner, cls = owner[first], cls[first]
+            order = np.argsort(owner * (held.max() + 1) - held, kind="stable")  # most shingles first, then by class
+            owner, cls, total = owner[order], cls[order], total[order]
             starts = np.flatnonzero(np.concatenate([[True], owner[1:] != owner[:-1]]))
             rank = np.arange(len(owner)) - np.repeat(starts, np.diff(np.append(starts, len(owner))))
-            kept = rank <= differ[owner]
             region = _mix(total + _mix(cls.astype(np.uint64) * _B + ring[owner].astype(np.uint64)))
+            kept = rank <= differ[owner]
             out.append((region[kept], owner[kept]))
         filled = np.bincount(owner, minlength=len(sizes)) if len(first) else np.zeros(len(sizes), np.int64)
-        sparse = np.flatnonzero(takes & (filled <= differ))  # such points meet in one region of their ring
-        out.append((_mix(ring[sparse].astype(np.uint64) * _C + _A), sparse))
+        sparse |= takes & (filled <= differ)
+    on = sparse[owner_all]
+    owner, h = owner_all[on], _mix(hashes[on] * _A + _B)
+    if len(owner):
+        order = np.lexsort((h, owner))
+        owner, h = owner[order], h[order]
+        starts = np.flatnonzero(np.concatenate([[True], owner[1:] != owner[:-1]]))
+        rank = np.arange(len(owner)) - np.repeat(starts, np.diff(np.append(starts, len(owner))))
+        kept = rank <= sizes[owner] - -(-sizes[owner] * percent // 100)
+        out.append((_mix(h[kept] + _C), owner[kept]))
+    if not out:
+        return np.zeros(0, np.uint64), np.zeros(0, np.int64)
     return np.concatenate([x for x, _ in out]), np.concatenate([x for _, x in out])
 
 
