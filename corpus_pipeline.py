@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from registrum.llm import bpe_duckdb, jaccard_join, pii_crf, quality_gam, soft_mixing
-from registrum.llm.common import discard, ship_package, table, written
+from registrum.llm.common import discard, may_be_in, ship_package, table, written
 from registrum.llm.queries import domains
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
@@ -35,13 +35,17 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     with the smallest doc_id. Rows that share a doc_id are one document: of them the one whose row has
     the smallest hash stays. Rows with a null doc_id link with nothing and stay."""
     groups = jaccard_join.join_components(docs, words=5, percent=80)
-    first = groups.where("doc_id = component_id").groupBy("doc_id").agg(F.count("*").alias("rows"))
-    first = written(first, "kept-documents")
-    key = docs["doc_id"].cast("long")
-    once = docs.join(first.where("rows = 1").select(F.col("doc_id").alias("kept_id")), key == F.col("kept_id"), "left_semi")
-    repeated = docs.join(first.where("rows > 1").select(F.col("doc_id").alias("kept_id")), key == F.col("kept_id"), "left_semi")
-    chosen = repeated.select(repeated["doc_id"].alias("kept_id"), F.struct("*").alias("row")).groupBy("kept_id").agg(F.min_by("row", F.xxhash64("row")).alias("row"))
-    return once.union(chosen.select(*_columns(chosen))).union(docs.where(key.isNull()))
+    # ids whose rows do not simply stay; the rows of all others are neither joined nor shuffled
+    marks = groups.where("doc_id IS NOT NULL").groupBy("doc_id").agg(F.min("component_id").alias("least"), F.count("*").alias("rows"))
+    marks = written(marks.where("rows > 1 OR least <> doc_id"), "marked-documents")
+    asked = docs.select(docs["doc_id"].cast("long").alias("doc_id"), F.struct("*").alias("row"))
+    asked = may_be_in(asked, "doc_id", marks.select("doc_id"))
+    clear = asked.where("doc_id IS NULL OR NOT maybe").select("row")
+    open_ = asked.where("doc_id IS NOT NULL AND maybe").join(marks, "doc_id", "left")
+    once = open_.where("least IS NULL").select("row")
+    chosen = open_.where("least = doc_id").groupBy("doc_id").agg(F.min_by("row", F.xxhash64("row")).alias("row")).select("row")
+    kept = clear.union(once).union(chosen)
+    return kept.select(*_columns(kept))
 
 
 def pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -10,6 +10,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from registrum.operators import keyfilter
 from registrum.sources.parquet import delete
 
 #: ASCII white space that separates words: [\x20\x09-\x0D].
@@ -120,6 +121,13 @@ def discard(*frames: DataFrame) -> None:
             _scratch[-1].remove(df.written_path)
 
 
+def may_be_in(df: DataFrame, key: str, keys: DataFrame) -> DataFrame:
+    """df with `maybe`: False where its key is surely not among `keys` (one column of that name). The filter is
+    written and broadcast; its size is set by the number of keys and bounded (64 MB, beyond which more rows are True)."""
+    bits = keyfilter.filter_bits(keys.count())
+    return keyfilter.ask(df, key, written(keyfilter.key_filter(keys, key, bits), "key-filter"), bits)
+
+
 def ship_package(spark: SparkSession) -> None:
     """Give the executors this package, unless their PYTHONPATH has it already."""
     import os

@@ -45,7 +45,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from registrum.llm.common import as_bytes, discard, scratch, slices, text_column, written
+from registrum.llm.common import as_bytes, discard, may_be_in, scratch, slices, text_column, written
 from registrum.llm.components import components
 from registrum.llm.suffix_dedup import _by_bucket, _pack, _release, _unpack
 
@@ -548,7 +548,9 @@ def join_components(docs: DataFrame, words: int = 5, percent: int = 80, id_colum
 
     with scratch(docs.sparkSession) as keep:
         rows, points, one_document, candidates = _candidates(_summaries(source, words, percent, buckets))
-        texts = source.join(candidates.select(F.col("node").alias("doc_id"), F.col("component").cast("string").alias("region")).hint("shuffle_hash"), "doc_id")
+        # texts that are surely in no candidate stay out of the shuffle
+        near = may_be_in(source, "doc_id", candidates.select(F.col("node").alias("doc_id"))).where("maybe").drop("maybe")
+        texts = near.join(candidates.select(F.col("node").alias("doc_id"), F.col("component").cast("string").alias("region")).hint("shuffle_hash"), "doc_id")
         near = _recut(written(texts.select("region", "doc_id", "text"), "candidates"), words, percent, most)
         found = components(_in_regions(near, words, percent, most, buckets).union(one_document))
         named = rows.join(points, "key", "left").join(found, F.col("point") == F.col("node"), "left")
