@@ -6,14 +6,15 @@ Jaccard distance is a metric. Documents link at a distance of 1 - p / 100 or les
 2. Unrelated documents all lie at distances near 1 from any pivot, where Voronoi regions of documents
    separate nothing. So the first split uses another metric that the same pivots serve: the symmetric
    difference, which links bound by T = 2 (100 - p) / (100 + p) times the size. Pivots are classes of
-   shingles (by hash), a point's regions are its exact projections on T + 1 of the classes that it has
-   shingles in: those with most shingles, ties by class. Two points within T differ in at most T classes
-   (each costs 1 at least). The order of projections is the same for both, so at most T of either's come
-   before the first that they have in common: no link is lost. Projections of many shingles agree by
-   chance, or for a shared passage, much less often than those of one. Points with shingles in T
-   classes or fewer may have none in common; they also meet by single shingles, as many of the
-   smallest hashes as one more than a link may differ in. Sizes are cut into rings, and a
-   point joins its own ring and the next, as far as a partner's size can reach.
+   shingles (by hash), a point's regions are its exact projections on T + 1 + j of the classes that it has
+   shingles in (j: a quarter of T, and one): those with most shingles, ties by class. Two points within T
+   differ in at most T classes (each costs 1 at least). The order of projections is the same for both, so at
+   most T of either's come before or among the first j + 1 that they have in common: no link is lost, and a
+   linked point shares j + 1 of its regions with others (all but T, if it has fewer than T + 1 + j). Points that
+   share fewer leave before an edge is made: a passage in common or chance gives one or two. Points with
+   shingles in T classes or fewer may have none in common; they also meet by single shingles, as many
+   of the smallest hashes as one more than a link may differ in. Sizes are cut into rings, and a point joins
+   its own ring and the next, as far as a partner's size can reach; the two count apart (slots).
 3. The regions' graph falls into connected candidates, mostly families of near copies. A candidate
    of up to `most` points (or as many times 4,000 bytes) is joined in one task. Of larger ones the points
    that share too few shingles with all others for any link drop out (they have a passage in common,
@@ -105,20 +106,31 @@ def rings(percent: int, largest: int) -> np.ndarray:
     return np.array([*limits, limits[-1] * 100 // percent + 1], np.int64)
 
 
-def signatures(hashes: np.ndarray, ends: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
-    """(regions, points): the region ids of each set. Two different sets that link share one at least."""
+#: A region's id has 48 bits; two that get the same id only meet without need.
+REGION_BITS = 48
+#: Slots of a point: its own ring, the next one, single shingles.
+SLOTS = 3
+
+
+def signatures(hashes: np.ndarray, ends: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(regions, slots, needs): the region ids of each set, by slot (SLOTS * set + 0 to 2), and how many regions each
+    slot must share with other sets for a link. Of two different sets that link, a slot each shares
+    that many with the other's."""
     sizes = np.diff(ends, prepend=0)
     limits = rings(percent, int(sizes.max(initial=1)) * 100 // percent + 1)
     own = np.searchsorted(limits, sizes, side="right") - 1
     reach = np.searchsorted(limits, sizes * 100 // percent, side="right") - 1
     out: list[tuple[np.ndarray, np.ndarray]] = []
+    needs = np.ones((len(sizes), SLOTS), np.int64)
+    short = np.uint64(64 - REGION_BITS)
     owner_all = np.repeat(np.arange(len(sizes)), sizes)
     sparse = np.zeros(len(sizes), bool)
-    for ring, takes in ((own, sizes > 0), (own + 1, (sizes > 0) & (reach > own))):
+    for slot, (ring, takes) in enumerate(((own, sizes > 0), (own + 1, (sizes > 0) & (reach > own)))):
         most = limits[ring + 1] - 1  # largest size in the ring
         differ = 2 * (100 - percent) * most // (100 + percent)  # T
         takes = takes & (differ > 0)  # at T = 0 only equal sets link
         classes = differ + 1 + np.maximum(2, -(-8 * differ // 10))
+        more = 1 + differ // 4  # j
         on = takes[owner_all]
         owner, h = owner_all[on], hashes[on]
         cls = (_mix(h + ring[owner].astype(np.uint64) * _A) % classes[owner].astype(np.uint64)).astype(np.int64)
@@ -133,11 +145,17 @@ def signatures(hashes: np.ndarray, ends: np.ndarray, percent: int) -> tuple[np.n
             owner, cls, total = owner[order], cls[order], total[order]
             starts = np.flatnonzero(np.concatenate([[True], owner[1:] != owner[:-1]]))
             rank = np.arange(len(owner)) - np.repeat(starts, np.diff(np.append(starts, len(owner))))
-            region = _mix(total + _mix(cls.astype(np.uint64) * _B + ring[owner].astype(np.uint64)))
-            kept = rank <= differ[owner]
-            out.append((region[kept], owner[kept]))
+            region = _mix(total + _mix(cls.astype(np.uint64) * _B + ring[owner].astype(np.uint64))) >> short
+            kept = rank <= (differ + more)[owner]
+            out.append((region[kept], owner[kept] * SLOTS + slot))
         filled = np.bincount(owner, minlength=len(sizes)) if len(first) else np.zeros(len(sizes), np.int64)
         sparse |= takes & (filled <= differ)
+        needs[:, slot] = np.minimum(more + 1, filled - differ)
+        if len(first):  # two of its own regions with one id count once
+            region, owner = region[kept], owner[kept]
+            order = np.lexsort((region, owner))
+            region, owner = region[order], owner[order]
+            needs[:, slot] -= np.bincount(owner[1:][(region[1:] == region[:-1]) & (owner[1:] == owner[:-1])], minlength=len(sizes))
     on = sparse[owner_all]
     owner, h = owner_all[on], _mix(hashes[on] * _A + _B)
     if len(owner):
@@ -146,10 +164,11 @@ def signatures(hashes: np.ndarray, ends: np.ndarray, percent: int) -> tuple[np.n
         starts = np.flatnonzero(np.concatenate([[True], owner[1:] != owner[:-1]]))
         rank = np.arange(len(owner)) - np.repeat(starts, np.diff(np.append(starts, len(owner))))
         kept = rank <= sizes[owner] - -(-sizes[owner] * percent // 100)
-        out.append((_mix(h[kept] + _C), owner[kept]))
+        out.append((_mix(h[kept] + _C) >> short, owner[kept] * SLOTS + 2))
+    needs = np.maximum(1, needs).ravel()
     if not out:
-        return np.zeros(0, np.uint64), np.zeros(0, np.int64)
-    return np.concatenate([x for x, _ in out]), np.concatenate([x for _, x in out])
+        return np.zeros(0, np.uint64), np.zeros(0, np.int64), needs
+    return np.concatenate([x for x, _ in out]), np.concatenate([x for _, x in out]), needs
 
 
 def _roots(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -379,11 +398,13 @@ def _in_regions(points: DataFrame, words: int, percent: int, most: int, tasks: i
     return out
 
 
-PASS = "doc_id long, n_shingles long, key binary, bucket int, regions binary, points binary, keys binary"
+PASS = "doc_id long, n_shingles long, key binary, name long, need_0 long, need_1 long, bucket int, regions binary, places binary, names binary, slots binary"
 
 
 def _summaries(source: DataFrame, words: int, percent: int, buckets: int) -> DataFrame:
-    """Written rows of two kinds (PASS): a document's set key and size; packed region ids of many sets."""
+    """Written rows of two kinds (PASS): a document's set key and size, with what its slots need (once for equal
+    sets of a batch); packed region ids of many sets. A set's name is 64 bits of its key: two
+    sets of one name count as one until their texts are compared."""
 
     def summarise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = [x.split(" ")[0] for x in PASS.split(", ")]
@@ -397,15 +418,16 @@ def _summaries(source: DataFrame, words: int, percent: int, buckets: int) -> Dat
 
         def flush() -> Iterator[pa.RecordBatch]:
             if held:
-                regions, points = np.concatenate([x for x, _ in held]), np.concatenate([x for _, x in held])
-                keys = np.frombuffer(b"".join(seen), "V16")
-                order = np.lexsort((points, regions))
-                regions, points = regions[order], points[order]
-                edges = np.searchsorted(regions, np.arange(1, buckets, dtype=np.uint64) * np.uint64((1 << 64) // buckets))
+                regions, places = np.concatenate([x for x, _ in held]), np.concatenate([x for _, x in held])
+                set_names = np.frombuffer(b"".join(seen), "<i8")[::2]
+                order = np.lexsort((places, regions))
+                regions, places = regions[order], places[order]
+                edges = np.searchsorted(regions, np.arange(1, buckets, dtype=np.uint64) * np.uint64((1 << REGION_BITS) // buckets))
                 for b, (lo, hi) in enumerate(zip([0, *edges.tolist()], [*edges.tolist(), len(regions)], strict=True)):
                     if lo < hi:
-                        used, local = np.unique(points[lo:hi], return_inverse=True)
-                        yield rows({"bucket": [b], "regions": [regions[lo:hi].tobytes()], "points": [local.astype(np.uint32).tobytes()], "keys": [keys[used].tobytes()]}, 1)
+                        used, local = np.unique(places[lo:hi], return_inverse=True)
+                        packed = {"regions": _pack(np.diff(regions[lo:hi], prepend=np.uint64(0))), "places": _pack(local), "names": set_names[used // SLOTS].tobytes(), "slots": (used % SLOTS).astype(np.uint8).tobytes()}
+                        yield rows({"bucket": [b]} | {c: [x] for c, x in packed.items()}, 1)
             held.clear()
             seen.clear()
 
@@ -415,16 +437,21 @@ def _summaries(source: DataFrame, words: int, percent: int, buckets: int) -> Dat
             hashes, ends = shingle_sets(as_bytes(piece.column("text")), words)
             begins = np.concatenate([[0], ends[:-1]]).astype(int)
             keys = [hashlib.blake2b(hashes[a:b].tobytes(), digest_size=16).digest() for a, b in zip(begins.tolist(), ends.tolist(), strict=True)]
-            yield rows({"doc_id": ids, "n_shingles": (ends - begins).tolist(), "key": keys}, len(ids))
+            need: dict[int, list[int]] = {}
             fresh = [i for i, k in enumerate(keys) if ids[i] is not None and begins[i] < ends[i] and (k not in seen and seen.setdefault(k, len(seen)) >= 0)]
             if fresh:
                 parts = [hashes[begins[i] : ends[i]] for i in fresh]
-                regions, points = signatures(np.concatenate(parts), np.cumsum([len(x) for x in parts]), percent)
-                held.append((regions, np.array([seen[keys[i]] for i in fresh], np.int64)[points]))
+                regions, places, needs = signatures(np.concatenate(parts), np.cumsum([len(x) for x in parts]), percent)
+                held.append((regions, np.array([seen[keys[i]] for i in fresh], np.int64)[places // SLOTS] * SLOTS + places % SLOTS))
+                need = dict(zip(fresh, needs.reshape(-1, SLOTS)[:, :2].tolist(), strict=True))
                 count += len(regions)
-                if count > 500_000:
-                    yield from flush()
-                    count = 0
+            named = {"name": [int.from_bytes(k[:8], "little", signed=True) for k in keys]}
+            for slot in (0, 1):
+                named[f"need_{slot}"] = [need[i][slot] if i in need else None for i in range(len(ids))]
+            yield rows({"doc_id": ids, "n_shingles": (ends - begins).tolist(), "key": keys} | named, len(ids))
+            if count > 500_000:
+                yield from flush()
+                count = 0
         yield from flush()
         _WORDS.clear()  # the worker's process lives on, with other tasks
         _release()
@@ -435,36 +462,45 @@ def _summaries(source: DataFrame, words: int, percent: int, buckets: int) -> Dat
 def _candidates(first: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
     """Of _summaries' rows: the documents' rows, (key, point) of each distinct set, links between the sets of
     one doc_id, and (node, component) of the points that share a region with another."""
-    rows = written(first.where("bucket IS NULL").select("doc_id", "n_shingles", "key"), "set-keys")
+    rows = written(first.where("bucket IS NULL").select("doc_id", "n_shingles", "key", "name", "need_0", "need_1"), "set-keys")
 
     def meet(parts: pa.Table) -> pa.Table:
-        """Candidate edges between set keys that share a region of this bucket (a spanning forest)."""
+        """The regions of this bucket that several slots have, with their slots."""
         _release()
-        keys_in = [np.frombuffer(x, "V16") for x in parts.column("keys").to_pylist()]
-        shift = np.concatenate([[0], np.cumsum([len(k) for k in keys_in])])
-        keys, same = np.unique(np.concatenate(keys_in).view(">u8").reshape(-1, 2), axis=0, return_inverse=True)
-        regions = np.concatenate([np.frombuffer(x, np.uint64) for x in parts.column("regions").to_pylist()])
-        points = same.ravel()[np.concatenate([np.frombuffer(x, np.uint32).astype(np.int64) + s for x, s in zip(parts.column("points").to_pylist(), shift, strict=False)])]
-        order = np.lexsort((points, regions))
-        regions, points = regions[order], points[order]
-        new = np.concatenate([[True], regions[1:] != regions[:-1]])
-        lead = points[np.flatnonzero(new)[np.cumsum(new) - 1]]
-        pairs = np.unique(np.stack([lead, points], 1)[lead != points], axis=0)
-        root = _roots(len(keys), pairs[:, 0], pairs[:, 1])
-        moved = np.flatnonzero(root != np.arange(len(keys)))
-        raw = keys.astype(">u8")
-        return pa.table({"a": pa.array([raw[i].tobytes() for i in root[moved].tolist()], pa.binary()), "b": pa.array([raw[i].tobytes() for i in moved.tolist()], pa.binary())})
-
-    met = first.where("bucket IS NOT NULL").select("bucket", "regions", "points", "keys").groupBy("bucket").applyInArrow(meet, "a binary, b binary")
+        names_in = [np.frombuffer(x, "<i8") for x in parts.column("names").to_pylist()]
+        shift = np.concatenate([[0], np.cumsum([len(x) for x in names_in])])
+        slots_in = np.concatenate([np.frombuffer(x, np.uint8) for x in parts.column("slots").to_pylist()])
+        slots, same = np.unique(np.stack([np.concatenate(names_in), slots_in.astype(np.int64)], 1), axis=0, return_inverse=True)
+        regions = np.concatenate([np.cumsum(_unpack(x)) for x in parts.column("regions").to_pylist()])
+        places = same.ravel()[np.concatenate([_unpack(x).astype(np.int64) + s for x, s in zip(parts.column("places").to_pylist(), shift, strict=False)])]
+        order = np.lexsort((places, regions))
+        regions, places = regions[order], places[order]
+        new = np.concatenate([[True], (regions[1:] != regions[:-1]) | (places[1:] != places[:-1])])
+        regions, places = regions[new], places[new]  # a set that several batches have is one
+        begins = np.flatnonzero(np.concatenate([[True], regions[1:] != regions[:-1]]))
+        held = np.diff(np.append(begins, len(regions)))
+        on = np.repeat(held > 1, held)
+        met = slots[places[on]]
+        return pa.table({"region": pa.array(regions[on].astype(np.int64)), "name": pa.array(met[:, 0]), "slot": pa.array(met[:, 1].astype(np.int32))})
+
+    parts = first.where("bucket IS NOT NULL").select("bucket", "regions", "places", "names", "slots")
+    met = written(parts.groupBy("bucket").applyInArrow(meet, "region long, name long, slot int"), "shared-regions")
     # equal sets are one point, named by the smallest doc_id
-    points = written(rows.where("doc_id IS NOT NULL AND n_shingles > 0").groupBy("key").agg(F.min("doc_id").alias("point")), "points")
+    equal = rows.where("doc_id IS NOT NULL AND n_shingles > 0").groupBy("key")
+    points = written(equal.agg(F.min("doc_id").alias("point"), F.first("name").alias("name"), F.max("need_0").alias("need_0"), F.max("need_1").alias("need_1")), "points")
+    # points whose slots share too few regions for any link leave
+    slot = F.explode(F.array(*[F.struct(F.lit(i).alias("slot"), need.alias("need")) for i, need in enumerate((F.col("need_0"), F.col("need_1"), F.lit(1).cast("long")))]))
+    wanted = points.select("point", "name", slot.alias("of")).select("point", "name", "of.*")
+    enough = met.groupBy("name", "slot").agg(F.count("*").alias("n")).join(wanted, ["name", "slot"]).where("n >= need").select("name", "slot", "point")
+    left = written(met.join(written(enough, "slots"), ["name", "slot"]).select("region", "point"), "met")
+    least = written(left.groupBy("region").agg(F.min("point").alias("least")), "least-of-region")
+    near = left.join(least, "region").where("point <> least").select(F.col("point").alias("a"), F.col("least").alias("b"))
     # rows of one doc_id with different sets are one document
     filled = rows.where("doc_id IS NOT NULL AND n_shingles > 0")
     several = filled.groupBy("doc_id").agg(F.min("key").alias("least"), F.max("key").alias("most")).where("least <> most").select("doc_id")
     one_document = written(filled.join(several, "doc_id").join(points, "key").where("doc_id <> point").select(F.col("doc_id").alias("a"), F.col("point").alias("b")), "one-document")
-    name = lambda c: points.select(F.col("key").alias(c), F.col("point").alias(f"point_{c}"))
-    found = components(met.distinct().join(name("a"), "a").join(name("b"), "b").select(F.col("point_a").alias("a"), F.col("point_b").alias("b")).union(one_document))
-    discard(first)
+    found = components(near.union(one_document))
+    discard(first, met, left, least)
     return rows, points, one_document, found
 
 
@@ -553,7 +589,7 @@ def join_components(docs: DataFrame, words: int = 5, percent: int = 80, id_colum
         texts = near.join(candidates.select(F.col("node").alias("doc_id"), F.col("component").cast("string").alias("region")).hint("shuffle_hash"), "doc_id")
         near = _recut(written(texts.select("region", "doc_id", "text"), "candidates"), words, percent, most)
         found = components(_in_regions(near, words, percent, most, buckets).union(one_document))
-        named = rows.join(points, "key", "left").join(found, F.col("point") == F.col("node"), "left")
+        named = rows.select("doc_id", "n_shingles", "key").join(points.select("key", "point"), "key", "left").join(found, F.col("point") == F.col("node"), "left")
         alone = F.col("n_shingles") == 0
         component = F.when(F.col("doc_id").isNull(), F.lit(None)).when(alone, F.col("doc_id")).otherwise(F.coalesce("component", "point"))
         return keep(written(named.select("doc_id", "n_shingles", component.alias("component_id")), "components"))

@@ -80,7 +80,8 @@ def test_odd_documents(odd_documents, no_documents):
 
 
 def test_every_link_shares_a_region_and_is_found():
-    """The pigeonhole holds for all links, and a task's spanning links connect what all links do."""
+    """The pigeonhole holds for all links: a slot of either shares as many regions with the other's as it needs.
+    And a task's spanning links connect what all links do."""
     for seed in range(40):
         rows = [t for t in texts(seed, 40) if t and t.split()] + [t for _, t in near_copies(seed, 40) if t]
         hashes, ends = jj.shingle_sets([t.encode() for t in rows], 3)
@@ -88,12 +89,14 @@ def test_every_link_shares_a_region_and_is_found():
         assert [len(s) for s in sets] == [b - a for a, b in zip([0, *ends.tolist()], ends.tolist(), strict=False)]
         for percent in (60, 80, 90):
             where: dict = {}
-            for region, point in zip(*(x.tolist() for x in jj.signatures(hashes, ends, percent)), strict=True):
-                where.setdefault(point, set()).add(region)
+            regions, slots, needs = (x.tolist() for x in jj.signatures(hashes, ends, percent))
+            for region, slot in zip(regions, slots, strict=True):
+                where.setdefault(slot // jj.SLOTS, {}).setdefault(slot, set()).add(region)
             for i, a in enumerate(sets):
                 for j in range(i):
                     if a != sets[j] and 100 * len(a & sets[j]) >= percent * len(a | sets[j]):
-                        assert where[i] & where[j]
+                        shared = [(needs[x], needs[y], len(where[i][x] & where[j][y])) for x in where[i] for y in where[j]]
+                        assert any(n >= max(1, own, other) for own, other, n in shared)
             a, b = jj.links_within(hashes, ends, percent)
             assert jj._roots(len(rows), a, b).tolist() == [c for _, _, c in sorted(brute(list(enumerate(rows)), 3, percent))]
 
