@@ -38,7 +38,7 @@ the result; other columns are ignored; an empty table gives an empty result.
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -69,6 +69,25 @@ class _Words(dict):
 _WORDS = _Words()
 
 
+def _tidy(function: Callable) -> Callable:
+    """The function on one table or two, after which the worker, which lives on beside others, gives its memory back."""
+
+    def done(*tables: pa.Table) -> pa.Table:
+        try:
+            return function(*tables)
+        finally:
+            _WORDS.clear()
+            _release()
+
+    def of_one(rows: pa.Table) -> pa.Table:
+        return done(rows)
+
+    def of_two(rows: pa.Table, others: pa.Table) -> pa.Table:
+        return done(rows, others)
+
+    return of_one if function.__code__.co_argcount == 1 else of_two
+
+
 def shingle_sets(texts: list[bytes], words: int) -> tuple[np.ndarray, np.ndarray]:
     """(hashes, ends): the sorted distinct shingle hashes of each text, one after the other."""
     if len(_WORDS) > 200_000:
@@ -326,7 +345,7 @@ def _split_regions(points: DataFrame, sizes: DataFrame, words: int, percent: int
         taken = rows.select(["doc_id", "text"]).take(pa.array(row))
         return pa.table([region, taken.column("doc_id").combine_chunks(), taken.column("text").combine_chunks()], schema=schema)
 
-    return left.groupBy("region", "salt").cogroup(right.groupBy("of", "part")).applyInArrow(place, POINT)
+    return left.groupBy("region", "salt").cogroup(right.groupBy("of", "part")).applyInArrow(_tidy(place), POINT)
 
 
 def _joined(points: DataFrame, words: int, percent: int, tasks: int) -> DataFrame:
@@ -356,7 +375,7 @@ def _joined(points: DataFrame, words: int, percent: int, tasks: int) -> DataFram
         return pa.table({"a": pa.array(a_all, pa.int64()), "b": pa.array(b_all, pa.int64())})
 
     dealt = points.withColumn("task", F.pmod(F.xxhash64("region"), F.lit(tasks)))
-    return dealt.groupBy("task").applyInArrow(join, "a long, b long")
+    return dealt.groupBy("task").applyInArrow(_tidy(join), "a long, b long")
 
 
 def _weights(points: DataFrame) -> DataFrame:
@@ -484,7 +503,7 @@ def _candidates(first: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame, Data
         return pa.table({"region": pa.array(regions[on].astype(np.int64)), "name": pa.array(met[:, 0]), "slot": pa.array(met[:, 1].astype(np.int32))})
 
     parts = first.where("bucket IS NOT NULL").select("bucket", "regions", "places", "names", "slots")
-    met = written(parts.groupBy("bucket").applyInArrow(meet, "region long, name long, slot int"), "shared-regions")
+    met = written(parts.groupBy("bucket").applyInArrow(_tidy(meet), "region long, name long, slot int"), "shared-regions")
     # equal sets are one point, named by the smallest doc_id
     equal = rows.where("doc_id IS NOT NULL AND n_shingles > 0").groupBy("key")
     points = written(equal.agg(F.min("doc_id").alias("point"), F.first("name").alias("name"), F.max("need_0").alias("need_0"), F.max("need_1").alias("need_1")), "points")
@@ -548,9 +567,9 @@ def _shared_enough(points: DataFrame, words: int, percent: int, blocks: int) ->
         enough = 100 * (shared[ends] - shared[ends - sizes]) >= percent * sizes
         return rows.select(["doc_id", "text"]).filter(pa.array(enough))
 
-    asked = dealt.groupBy("block").applyInArrow(ask, "bucket int, block int, hashes binary, many binary")
-    answered = asked.groupBy("bucket").applyInArrow(answer, "block int, bucket int, bits binary")
-    return dealt.groupBy("block").cogroup(answered.groupBy("block")).applyInArrow(keep, "doc_id long, text binary")
+    asked = dealt.groupBy("block").applyInArrow(_tidy(ask), "bucket int, block int, hashes binary, many binary")
+    answered = asked.groupBy("bucket").applyInArrow(_tidy(answer), "block int, bucket int, bits binary")
+    return dealt.groupBy("block").cogroup(answered.groupBy("block")).applyInArrow(_tidy(keep), "doc_id long, text binary")
 
 
 def _recut(points: DataFrame, words: int, percent: int, most: int, rounds: int = 3) -> DataFrame:
