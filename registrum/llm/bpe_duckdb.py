@@ -30,12 +30,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from registrum.llm.common import slices, text_column
+from registrum.llm.common import map_rows, release, slices, text_column
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 LONG = 256
 KEPT = 300_000  # entries of a worker's dictionary; it is emptied beyond, and after each task
 ROUND = 30_000  # matches in one recursive query
+SLICE = 1 << 20  # bytes of text whose matches are in memory at once
 
 #: White space, and for texts without characters above U+024F the letters and numbers of the pattern.
 _SPACE = "\t-\r \x85\xa0  -     　"
@@ -192,16 +193,14 @@ def encode(docs: DataFrame, text: str = "text", vocabulary: str = VOCABULARY) ->
     """Row by row: all input columns as struct `row`, with `ids` (binary, little-endian 32-bit)."""
     from pyspark.sql.types import BinaryType, StructField, StructType
 
-    source = docs.select(F.struct("*").alias("row"), text_column(docs, text).alias("text"))
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = codec(vocabulary)
-        for piece in slices(batches, "text", 4 << 20):
+        for piece in slices(batches, "text", SLICE):
             ids = own.encode(piece.column("text").to_pylist())
             yield pa.RecordBatch.from_arrays([piece.column("row"), pa.array(ids, pa.binary())], ["row", "ids"])
         own.known.clear()  # the worker's process lives on, with other tasks
 
-    return source.mapInArrow(run, StructType([source.schema["row"], StructField("ids", BinaryType())]))
+    return map_rows(docs, text, StructType([StructField("ids", BinaryType())]), run)
 
 
 def decode(rows: DataFrame, ids: str = "ids", vocabulary: str = VOCABULARY) -> DataFrame:
@@ -226,10 +225,11 @@ def digests(docs: DataFrame, id_column: str = "doc_id", text: str = "text", voca
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = codec(vocabulary)
         digest = lambda data: pa.array([hashlib.sha256(x).hexdigest() for x in data], pa.string())
-        for piece in slices(batches, "text", 4 << 20):
+        for piece in slices(batches, "text", SLICE):
             ids = own.encode(piece.column("text").to_pylist())
             sizes = pa.array([len(x) // 4 for x in ids], pa.int64())
             yield pa.RecordBatch.from_arrays([piece.column("doc_id"), sizes, digest(ids), digest(own.decode(ids))], ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
         own.known.clear()
+        release()
 
     return source.mapInArrow(run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")

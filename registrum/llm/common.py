@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Callable, Iterator
-from contextlib import contextmanager
+from contextlib import contextmanager, suppress
 
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructType
 
 from registrum.operators import keyfilter
 from registrum.sources.parquet import delete
@@ -63,6 +65,33 @@ def map_slices(df: DataFrame, column: str, schema: str, function: Callable[[pa.R
     return df.mapInArrow(run, schema)
 
 
+def release() -> None:
+    """Give freed memory back to the system: a worker's process lives on, beside others."""
+    pa.default_memory_pool().release_unused()
+    with suppress(OSError, AttributeError):  # not on every platform
+        ctypes.CDLL(None).malloc_trim(0)
+
+
+Batches = Iterator[pa.RecordBatch]
+
+
+def map_rows(docs: DataFrame, text: str, added: StructType, function: Callable[[Batches], Batches]) -> DataFrame:
+    """mapInArrow over all columns of docs in a struct `row` and their `text`; the function gives `row` and
+    the added columns. A string column is sent once, in the row, and read from there."""
+    read = text_column(docs, text).alias("text")
+    places = [i for i, name in enumerate(docs.columns) if name.lower() == text.lower()]
+    place = places[0] if len(places) == 1 and isinstance(docs.schema[places[0]].dataType, StringType) else None
+    source = docs.select(F.struct("*").alias("row"), *([read] if place is None else []))
+
+    def run(batches: Batches) -> Batches:
+        if place is not None:
+            batches = (pa.RecordBatch.from_arrays([b.column("row"), b.column("row").field(place)], ["row", "text"]) for b in batches)
+        yield from function(batches)
+        release()  # what the function held is free by now
+
+    return source.mapInArrow(run, StructType([source.schema["row"], *added]))
+
+
 def shared_folder(spark: SparkSession) -> str:
     """spark.checkpoint.dir: the folder that driver and executors share. Unset, a local session
     (tests) gets one; any other session must name it."""

@@ -47,8 +47,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from registrum.llm.common import as_bytes, discard, may_be_in, scratch, slices, text_column, written
+from registrum.llm.common import release as _release
 from registrum.llm.components import components
-from registrum.llm.suffix_dedup import _by_bucket, _pack, _release, _unpack
+from registrum.llm.suffix_dedup import _by_bucket, _pack, _unpack
 
 _A, _B, _C = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9))
 

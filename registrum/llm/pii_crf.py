@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from registrum.llm.common import slices, text_column
+from registrum.llm.common import map_rows, slices, text_column
 
 BASE_KINDS = ("email", "ip", "card", "phone")
 KINDS = (*BASE_KINDS, "secret")
@@ -375,16 +375,15 @@ def redacted(docs: DataFrame, model: Crf | None = None, text: str = "text", size
     from pyspark.sql.types import StringType, StructField, StructType
 
     model = train() if model is None else model
-    source = docs.select(F.struct("*").alias("row"), text_column(docs, text).alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for piece in slices(batches, "text"):
-            texts = piece.column("text").to_pylist()
+            texts = [x or "" for x in piece.column("text").to_pylist()]
             found = [merged(base_spans(x), more) for x, more in zip(texts, crf_spans(texts, model), strict=True)]
             new = [redact(x, spans) if spans else None for x, spans in zip(texts, found, strict=True)]
             yield pa.RecordBatch.from_arrays([piece.column("row"), pa.array(new, pa.string())], ["row", "redacted"])
 
-    rows = source.mapInArrow(run, StructType([source.schema["row"], StructField("redacted", StringType())]))
+    rows = map_rows(docs, text, StructType([StructField("redacted", StringType())]), run)
     field = lambda name: F.col("row").getField(name)
     changed = {text: F.coalesce("redacted", field(text)), size: F.when(F.col("redacted").isNull(), field(size) if size in docs.columns else None).otherwise(F.char_length("redacted"))}
     return rows.select(*(changed.get(name, field(name)).cast(docs.schema[name].dataType).alias(name) for name in docs.columns))

@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
-from registrum.llm.common import as_bytes, code_points, slices, text_column
+from registrum.llm.common import as_bytes, code_points, map_rows, release, slices, text_column
 from registrum.llm.quality_rules import LETTERS, UPPER
 
 FEATURES = ("log_words", "word_length", "symbols", "bangs", "bars", "digits", "upper", "letters", "other_signs", "repeated_pairs", "same_next", "distinct_words", "top_word", "distinct_lines", "stops", "wide_bytes")
@@ -187,6 +187,7 @@ def learn(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id", text: s
         for piece in slices(batches, "text"):
             x = [list(features(data)) for data in as_bytes(piece.column("text"))]
             yield pa.RecordBatch.from_arrays([piece.column("doc_id"), piece.column("label"), pa.array(x, pa.list_(pa.float64()))], ["doc_id", "label", "x"])
+        release()
 
     sample = texts.join(F.broadcast(chosen), "doc_id").select("doc_id", "label", "text").mapInArrow(run, "doc_id long, label int, x array<double>")
     found = sorted((r.doc_id, r.label, tuple(r.x)) for r in sample.collect())
@@ -195,12 +196,10 @@ def learn(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id", text: s
 
 def score(docs: DataFrame, model: Gam, text: str = "text") -> DataFrame:
     """All columns of docs, row by row, in a struct `row`, with `score` (0 to 1)."""
-    source = docs.select(F.struct("*").alias("row"), text_column(docs, text).alias("text"))
-    schema = StructType([source.schema["row"], StructField("score", DoubleType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for piece in slices(batches, "text"):
             x = np.array([features(data) for data in as_bytes(piece.column("text"))]).reshape(-1, len(FEATURES))
             yield pa.RecordBatch.from_arrays([piece.column("row"), pa.array(model.score(x))], ["row", "score"])
 
-    return source.mapInArrow(run, schema)
+    return map_rows(docs, text, StructType([StructField("score", DoubleType())]), run)

@@ -35,8 +35,6 @@ block_bytes with the executors' memory.
 
 from __future__ import annotations
 
-import contextlib
-import ctypes
 from collections.abc import Iterator
 
 import numpy as np
@@ -44,6 +42,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from registrum.llm.common import release as _release
 from registrum.llm.common import text_column
 from registrum.llm.loser_tree import merge_front_coded, shared
 
@@ -92,13 +91,6 @@ def _expand(data: bytes) -> bytes:
     return pa.decompress(data[8:], decompressed_size=int.from_bytes(data[:8], "little"), codec="zstd", asbytes=True) if data else b""
 
 
-def _release() -> None:
-    """Give freed memory back to the system: a worker's process lives on, beside others."""
-    pa.default_memory_pool().release_unused()
-    with contextlib.suppress(OSError, AttributeError):  # not on every platform
-        ctypes.CDLL(None).malloc_trim(0)
-
-
 class _Block:
     """The texts of a block behind one another, and their anchors."""
 

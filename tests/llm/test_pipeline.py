@@ -10,7 +10,7 @@ import pytest
 import tiktoken
 
 import corpus_pipeline as cp
-from registrum.llm import jaccard_join, pii_crf, quality_gam
+from registrum.llm import bpe_duckdb, jaccard_join, pii_crf, quality_gam
 from registrum.llm.bpe_duckdb import VOCABULARY
 from registrum.llm.common import table, written
 from tests.conftest import SF001
@@ -91,3 +91,22 @@ def test_join_leaves_its_result_only(spark, odd_documents):
     before = set(list_names(spark, shared_folder(spark)))
     jaccard_join.join_components(df, 5, 80)
     assert [n.split("-")[0] for n in set(list_names(spark, shared_folder(spark))) - before] == ["components"]
+
+
+def test_a_stage_sends_each_text_to_its_workers_once(spark, odd_documents):
+    import re
+
+    df, _ = odd_documents
+    for made in (quality_gam.score(df, quality_gam.Gam()), pii_crf.redacted(df), bpe_duckdb.encode(df)):
+        plan = made._jdf.queryExecution().optimizedPlan().toString()
+        assert re.search(r"MapInArrow \w+\(([^)]*)\)", plan)[1].startswith("row#") and "text#" not in re.search(r"MapInArrow \w+\(([^)]*)\)", plan)[1], plan
+
+
+def test_text_columns_of_any_kind_and_name(spark):
+    rows = spark.createDataFrame([(1, "a b", 12, bytearray(b"c d")), (2, None, None, None)], "doc_id long, Words string, n int, raw binary")
+    for column, texts in (("words", ["a b", None]), ("n", ["12", None]), ("raw", ["c d", None])):
+        wanted = bpe_duckdb.codec().encode([x or "" for x in texts])
+        got = sorted((r.row.doc_id, bytes(r.ids), tuple(r.row)) for r in bpe_duckdb.encode(rows, column).collect())
+        assert [x[1] for x in got] == wanted and [x[2] for x in got] == sorted(map(tuple, rows.collect()), key=lambda r: r[0])
+        wanted = quality_gam.Gam().score(np.zeros((2, len(quality_gam.FEATURES)))).tolist()
+        assert [r.score for r in quality_gam.score(rows, quality_gam.Gam(), column).collect()] == wanted
