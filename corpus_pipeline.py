@@ -36,12 +36,17 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     the smallest hash stays. Rows with a null doc_id link with nothing and stay."""
     groups = jaccard_join.join_components(docs, words=5, percent=80)
     # ids whose rows do not simply stay; the rows of all others are neither joined nor shuffled
-    marks = groups.where("doc_id IS NOT NULL").groupBy("doc_id").agg(F.min("component_id").alias("least"), F.count("*").alias("rows"))
+    ids = groups.where("doc_id IS NOT NULL")
+    marks = ids.groupBy("doc_id").agg(F.min("component_id").alias("least"), F.count("*").alias("rows"))
     marks = written(marks.where("rows > 1 OR least <> doc_id"), "marked-documents")
     asked = docs.select(docs["doc_id"].cast("long").alias("doc_id"), F.struct("*").alias("row"))
     asked = may_be_in(asked, "doc_id", marks.select("doc_id"))
     clear = asked.where("doc_id IS NULL OR NOT maybe").select("row")
-    open_ = asked.where("doc_id IS NOT NULL AND maybe").join(marks, "doc_id", "left")
+    # of the others, rows that surely go need no shuffle either: the ids that stay are found without the rows
+    stay = may_be_in(ids.select("doc_id"), "doc_id", marks.select("doc_id")).where("maybe").select("doc_id")
+    stay = written(stay.join(marks.where("least <> doc_id").select("doc_id"), "doc_id", "left_anti"), "staying-documents")
+    asked = may_be_in(asked.where("doc_id IS NOT NULL AND maybe").drop("maybe"), "doc_id", stay)
+    open_ = asked.where("maybe").drop("maybe").join(marks, "doc_id", "left")
     once = open_.where("least IS NULL").select("row")
     chosen = open_.where("least = doc_id").groupBy("doc_id").agg(F.min_by("row", F.xxhash64("row")).alias("row")).select("row")
     kept = clear.union(once).union(chosen)

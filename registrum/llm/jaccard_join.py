@@ -7,10 +7,11 @@ Jaccard distance is a metric. Documents link at a distance of 1 - p / 100 or les
    separate nothing. So the first split uses another metric that the same pivots serve: the symmetric
    difference, which links bound by T = 2 (100 - p) / (100 + p) times the size. Pivots are classes of
    shingles (by hash), a point's regions are its exact projections on T + 1 + j of the classes that it has
-   shingles in (j: a quarter of T, and one): those with most shingles, ties by class. Two points within T
-   differ in at most T classes (each costs 1 at least). The order of projections is the same for both, so at
-   most T of either's come before or among the first j + 1 that they have in common: no link is lost, and a
-   linked point shares j + 1 of its regions with others (all but T, if it has fewer than T + 1 + j). Points that
+   shingles in (T: of the point and its largest partner; j: a quarter of the ring's largest T, and one): those with
+   most shingles, ties by class. Two points within T differ in at most T classes (each costs 1 at least). The
+   order of projections is the same for both, so at most T of either's come before or among the first j + 1 that
+   they have in common: no link is lost, and a linked point shares j + 1 of its regions with others (all but T, if
+   it has fewer than T + 1 + j). Points that
    share fewer leave before an edge is made: a passage in common or chance gives one or two. Points with
    shingles in T classes or fewer may have none in common; they also meet by single shingles, as many
    of the smallest hashes as one more than a link may differ in. Sizes are cut into rings, and a point joins
@@ -43,7 +44,7 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from registrum.llm.common import as_bytes, discard, may_be_in, scratch, slices, text_column, written
@@ -119,38 +120,53 @@ def shingle_sets(texts: list[bytes], words: int) -> tuple[np.ndarray, np.ndarray
 
 
 def rings(percent: int, largest: int) -> np.ndarray:
-    """Lower limits of the size rings up to `largest` and one more; a link spans two rings at most."""
+    """Lower limits of the size rings up to `largest` and one more; a link spans two rings at most. A ring is as
+    wide as two links reach, so that only some of its points have a partner in the next one."""
     limits = [1]
     while limits[-1] <= largest:
-        limits.append(limits[-1] * 100 // percent + 1)
-    return np.array([*limits, limits[-1] * 100 // percent + 1], np.int64)
+        limits.append(_reach(_reach(limits[-1], percent), percent) + 1)
+    return np.array([*limits, _reach(_reach(limits[-1], percent), percent) + 1], np.int64)
+
+
+def _reach(size: int | np.ndarray, percent: int) -> int | np.ndarray:
+    """Size of a point's largest partner."""
+    return size * 100 // percent
+
+
+#: Least and most bits of a region's id; two that get the same id only meet without need.
+MIN_REGION_BITS, REGION_BITS = 40, 56
+
+
+def region_bits(text_bytes: int) -> int:
+    """Bits for the regions of so much text (a tenth of a region a byte): one in some thousands meets without need."""
+    return min(REGION_BITS, max(MIN_REGION_BITS, text_bytes.bit_length() + 10))
 
 
-#: A region's id has 48 bits; two that get the same id only meet without need.
-REGION_BITS = 48
 #: Slots of a point: its own ring, the next one, single shingles.
 SLOTS = 3
 
 
-def signatures(hashes: np.ndarray, ends: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(regions, slots, needs): the region ids of each set, by slot (SLOTS * set + 0 to 2), and how many regions each
+def signatures(hashes: np.ndarray, ends: np.ndarray, percent: int, bits: int = REGION_BITS) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(regions, slots, needs): the region ids (of `bits` bits) of each set, by slot (SLOTS * set + 0 to 2), and how many regions each
     slot must share with other sets for a link. Of two different sets that link, a slot each shares
     that many with the other's."""
     sizes = np.diff(ends, prepend=0)
-    limits = rings(percent, int(sizes.max(initial=1)) * 100 // percent + 1)
+    partner = _reach(sizes, percent)
+    limits = rings(percent, int(partner.max(initial=1)) + 1)
     own = np.searchsorted(limits, sizes, side="right") - 1
-    reach = np.searchsorted(limits, sizes * 100 // percent, side="right") - 1
+    reach = np.searchsorted(limits, partner, side="right") - 1
     out: list[tuple[np.ndarray, np.ndarray]] = []
     needs = np.ones((len(sizes), SLOTS), np.int64)
-    short = np.uint64(64 - REGION_BITS)
+    short = np.uint64(64 - bits)
     owner_all = np.repeat(np.arange(len(sizes)), sizes)
     sparse = np.zeros(len(sizes), bool)
     for slot, (ring, takes) in enumerate(((own, sizes > 0), (own + 1, (sizes > 0) & (reach > own)))):
         most = limits[ring + 1] - 1  # largest size in the ring
-        differ = 2 * (100 - percent) * most // (100 + percent)  # T
+        largest = 2 * (100 - percent) * most // (100 + percent)
+        classes = largest + 1 + np.maximum(2, -(-8 * largest // 10))
+        more = 1 + largest // 4  # j
+        differ = (100 - percent) * (sizes + np.minimum(most, partner)) // (100 + percent)  # T
         takes = takes & (differ > 0)  # at T = 0 only equal sets link
-        classes = differ + 1 + np.maximum(2, -(-8 * differ // 10))
-        more = 1 + differ // 4  # j
         on = takes[owner_all]
         owner, h = owner_all[on], hashes[on]
         cls = (_mix(h + ring[owner].astype(np.uint64) * _A) % classes[owner].astype(np.uint64)).astype(np.int64)
@@ -421,7 +437,7 @@ def _in_regions(points: DataFrame, words: int, percent: int, most: int, tasks: i
 PASS = "doc_id long, n_shingles long, key binary, name long, need_0 long, need_1 long, bucket int, regions binary, places binary, names binary, slots binary"
 
 
-def _summaries(source: DataFrame, words: int, percent: int, buckets: int) -> DataFrame:
+def _summaries(source: DataFrame, words: int, percent: int, buckets: int, bits: int) -> DataFrame:
     """Written rows of two kinds (PASS): a document's set key and size, with what its slots need (once for equal
     sets of a batch); packed region ids of many sets. A set's name is 64 bits of its key: two
     sets of one name count as one until their texts are compared."""
@@ -442,11 +458,12 @@ def _summaries(source: DataFrame, words: int, percent: int, buckets: int) -> Dat
                 set_names = np.frombuffer(b"".join(seen), "<i8")[::2]
                 order = np.lexsort((places, regions))
                 regions, places = regions[order], places[order]
-                edges = np.searchsorted(regions, np.arange(1, buckets, dtype=np.uint64) * np.uint64((1 << REGION_BITS) // buckets))
+                edges = np.searchsorted(regions, np.arange(1, buckets, dtype=np.uint64) * np.uint64((1 << bits) // buckets))
                 for b, (lo, hi) in enumerate(zip([0, *edges.tolist()], [*edges.tolist(), len(regions)], strict=True)):
                     if lo < hi:
                         used, local = np.unique(places[lo:hi], return_inverse=True)
-                        packed = {"regions": _pack(np.diff(regions[lo:hi], prepend=np.uint64(0))), "places": _pack(local), "names": set_names[used // SLOTS].tobytes(), "slots": (used % SLOTS).astype(np.uint8).tobytes()}
+                        fresh_name = np.diff(used // SLOTS, prepend=-1) > 0  # a name is sent once for all its slots
+                        packed = {"regions": _pack(np.diff(regions[lo:hi], prepend=np.uint64(0))), "places": _pack(local), "names": set_names[used[fresh_name] // SLOTS].tobytes(), "slots": _pack(used % SLOTS + SLOTS * fresh_name)}
                         yield rows({"bucket": [b]} | {c: [x] for c, x in packed.items()}, 1)
             held.clear()
             seen.clear()
@@ -461,7 +478,7 @@ def _summaries(source: DataFrame, words: int, percent: int, buckets: int) -> Dat
             fresh = [i for i, k in enumerate(keys) if ids[i] is not None and begins[i] < ends[i] and (k not in seen and seen.setdefault(k, len(seen)) >= 0)]
             if fresh:
                 parts = [hashes[begins[i] : ends[i]] for i in fresh]
-                regions, places, needs = signatures(np.concatenate(parts), np.cumsum([len(x) for x in parts]), percent)
+                regions, places, needs = signatures(np.concatenate(parts), np.cumsum([len(x) for x in parts]), percent, bits)
                 held.append((regions, np.array([seen[keys[i]] for i in fresh], np.int64)[places // SLOTS] * SLOTS + places % SLOTS))
                 need = dict(zip(fresh, needs.reshape(-1, SLOTS)[:, :2].tolist(), strict=True))
                 count += len(regions)
@@ -487,10 +504,11 @@ def _candidates(first: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame, Data
     def meet(parts: pa.Table) -> pa.Table:
         """The regions of this bucket that several slots have, with their slots."""
         _release()
-        names_in = [np.frombuffer(x, "<i8") for x in parts.column("names").to_pylist()]
-        shift = np.concatenate([[0], np.cumsum([len(x) for x in names_in])])
-        slots_in = np.concatenate([np.frombuffer(x, np.uint8) for x in parts.column("slots").to_pylist()])
-        slots, same = np.unique(np.stack([np.concatenate(names_in), slots_in.astype(np.int64)], 1), axis=0, return_inverse=True)
+        slots_in = [_unpack(x).astype(np.int64) for x in parts.column("slots").to_pylist()]
+        shift = np.concatenate([[0], np.cumsum([len(x) for x in slots_in])])
+        slots_in = np.concatenate(slots_in)
+        names_in = np.frombuffer(b"".join(parts.column("names").to_pylist()), "<i8")[np.cumsum(slots_in >= SLOTS) - 1]
+        slots, same = np.unique(np.stack([names_in, slots_in % SLOTS], 1), axis=0, return_inverse=True)
         regions = np.concatenate([np.cumsum(_unpack(x)) for x in parts.column("regions").to_pylist()])
         places = same.ravel()[np.concatenate([_unpack(x).astype(np.int64) + s for x, s in zip(parts.column("places").to_pylist(), shift, strict=False)])]
         order = np.lexsort((places, regions))
@@ -511,8 +529,8 @@ def _candidates(first: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame, Data
     # points whose slots share too few regions for any link leave
     slot = F.explode(F.array(*[F.struct(F.lit(i).alias("slot"), need.alias("need")) for i, need in enumerate((F.col("need_0"), F.col("need_1"), F.lit(1).cast("long")))]))
     wanted = points.select("point", "name", slot.alias("of")).select("point", "name", "of.*")
-    enough = met.groupBy("name", "slot").agg(F.count("*").alias("n")).join(wanted, ["name", "slot"]).where("n >= need").select("name", "slot", "point")
-    left = written(met.join(written(enough, "slots"), ["name", "slot"]).select("region", "point"), "met")
+    counted = met.withColumn("n", F.count("*").over(Window.partitionBy("name", "slot")))  # one shuffle, for the join too
+    left = written(counted.join(wanted, ["name", "slot"]).where("n >= need").select("region", "point"), "met")
     least = written(left.groupBy("region").agg(F.min("point").alias("least")), "least-of-region")
     near = left.join(least, "region").where("point <> least").select(F.col("point").alias("a"), F.col("least").alias("b"))
     # rows of one doc_id with different sets are one document
@@ -587,7 +605,7 @@ def _recut(points: DataFrame, words: int, percent: int, most: int, rounds: int =
         done.append(points.join(large.select("region"), "region", "left_anti"))
         blocks = max(4, -(-total * 4_000 // (3 << 20)))
         left = written(_shared_enough(points.join(large.select("region"), "region", "left_semi"), words, percent, blocks), "shared-enough")
-        _, _, _, found = _candidates(_summaries(left, words, percent, blocks))
+        _, _, _, found = _candidates(_summaries(left, words, percent, blocks, region_bits(total * 4_000)))
         points = written(left.join(found.select(F.col("node").alias("doc_id"), F.concat(F.lit(f"{cut}."), F.col("component").cast("string")).alias("region")), "doc_id").select("region", "doc_id", "text"), "candidates")
     for more in done:
         points = points.union(more)
@@ -603,7 +621,7 @@ def join_components(docs: DataFrame, words: int = 5, percent: int = 80, id_colum
     buckets = max(4, -(-total // bucket_bytes))
 
     with scratch(docs.sparkSession) as keep:
-        rows, points, one_document, candidates = _candidates(_summaries(source, words, percent, buckets))
+        rows, points, one_document, candidates = _candidates(_summaries(source, words, percent, buckets, region_bits(total)))
         # texts that are surely in no candidate stay out of the shuffle
         near = may_be_in(source, "doc_id", candidates.select(F.col("node").alias("doc_id"))).where("maybe").drop("maybe")
         texts = near.join(candidates.select(F.col("node").alias("doc_id"), F.col("component").cast("string").alias("region")).hint("shuffle_hash"), "doc_id")

@@ -101,6 +101,31 @@ def test_every_link_shares_a_region_and_is_found():
             assert jj._roots(len(rows), a, b).tolist() == [c for _, _, c in sorted(brute(list(enumerate(rows)), 3, percent))]
 
 
+def test_a_set_sends_no_more_regions_than_its_links_need():
+    """T is of the set and its largest partner, and a ring's points join the next only if a partner may be there."""
+    rng = random.Random(3)
+    sizes = [rng.randint(60, 600) for _ in range(300)]
+    rows = [" ".join(f"w{rng.randrange(100_000)}" for _ in range(n + 4)).encode() for n in sizes]
+    hashes, ends = jj.shingle_sets(rows, 5)
+    regions, _, _ = jj.signatures(hashes, ends, 80)
+    assert len(regions) < 0.55 * len(hashes)  # 0.7 with narrow rings and the ring's largest T
+    few, _, _ = jj.signatures(hashes, ends, 80, 40)
+    assert len(few) == len(regions) and int(few.max()) < 1 << 40
+    assert [jj.region_bits(1 << n) for n in (3, 29, 35, 60)] == [40, 40, 46, 56]
+
+
+def test_a_name_is_sent_once_for_all_slots_of_a_bucket(spark):
+    rows = [(i, " ".join(f"w{i}x{j}" for j in range(150))) for i in range(40)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").selectExpr("doc_id", "cast(text AS binary) AS text").coalesce(1)
+    packed = jj._summaries(df, 5, 80, 4, 40).where("bucket IS NOT NULL").collect()
+    assert {r.bucket for r in packed} == set(range(4))  # ids of as many bits as the buckets' limits
+    regions = [len(jj._unpack(bytes(r.regions))) for r in packed]
+    assert max(regions) < 2 * min(regions)
+    names = [len(r.names) // 8 for r in packed]
+    assert names == [len(set(zip(*[iter(bytes(r.names))] * 8, strict=True))) for r in packed]
+    assert sum(names) <= 4 * len(rows)
+
+
 def test_connected_components(spark):
     rng = random.Random(2)
     edges = [(i, i + 1) for i in range(40)] + [(100, 100 + i) for i in range(1, 30)] + [(rng.randrange(200, 300), rng.randrange(200, 300)) for _ in range(60)] + [(5, 5)]

@@ -12,7 +12,7 @@ import tiktoken
 import corpus_pipeline as cp
 from registrum.llm import bpe_duckdb, jaccard_join, pii_crf, quality_gam
 from registrum.llm.bpe_duckdb import VOCABULARY
-from registrum.llm.common import table, written
+from registrum.llm.common import may_be_in, table, written
 from tests.conftest import SF001
 
 
@@ -73,6 +73,23 @@ def test_one_row_of_each_group_stays(spark, odd_documents):
     assert kept.count(None) == sum(r.doc_id is None for r in groups)
 
 
+def test_rows_that_surely_go_are_not_shuffled(spark, monkeypatch):
+    """Copies leave by the key filters; only rows of repeated ids (and a filter's few errors) reach the join."""
+    rows = [(i, " ".join(f"w{i // 20}x{j}" for j in range(30))) for i in range(400)]
+    rows += [(7, "twice"), (7, "twice"), (20, "again"), (None, "none"), (None, None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    asked = []
+
+    def watched(*args):
+        asked.append(written(may_be_in(*args), "asked"))
+        return asked[-1]
+
+    monkeypatch.setattr(cp, "may_be_in", watched)
+    got = cp.near_duplicates(spark, df, SF001).collect()
+    assert sorted(r.doc_id for r in got if r.doc_id is not None) == list(range(0, 400, 20)) and sum(r.doc_id is None for r in got) == 2
+    assert asked[-1].where("maybe").count() <= 10
+
+
 def test_columns_named_as_the_stage_s_own_give_way(spark, odd_documents):
     from pyspark.sql import functions as F
 
