@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import random
 
+import numpy as np
 import pytest
 
 from registrum.llm import jaccard_join as jj
@@ -55,6 +56,10 @@ def test_components(spark, n, percent, most):
     assert got == brute(rows, n, percent)
 
 
+def links_of(rows):
+    return np.array([r.a for r in rows], np.int64), np.array([r.b for r in rows], np.int64)
+
+
 def test_large_candidates_are_cut_anew(spark):
     """Documents that share a passage are one candidate; those that cannot link drop out of it."""
     rng = random.Random(5)
@@ -72,6 +77,55 @@ def test_large_candidates_are_cut_anew(spark):
     assert got == brute(rows, 5, 80)
 
 
+def families(rng, n, size):
+    """Families of near copies, one word in a copy changed, of documents that all hold one passage."""
+    passage = [f"p{i}" for i in range(60)]
+    rows = []
+    for f in range(n):
+        base = [f"f{f}w{i}" for i in range(100)]
+        for _ in range(size):
+            own = list(base)
+            own[rng.randrange(100)] = f"x{rng.randrange(100_000)}"
+            rows.append((len(rows), " ".join(own + passage)))
+    return rows
+
+
+def test_families_that_share_a_passage_fall_apart(spark):
+    """A large candidate of several families is cut by the rarest shingles: the passage holds none together."""
+    rows = families(random.Random(7), 6, 12)
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    points = df.selectExpr("'1' AS region", "doc_id", "cast(text as binary) AS text")
+    left = jj._recut(points, 5, 80, 20)
+    sizes = [r["count"] for r in left.groupBy("region").count().collect()]
+    assert sizes == [12] * 6  # one region of 72 with the regions of the first cut
+    got = sorted((tuple(r) for r in jj.join_components(df, 5, 80, most=20, bucket_bytes=4_000).collect()), key=repr)
+    assert got == brute(rows, 5, 80)
+
+
+def test_a_large_family_is_not_repeated_by_its_pivots(spark, monkeypatch):
+    """All points of a family are near every pivot: its texts are neither copied to each pivot's region nor sent in one table."""
+    made, old = [], jj.written
+    monkeypatch.setattr(jj, "written", lambda df, name: made.append((name, old(df, name))) or made[-1][1])
+    rows = families(random.Random(8), 1, 60)
+    points = spark.createDataFrame(rows, "doc_id long, text string").selectExpr("'1' AS region", "doc_id", "cast(text as binary) AS text")
+    links = jj._in_regions(points, 5, 80, 6, 4).collect()
+    assert jj._roots(len(rows), *links_of(links)).tolist() == [c for _, _, c in sorted(brute(rows, 5, 80))]
+    assert sum(df.count() for name, df in made if "text" in df.columns) <= 4 * len(rows)  # over 20 regions of nearly all, before
+    joined = []
+    monkeypatch.setattr(jj, "_joined", lambda points, *_: joined.append(points.count()) or points.selectExpr("doc_id AS a", "doc_id AS b"))
+    jj._in_regions(points, 5, 80, 6, 4)
+    assert sum(joined) <= len(rows) * (len(rows) // 3 + 1)  # each point once a block
+
+
+def test_regions_that_shrink_are_split(spark):
+    """Families without a passage in common: Voronoi regions separate them, and no link is lost."""
+    rows = [(i, t.rsplit(" p0 ", 1)[0]) for i, t in families(random.Random(9), 8, 8)]
+    points = spark.createDataFrame(rows, "doc_id long, text string").selectExpr("'1' AS region", "doc_id", "cast(text as binary) AS text")
+    for most in (6, 20):
+        links = jj._in_regions(points, 5, 80, most, 4).collect()
+        assert jj._roots(len(rows), *links_of(links)).tolist() == [c for _, _, c in sorted(brute(rows, 5, 80))]
+
+
 def test_odd_documents(odd_documents, no_documents):
     df, rows = odd_documents
     got = sorted((tuple(r) for r in jj.join_components(df, 3, 90).collect()), key=repr)
