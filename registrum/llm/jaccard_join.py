@@ -495,7 +495,7 @@ def _summaries(source: DataFrame, words: int, percent: int, buckets: int, bits:
             seen.clear()
 
         count = 0
-        for piece in slices(batches, "text", 3 << 20):
+        for piece in slices(batches, "text", 1 << 20):
             ids = piece.column("doc_id").to_pylist()
             hashes, ends = shingle_sets(as_bytes(piece.column("text")), words)
             begins = np.concatenate([[0], ends[:-1]]).astype(int)
